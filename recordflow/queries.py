@@ -11,7 +11,14 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from . import entities as EN
+from .operators import quality as Q
+from .operators import reconcile as R
+from .operators import scorecard as SC
 from .plans import extracts as X
+from .sources import recon_fixtures as RF
 from .sources import testdata as td
 
 # Parameters of the registered extracts. They span the whole test tables, so
@@ -30,6 +37,189 @@ def q_extract_orders(spark, sf_dir):
                            start_date=FULL_START, end_date=FULL_END)
 
 
+
+def q_extract_respiratory(spark, sf_dir):
+    return X.build_extract("extract_respiratory_results", _t(spark, sf_dir, "RESPIRATORY"),
+                           start_date=FULL_START, end_date=FULL_END)
+
+
+def q_extract_org(spark, sf_dir):
+    return X.build_extract("extract_organizational_hierarchy",
+                           _t(spark, sf_dir, "CLARITY_SER", "CLARITY_DEP", "CLARITY_EMP"),
+                           start_ser_id=FULL_MIN_ID)
+
+
+def q_extract_visits(spark, sf_dir):
+    return X.build_extract("extract_visit_encounters",
+                           _t(spark, sf_dir, "PATIENT_VISIT", "ORDER_REC", "ORDER_MISC"),
+                           start_date=FULL_START, end_date=FULL_END)
+
+
+def q_extract_patients(spark, sf_dir):
+    return X.build_extract("extract_patient_demographics",
+                           _t(spark, sf_dir, "PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"),
+                           start_patient_id=FULL_MIN_ID)
+
+
+def q_extract_billing(spark, sf_dir):
+    return X.build_extract("extract_billing_accounts", _t(spark, sf_dir, "ACCOUNT", "PB_AR", "GB_PAYMENT"),
+                           start_date=FULL_START, end_date=FULL_END)
+
+
+def q_billing_totals(spark, sf_dir):
+    return X.billing_totals(_t(spark, sf_dir, "ACCOUNT", "PB_AR", "GB_PAYMENT"), FULL_START, FULL_END)
+
+
+# ----------------------------------------------------------------- quality
+
+# A batch that lacks a required column: ORDER_PROC reduced to its two ids.
+PARTIAL_BATCH = ("ORDER_PROC/ids_only", "ORDER_PROC", ["ORDER_ID", "PATIENT_ID"])
+
+
+def _batches(spark, sf_dir):
+    t = td.entities(spark, sf_dir)
+    out = [(n, n, df) for n, df in t.items()]
+    label, ent, cols = PARTIAL_BATCH
+    out.append((label, ent, t[ent].select(*cols)))
+    return out
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def q_validate_schema(spark, sf_dir):
+    rows = []
+    for label, ent, df in _batches(spark, sf_dir):
+        missing = Q.missing_required(df, ent)
+        n = Q.profile(df, [])
+        rows.append(n.select(
+            F.lit(label).alias("entity_name"),
+            ((F.col("rows") == 0) | F.lit(not missing)).alias("passed"),
+            F.col("rows").cast("bigint").alias("rows_checked"),
+            F.when(F.col("rows") > 0, F.lit(len(missing))).otherwise(F.lit(0)).cast("bigint").alias("issues_found"),
+            F.lit(",".join(missing)).alias("missing_fields")))
+    return _union(rows)
+
+
+def q_validate_nulls(spark, sf_dir):
+    return _union([Q.validate_nulls(df, ent, label=label) for label, ent, df in _batches(spark, sf_dir)])
+
+
+def q_validate_duplicates(spark, sf_dir):
+    rows = []
+    for n, df in td.entities(spark, sf_dir).items():
+        k = EN.key_for(n)
+        rows.append(Q.duplicate_profile(df, k).select(
+            F.lit(n).alias("entity_name"), F.lit(k).alias("key_field"), "surplus_rows", "duplicate_keys",
+            (F.col("duplicate_keys") == 0).alias("passed")))
+    return _union(rows)
+
+
+def q_validate_all(spark, sf_dir):
+    return _union([Q.validate_all(df, ent, label=label).summary for label, ent, df in _batches(spark, sf_dir)])
+
+
+def q_validate_all_issues(spark, sf_dir):
+    return _union([Q.validate_all(df, ent, label=label).issues for label, ent, df in _batches(spark, sf_dir)])
+
+
+def q_validate_referential(spark, sf_dir):
+    return Q.validate_referential(td.entities(spark, sf_dir))
+
+
+def q_validate_rules(spark, sf_dir):
+    return Q.validate_rules(_t(spark, sf_dir, "RESPIRATORY"), Q.RESPIRATORY_RULES)
+
+
+# ---------------------------------------------------------- reconciliation
+
+def _recon(spark, sf_dir, ordered=False):
+    src = RF.source(spark, sf_dir)
+    pairs = [(n, src, t) for n, t in RF.targets(src).items()]
+    return R.reconcile(pairs, key="ORDER_ID", ordered_by=["ORDER_ID"] if ordered else None)
+
+
+def q_recon_row_counts(spark, sf_dir):
+    return _recon(spark, sf_dir).report.select(
+        "entity_name", "source_count", "target_count", "difference", "row_count_match")
+
+
+def q_recon_checksum(spark, sf_dir):
+    return _recon(spark, sf_dir).report.select(
+        "entity_name", "source_checksum", "target_checksum", "checksum_match")
+
+
+def q_recon_checksum_ordered(spark, sf_dir):
+    src = RF.source(spark, sf_dir)
+    rows = []
+    s_fp = R.ordered_fingerprint(src, ["ORDER_ID"]).select(F.col("fingerprint").alias("source_checksum"))
+    for n, t in RF.targets(src).items():
+        t_fp = R.ordered_fingerprint(t, ["ORDER_ID"]).select(F.col("fingerprint").alias("target_checksum"))
+        rows.append(Q.merge_one_row([s_fp, t_fp]).select(
+            F.lit(n).alias("entity_name"), "source_checksum", "target_checksum",
+            (F.col("source_checksum") == F.col("target_checksum")).alias("checksum_match")))
+    return _union(rows)
+
+
+def q_recon_nulls(spark, sf_dir):
+    c = _recon(spark, sf_dir).checks.where(F.col("check_name") == "null_count")
+    return c.select("entity_name", "field_name",
+                    F.col("source_value").cast("bigint").alias("source_null_count"),
+                    F.col("target_value").cast("bigint").alias("target_null_count"), "match")
+
+
+def q_recon_duplicates(spark, sf_dir):
+    return _recon(spark, sf_dir).report.select(
+        "entity_name", "key_field", "source_duplicates", "target_duplicates", "duplicates_match")
+
+
+def q_recon_report(spark, sf_dir):
+    return _recon(spark, sf_dir).report.select(
+        "entity_name", "overall_match", "issues_found", "row_count_match", "checksum_match",
+        "null_checks_match", "duplicates_match")
+
+
+def q_recon_row_diff(spark, sf_dir):
+    o = td.read_table(spark, sf_dir, "orders")
+    t = RF.perturb(o.withColumnRenamed("o_orderkey", "ORDER_ID"), "T_LOSSY", "ORDER_ID",
+                   "o_orderstatus", "X").withColumnRenamed("ORDER_ID", "o_orderkey")
+    return R.row_diff(o, t, "o_orderkey")
+
+
+def q_scorecard_entity(spark, sf_dir):
+    return SC.score_entities(_recon(spark, sf_dir).report)
+
+
+def q_scorecard_overall(spark, sf_dir):
+    return SC.scorecard(SC.score_entities(_recon(spark, sf_dir).report))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_orders": q_extract_orders,
+    "extract_respiratory": q_extract_respiratory,
+    "extract_org": q_extract_org,
+    "extract_visits": q_extract_visits,
+    "extract_patients": q_extract_patients,
+    "extract_billing": q_extract_billing,
+    "billing_totals": q_billing_totals,
+    "validate_schema": q_validate_schema,
+    "validate_nulls": q_validate_nulls,
+    "validate_duplicates": q_validate_duplicates,
+    "validate_all": q_validate_all,
+    "validate_all_issues": q_validate_all_issues,
+    "validate_referential": q_validate_referential,
+    "validate_rules": q_validate_rules,
+    "recon_row_counts": q_recon_row_counts,
+    "recon_checksum": q_recon_checksum,
+    "recon_checksum_ordered": q_recon_checksum_ordered,
+    "recon_nulls": q_recon_nulls,
+    "recon_duplicates": q_recon_duplicates,
+    "recon_report": q_recon_report,
+    "recon_row_diff": q_recon_row_diff,
+    "scorecard_entity": q_scorecard_entity,
+    "scorecard_overall": q_scorecard_overall,
 }

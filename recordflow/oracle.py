@@ -319,3 +319,111 @@ ORACLE["scorecard_overall"] = (
     "total_entities, entities_passing FROM (SELECT CAST(coalesce(avg(overall_percentage), 0) AS DOUBLE) AS p, "
     "count(*) AS total_entities, count(*) FILTER (WHERE quality_score IN ('excellent', 'good')) AS entities_passing "
     "FROM (" + _SCORES + "))")
+
+
+# ------------------------------------------------------------------ exports
+RUN_TS_SQL = "TIMESTAMP '2024-01-01 00:00:00'"
+RUN_ID = "rf-run"
+
+
+def duck_plain(c: str, kind: str) -> str:
+    """Python ``str()`` text of a value (timestamps without zero fraction)."""
+    if kind == "ts":
+        return (f"CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%d %H:%M:%S') "
+                f"ELSE strftime({c}, '%Y-%m-%d %H:%M:%S.%f') END")
+    return f"CAST({c} AS VARCHAR)"
+
+
+def duck_iso(c: str) -> str:
+    return (f"CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+def duck_csv_field(c: str, kind: str) -> str:
+    v = duck_plain(c, kind)
+    return (f"CASE WHEN {c} IS NULL THEN '' "
+            f"WHEN contains({v}, ',') OR contains({v}, '\"') OR contains({v}, chr(10)) OR contains({v}, chr(13)) "
+            f"THEN '\"' || replace({v}, '\"', '\"\"') || '\"' ELSE {v} END")
+
+
+def _kinds(ent: str) -> list[tuple[str, str]]:
+    ts_cols = {"ORDER_START_DT_TM", "ORDER_END_DT_TM", "UPDATE_DT_TM", "COLLECT_DT_TM", "RECEIVE_DT_TM",
+               "RESULT_DT_TM", "ADMIT_DT_TM", "DISCH_DT_TM", "ONSET_DT_TM", "CREATE_DT_TM", "PAYMENT_DT_TM"}
+    return [(a, "ts" if a in ts_cols else "v") for _, a in ADAPTERS[ent][2]]
+
+
+def _csv_sql(ent: str) -> str:
+    line = " || ',' || ".join(duck_csv_field(c, k) for c, k in _kinds(ent))
+    return W(f"SELECT {line} AS line FROM {ent}", [ent])
+
+
+ORACLE["export_csv_lines"] = _csv_sql("PATIENT_ALLERGY")
+ORACLE["export_csv_orders"] = _csv_sql("ORDER_PROC")
+
+ORACLE["export_hl7"] = W(f"""
+, J AS (SELECT o.ORDER_ID, o.ORDER_STATUS_CD, o.PATIENT_ID, p.LAST_NAME, p.FIRST_NAME, p.DOB, p.SEX_CD
+        FROM ORDER_PROC o LEFT JOIN PATIENT p ON o.PATIENT_ID = p.PATIENT_ID),
+N AS (SELECT *, row_number() OVER (ORDER BY ORDER_ID) AS ordinal FROM J)
+SELECT ordinal,
+  'MSH|^~\\&|EHR_SRC|SRC_FACILITY|RECV_SYS|DEST|' || strftime({RUN_TS_SQL}, '%Y%m%d%H%M') || '|MSG'
+  || upper(substr(md5('{RUN_ID}:' || CAST(ordinal AS VARCHAR)), 1, 8)) || '|ORU|2.4' || chr(13)
+  || 'PID|' || CAST(ordinal AS VARCHAR) || '|' || coalesce(CAST(PATIENT_ID AS VARCHAR), '') || '||'
+  || coalesce(LAST_NAME, '') || '^' || coalesce(FIRST_NAME, '') || '||' || coalesce(CAST(DOB AS VARCHAR), '')
+  || '|' || coalesce(SEX_CD, '') || chr(13)
+  || 'ORC|' || coalesce(ORDER_STATUS_CD, '') || '|' || coalesce(CAST(ORDER_ID AS VARCHAR), '') || chr(13) AS message
+FROM N
+""", ["ORDER_PROC", "PATIENT"]).replace("\n\n, J AS", ",\nJ AS")
+
+_GENDER = "CASE WHEN coalesce(length(SEX_CD), 0) > 0 THEN lower(SEX_CD) ELSE 'unknown' END"
+_PATIENT_STRUCT = ("{'resourceType': 'Patient', 'id': coalesce(CAST(PATIENT_ID AS VARCHAR), ''), "
+                   "'name': [{'family': LAST_NAME, 'given': [FIRST_NAME]}], 'birthDate': CAST(DOB AS VARCHAR), "
+                   f"'gender': {_GENDER}, "
+                   "'address': [{'line': [ADDRESS_LINE_1], 'city': CITY, 'state': STATE_CD, 'postalCode': ZIP_CD}]}")
+ORACLE["fhir_patient"] = W(f"SELECT to_json({_PATIENT_STRUCT}) AS resource FROM PATIENT", ["PATIENT"])
+
+ORACLE["fhir_encounter"] = W(
+    "SELECT to_json({'resourceType': 'Encounter', 'id': coalesce(CAST(VISIT_ID AS VARCHAR), ''), "
+    "'subject': {'reference': 'Patient/' || coalesce(CAST(PATIENT_ID AS VARCHAR), '')}, 'status': 'finished', "
+    "'class': {'code': VISIT_TYPE_CD}, "
+    f"'period': {{'start': {duck_iso('ADMIT_DT_TM')}, 'end': {duck_iso('DISCH_DT_TM')}}}}}) AS resource "
+    "FROM PATIENT_VISIT", ["PATIENT_VISIT"])
+
+ORACLE["fhir_observation"] = W(
+    "SELECT to_json({'resourceType': 'Observation', 'id': coalesce(CAST(RESULT_ID AS VARCHAR), ''), "
+    "'subject': {'reference': 'Patient/' || coalesce(CAST(PATIENT_ID AS VARCHAR), '')}, 'status': 'final', "
+    "'code': {'coding': [{'code': RESULT_TYPE_CD}]}, 'valueQuantity': {'value': VALUE, 'unit': UNITS}, "
+    f"'effectiveDateTime': {duck_iso('RESULT_DT_TM')}}}) AS resource FROM RESPIRATORY", ["RESPIRATORY"])
+
+ORACLE["fhir_passthrough"] = W(
+    "SELECT to_json({'ACCOUNT_ID': ACCOUNT_ID, 'PATIENT_ID': PATIENT_ID, 'ACCOUNT_TYPE_CD': ACCOUNT_TYPE_CD, "
+    "'ACCOUNT_STATUS_CD': ACCOUNT_STATUS_CD, 'BALANCE_AMT': BALANCE_AMT, "
+    f"'CREATE_DT_TM': {duck_iso('CREATE_DT_TM')}}}) AS resource FROM ACCOUNT", ["ACCOUNT"])
+
+_BID = "md5('" + RUN_ID + ":' || CAST(bundle_no AS VARCHAR))"
+ORACLE["export_fhir_bundle"] = W(f"""
+, R AS (SELECT row_number() OVER (ORDER BY PATIENT_ID) AS ordinal, {_PATIENT_STRUCT} AS resource FROM PATIENT),
+B AS (SELECT CAST((ordinal - 1) // 100 AS BIGINT) AS bundle_no, count(*) AS entries,
+             list({{'resource': resource}} ORDER BY ordinal) AS entry FROM R GROUP BY 1)
+SELECT bundle_no, entries,
+  to_json({{'resourceType': 'Bundle',
+            'id': substr({_BID}, 1, 8) || '-' || substr({_BID}, 9, 4) || '-' || substr({_BID}, 13, 4) || '-'
+                  || substr({_BID}, 17, 4) || '-' || substr({_BID}, 21, 12),
+            'type': 'collection', 'timestamp': {duck_iso(RUN_TS_SQL)}, 'entry': entry}}) AS bundle
+FROM B
+""", ["PATIENT"]).replace("\n\n, R AS", ",\nR AS")
+
+_PCOLS = sorted(a for _, a in ADAPTERS["PATIENT"][2])
+_ROW_JSON = "to_json({" + ", ".join(f"'{c}': {c}" for c in _PCOLS) + "})"
+ORACLE["scalar_functions"] = W(f"""
+SELECT PATIENT_ID, CAST(PATIENT_ID AS VARCHAR) AS id_text, {_GENDER} AS gender,
+  coalesce(LAST_NAME, '') || '^' || coalesce(FIRST_NAME, '') AS name_hl7,
+  'Patient/' || CAST(PATIENT_ID AS VARCHAR) AS subject_ref,
+  strftime(CAST(DOB AS TIMESTAMP), '%Y%m%d%H%M') AS dob_hl7,
+  {duck_iso('CAST(DOB AS TIMESTAMP)')} AS dob_iso,
+  'MSG' || upper(substr(md5(CAST(PATIENT_ID AS VARCHAR)), 1, 8)) AS msg_id,
+  {_ROW_JSON} AS row_json, md5({_ROW_JSON}) AS row_md5,
+  CASE WHEN (PATIENT_ID % 5) * 25.0 = 100 THEN 'excellent' WHEN (PATIENT_ID % 5) * 25.0 >= 75 THEN 'good'
+       WHEN (PATIENT_ID % 5) * 25.0 >= 50 THEN 'fair' ELSE 'poor' END AS band,
+  printf('%d null values found in ''%s''', PATIENT_ID % 7, 'SEX_CD') AS message
+FROM PATIENT
+""", ["PATIENT"])

@@ -198,6 +198,83 @@ def q_scorecard_overall(spark, sf_dir):
     return SC.scorecard(SC.score_entities(_recon(spark, sf_dir).report))
 
 
+# ------------------------------------------------------------------ exports
+from .functions import columns as C  # noqa: E402
+from .functions import fhir as FH  # noqa: E402
+from .sources import sinks as SK  # noqa: E402
+
+# Fixed run time and run id, so message ids and bundle ids are reproducible.
+RUN_TS = "2024-01-01 00:00:00"
+RUN_ID = "rf-run"
+BUNDLE_PAGE = 100
+
+
+def q_export_csv_lines(spark, sf_dir):
+    return SK.csv_lines(_t(spark, sf_dir, "PATIENT_ALLERGY")["PATIENT_ALLERGY"])
+
+
+def q_export_csv_orders(spark, sf_dir):
+    return SK.csv_lines(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"])
+
+
+def hl7_input(t):
+    o = t["ORDER_PROC"].select("ORDER_ID", "ORDER_STATUS_CD", "PATIENT_ID")
+    p = t["PATIENT"].select("PATIENT_ID", "LAST_NAME", "FIRST_NAME", "DOB", "SEX_CD")
+    return o.join(p, "PATIENT_ID", "left")
+
+
+def q_export_hl7(spark, sf_dir):
+    df = hl7_input(_t(spark, sf_dir, "ORDER_PROC", "PATIENT"))
+    return SK.hl7_messages(df, RUN_TS, RUN_ID, order_by=["ORDER_ID"])
+
+
+def _res(spark, sf_dir, ent, rtype):
+    df = _t(spark, sf_dir, ent)[ent]
+    return SK.fhir_resources(df, rtype)
+
+
+def q_fhir_patient(spark, sf_dir):
+    return _res(spark, sf_dir, "PATIENT", "Patient")
+
+
+def q_fhir_encounter(spark, sf_dir):
+    return _res(spark, sf_dir, "PATIENT_VISIT", "Encounter")
+
+
+def q_fhir_observation(spark, sf_dir):
+    return _res(spark, sf_dir, "RESPIRATORY", "Observation")
+
+
+def q_fhir_passthrough(spark, sf_dir):
+    return _res(spark, sf_dir, "ACCOUNT", "Account")
+
+
+def q_export_fhir_bundle(spark, sf_dir):
+    df = _t(spark, sf_dir, "PATIENT")["PATIENT"]
+    return SK.fhir_bundles(df, "Patient", BUNDLE_PAGE, RUN_TS, RUN_ID, order_by=["PATIENT_ID"])
+
+
+def q_scalar_functions(spark, sf_dir):
+    p = _t(spark, sf_dir, "PATIENT")["PATIENT"]
+    idt = F.col("PATIENT_ID").cast("string")
+    row_json = F.to_json(F.struct(*sorted(p.columns)), FH.JSON_OPTS)
+    pct = (F.col("PATIENT_ID") % 5).cast("double") * F.lit(25.0)
+    dob_ts = F.col("DOB").cast("timestamp_ntz")
+    return p.select(
+        "PATIENT_ID",
+        idt.alias("id_text"),
+        C.gender(F.col("SEX_CD")).alias("gender"),
+        F.concat(F.coalesce("LAST_NAME", F.lit("")), F.lit("^"), F.coalesce("FIRST_NAME", F.lit(""))).alias("name_hl7"),
+        F.concat(F.lit("Patient/"), idt).alias("subject_ref"),
+        C.hl7_ts(dob_ts).alias("dob_hl7"),
+        C.iso_ts(dob_ts).alias("dob_iso"),
+        C.message_id(idt).alias("msg_id"),
+        row_json.alias("row_json"),
+        F.md5(row_json).alias("row_md5"),
+        C.band(pct).alias("band"),
+        F.format_string("%d null values found in '%s'", F.col("PATIENT_ID") % 7, F.lit("SEX_CD")).alias("message"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_orders": q_extract_orders,
     "extract_respiratory": q_extract_respiratory,
@@ -222,4 +299,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_row_diff": q_recon_row_diff,
     "scorecard_entity": q_scorecard_entity,
     "scorecard_overall": q_scorecard_overall,
+    "export_csv_lines": q_export_csv_lines,
+    "export_csv_orders": q_export_csv_orders,
+    "export_hl7": q_export_hl7,
+    "fhir_patient": q_fhir_patient,
+    "fhir_encounter": q_fhir_encounter,
+    "fhir_observation": q_fhir_observation,
+    "fhir_passthrough": q_fhir_passthrough,
+    "export_fhir_bundle": q_export_fhir_bundle,
+    "scalar_functions": q_scalar_functions,
 }

@@ -30,6 +30,7 @@ def build_session(master: str | None = None, app: str = "recordflow",
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("RECORDFLOW_DRIVER_MEMORY", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:

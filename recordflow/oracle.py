@@ -427,3 +427,31 @@ SELECT PATIENT_ID, CAST(PATIENT_ID AS VARCHAR) AS id_text, {_GENDER} AS gender,
   printf('%d null values found in ''%s''', PATIENT_ID % 7, 'SEX_CD') AS message
 FROM PATIENT
 """, ["PATIENT"])
+
+
+# -------------------------------------------------------------- incremental
+from .sources.testdata import CHANGE_COLUMNS  # noqa: E402
+
+ORACLE["incremental_extract"] = W(
+    "SELECT * FROM ORDER_PROC WHERE UPDATE_DT_TM > TIMESTAMP '1900-01-01 00:00:00'", ["ORDER_PROC"])
+
+ORACLE["watermark_ledger"] = W("\nUNION ALL\n".join(
+    f"SELECT '{e}' AS entity_name, max({c}) AS last_extract_ts, CAST(0 AS BIGINT) AS last_rows, "
+    f"count(*) AS total_rows, CAST(2 AS BIGINT) AS successful_runs, CAST(1 AS BIGINT) AS failed_runs, "
+    f"'failed' AS last_status FROM {e}" for e, c in CHANGE_COLUMNS.items()), list(CHANGE_COLUMNS))
+
+_VALID = ("(count(*) FILTER (WHERE PATIENT_ID IS NULL) = 0 AND count(*) FILTER (WHERE ORDER_ID IS NULL) = 0 "
+          "AND count(DISTINCT ORDER_ID) = count(*))")
+ORACLE["pipeline_run"] = W(f"""
+SELECT CAST(1 AS BIGINT) AS run_no, 'ORDER_PROC' AS entity_name, 'success' AS status, 'csv' AS export_format,
+       count(*) AS rows_extracted, count(*) AS rows_exported, {_VALID} AS validation_passed,
+       CAST(CASE WHEN {_VALID} THEN 0 ELSE 1 END AS BIGINT) AS issues_found,
+       TIMESTAMP '1900-01-01 00:00:00' AS position_before, max(UPDATE_DT_TM) AS position_after
+FROM ORDER_PROC
+UNION ALL
+SELECT CAST(2 AS BIGINT), 'ORDER_PROC', 'success', 'hl7', CAST(0 AS BIGINT), CAST(0 AS BIGINT), TRUE,
+       CAST(0 AS BIGINT), max(UPDATE_DT_TM), max(UPDATE_DT_TM)
+FROM ORDER_PROC
+""", ["ORDER_PROC"])
+
+ORACLE["incremental_stream"] = W("SELECT * FROM ORDER_PROC", ["ORDER_PROC"])

@@ -275,6 +275,64 @@ def q_scalar_functions(spark, sf_dir):
         F.format_string("%d null values found in '%s'", F.col("PATIENT_ID") % 7, F.lit("SEX_CD")).alias("message"))
 
 
+# -------------------------------------------------------------- incremental
+from .plans import incremental as INC  # noqa: E402
+from .session import run_dir  # noqa: E402
+from .streaming import incremental_stream as ST  # noqa: E402
+
+
+def q_incremental_extract(spark, sf_dir):
+    """First run against an empty ledger: the position is the first-run bound."""
+    led = INC.PositionLedger(spark, run_dir(spark, "ledger"))
+    pos = led.get("ORDER_PROC")
+    return INC.incremental_batch(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], pos, "UPDATE_DT_TM")
+
+
+def q_watermark_ledger(spark, sf_dir):
+    """Per entity: a full first run, a run with no new rows, and a failed run
+    (unknown format); then the ledger's position listing."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    base = run_dir(spark, "watermark")
+    ledger = f"{base}/ledger"
+    INC.PositionLedger(spark, ledger)
+    t = td.entities(spark, sf_dir, list(td.CHANGE_COLUMNS))
+
+    def runs(item):
+        ent, col = item
+        for fmt in ("csv", "csv", "xml"):
+            INC.run_pipeline(spark, ent, t[ent], ledger, f"{base}/out", fmt, change_col=col)
+
+    # Entities are independent: their runs are submitted as concurrent Spark
+    # jobs from driver threads (each entity appends to its own ledger folder).
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(runs, td.CHANGE_COLUMNS.items()))
+    return INC.PositionLedger(spark, ledger).positions()
+
+
+def q_pipeline_run(spark, sf_dir):
+    """Two end-to-end runs on ORDER_PROC: CSV export of everything, then an
+    HL7 run that finds no new rows."""
+    base = run_dir(spark, "pipeline")
+    src = _t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"]
+    r1 = INC.run_pipeline(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "csv")
+    r2 = INC.run_pipeline(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "hl7",
+                          run_ts=RUN_TS, run_id=RUN_ID, order_by=["ORDER_ID"])
+    recs = INC.records_frame(spark, [r1, r2])
+    return recs.select(
+        F.when(F.col("job_id") == r1.job_id, 1).otherwise(2).cast("bigint").alias("run_no"),
+        "entity_name", "status", "export_format", "rows_extracted", "rows_exported",
+        "validation_passed", "issues_found", "position_before", "position_after")
+
+
+def q_incremental_stream(spark, sf_dir):
+    base = run_dir(spark, "stream")
+    schema = td.read_table(spark, sf_dir, "orders").schema
+    ST.run_incremental_stream(spark, sf_dir, schema, "ORDER_PROC", f"{base}/out", f"{base}/checkpoint",
+                              transform=lambda s: td.adapt(s, "ORDER_PROC"), path_glob="orders.parquet")
+    return ST.stream_output(spark, f"{base}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_orders": q_extract_orders,
     "extract_respiratory": q_extract_respiratory,
@@ -308,4 +366,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fhir_passthrough": q_fhir_passthrough,
     "export_fhir_bundle": q_export_fhir_bundle,
     "scalar_functions": q_scalar_functions,
+    "incremental_extract": q_incremental_extract,
+    "watermark_ledger": q_watermark_ledger,
+    "pipeline_run": q_pipeline_run,
+    "incremental_stream": q_incremental_stream,
 }

@@ -166,6 +166,16 @@ def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.selectExpr(*[f"{e} AS {a}" for e, a in cols])
 
 
+def adapt(df: DataFrame, name: str) -> DataFrame:
+    """Apply a single-table adapter to a frame of its base table (batch or stream)."""
+    base, where, cols = ADAPTERS[name]
+    if name == "PATIENT":
+        raise ValueError("PATIENT reads three tables; use entity()")
+    if where:
+        df = df.where(where)
+    return df.selectExpr(*[f"{e} AS {a}" for e, a in cols])
+
+
 def entities(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     return {n: entity(spark, sf_dir, n) for n in (names or ADAPTERS)}
 

@@ -17,6 +17,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import left_join
+
 
 def _ts(v) -> F.Column:
     """Bound literal for a timestamp_ntz column (string, date or datetime)."""
@@ -31,7 +33,8 @@ def _half_open(c: str, start, end) -> F.Column:
     return (F.col(c) >= _ts(start)) & (F.col(c) < _ts(end))
 
 
-def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True) -> DataFrame:
+def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
+               hot_key_threshold: int | None = None) -> DataFrame:
     """ORDER_PROC left join SPECIMEN on ORDER_ID, half-open start-time range."""
     o = (t["ORDER_PROC"].where(_half_open("ORDER_START_DT_TM", start_date, end_date))
          .select("ORDER_ID", "PATIENT_ID", "ORDER_TYPE_CD", "ORDER_STATUS_CD",
@@ -39,7 +42,7 @@ def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = Tr
                  "RESULT_STATUS_CD"))
     s = t["SPECIMEN"].select("ORDER_ID", "SPECIMEN_ID", "SPECIMEN_TYPE_CD",
                              "COLLECT_DT_TM", "RECEIVE_DT_TM")
-    out = o.join(s, "ORDER_ID", "left").select(
+    out = left_join(o, s, "ORDER_ID", hot_key_threshold).select(
         "ORDER_ID", "PATIENT_ID", "ORDER_TYPE_CD", "ORDER_STATUS_CD",
         "ORDERING_PROVIDER_ID", "ORDER_START_DT_TM", "ORDER_END_DT_TM",
         "RESULT_STATUS_CD", "SPECIMEN_ID", "SPECIMEN_TYPE_CD", "COLLECT_DT_TM",
@@ -47,7 +50,8 @@ def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = Tr
     return out.orderBy("ORDER_START_DT_TM") if ordered else out
 
 
-def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True) -> DataFrame:
+def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
+                        hot_key_threshold: int | None = None) -> DataFrame:
     """RESPIRATORY rows in a half-open result-time range."""
     out = (t["RESPIRATORY"].where(_half_open("RESULT_DT_TM", start_date, end_date))
            .select("RESULT_ID", "PATIENT_ID", "ORDER_ID", "RESULT_TYPE_CD",
@@ -55,21 +59,23 @@ def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered:
     return out.orderBy("RESULT_DT_TM") if ordered else out
 
 
-def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, ordered: bool = True) -> DataFrame:
+def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, ordered: bool = True,
+                             hot_key_threshold: int | None = None) -> DataFrame:
     """SER left join DEP on SER_ID, then left join EMP on DEP.DEP_ID (chain)."""
     ser = t["CLARITY_SER"].where(F.col("SER_ID") >= F.lit(start_ser_id)) \
         .select("SER_ID", "SER_NAME", "SER_TYPE_CD")
     dep = t["CLARITY_DEP"].select("SER_ID", "DEP_ID", "DEP_NAME", "DEP_TYPE_CD")
     emp = t["CLARITY_EMP"].select("DEP_ID", "EMP_ID", "EMP_NAME", "EMP_TYPE_CD")
     # A null DEP_ID from the first join never matches EMP: equi join on null.
-    out = (ser.join(dep, "SER_ID", "left").join(emp, "DEP_ID", "left")
+    out = (left_join(left_join(ser, dep, "SER_ID", hot_key_threshold), emp, "DEP_ID", hot_key_threshold)
            .select("SER_ID", "SER_NAME", "SER_TYPE_CD", "DEP_ID", "DEP_NAME",
                    "DEP_TYPE_CD", "EMP_ID", "EMP_NAME", "EMP_TYPE_CD"))
     # The source dialect sorts nulls last in ascending order.
     return out.orderBy(F.col("SER_ID").asc(), F.col("DEP_ID").asc_nulls_last()) if ordered else out
 
 
-def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True) -> DataFrame:
+def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
+                     hot_key_threshold: int | None = None) -> DataFrame:
     """PATIENT_VISIT star-joined to ORDER_REC and ORDER_MISC on VISIT_ID."""
     v = (t["PATIENT_VISIT"].where(_half_open("ADMIT_DT_TM", start_date, end_date))
          .select("VISIT_ID", "PATIENT_ID", "ADMIT_DT_TM", "DISCH_DT_TM",
@@ -78,14 +84,15 @@ def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: boo
     m = t["ORDER_MISC"].select("VISIT_ID", "ORDER_MISC_ID", "MISC_TYPE_CD")
     # Both branches join on the same key: the first join's hash partitioning
     # on VISIT_ID is reused by the second one.
-    out = (v.join(r, "VISIT_ID", "left").join(m, "VISIT_ID", "left")
+    out = (left_join(left_join(v, r, "VISIT_ID", hot_key_threshold), m, "VISIT_ID", hot_key_threshold)
            .select("VISIT_ID", "PATIENT_ID", "ADMIT_DT_TM", "DISCH_DT_TM",
                    "VISIT_TYPE_CD", "ACCOMMODATION_CD", "ORDER_ID",
                    "ORDER_STATUS_CD", "ORDER_MISC_ID", "MISC_TYPE_CD"))
     return out.orderBy("ADMIT_DT_TM") if ordered else out
 
 
-def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: bool = True) -> DataFrame:
+def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: bool = True,
+                         hot_key_threshold: int | None = None) -> DataFrame:
     """PATIENT star-joined to PATIENT_ALLERGY and PATIENT_DIAGNOSIS."""
     p = (t["PATIENT"].where(F.col("PATIENT_ID") >= F.lit(start_patient_id))
          .select("PATIENT_ID", "FIRST_NAME", "LAST_NAME", "DOB", "SEX_CD",
@@ -94,7 +101,7 @@ def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: boo
                                     "ALLERGY_CD", "SEVERITY_CD")
     d = t["PATIENT_DIAGNOSIS"].select("PATIENT_ID", "DIAGNOSIS_ID", "DIAGNOSIS_CD",
                                       "DIAGNOSIS_TYPE_CD", "ONSET_DT_TM")
-    out = (p.join(a, "PATIENT_ID", "left").join(d, "PATIENT_ID", "left")
+    out = (left_join(left_join(p, a, "PATIENT_ID", hot_key_threshold), d, "PATIENT_ID", hot_key_threshold)
            .select("PATIENT_ID", "FIRST_NAME", "LAST_NAME", "DOB", "SEX_CD",
                    "MARITAL_STATUS_CD", "ADDRESS_LINE_1", "CITY", "STATE_CD",
                    "ZIP_CD", "ALLERGY_ID", "ALLERGY_TYPE_CD", "ALLERGY_CD",
@@ -103,7 +110,8 @@ def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: boo
     return out.orderBy("PATIENT_ID") if ordered else out
 
 
-def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True) -> DataFrame:
+def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
+                     hot_key_threshold: int | None = None) -> DataFrame:
     """ACCOUNT star-joined to PB_AR and GB_PAYMENT on ACCOUNT_ID.
 
     The output repeats every AR row once per payment of the same account;
@@ -115,7 +123,7 @@ def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: boo
     ar = t["PB_AR"].select("ACCOUNT_ID", "AR_ID", "AR_TYPE_CD", "AMOUNT")
     py = t["GB_PAYMENT"].select("ACCOUNT_ID", "PAYMENT_ID", "PAYMENT_DT_TM",
                                 "PAYMENT_AMT", "PAYMENT_METHOD_CD")
-    out = (a.join(ar, "ACCOUNT_ID", "left").join(py, "ACCOUNT_ID", "left")
+    out = (left_join(left_join(a, ar, "ACCOUNT_ID", hot_key_threshold), py, "ACCOUNT_ID", hot_key_threshold)
            .select("ACCOUNT_ID", "PATIENT_ID", "ACCOUNT_TYPE_CD", "ACCOUNT_STATUS_CD",
                    "BALANCE_AMT", "CREATE_DT_TM", "AR_ID", "AR_TYPE_CD", "AMOUNT",
                    "PAYMENT_ID", "PAYMENT_DT_TM", "PAYMENT_AMT", "PAYMENT_METHOD_CD"))
@@ -182,8 +190,13 @@ EXTRACTS: dict[str, ExtractDef] = {d.name: d for d in [
 ]}
 
 
-def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True, **params) -> DataFrame:
-    """The extract as a lazy DataFrame; parameters are checked by name."""
+def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True,
+                  hot_key_threshold: int | None = None, **params) -> DataFrame:
+    """The extract as a lazy DataFrame; parameters are checked by name.
+
+    ``hot_key_threshold``: join keys with more rows than this on a joined
+    side are salted (``operators.joins.left_join``); None relies on AQE.
+    """
     d = EXTRACTS.get(name)
     if d is None:
         raise ValueError(f"unknown extract {name!r}; known: {', '.join(EXTRACTS)}")
@@ -191,7 +204,8 @@ def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True,
     extra = [p for p in params if p not in d.params]
     if missing or extra:
         raise ValueError(f"{name}: missing params {missing}, unexpected {extra}")
-    return d.build(tables, ordered=ordered, **{p: params[p] for p in d.params})
+    return d.build(tables, ordered=ordered, hot_key_threshold=hot_key_threshold,
+                   **{p: params[p] for p in d.params})
 
 
 @dataclass
@@ -204,14 +218,15 @@ class ExtractRun:
 
 
 def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], out_path: str,
-                fmt: str = "parquet", ordered: bool = False, **params) -> ExtractRun:
+                fmt: str = "parquet", ordered: bool = False, hot_key_threshold: int | None = None,
+                **params) -> ExtractRun:
     """Run one extract into ``out_path`` and report status and row count.
 
     The count is taken by an ``Observation`` during the write, so the data
     is scanned once. A re-run overwrites its own output folder.
     """
     try:
-        df = build_extract(name, tables, ordered=ordered, **params)
+        df = build_extract(name, tables, ordered=ordered, hot_key_threshold=hot_key_threshold, **params)
         obs = Observation(f"rows_{name}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
         return ExtractRun(name, "success", int(obs.get["rows"]), out_path)

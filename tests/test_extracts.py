@@ -78,3 +78,24 @@ def test_run_extract_counts_with_observation(spark, tmp_out):
     assert spark.read.parquet(tmp_out + "/e1").count() == 959
     bad = X.run_extract(spark, "extract_orders_psd", t, tmp_out + "/e2", start_date="1998-01-01")
     assert bad.status == "failed" and bad.rows == 0
+
+
+def test_salted_left_join_equals_plain_join(spark):
+    from recordflow.operators.joins import left_join
+    # Key 1 holds most right rows and several left rows; key 3 has no right rows.
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k long, lv string")
+    right = spark.range(0, 500).select(F.when(F.col("id") < 450, 1).otherwise(2).cast("long").alias("k"),
+                                       F.col("id").alias("rv"))
+    def bag(df):
+        return sorted(tuple(map(str, r)) for r in df.collect())
+    plain = bag(left_join(left, right, "k"))
+    salted = bag(left_join(left, right, "k", threshold=100, left_salts=3, right_salts=4))
+    assert salted == plain and len(plain) == 2 * 450 + 50 + 2
+
+
+def test_extract_with_hot_key_salting_matches(spark):
+    t = td.entities(spark, SF01, ["PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"])
+    a = X.build_extract("extract_patient_demographics", t, ordered=False, start_patient_id=0)
+    b = X.build_extract("extract_patient_demographics", t, ordered=False, start_patient_id=0, hot_key_threshold=12)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

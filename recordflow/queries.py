@@ -61,6 +61,17 @@ def q_extract_patients(spark, sf_dir):
                            start_patient_id=FULL_MIN_ID)
 
 
+# Star join with hot-key salting: keys with more than this many rows on a
+# joined side take the salted path (see operators.joins).
+HOT_KEY_THRESHOLD = 12
+
+
+def q_extract_patients_salted(spark, sf_dir):
+    return X.build_extract("extract_patient_demographics",
+                           _t(spark, sf_dir, "PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"),
+                           start_patient_id=FULL_MIN_ID, hot_key_threshold=HOT_KEY_THRESHOLD)
+
+
 def q_extract_billing(spark, sf_dir):
     return X.build_extract("extract_billing_accounts", _t(spark, sf_dir, "ACCOUNT", "PB_AR", "GB_PAYMENT"),
                            start_date=FULL_START, end_date=FULL_END)
@@ -339,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_org": q_extract_org,
     "extract_visits": q_extract_visits,
     "extract_patients": q_extract_patients,
+    "extract_patients_salted": q_extract_patients_salted,
     "extract_billing": q_extract_billing,
     "billing_totals": q_billing_totals,
     "validate_schema": q_validate_schema,

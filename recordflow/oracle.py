@@ -91,6 +91,16 @@ LEFT JOIN (SELECT ACCOUNT_ID, sum(PAYMENT_AMT) AS t, count(*) AS n FROM GB_PAYME
 WHERE a.CREATE_DT_TM >= {TS_LO} AND a.CREATE_DT_TM < {TS_HI}
 """, ["ACCOUNT", "PB_AR", "GB_PAYMENT"])
 
+_EXTRACT_KEYS = [("extract_orders_psd", "PSD", "extract_orders"),
+                 ("extract_respiratory_results", "PSD", "extract_respiratory"),
+                 ("extract_organizational_hierarchy", "CDO", "extract_org"),
+                 ("extract_visit_encounters", "HSD", "extract_visits"),
+                 ("extract_patient_demographics", "ARK", "extract_patients"),
+                 ("extract_billing_accounts", "FIN", "extract_billing")]
+ORACLE["run_extracts"] = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS extract_name, '{g}' AS schema_group, 'success' AS status, "
+    f"(SELECT count(*) FROM ({ORACLE[k]})) AS row_count" for n, g, k in _EXTRACT_KEYS)
+
 
 # ------------------------------------------------------------------ quality
 from .entities import (EDGES, KEYS, RECON_NULL_FIELDS, REQUIRED_FIELDS,  # noqa: E402
@@ -381,25 +391,25 @@ _PATIENT_STRUCT = ("{'resourceType': 'Patient', 'id': coalesce(CAST(PATIENT_ID A
                    "'name': [{'family': LAST_NAME, 'given': [FIRST_NAME]}], 'birthDate': CAST(DOB AS VARCHAR), "
                    f"'gender': {_GENDER}, "
                    "'address': [{'line': [ADDRESS_LINE_1], 'city': CITY, 'state': STATE_CD, 'postalCode': ZIP_CD}]}")
-ORACLE["fhir_patient"] = W(f"SELECT to_json({_PATIENT_STRUCT}) AS resource FROM PATIENT", ["PATIENT"])
+ORACLE["fhir_patient"] = W(f"SELECT to_json({_PATIENT_STRUCT})::VARCHAR AS resource FROM PATIENT", ["PATIENT"])
 
 ORACLE["fhir_encounter"] = W(
     "SELECT to_json({'resourceType': 'Encounter', 'id': coalesce(CAST(VISIT_ID AS VARCHAR), ''), "
     "'subject': {'reference': 'Patient/' || coalesce(CAST(PATIENT_ID AS VARCHAR), '')}, 'status': 'finished', "
     "'class': {'code': VISIT_TYPE_CD}, "
-    f"'period': {{'start': {duck_iso('ADMIT_DT_TM')}, 'end': {duck_iso('DISCH_DT_TM')}}}}}) AS resource "
+    f"'period': {{'start': {duck_iso('ADMIT_DT_TM')}, 'end': {duck_iso('DISCH_DT_TM')}}}}})::VARCHAR AS resource "
     "FROM PATIENT_VISIT", ["PATIENT_VISIT"])
 
 ORACLE["fhir_observation"] = W(
     "SELECT to_json({'resourceType': 'Observation', 'id': coalesce(CAST(RESULT_ID AS VARCHAR), ''), "
     "'subject': {'reference': 'Patient/' || coalesce(CAST(PATIENT_ID AS VARCHAR), '')}, 'status': 'final', "
     "'code': {'coding': [{'code': RESULT_TYPE_CD}]}, 'valueQuantity': {'value': VALUE, 'unit': UNITS}, "
-    f"'effectiveDateTime': {duck_iso('RESULT_DT_TM')}}}) AS resource FROM RESPIRATORY", ["RESPIRATORY"])
+    f"'effectiveDateTime': {duck_iso('RESULT_DT_TM')}}})::VARCHAR AS resource FROM RESPIRATORY", ["RESPIRATORY"])
 
 ORACLE["fhir_passthrough"] = W(
     "SELECT to_json({'ACCOUNT_ID': ACCOUNT_ID, 'PATIENT_ID': PATIENT_ID, 'ACCOUNT_TYPE_CD': ACCOUNT_TYPE_CD, "
     "'ACCOUNT_STATUS_CD': ACCOUNT_STATUS_CD, 'BALANCE_AMT': BALANCE_AMT, "
-    f"'CREATE_DT_TM': {duck_iso('CREATE_DT_TM')}}}) AS resource FROM ACCOUNT", ["ACCOUNT"])
+    f"'CREATE_DT_TM': {duck_iso('CREATE_DT_TM')}}})::VARCHAR AS resource FROM ACCOUNT", ["ACCOUNT"])
 
 _BID = "md5('" + RUN_ID + ":' || CAST(bundle_no AS VARCHAR))"
 ORACLE["export_fhir_bundle"] = W(f"""
@@ -410,12 +420,12 @@ SELECT bundle_no, entries,
   to_json({{'resourceType': 'Bundle',
             'id': substr({_BID}, 1, 8) || '-' || substr({_BID}, 9, 4) || '-' || substr({_BID}, 13, 4) || '-'
                   || substr({_BID}, 17, 4) || '-' || substr({_BID}, 21, 12),
-            'type': 'collection', 'timestamp': {duck_iso(RUN_TS_SQL)}, 'entry': entry}}) AS bundle
+            'type': 'collection', 'timestamp': {duck_iso(RUN_TS_SQL)}, 'entry': entry}})::VARCHAR AS bundle
 FROM B
 """, ["PATIENT"]).replace("\n\n, R AS", ",\nR AS")
 
 _PCOLS = sorted(a for _, a in ADAPTERS["PATIENT"][2])
-_ROW_JSON = "to_json({" + ", ".join(f"'{c}': {c}" for c in _PCOLS) + "})"
+_ROW_JSON = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in _PCOLS) + "}) AS VARCHAR)"
 ORACLE["scalar_functions"] = W(f"""
 SELECT PATIENT_ID, CAST(PATIENT_ID AS VARCHAR) AS id_text, {_GENDER} AS gender,
   coalesce(LAST_NAME, '') || '^' || coalesce(FIRST_NAME, '') AS name_hl7,

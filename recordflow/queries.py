@@ -20,6 +20,7 @@ from .operators import scorecard as SC
 from .plans import extracts as X
 from .sources import recon_fixtures as RF
 from .sources import testdata as td
+from .session import run_dir
 
 # Parameters of the registered extracts. They span the whole test tables, so
 # every registered query processes all rows; narrow windows are unit-tested.
@@ -77,6 +78,29 @@ def q_extract_billing(spark, sf_dir):
                            start_date=FULL_START, end_date=FULL_END)
 
 
+# Whole-table parameters of each named extract, keyed by extract name.
+EXTRACT_PARAMS = {
+    "extract_orders_psd": dict(start_date=FULL_START, end_date=FULL_END),
+    "extract_respiratory_results": dict(start_date=FULL_START, end_date=FULL_END),
+    "extract_organizational_hierarchy": dict(start_ser_id=FULL_MIN_ID),
+    "extract_visit_encounters": dict(start_date=FULL_START, end_date=FULL_END),
+    "extract_patient_demographics": dict(start_patient_id=FULL_MIN_ID),
+    "extract_billing_accounts": dict(start_date=FULL_START, end_date=FULL_END),
+}
+
+
+def q_run_extracts(spark, sf_dir):
+    """Run every named extract into the shared folder; status and row count
+    per run (counted by an Observation during the write)."""
+    base = run_dir(spark, "extracts")
+    recs = []
+    for name, params in EXTRACT_PARAMS.items():
+        d = X.EXTRACTS[name]
+        r = X.run_extract(spark, name, _t(spark, sf_dir, *d.entities), f"{base}/{name}", **params)
+        recs.append((name, d.schema, r.status, r.rows))
+    return spark.createDataFrame(recs, "extract_name string, schema_group string, status string, row_count bigint")
+
+
 def q_billing_totals(spark, sf_dir):
     return X.billing_totals(_t(spark, sf_dir, "ACCOUNT", "PB_AR", "GB_PAYMENT"), FULL_START, FULL_END)
 
@@ -288,7 +312,6 @@ def q_scalar_functions(spark, sf_dir):
 
 # -------------------------------------------------------------- incremental
 from .plans import incremental as INC  # noqa: E402
-from .session import run_dir  # noqa: E402
 from .streaming import incremental_stream as ST  # noqa: E402
 
 
@@ -353,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_patients_salted": q_extract_patients_salted,
     "extract_billing": q_extract_billing,
     "billing_totals": q_billing_totals,
+    "run_extracts": q_run_extracts,
     "validate_schema": q_validate_schema,
     "validate_nulls": q_validate_nulls,
     "validate_duplicates": q_validate_duplicates,

@@ -79,3 +79,12 @@ def test_row_diff_repeated_keys_compare_as_multisets(spark):
     t = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (2, "c")], "k long, v string")
     got = {r["k"]: (r["status"], r["source_rows"], r["target_rows"]) for r in R.row_diff(s, t, "k").collect()}
     assert got == {1: ("match", 2, 2), 2: ("mismatch", 1, 2)}
+
+
+def test_reconcile_with_ordered_checksum(spark):
+    s = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k long, v string")
+    swapped = spark.createDataFrame([(1, "y"), (2, "x"), (3, "z")], "k long, v string")
+    r = R.reconcile([("same", s, s), ("swapped", s, swapped)], key="k", ordered_by=["k"])
+    checks = {(x["entity_name"], x["check_name"]): x["match"] for x in r.checks.collect()}
+    assert checks[("same", "ordered_checksum")] and not checks[("swapped", "ordered_checksum")]
+    assert {x["entity_name"]: x["overall_match"] for x in r.report.collect()} == {"same": True, "swapped": False}

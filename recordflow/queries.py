@@ -62,6 +62,13 @@ def q_extract_patients(spark, sf_dir):
                            start_patient_id=FULL_MIN_ID)
 
 
+def q_extract_orders_sql(spark, sf_dir):
+    """The orders extract as SQL text with named parameter markers."""
+    from .plans import sql_extract as SQ
+    SQ.register_entities(_t(spark, sf_dir, "ORDER_PROC", "SPECIMEN"))
+    return SQ.run_sql(spark, SQ.ORDERS_WITH_SPECIMENS_SQL, start_date=FULL_START, end_date=FULL_END)
+
+
 # Star join with hot-key salting: keys with more than this many rows on a
 # joined side take the salted path (see operators.joins).
 HOT_KEY_THRESHOLD = 12
@@ -369,6 +376,7 @@ def q_incremental_stream(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_orders": q_extract_orders,
+    "extract_orders_sql": q_extract_orders_sql,
     "extract_respiratory": q_extract_respiratory,
     "extract_org": q_extract_org,
     "extract_visits": q_extract_visits,

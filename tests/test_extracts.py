@@ -99,3 +99,13 @@ def test_extract_with_hot_key_salting_matches(spark):
     b = X.build_extract("extract_patient_demographics", t, ordered=False, start_patient_id=0, hot_key_threshold=12)
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sql_text_extract_with_named_markers(spark):
+    from recordflow.plans import sql_extract as SQ
+    t = td.entities(spark, SF001, ["ORDER_PROC", "SPECIMEN"])
+    SQ.register_entities(t)
+    got = SQ.run_sql(spark, SQ.ORDERS_WITH_SPECIMENS_SQL, **Y98)
+    assert got.count() == 959
+    same = X.build_extract("extract_orders_psd", t, ordered=False, **Y98)
+    assert got.exceptAll(same).count() == 0

@@ -157,39 +157,44 @@ def billing_totals(t: dict[str, DataFrame], start_date, end_date) -> DataFrame:
 class ExtractDef:
     name: str
     schema: str           # source schema group label (metadata only)
+    category: str         # hl7 / cdo / fin
     entities: tuple[str, ...]
     params: tuple[str, ...]
     build: Callable[..., DataFrame]
     description: str
 
 
-# Extract names, schema groups and parameter names.
+# Extract names, schema groups, categories and parameter names.
 EXTRACTS: dict[str, ExtractDef] = {d.name: d for d in [
-    ExtractDef("extract_orders_psd", "PSD", ("ORDER_PROC", "SPECIMEN"),
+    ExtractDef("extract_orders_psd", "PSD", "hl7", ("ORDER_PROC", "SPECIMEN"),
                ("start_date", "end_date"), orders_psd,
                "ORDER_PROC and SPECIMEN records for HL7 outbound"),
-    ExtractDef("extract_respiratory_results", "PSD", ("RESPIRATORY",),
+    ExtractDef("extract_respiratory_results", "PSD", "hl7", ("RESPIRATORY",),
                ("start_date", "end_date"), respiratory_results,
                "RESPIRATORY results for clinical reporting"),
-    ExtractDef("extract_organizational_hierarchy", "CDO",
+    ExtractDef("extract_organizational_hierarchy", "CDO", "cdo",
                ("CLARITY_SER", "CLARITY_DEP", "CLARITY_EMP"),
                ("start_ser_id",), organizational_hierarchy,
                "organisational structure for facility mapping"),
-    ExtractDef("extract_visit_encounters", "HSD",
+    ExtractDef("extract_visit_encounters", "HSD", "hl7",
                ("PATIENT_VISIT", "ORDER_REC", "ORDER_MISC"),
                ("start_date", "end_date"), visit_encounters,
                "visits with their orders and misc orders"),
-    ExtractDef("extract_patient_demographics", "ARK",
+    ExtractDef("extract_patient_demographics", "ARK", "cdo",
                ("PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"),
                ("start_patient_id",), patient_demographics,
                "patients with allergies and diagnoses"),
-    ExtractDef("extract_billing_accounts", "FIN",
+    ExtractDef("extract_billing_accounts", "FIN", "fin",
                ("ACCOUNT", "PB_AR", "GB_PAYMENT"),
                ("start_date", "end_date"), billing_accounts,
                "billing accounts with AR rows and payments"),
 ]}
 
 
+def extracts_by_category(category: str) -> list[ExtractDef]:
+    return [d for d in EXTRACTS.values() if d.category == category]
+
+
 def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True,
                   hot_key_threshold: int | None = None, **params) -> DataFrame:
     """The extract as a lazy DataFrame; parameters are checked by name.

@@ -71,3 +71,20 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, kind: str) -> str:
     """A fresh sub-folder of the shared folder for one run's outputs."""
     return f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized for a job that reads ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at the input size over the target partition
+    size (at least two waves of tasks) and AQE coalesces them at runtime to
+    the advisory size, so a partition fits in executor memory without
+    spilling; skewed partitions are split by AQE's skew join handling.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

@@ -12,3 +12,11 @@ def test_registry_shape():
     qs, orc = E.queries(), E.oracle_sql()
     assert set(orc) <= set(qs)
     assert len(qs) >= 30
+
+
+def test_cluster_conf_scales_with_input():
+    from recordflow.session import cluster_conf
+    small = cluster_conf(10 * 2**20, 8)
+    big = cluster_conf(100 * 2**40, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)

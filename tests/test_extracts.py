@@ -109,3 +109,8 @@ def test_sql_text_extract_with_named_markers(spark):
     assert got.count() == 959
     same = X.build_extract("extract_orders_psd", t, ordered=False, **Y98)
     assert got.exceptAll(same).count() == 0
+
+
+def test_extract_catalog_categories():
+    assert [d.name for d in X.extracts_by_category("fin")] == ["extract_billing_accounts"]
+    assert len(X.extracts_by_category("hl7")) == 3 and len(X.EXTRACTS) == 6

@@ -20,10 +20,11 @@ def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "ordin
                  num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     shared_dir(spark)  # make sure a (shared) checkpoint folder is set
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                .withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count AQE may coalesce the range partitions; it only
+    # merges neighbouring ranges, so partition order still follows the order.
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ranged = ranged.sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id())
     ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,13 +58,20 @@ def shared_dir(spark: SparkSession) -> str:
     Only where it is unset (local runs, tests) a private folder is made.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: only the conf is visible
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="recordflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core setting locked by the session: folder is still used below
+            pass
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -7,6 +7,9 @@ of the Spark results.
 
 from __future__ import annotations
 
+from .entities import EDGES, KEYS, RECON_NULL_FIELDS, REQUIRED_FIELDS, VALIDATION_NULL_FIELDS
+from .sources import recon_fixtures as RFX
+from .sources.testdata import ADAPTERS, CHANGE_COLUMNS, adapter_sql
 from .sources.testdata import with_entities as W
 
 TS_LO = "TIMESTAMP '1900-01-01 00:00:00'"
@@ -105,9 +108,6 @@ ORACLE["run_extracts"] = "\nUNION ALL\n".join(
 
 
 # ------------------------------------------------------------------ quality
-from .entities import (EDGES, KEYS, RECON_NULL_FIELDS, REQUIRED_FIELDS,  # noqa: E402
-                       VALIDATION_NULL_FIELDS)
-from .sources.testdata import ADAPTERS, adapter_sql  # noqa: E402
 
 ALL = list(ADAPTERS)
 # (label, entity contract, CTE name, columns)
@@ -221,7 +221,6 @@ ORACLE["validate_rules"] = _rules_sql()
 
 
 # ----------------------------------------------------------- reconciliation
-from .sources import recon_fixtures as RFX  # noqa: E402
 
 _RECON_COLS = [("ORDER_ID", "int"), ("PATIENT_ID", "int"), ("ST", "str")]
 
@@ -444,7 +443,6 @@ FROM PATIENT
 
 
 # -------------------------------------------------------------- incremental
-from .sources.testdata import CHANGE_COLUMNS  # noqa: E402
 
 ORACLE["incremental_extract"] = W(
     "SELECT * FROM ORDER_PROC WHERE UPDATE_DT_TM > TIMESTAMP '1900-01-01 00:00:00'", ["ORDER_PROC"])

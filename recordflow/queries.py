@@ -7,20 +7,26 @@ result whose columns are aliased exactly as in the matching oracle SQL
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from . import entities as EN
+from .functions import columns as C
+from .functions import fhir as FH
 from .operators import quality as Q
 from .operators import reconcile as R
 from .operators import scorecard as SC
 from .plans import extracts as X
+from .plans import incremental as INC
+from .plans import sql_extract as SQ
+from .session import run_dir
 from .sources import recon_fixtures as RF
+from .sources import sinks as SK
 from .sources import testdata as td
-from .session import run_dir
+from .streaming import incremental_stream as ST
 
 # Parameters of the registered extracts. They span the whole test tables, so
 # every registered query processes all rows; narrow windows are unit-tested.
@@ -64,7 +70,6 @@ def q_extract_patients(spark, sf_dir):
 
 def q_extract_orders_sql(spark, sf_dir):
     """The orders extract as SQL text with named parameter markers."""
-    from .plans import sql_extract as SQ
     SQ.register_entities(_t(spark, sf_dir, "ORDER_PROC", "SPECIMEN"))
     return SQ.run_sql(spark, SQ.ORDERS_WITH_SPECIMENS_SQL, start_date=FULL_START, end_date=FULL_END)
 
@@ -99,8 +104,6 @@ EXTRACT_PARAMS = {
 def q_run_extracts(spark, sf_dir):
     """Run every named extract into the shared folder; status and row count
     per run (counted by an Observation during the write)."""
-    from concurrent.futures import ThreadPoolExecutor
-
     base = run_dir(spark, "extracts")
 
     def one(item):
@@ -249,9 +252,6 @@ def q_scorecard_overall(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ exports
-from .functions import columns as C  # noqa: E402
-from .functions import fhir as FH  # noqa: E402
-from .sources import sinks as SK  # noqa: E402
 
 # Fixed run time and run id, so message ids and bundle ids are reproducible.
 RUN_TS = "2024-01-01 00:00:00"
@@ -326,8 +326,6 @@ def q_scalar_functions(spark, sf_dir):
 
 
 # -------------------------------------------------------------- incremental
-from .plans import incremental as INC  # noqa: E402
-from .streaming import incremental_stream as ST  # noqa: E402
 
 
 def q_incremental_extract(spark, sf_dir):
@@ -340,8 +338,6 @@ def q_incremental_extract(spark, sf_dir):
 def q_watermark_ledger(spark, sf_dir):
     """Per entity: a full first run, a run with no new rows, and a failed run
     (unknown format); then the ledger's position listing."""
-    from concurrent.futures import ThreadPoolExecutor
-
     base = run_dir(spark, "watermark")
     ledger = f"{base}/ledger"
     INC.PositionLedger(spark, ledger)

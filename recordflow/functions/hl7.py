@@ -35,13 +35,16 @@ def _lit_ts(v) -> Column:
 
 
 def message(df: DataFrame, ordinal: Column, run_ts, run_id: str, msg_type: str = "ORU",
-            header: dict | None = None, escape_fields: bool = False) -> Column:
+            header: dict | None = None, escape_fields: bool = False, id_length: int = 8) -> Column:
     """One message per row: ``MSH\\rPID\\r[ORC\\r]``.
 
     * ``ordinal`` is the 1-based position of the row in the batch (PID set id).
     * the ORC segment is present when the frame *has* an ``ORDER_ID`` column;
       its status defaults to ``NW`` only when ``ORDER_STATUS_CD`` is absent.
     * null or absent values print as empty fields.
+    * message ids are ``MSG`` + ``id_length`` hex characters of md5(run id,
+      position); 8 characters (the usual form) start to collide after tens
+      of thousands of messages, so large runs should use up to 32.
     """
     h = {**DEFAULT_HEADER, **(header or {})}
 
@@ -49,7 +52,7 @@ def message(df: DataFrame, ordinal: Column, run_ts, run_id: str, msg_type: str =
         t = plain_text(df, name)
         return escape(t) if escape_fields else t
 
-    mid = message_id(F.concat(F.lit(run_id + ":"), ordinal.cast("string")))
+    mid = message_id(F.concat(F.lit(run_id + ":"), ordinal.cast("string")), id_length)
     msh = F.concat_ws("|", F.lit("MSH"), F.lit(ENCODING_CHARS), F.lit(h["sending_app"]),
                       F.lit(h["sending_facility"]), F.lit(h["receiving_app"]),
                       F.lit(h["receiving_facility"]), hl7_ts(_lit_ts(run_ts)), mid,

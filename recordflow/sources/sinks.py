@@ -79,13 +79,13 @@ def _default_order(df: DataFrame, order_by):
 
 def hl7_messages(df: DataFrame, run_ts, run_id: str | None = None, msg_type: str = "ORU",
                  order_by: list[str] | None = None, header: dict | None = None,
-                 escape_fields: bool = False) -> DataFrame:
+                 escape_fields: bool = False, id_length: int = 8) -> DataFrame:
     """(ordinal, message) per row; ordinals follow ``order_by`` (a total order)."""
     run_id = run_id or uuid.uuid4().hex
     o = with_ordinal(df, _default_order(df, order_by))
     base = o.drop("ordinal")
     return o.select("ordinal", H7.message(base, F.col("ordinal"), run_ts, run_id, msg_type,
-                                          header, escape_fields).alias("message"))
+                                          header, escape_fields, id_length).alias("message"))
 
 
 def write_hl7(df: DataFrame, path: str, run_ts=None, **kw) -> ExportResult:

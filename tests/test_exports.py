@@ -100,3 +100,10 @@ def test_export_dispatch(spark, tmp_out):
     with pytest.raises(ValueError):
         sinks.export(d, "xml", tmp_out + "/x")
     assert sinks.export(d, "csv", tmp_out + "/c").record_count == 1
+
+
+def test_hl7_long_message_ids(spark):
+    d = spark.createDataFrame([("1",), ("2",)], "PATIENT_ID string")
+    m = sinks.hl7_messages(d, "2024-01-01 00:00:00", "r", order_by=["PATIENT_ID"], id_length=32)
+    ids = [r["message"].split("|")[7] for r in m.collect()]
+    assert all(len(i) == 35 and i.startswith("MSG") for i in ids) and len(set(ids)) == 2

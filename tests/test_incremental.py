@@ -67,3 +67,12 @@ def test_ordinals_equal_row_number(spark):
 
 def test_ordinals_on_empty(spark):
     assert with_ordinal(spark.createDataFrame([], "k long"), ["k"]).count() == 0
+
+
+def test_fail_on_error_blocks_before_reading(spark, tmp_out):
+    d = spark.createDataFrame([(1, dt.datetime(2020, 1, 1))], "ORDER_ID long, UPDATE_DT_TM timestamp_ntz")
+    r = INC.run_pipeline(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv", fail_on="error")
+    assert r.status == "failed" and "required fields missing" in r.error_message
+    # Without the gate the same batch is exported and flagged.
+    r2 = INC.run_pipeline(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv")
+    assert r2.status == "success" and r2.validation_passed is False and r2.rows_exported == 1

@@ -10,8 +10,6 @@ per key and side) so a repeated key never multiplies in the join.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,10 +59,35 @@ def side_profile(df: DataFrame, key: str, null_fields: list[str],
     return merge_one_row(parts)
 
 
-@dataclass
 class Reconciliation:
-    report: DataFrame   # one row per entity / pair
-    checks: DataFrame   # one row per check (row_count, checksum, null_count x3, duplicates)
+    """``report``: one row per pair; ``checks``: one row per check (built on first use)."""
+
+    def __init__(self, wide: DataFrame, fields: list[str], ordered: bool, report: DataFrame):
+        self._wide, self._fields, self._ordered = wide, fields, ordered
+        self.report = report
+        self._checks = None
+
+    @property
+    def checks(self) -> DataFrame:
+        if self._checks is None:
+            self._checks = _checks(self._wide, self._fields, self._ordered)
+        return self._checks
+
+
+def _checks(wide: DataFrame, fields: list[str], ordered: bool) -> DataFrame:
+    def chk(name, field, sv, tv):
+        return F.struct(F.lit(name).alias("check_name"), F.lit(field).cast("string").alias("field_name"),
+                        sv.cast("string").alias("source_value"), tv.cast("string").alias("target_value"),
+                        (sv == tv).alias("match"))
+
+    items = [chk("row_count", None, F.col("s_rows"), F.col("t_rows")),
+             chk("checksum", None, F.col("s_fingerprint"), F.col("t_fingerprint"))]
+    if ordered:
+        items.append(chk("ordered_checksum", None, F.col("s_ordered_fingerprint"),
+                         F.col("t_ordered_fingerprint")))
+    items += [chk("null_count", f, F.col(f"s_n{i}"), F.col(f"t_n{i}")) for i, f in enumerate(fields)]
+    items.append(chk("duplicates", F.col("key_field"), F.col("s_duplicate_keys"), F.col("t_duplicate_keys")))
+    return wide.select("entity_name", F.explode(F.array(*items)).alias("c")).select("entity_name", "c.*")
 
 
 def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = None,
@@ -89,24 +112,12 @@ def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = N
         j = s.join(t, "entity_name")
         wide = j if wide is None else wide.unionByName(j)
 
-    def chk(name, field, sv, tv):
-        return F.struct(F.lit(name).alias("check_name"), F.lit(field).cast("string").alias("field_name"),
-                        sv.cast("string").alias("source_value"), tv.cast("string").alias("target_value"),
-                        (sv == tv).alias("match"))
-
-    items = [chk("row_count", None, F.col("s_rows"), F.col("t_rows")),
-             chk("checksum", None, F.col("s_fingerprint"), F.col("t_fingerprint"))]
-    if ordered_by:
-        items.append(chk("ordered_checksum", None, F.col("s_ordered_fingerprint"),
-                         F.col("t_ordered_fingerprint")))
-    items += [chk("null_count", f, F.col(f"s_n{i}"), F.col(f"t_n{i}")) for i, f in enumerate(fields)]
-    items.append(chk("duplicates", F.col("key_field"), F.col("s_duplicate_keys"), F.col("t_duplicate_keys")))
-    checks = wide.select("entity_name", F.explode(F.array(*items)).alias("c")).select("entity_name", "c.*")
-
     null_ok = F.lit(True)
     for i in range(len(fields)):
         null_ok = null_ok & (F.col(f"s_n{i}") == F.col(f"t_n{i}"))
     flags = [F.col("s_rows") == F.col("t_rows"), F.col("s_fingerprint") == F.col("t_fingerprint")]
+    if ordered_by:
+        flags.append(F.col("s_ordered_fingerprint") == F.col("t_ordered_fingerprint"))
     flags += [F.col(f"s_n{i}") == F.col(f"t_n{i}") for i in range(len(fields))]
     flags.append(F.col("s_duplicate_keys") == F.col("t_duplicate_keys"))
     failed = sum((F.when(f, 0).otherwise(1) for f in flags), F.lit(0))
@@ -126,7 +137,7 @@ def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = N
         (F.col("s_duplicate_keys") == F.col("t_duplicate_keys")).alias("duplicates_match"),
         (failed == 0).alias("overall_match"),
         failed.cast("bigint").alias("issues_found"))
-    return Reconciliation(report, checks)
+    return Reconciliation(wide, fields, bool(ordered_by), report)
 
 
 STATUS_MATCH, STATUS_MISMATCH = "match", "mismatch"

@@ -301,6 +301,29 @@ ORACLE["recon_checksum_ordered"] = _recon_ctes() + "\nUNION ALL\n".join(
     f"SELECT '{n}' AS entity_name, s.fp AS source_checksum, t.fp AS target_checksum, "
     f"s.fp = t.fp AS checksum_match FROM {_ordered_fp('SRC')} s, {_ordered_fp(n)} t" for n in RFX.TARGETS)
 
+_TS_COLS = {"ORDER_START_DT_TM", "ORDER_END_DT_TM", "UPDATE_DT_TM", "COLLECT_DT_TM", "RECEIVE_DT_TM",
+            "RESULT_DT_TM", "ADMIT_DT_TM", "DISCH_DT_TM", "ONSET_DT_TM", "CREATE_DT_TM", "PAYMENT_DT_TM"}
+_DOUBLE_COLS = {"VALUE"}
+
+
+def _entity_cols(ent: str):
+    return [(a, "ts" if a in _TS_COLS else "double" if a in _DOUBLE_COLS else "v") for _, a in ADAPTERS[ent][2]]
+
+
+def _entity_recon(ent: str) -> str:
+    cols = _entity_cols(ent)
+    names = [c for c, _ in cols]
+    k = KEYS[ent]
+    fp = duck_lanes("md5(" + duck_row_text(cols) + ")")
+    nulls_ok = " AND ".join("TRUE" for _ in RECON_NULL_FIELDS)
+    return (f"SELECT '{ent}' AS entity_name, count(*) AS source_count, count(*) AS target_count, "
+            f"{fp} AS source_checksum, {fp} AS target_checksum, "
+            f"(SELECT count(*) FROM (SELECT {k} FROM {ent} GROUP BY {k} HAVING count(*) > 1)) AS source_duplicates, "
+            f"{nulls_ok} AS overall_match, CAST(0 AS BIGINT) AS issues_found FROM {ent}")
+
+
+ORACLE["recon_entities"] = _q("\nUNION ALL\n".join(_entity_recon(e) for e in ALL))
+
 _ORD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORACLE["recon_row_diff"] = (
     "WITH S AS (SELECT * FROM orders), T AS ("

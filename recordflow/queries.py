@@ -236,6 +236,27 @@ def q_recon_report(spark, sf_dir):
         "null_checks_match", "duplicates_match")
 
 
+def q_recon_entities(spark, sf_dir):
+    """Migrate every entity (Parquet copy in the shared folder, read back)
+    and reconcile source against target with the entity's explicit key."""
+    base = run_dir(spark, "migrated")
+    t = td.entities(spark, sf_dir)
+
+    def land(item):
+        name, df = item
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(land, t.items()))
+    pairs = [(n, df, spark.read.parquet(f"{base}/{n}")) for n, df in t.items()]
+    rep = None
+    for n, src, tgt in pairs:
+        r = R.reconcile([(n, src, tgt)], key=EN.key_for(n)).report
+        rep = r if rep is None else rep.unionByName(r)
+    return rep.select("entity_name", "source_count", "target_count", "source_checksum", "target_checksum",
+                      "source_duplicates", "overall_match", "issues_found")
+
+
 def q_recon_row_diff(spark, sf_dir):
     o = td.read_table(spark, sf_dir, "orders")
     t = RF.perturb(o.withColumnRenamed("o_orderkey", "ORDER_ID"), "T_LOSSY", "ORDER_ID",
@@ -402,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_nulls": q_recon_nulls,
     "recon_duplicates": q_recon_duplicates,
     "recon_report": q_recon_report,
+    "recon_entities": q_recon_entities,
     "recon_row_diff": q_recon_row_diff,
     "scorecard_entity": q_scorecard_entity,
     "scorecard_overall": q_scorecard_overall,

@@ -31,6 +31,13 @@ def build_session(master: str | None = None, app: str = "recordflow",
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
+          # Keep the driver's status store small in long-running sessions
+          # with many short jobs (monitoring retention only).
+          .config("spark.ui.retainedJobs", "100")
+          .config("spark.ui.retainedStages", "200")
+          .config("spark.ui.retainedTasks", "5000")
+          .config("spark.sql.ui.retainedExecutions", "50")
+          .config("spark.cleaner.periodicGC.interval", "2min")
           .config("spark.driver.memory", os.environ.get("RECORDFLOW_DRIVER_MEMORY", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:

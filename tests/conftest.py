@@ -15,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from recordflow.session import build_session
     s = build_session("local[4]", app="recordflow-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="rf-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="rf-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="rf-test-wh-")})
     yield s
     s.stop()
 

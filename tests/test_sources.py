@@ -1,5 +1,8 @@
 """Named-entity scans and the adapters."""
 
+import contextlib
+import io
+
 import pytest
 
 from conftest import SF001
@@ -26,3 +29,27 @@ def test_adapter_row_counts(spark):
     assert t["CLARITY_DEP"].count() == 20 and t["CLARITY_SER"].count() == 5
     assert t["ORDER_PROC"].count() == spark.read.parquet(SF001 + "/orders.parquet").count()
     assert set(t["PATIENT"].columns) >= {"PATIENT_ID", "LAST_NAME", "DOB"}
+
+
+def test_bucketed_staging_removes_join_shuffles(spark):
+    from recordflow.plans import extracts as X
+    from recordflow.sources.bucketed import stage_bucketed
+    t = td.entities(spark, SF001, ["PATIENT_VISIT", "ORDER_REC", "ORDER_MISC"])
+    staged = stage_bucketed(spark, t, "rf_stage", 4)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = X.build_extract("extract_visit_encounters", staged, ordered=False,
+                            start_date="1900-01-01", end_date="2100-01-01")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            q.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        plain = X.build_extract("extract_visit_encounters", t, ordered=False,
+                                start_date="1900-01-01", end_date="2100-01-01")
+        assert q.count() == plain.count() and q.exceptAll(plain).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev)

@@ -477,7 +477,7 @@ ORACLE["watermark_ledger"] = W("\nUNION ALL\n".join(
 
 _VALID = ("(count(*) FILTER (WHERE PATIENT_ID IS NULL) = 0 AND count(*) FILTER (WHERE ORDER_ID IS NULL) = 0 "
           "AND count(DISTINCT ORDER_ID) = count(*))")
-ORACLE["pipeline_run"] = W(f"""
+ORACLE["etl_job"] = W(f"""
 SELECT CAST(1 AS BIGINT) AS run_no, 'ORDER_PROC' AS entity_name, 'success' AS status, 'csv' AS export_format,
        count(*) AS rows_extracted, count(*) AS rows_exported, {_VALID} AS validation_passed,
        CAST(CASE WHEN {_VALID} THEN 0 ELSE 1 END AS BIGINT) AS issues_found,

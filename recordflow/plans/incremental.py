@@ -98,7 +98,7 @@ class RunRecord:
     error_message: str | None = None
 
 
-def run_pipeline(spark: SparkSession, entity: str, source: DataFrame, ledger_path: str, out_root: str,
+def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path: str, out_root: str,
                  export_format: str = "csv", change_col: str = DEFAULT_CHANGE_COLUMN,
                  key: str | None = None, fail_on: str | None = None, job_id: str | None = None,
                  **export_opts) -> RunRecord:

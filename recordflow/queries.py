@@ -367,7 +367,7 @@ def q_watermark_ledger(spark, sf_dir):
     def runs(item):
         ent, col = item
         for fmt in ("csv", "csv", "xml"):
-            INC.run_pipeline(spark, ent, t[ent], ledger, f"{base}/out", fmt, change_col=col)
+            INC.run_etl_job(spark, ent, t[ent], ledger, f"{base}/out", fmt, change_col=col)
 
     # Entities are independent: their runs are submitted as concurrent Spark
     # jobs from driver threads (each entity appends to its own ledger folder).
@@ -376,13 +376,13 @@ def q_watermark_ledger(spark, sf_dir):
     return INC.PositionLedger(spark, ledger).positions()
 
 
-def q_pipeline_run(spark, sf_dir):
+def q_etl_job(spark, sf_dir):
     """Two end-to-end runs on ORDER_PROC: CSV export of everything, then an
     HL7 run that finds no new rows."""
-    base = run_dir(spark, "pipeline")
+    base = run_dir(spark, "etl_job")
     src = _t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"]
-    r1 = INC.run_pipeline(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "csv")
-    r2 = INC.run_pipeline(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "hl7",
+    r1 = INC.run_etl_job(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "csv")
+    r2 = INC.run_etl_job(spark, "ORDER_PROC", src, f"{base}/ledger", f"{base}/out", "hl7",
                           run_ts=RUN_TS, run_id=RUN_ID, order_by=["ORDER_ID"])
     recs = INC.records_frame(spark, [r1, r2])
     return recs.select(
@@ -438,6 +438,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scalar_functions": q_scalar_functions,
     "incremental_extract": q_incremental_extract,
     "watermark_ledger": q_watermark_ledger,
-    "pipeline_run": q_pipeline_run,
+    "etl_job": q_etl_job,
     "incremental_stream": q_incremental_stream,
 }

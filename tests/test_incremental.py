@@ -16,12 +16,12 @@ def test_incremental_fixture(spark, tmp_out):
     src = td.entities(spark, SF01, ["ORDER_PROC"])["ORDER_PROC"]
     led = INC.PositionLedger(spark, tmp_out + "/ledger")
     led.append("ORDER_PROC", "seed", dt.datetime(2001, 1, 1), 0, INC.SUCCESS)
-    r1 = INC.run_pipeline(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "csv")
+    r1 = INC.run_etl_job(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "csv")
     assert (r1.status, r1.rows_extracted, r1.rows_exported) == ("success", 1299, 1299)
     assert r1.position_after == dt.datetime(2001, 8, 1)
-    r2 = INC.run_pipeline(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "csv")
+    r2 = INC.run_etl_job(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "csv")
     assert (r2.status, r2.rows_extracted, r2.position_after) == ("success", 0, dt.datetime(2001, 8, 1))
-    r3 = INC.run_pipeline(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "xml")
+    r3 = INC.run_etl_job(spark, "ORDER_PROC", src, tmp_out + "/ledger", tmp_out + "/out", "xml")
     assert r3.status == "failed" and "unknown export format" in r3.error_message
     assert led.get("ORDER_PROC") == dt.datetime(2001, 8, 1)
     pos = led.positions().first()
@@ -39,7 +39,7 @@ def test_failed_after_success_keeps_success_position(spark, tmp_out):
 def test_fail_on_warning_does_not_advance(spark, tmp_out):
     d = spark.createDataFrame([(1, 1, dt.datetime(2020, 1, 1)), (1, 2, dt.datetime(2020, 1, 2))],
                               "ORDER_ID long, PATIENT_ID long, UPDATE_DT_TM timestamp_ntz")
-    r = INC.run_pipeline(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv", fail_on="warning")
+    r = INC.run_etl_job(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv", fail_on="warning")
     assert r.status == "failed" and r.validation_passed is False
     assert INC.PositionLedger(spark, tmp_out + "/l").get("ORDER_PROC") == dt.datetime(1900, 1, 1)
 
@@ -71,8 +71,8 @@ def test_ordinals_on_empty(spark):
 
 def test_fail_on_error_blocks_before_reading(spark, tmp_out):
     d = spark.createDataFrame([(1, dt.datetime(2020, 1, 1))], "ORDER_ID long, UPDATE_DT_TM timestamp_ntz")
-    r = INC.run_pipeline(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv", fail_on="error")
+    r = INC.run_etl_job(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv", fail_on="error")
     assert r.status == "failed" and "required fields missing" in r.error_message
     # Without the gate the same batch is exported and flagged.
-    r2 = INC.run_pipeline(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv")
+    r2 = INC.run_etl_job(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv")
     assert r2.status == "success" and r2.validation_passed is False and r2.rows_exported == 1

@@ -22,19 +22,41 @@ ISSUE_COLS = ["entity_name", "level", "validation_type", "field_name", "message"
 ERROR, WARNING, INFO = "error", "warning", "info"
 
 
-def _issue(entity: str, level: str, vtype: str, field: str, message: Column,
-           rows: Column) -> Column:
-    return F.struct(F.lit(entity).alias("entity_name"), F.lit(level).alias("level"),
-                    F.lit(vtype).alias("validation_type"), F.lit(field).alias("field_name"),
-                    message.alias("message"), rows.cast("bigint").alias("row_count"))
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal for ``text``."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _issues_from(one_row: DataFrame, items: list[tuple[Column, Column]]) -> DataFrame:
-    """Issue rows from a one-row aggregate: (condition, issue struct) pairs."""
+# Issues are built as SQL expression text: one expression per frame instead
+# of one driver round trip per Column function (same plan either way).
+def _issue(entity: str, level: str, vtype: str, field: str, message_sql: str, rows_sql: str) -> str:
+    return (f"named_struct('entity_name', {sql_str(entity)}, 'level', '{level}', "
+            f"'validation_type', '{vtype}', 'field_name', {sql_str(field)}, "
+            f"'message', {message_sql}, 'row_count', CAST({rows_sql} AS BIGINT))")
+
+
+def _issues_from(one_row: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
+    """Issue rows from a one-row aggregate: (condition, issue struct) SQL pairs."""
     if not items:
         return one_row.sparkSession.createDataFrame([], _issue_schema())
-    arr = F.filter(F.array(*[F.when(cond, iss) for cond, iss in items]), lambda x: x.isNotNull())
-    return one_row.select(F.explode(arr).alias("i")).select("i.*")
+    arr = ", ".join(f"CASE WHEN {cond} THEN {iss} END" for cond, iss in items)
+    return one_row.selectExpr(f"explode(filter(array({arr}), x -> x IS NOT NULL)) AS i").select("i.*")
+
+
+def _schema_issue(label: str, entity: str, f: str) -> tuple[str, str]:
+    return ("rows > 0", _issue(label, ERROR, "schema", f,
+                               sql_str(f"Required field '{f}' missing from {entity}"), "rows"))
+
+
+def _null_issue(label: str, f: str, i: int) -> tuple[str, str]:
+    msg = sql_str("%d null values found in '" + f + "'")
+    return (f"n{i} > 0", _issue(label, WARNING, "null_check", f, f"format_string({msg}, n{i})", f"n{i}"))
+
+
+def _dup_issue(label: str, key: str) -> tuple[str, str]:
+    msg = sql_str("%d duplicate key values in '" + key + "'")
+    return ("duplicate_keys > 0", _issue(label, WARNING, "duplicate", key,
+                                         f"format_string({msg}, surplus_rows)", "surplus_rows"))
 
 
 def _issue_schema():
@@ -90,12 +112,8 @@ def validate_schema(df: DataFrame, entity: str, label: str | None = None) -> Dat
     An empty batch has no issues (nothing to check).
     """
     label = label or entity
-    prof = profile(df, [])
-    items = [(F.col("rows") > 0,
-              _issue(label, ERROR, "schema", f,
-                     F.lit(f"Required field '{f}' missing from {entity}"), F.col("rows")))
-             for f in missing_required(df, entity)]
-    return _issues_from(prof, items)
+    items = [_schema_issue(label, entity, f) for f in missing_required(df, entity)]
+    return _issues_from(profile(df, []), items)
 
 
 def validate_nulls(df: DataFrame, entity: str, null_fields: list[str] | None = None,
@@ -103,13 +121,8 @@ def validate_nulls(df: DataFrame, entity: str, null_fields: list[str] | None = N
     """One WARNING per field with nulls (absent column counts as all null)."""
     fields = list(null_fields if null_fields is not None else VALIDATION_NULL_FIELDS)
     label = label or entity
-    prof = profile(df, fields)
-    items = [(F.col(f"n{i}") > 0,
-              _issue(label, WARNING, "null_check", f,
-                     F.format_string(f"%d null values found in '{f}'", F.col(f"n{i}")),
-                     F.col(f"n{i}")))
-             for i, f in enumerate(fields)]
-    return _issues_from(prof, items)
+    items = [_null_issue(label, f, i) for i, f in enumerate(fields)]
+    return _issues_from(profile(df, fields), items)
 
 
 def validate_duplicates(df: DataFrame, entity: str, key: str | None = None,
@@ -117,12 +130,7 @@ def validate_duplicates(df: DataFrame, entity: str, key: str | None = None,
     """One WARNING when any key repeats; row_count = surplus rows."""
     key = key or key_for(entity)
     label = label or entity
-    d = duplicate_profile(df, key)
-    items = [(F.col("duplicate_keys") > 0,
-              _issue(label, WARNING, "duplicate", key,
-                     F.format_string(f"%d duplicate key values in '{key}'", F.col("surplus_rows")),
-                     F.col("surplus_rows")))]
-    return _issues_from(d, items)
+    return _issues_from(duplicate_profile(df, key), [_dup_issue(label, key)])
 
 
 def fused_profile(df: DataFrame, key: str, null_fields: list[str]) -> DataFrame:
@@ -145,10 +153,25 @@ def fused_profile(df: DataFrame, key: str, null_fields: list[str]) -> DataFrame:
         F.count_if(F.col("v") > 1).cast("bigint").alias("duplicate_keys"))
 
 
-@dataclass
 class Validation:
-    issues: DataFrame
-    summary: DataFrame
+    """``issues`` (one row per finding) and ``summary`` (one row), each
+    built on first use from the same one-row profile."""
+
+    def __init__(self, build_issues, build_summary):
+        self._bi, self._bs = build_issues, build_summary
+        self._issues = self._summary = None
+
+    @property
+    def issues(self) -> DataFrame:
+        if self._issues is None:
+            self._issues = self._bi()
+        return self._issues
+
+    @property
+    def summary(self) -> DataFrame:
+        if self._summary is None:
+            self._summary = self._bs()
+        return self._summary
 
 
 def validate_all(df: DataFrame, entity: str, key: str | None = None,
@@ -162,31 +185,23 @@ def validate_all(df: DataFrame, entity: str, key: str | None = None,
     fields = list(null_fields if null_fields is not None else VALIDATION_NULL_FIELDS)
     missing = missing_required(df, entity)
     prof = fused_profile(df, key, fields)
-    items = [(F.col("rows") > 0,
-              _issue(label, ERROR, "schema", f,
-                     F.lit(f"Required field '{f}' missing from {entity}"), F.col("rows")))
-             for f in missing]
-    items += [(F.col(f"n{i}") > 0,
-               _issue(label, WARNING, "null_check", f,
-                      F.format_string(f"%d null values found in '{f}'", F.col(f"n{i}")),
-                      F.col(f"n{i}")))
-              for i, f in enumerate(fields)]
-    items += [(F.col("duplicate_keys") > 0,
-               _issue(label, WARNING, "duplicate", key,
-                      F.format_string(f"%d duplicate key values in '{key}'", F.col("surplus_rows")),
-                      F.col("surplus_rows")))]
-    issues = _issues_from(prof, items)
-    levels = [ERROR] * len(missing) + [WARNING] * (len(fields) + 1)
-    arr = F.filter(F.array(*[F.when(c, F.lit(lvl)) for (c, _), lvl in zip(items, levels)]),
-                   lambda x: x.isNotNull())
-    summary = prof.select(
-        F.lit(label).alias("entity_name"),
-        (F.size(arr) == 0).alias("passed"),
-        F.col("rows").alias("rows_checked"),
-        F.size(arr).cast("bigint").alias("issues_found"),
-        F.size(F.filter(arr, lambda x: x == ERROR)).cast("bigint").alias("errors"),
-        F.size(F.filter(arr, lambda x: x == WARNING)).cast("bigint").alias("warnings"))
-    return Validation(issues, summary)
+    items = ([_schema_issue(label, entity, f) for f in missing]
+             + [_null_issue(label, f, i) for i, f in enumerate(fields)]
+             + [_dup_issue(label, key)])
+    errors = f"(CASE WHEN rows > 0 THEN {len(missing)} ELSE 0 END)"
+    warnings = " + ".join([f"(CASE WHEN n{i} > 0 THEN 1 ELSE 0 END)" for i in range(len(fields))]
+                          + ["(CASE WHEN duplicate_keys > 0 THEN 1 ELSE 0 END)"])
+
+    def summary():
+        return prof.selectExpr(
+            f"{sql_str(label)} AS entity_name",
+            f"({errors} + {warnings}) = 0 AS passed",
+            "rows AS rows_checked",
+            f"CAST({errors} + {warnings} AS BIGINT) AS issues_found",
+            f"CAST({errors} AS BIGINT) AS errors",
+            f"CAST({warnings} AS BIGINT) AS warnings")
+
+    return Validation(lambda: _issues_from(prof, items), summary)
 
 
 def merge_one_row(frames: list[DataFrame]) -> DataFrame:

@@ -148,19 +148,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One entity as a DataFrame over the test Parquet files."""
+def entity(spark: SparkSession, sf_dir: str, name: str, _reads: dict | None = None) -> DataFrame:
+    """One entity as a DataFrame over the test Parquet files.
+
+    ``_reads`` shares base-table frames between entities built together, so
+    each file is listed and its schema read once.
+    """
     base, where, cols = ADAPTERS[name]
+    reads = _reads if _reads is not None else {}
+
+    def rd(t):
+        if t not in reads:
+            reads[t] = read_table(spark, sf_dir, t)
+        return reads[t]
+
     if name == "PATIENT":
-        c = read_table(spark, sf_dir, "customer")
-        n = read_table(spark, sf_dir, "nation")
-        r = read_table(spark, sf_dir, "region")
+        c = rd("customer")
+        n = rd("nation")
+        r = rd("region")
         # nation/region are fixed-size dimensions (25 / 5 rows by definition
         # of the schema); Spark's size check broadcasts them.
         df = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
                .join(r, n.n_regionkey == r.r_regionkey, "left"))
     else:
-        df = read_table(spark, sf_dir, base)
+        df = rd(base)
     if where:
         df = df.where(where)
     return df.selectExpr(*[f"{e} AS {a}" for e, a in cols])
@@ -177,7 +188,8 @@ def adapt(df: DataFrame, name: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
-    return {n: entity(spark, sf_dir, n) for n in (names or ADAPTERS)}
+    reads: dict[str, DataFrame] = {}
+    return {n: entity(spark, sf_dir, n, reads) for n in (names or ADAPTERS)}
 
 
 def adapter_sql(name: str) -> str:

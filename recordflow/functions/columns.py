@@ -44,31 +44,45 @@ def plain_text(df: DataFrame, name: str) -> Column:
     return F.coalesce(t, F.lit(""))
 
 
-def canonical_text(df: DataFrame, name: str) -> Column:
-    """Type-stable text of one value for fingerprints.
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def canonical_sql(df: DataFrame, name: str) -> str:
+    """Type-stable text of one value for fingerprints, as a SQL expression.
 
     Integers and decimals use their cast text, doubles a fixed-scale decimal,
-    timestamps a fixed pattern with microseconds; ``\\`` and ``|`` are
-    escaped and null becomes ``\\N``, so the joined row text is unambiguous.
+    timestamps a fixed pattern with microseconds; backslash and ``|`` are
+    escaped and null becomes backslash-N, so the joined row text is
+    unambiguous.
     """
     dtype = df.schema[name].dataType
-    c = F.col(name)
+    c = _q(name)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        t = F.coalesce(c.try_cast("decimal(38,9)").cast("string"), c.cast("string"))
+        t = f"coalesce(CAST(try_cast({c} AS DECIMAL(38,9)) AS STRING), CAST({c} AS STRING))"
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        t = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        t = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
     elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        t = F.to_json(c)
+        t = f"to_json({c})"
     else:
-        t = c.cast("string")
-    t = F.replace(F.replace(t, F.lit("\\"), F.lit("\\\\")), F.lit(SEP), F.lit("\\" + SEP))
-    return F.coalesce(t, F.lit(NULL_MARK))
+        t = f"CAST({c} AS STRING)"
+    # SQL literals: '\\' is one backslash, '\\\\' two, '\\|' backslash-pipe, '\\N' the null mark.
+    return f"coalesce(replace(replace({t}, '\\\\', '\\\\\\\\'), '|', '\\\\|'), '\\\\N')"
+
+
+def row_text_sql(df: DataFrame, cols: list[str] | None = None) -> str:
+    """Canonical text of a whole row (columns in name order), as SQL."""
+    cols = sorted(cols if cols is not None else df.columns)
+    return "concat_ws('|', " + ", ".join(canonical_sql(df, c) for c in cols) + ")"
+
+
+def canonical_text(df: DataFrame, name: str) -> Column:
+    return F.expr(canonical_sql(df, name))
 
 
 def row_text(df: DataFrame, cols: list[str] | None = None) -> Column:
     """Canonical text of a whole row, columns in name order."""
-    cols = sorted(cols if cols is not None else df.columns)
-    return F.concat_ws(SEP, *[canonical_text(df, c) for c in cols])
+    return F.expr(row_text_sql(df, cols))
 
 
 # A 128-bit MD5 digest is read as four 32-bit lanes; each lane is summed as
@@ -77,24 +91,25 @@ def row_text(df: DataFrame, cols: list[str] | None = None) -> Column:
 _HALVES = [(1 + 4 * i) for i in range(8)]
 
 
-def lane_partials(digest_hex: Column) -> list[Column]:
-    return [F.conv(F.substring(digest_hex, p, 4), 16, 10).cast("bigint") for p in _HALVES]
+def lane_sums(digest_col: str, prefix: str = "h") -> list[Column]:
+    """Aggregates over a hex digest column: the eight 16-bit partial sums."""
+    d = _q(digest_col)
+    return [F.expr(f"sum(CAST(conv(substring({d}, {p}, 4), 16, 10) AS BIGINT)) AS {prefix}{i}")
+            for i, p in enumerate(_HALVES)]
 
 
-def lane_sums(digest_hex: Column, prefix: str = "h") -> list[Column]:
-    """Aggregates: the eight 16-bit partial sums of the digest lanes."""
-    return [F.sum(x).alias(f"{prefix}{i}") for i, x in enumerate(lane_partials(digest_hex))]
-
-
-def lanes_text(count: Column, prefix: str = "h") -> Column:
+def lanes_text_sql(count_col: str, prefix: str = "h") -> str:
     """'count:l1:l2:l3:l4' from the partial sums (exact, decimal arithmetic)."""
-    parts = [count.cast("string")]
+    parts = [f"CAST({count_col} AS STRING)"]
     for j in range(4):
-        hi = F.col(f"{prefix}{2 * j}").cast("decimal(38,0)")
-        lo = F.col(f"{prefix}{2 * j + 1}").cast("decimal(38,0)")
-        parts.append(F.coalesce(hi * F.lit(65536) + lo, F.lit(0).cast("decimal(38,0)"))
-                     .cast("decimal(38,0)").cast("string"))
-    return F.concat_ws(":", *parts)
+        hi, lo = f"{prefix}{2 * j}", f"{prefix}{2 * j + 1}"
+        parts.append(f"CAST(CAST(coalesce(CAST({hi} AS DECIMAL(38,0)) * 65536 + CAST({lo} AS DECIMAL(38,0)), 0) "
+                     f"AS DECIMAL(38,0)) AS STRING)")
+    return "concat_ws(':', " + ", ".join(parts) + ")"
+
+
+def lanes_text(count: str, prefix: str = "h") -> Column:
+    return F.expr(lanes_text_sql(count, prefix))
 
 
 def band(pct: Column) -> Column:

@@ -14,45 +14,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..entities import RECON_NULL_FIELDS, key_for
-from ..functions.columns import lane_sums, lanes_text, row_text
+from ..functions.columns import _q, lane_sums, lanes_text, lanes_text_sql, row_text_sql
 from .ordinals import with_ordinal
 from .quality import _key_text, merge_one_row
 
 
+def _with_digest(df: DataFrame, cols: list[str] | None, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``_dg`` = md5 of the canonical row text, computed
+    once per row before any aggregation or shuffle."""
+    return df.selectExpr(*[_q(c) for c in keep], f"md5({row_text_sql(df, cols)}) AS _dg")
+
+
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Order-insensitive multiset fingerprint 'rows:l1:l2:l3:l4' (one row).
 
     Sum (not xor) of the four 32-bit lanes of md5(row text): duplicates
     add up instead of cancelling, so a duplicated row changes the value.
     """
-    dg = F.md5(row_text(df, cols))
-    return df.agg(F.count(F.lit(1)).alias("_rows"), *lane_sums(dg)) \
-             .select(lanes_text(F.col("_rows")).alias("fingerprint"))
+    d = _with_digest(df, cols, [])
+    return d.agg(F.count(F.lit(1)).alias("_rows"), *lane_sums("_dg")) \
+            .select(lanes_text("_rows").alias("fingerprint"))
 
 
 def ordered_fingerprint(df: DataFrame, order_by: list[str], cols: list[str] | None = None) -> DataFrame:
     """Order-sensitive fingerprint: every row digest is salted with its
     1-based position in the order (ties broken by the digest), then summed
     in lanes. Positions come from the distributed ordinal operator."""
-    d = df.select(*order_by, F.md5(row_text(df, cols)).alias("_dg"))
+    d = _with_digest(df, cols, list(order_by))
     o = with_ordinal(d, [*order_by, "_dg"], name="_pos")
-    salted = F.md5(F.concat(F.col("_pos").cast("string"), F.lit(":"), F.col("_dg")))
-    return o.agg(F.count(F.lit(1)).alias("_rows"), *lane_sums(salted)) \
-            .select(lanes_text(F.col("_rows")).alias("fingerprint"))
+    salted = o.selectExpr("md5(concat(CAST(_pos AS STRING), ':', _dg)) AS _sd")
+    return salted.agg(F.count(F.lit(1)).alias("_rows"), *lane_sums("_sd")) \
+                 .select(lanes_text("_rows").alias("fingerprint"))
 
 
 def side_profile(df: DataFrame, key: str, null_fields: list[str],
                  cols: list[str] | None = None, ordered_by: list[str] | None = None) -> DataFrame:
     """One row: rows, null counts n0.., fingerprint, duplicate_keys."""
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, f in enumerate(null_fields):
-        aggs.append((F.count_if(F.col(f).isNull()) if f in df.columns else F.count(F.lit(1))).alias(f"n{i}"))
-    dg = F.md5(row_text(df, cols))
-    full = df.agg(*aggs, *lane_sums(dg)).select(
-        "rows", *[f"n{i}" for i in range(len(null_fields))],
-        lanes_text(F.col("rows")).alias("fingerprint"))
+    present = [f for f in null_fields if f in df.columns]
+    d = df.selectExpr(*[f"{_q(f)} IS NULL AS _z{i}" for i, f in enumerate(null_fields) if f in present],
+                      f"md5({row_text_sql(df, cols)}) AS _dg")
+    aggs = [F.expr("count(1) AS rows")]
+    aggs += [F.expr(f"count_if(_z{i}) AS n{i}" if f in present else f"count(1) AS n{i}")
+             for i, f in enumerate(null_fields)]
+    full = d.agg(*aggs, *lane_sums("_dg")).selectExpr(
+        "rows", *[f"n{i}" for i in range(len(null_fields))], f"{lanes_text_sql('rows')} AS fingerprint")
     g = df.groupBy(_key_text(df, key).alias("k")).agg(F.count(F.lit(1)).alias("v"))
-    dups = g.agg(F.count_if(F.col("v") > 1).cast("bigint").alias("duplicate_keys"))
+    dups = g.agg(F.expr("CAST(count_if(v > 1) AS BIGINT) AS duplicate_keys"))
     parts = [full, dups]
     if ordered_by:
         parts.append(ordered_fingerprint(df, ordered_by, cols).withColumnRenamed("fingerprint", "ordered_fingerprint"))
@@ -155,9 +162,8 @@ def row_diff(source: DataFrame, target: DataFrame, key: str,
     cols = cols or [c for c in source.columns if c in target.columns]
 
     def per_key(df, p):
-        dg = F.md5(row_text(df, cols))
-        return df.groupBy(F.col(key).alias("_key")).agg(
-            F.count(F.lit(1)).alias(f"{p}rows"), *lane_sums(dg, prefix=f"{p}h"))
+        d = _with_digest(df, cols, [key]).withColumnRenamed(key, "_key")
+        return d.groupBy("_key").agg(F.count(F.lit(1)).alias(f"{p}rows"), *lane_sums("_dg", prefix=f"{p}h"))
 
     s, t = per_key(source, "s_"), per_key(target, "t_")
     j = s.join(t, s["_key"].eqNullSafe(t["_key"]), "full_outer")

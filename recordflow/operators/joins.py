@@ -10,11 +10,13 @@ lands in one task. This operator splits the work by key heat:
   beyond that bound simply take the ordinary path, which stays exact.
 * cold keys: ordinary left join (Spark picks broadcast or sort-merge).
 * hot keys: every hot key has right rows, so the left outer join equals an
-  inner join there. Each side gets a deterministic salt from a row hash;
-  left rows are copied to all right salts and right rows to all left
-  salts, so each (left row, right row) pair meets in exactly one
-  (key, left_salt, right_salt) task. The product of a hot key is spread
-  over ``left_salts x right_salts`` tasks.
+  inner join there. A hot key with ``n`` right rows gets
+  ``ceil(n / rows_per_task)`` salts (at most ``max_salts``): its right rows
+  are spread over the salts by a row hash and its left rows are copied to
+  every salt, so each (left row, right row) pair meets in exactly one
+  (key, salt) task and no task holds more than about ``rows_per_task``
+  right rows of the key. Copying a left row once per salt never costs more
+  than the output of that key.
 
 Salts come from row hashes, not random numbers, so a recomputed partition
 (after an executor loss) gets the same salts and no row moves.
@@ -26,29 +28,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, threshold: int, max_hot_keys: int = 10000) -> DataFrame:
-    """Keys with more than ``threshold`` rows, heaviest first, at most ``max_hot_keys``."""
+def hot_keys(df: DataFrame, key: str, threshold: int, max_hot_keys: int = 10000,
+             rows_per_task: int | None = None, max_salts: int = 4096) -> DataFrame:
+    """Keys with more than ``threshold`` rows, heaviest first, at most
+    ``max_hot_keys``, each with its salt count ``_b``."""
+    per_task = rows_per_task or threshold
     return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
               .where(F.col("_n") > threshold).orderBy(F.col("_n").desc()).limit(max_hot_keys)
-              .select(key))
-
-
-def _salt(df: DataFrame, n: int) -> F.Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n)).cast("int")
+              .select(key, F.least(F.lit(max_salts), F.ceil(F.col("_n") / F.lit(per_task))).cast("int")
+                      .alias("_b")))
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, threshold: int | None = None,
-              left_salts: int = 8, right_salts: int = 8, max_hot_keys: int = 10000) -> DataFrame:
+              rows_per_task: int | None = None, max_salts: int = 4096,
+              max_hot_keys: int = 10000) -> DataFrame:
     """``left.join(right, key, "left")``; with ``threshold`` the hot keys are salted."""
     if threshold is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot_keys(right, key, threshold, max_hot_keys))
-    cold = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
-    lh = left.join(hot, key, "left_semi")
-    rh = right.join(hot, key, "left_semi")
-    lh = (lh.withColumn("_sa", _salt(lh, left_salts))
-            .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(right_salts - 1)))))
-    rh = (rh.withColumn("_sb", _salt(rh, right_salts))
-            .withColumn("_sa", F.explode(F.sequence(F.lit(0), F.lit(left_salts - 1)))))
-    hot_part = lh.join(rh, [key, "_sa", "_sb"], "inner").drop("_sa", "_sb")
+    hot = F.broadcast(hot_keys(right, key, threshold, max_hot_keys, rows_per_task, max_salts))
+    hot_k = hot.select(key)
+    cold = left.join(hot_k, key, "left_anti").join(right.join(hot_k, key, "left_anti"), key, "left")
+    rcols = [F.col(c) for c in right.columns]
+    rh = (right.join(hot, key, "inner")
+               .withColumn("_s", F.pmod(F.xxhash64(*rcols), F.col("_b")).cast("int")).drop("_b"))
+    lh = (left.join(hot, key, "inner")
+              .withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).drop("_b"))
+    hot_part = lh.join(rh, [key, "_s"], "inner").drop("_s")
     return cold.unionByName(hot_part.select(*cold.columns))

@@ -89,10 +89,17 @@ def test_salted_left_join_equals_plain_join(spark):
     def bag(df):
         return sorted(tuple(map(str, r)) for r in df.collect())
     plain = bag(left_join(left, right, "k"))
-    salted = bag(left_join(left, right, "k", threshold=100, left_salts=3, right_salts=4))
+    salted = bag(left_join(left, right, "k", threshold=100, rows_per_task=60))
     assert salted == plain and len(plain) == 2 * 450 + 50 + 2
 
 
+def test_hot_key_salts_scale_with_key_size(spark):
+    from recordflow.operators.joins import hot_keys
+    right = spark.range(0, 1000).select(F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("k"))
+    got = {r["k"]: r["_b"] for r in hot_keys(right, "k", threshold=50, rows_per_task=100).collect()}
+    assert got == {1: 9}
+
+
 def test_extract_with_hot_key_salting_matches(spark):
     t = td.entities(spark, SF01, ["PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"])
     a = X.build_extract("extract_patient_demographics", t, ordered=False, start_patient_id=0)

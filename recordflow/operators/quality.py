@@ -225,7 +225,9 @@ def validate_referential(tables: dict[str, DataFrame], edges: list[Edge] | None
         if e.child not in tables or e.parent not in tables:
             continue
         child = tables[e.child].select(F.col(e.fk).alias("_k"))
-        parent = tables[e.parent].select(F.col(e.pk).alias("_k"))
+        # Distinct parent keys: a repeated parent key cannot skew the join, and
+        # the aggregate's hash partitioning on the key feeds the join directly.
+        parent = tables[e.parent].select(F.col(e.pk).alias("_k")).distinct()
         counts = child.agg(F.count(F.lit(1)).alias("child_rows"))
         orphans = (child.where(F.col("_k").isNotNull()).join(parent, "_k", "left_anti")
                    .agg(F.count(F.lit(1)).alias("orphan_rows"),

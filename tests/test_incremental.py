@@ -76,3 +76,9 @@ def test_fail_on_error_blocks_before_reading(spark, tmp_out):
     # Without the gate the same batch is exported and flagged.
     r2 = INC.run_etl_job(spark, "ORDER_PROC", d, tmp_out + "/l", tmp_out + "/o", "csv")
     assert r2.status == "success" and r2.validation_passed is False and r2.rows_exported == 1
+
+
+def test_ordinals_split_identical_rows(spark):
+    d = spark.range(0, 3000).select(F.lit(7).alias("k"))   # every row ties on the order
+    o = with_ordinal(d, ["k"], num_partitions=6)
+    assert sorted(r["ordinal"] for r in o.collect()) == list(range(1, 3001))

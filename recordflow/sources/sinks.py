@@ -36,10 +36,16 @@ class ExportResult:
 
 
 def _for_text(df: DataFrame) -> DataFrame:
-    """Times as text the way Python prints them (fraction only when present)."""
-    return df.select(*[plain_text(df, c).alias(c)
-                       if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType))
-                       else F.col(c) for c in df.columns])
+    """Values as text the way Python prints them: times with a fraction only
+    when present, booleans as True / False."""
+    def conv(f: T.StructField):
+        c = F.col(f.name)
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return plain_text(df, f.name).alias(f.name)
+        if isinstance(f.dataType, T.BooleanType):
+            return F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
+        return c
+    return df.select(*[conv(f) for f in df.schema.fields])
 
 
 def csv_header(df: DataFrame) -> str:

@@ -36,7 +36,7 @@ def run_incremental_stream(spark: SparkSession, source_dir: str, schema, entity:
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         data_path = f"{out_root}/data/batch={epoch_id}"
         batch.write.mode("overwrite").parquet(data_path)
-        staged = spark.read.parquet(data_path)
+        staged = batch.sparkSession.read.parquet(data_path)
         (validate_all(staged, entity, key).summary.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
          .coalesce(1).write.mode("overwrite").parquet(f"{out_root}/metrics/batch={epoch_id}"))
         if export_format:

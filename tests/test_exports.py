@@ -28,6 +28,14 @@ def test_csv_lines_match_python_csv(spark):
         assert line == buf.getvalue()
 
 
+def test_csv_booleans_and_times_like_python(spark):
+    import datetime as dt
+    d = spark.createDataFrame([(True, dt.datetime(2024, 1, 2, 3, 4, 5)), (False, dt.datetime(2024, 1, 2, 3, 4, 5, 120000))],
+                              "B boolean, T timestamp_ntz")
+    got = sorted(r["line"] for r in sinks.csv_lines(d).collect())
+    assert got == ["False,2024-01-02 03:04:05.120000", "True,2024-01-02 03:04:05"]
+
+
 def test_csv_file_roundtrip(spark, tmp_out):
     d = spark.createDataFrame([("1", "x,y"), ("2", "z")], "ID string, V string")
     res = sinks.write_csv(d, tmp_out + "/c")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..entities import BAND_EXCELLENT, BAND_GOOD, CHECKS_PER_ENTITY
+from ..entities import CHECKS_PER_ENTITY
 from ..functions.columns import band
 
 
@@ -42,5 +42,3 @@ def scorecard(entity_scores: DataFrame) -> DataFrame:
                       F.round("overall_percentage", 6).alias("overall_percentage"),
                       "total_entities", "entities_passing")
 
-
-__all__ = ["score_entities", "scorecard", "BAND_EXCELLENT", "BAND_GOOD"]

@@ -1,7 +1,5 @@
 """Fingerprints, row-level diff and scorecards."""
 
-from pyspark.sql import functions as F
-
 from conftest import SF01
 from recordflow.operators import reconcile as R
 from recordflow.operators import scorecard as SC

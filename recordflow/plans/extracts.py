@@ -220,6 +220,8 @@ class ExtractRun:
     rows: int
     path: str | None
     error: str | None = None
+    started_ts: _dt.datetime | None = None
+    completed_ts: _dt.datetime | None = None
 
 
 def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], out_path: str,
@@ -230,10 +232,11 @@ def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], ou
     The count is taken by an ``Observation`` during the write, so the data
     is scanned once. A re-run overwrites its own output folder.
     """
+    started = _dt.datetime.now()
     try:
         df = build_extract(name, tables, ordered=ordered, hot_key_threshold=hot_key_threshold, **params)
         obs = Observation(f"rows_{name}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
-        return ExtractRun(name, "success", int(obs.get["rows"]), out_path)
+        return ExtractRun(name, "success", int(obs.get["rows"]), out_path, None, started, _dt.datetime.now())
     except Exception as e:  # reported, not raised: mirrors a job record
-        return ExtractRun(name, "failed", 0, None, str(e))
+        return ExtractRun(name, "failed", 0, None, str(e), started, _dt.datetime.now())

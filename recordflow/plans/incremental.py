@@ -96,6 +96,8 @@ class RunRecord:
     position_after: _dt.datetime | None = None
     output_path: str | None = None
     error_message: str | None = None
+    started_ts: _dt.datetime | None = None
+    completed_ts: _dt.datetime | None = None
 
 
 def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path: str, out_root: str,
@@ -113,7 +115,7 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
     """
     job_id = job_id or uuid.uuid4().hex[:12]
     led = PositionLedger(spark, ledger_path)
-    rec = RunRecord(job_id, entity, "running", export_format)
+    rec = RunRecord(job_id, entity, "running", export_format, started_ts=_dt.datetime.now())
     pos = FIRST_RUN_POSITION
     try:
         check_entity(entity)
@@ -143,13 +145,15 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         rec.status, rec.error_message, rec.position_after = FAILED, str(e)[:2000], pos
         rec.rows_extracted = rec.rows_exported = 0
         led.append(entity, job_id, pos, 0, FAILED, rec.error_message)
+    rec.completed_ts = _dt.datetime.now()
     return rec
 
 
 RUN_RECORD_SCHEMA = ("job_id string, entity_name string, status string, export_format string, "
                      "rows_extracted bigint, rows_exported bigint, validation_passed boolean, "
                      "issues_found bigint, position_before timestamp_ntz, position_after timestamp_ntz, "
-                     "output_path string, error_message string")
+                     "output_path string, error_message string, started_ts timestamp_ntz, "
+                     "completed_ts timestamp_ntz")
 
 
 def records_frame(spark: SparkSession, recs: list[RunRecord]) -> DataFrame:

@@ -11,6 +11,7 @@ key (n x m) by design, never de-duplicated.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -235,7 +236,7 @@ def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], ou
     started = _dt.datetime.now()
     try:
         df = build_extract(name, tables, ordered=ordered, hot_key_threshold=hot_key_threshold, **params)
-        obs = Observation(f"rows_{name}")
+        obs = Observation(f"rows_{name}_{uuid.uuid4().hex}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
         return ExtractRun(name, "success", int(obs.get["rows"]), out_path, None, started, _dt.datetime.now())
     except Exception as e:  # reported, not raised: mirrors a job record

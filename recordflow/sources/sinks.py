@@ -60,7 +60,7 @@ def csv_lines(df: DataFrame) -> DataFrame:
 
 
 def _observed_write(df: DataFrame, path: str, line_sep: str, name: str) -> int:
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite") \
       .option("lineSep", line_sep).text(path)
     return int(obs.get["n"])
@@ -151,7 +151,7 @@ def fhir_bundles(df: DataFrame, resource_type: str = "Patient", page_size: int =
 def write_fhir_bundles(df: DataFrame, path: str, resource_type: str = "Patient",
                        page_size: int = 1000, **kw) -> ExportResult:
     b = fhir_bundles(df, resource_type, page_size, **kw)
-    obs = Observation("fhir_bundles")
+    obs = Observation(f"fhir_bundles_{uuid.uuid4().hex}")
     b.observe(obs, F.coalesce(F.sum("entries"), F.lit(0)).alias("n")).select("bundle") \
      .write.mode("overwrite").option("lineSep", "\n").text(path)
     return ExportResult("fhir_r4", int(obs.get["n"]), path)

@@ -65,11 +65,17 @@ class PositionLedger:
             F.count_if(~ok).cast("bigint").alias("failed_runs"),
             F.max_by("status", "run_seq").alias("last_status"))
 
+    def latest(self, entity: str) -> tuple[_dt.datetime, int | None]:
+        """(position, run_seq) of the entity's latest successful run."""
+        row = (self.read().where((F.col("entity_name") == entity) & (F.col("status") == SUCCESS))
+               .agg(F.max_by("last_extract_ts", "run_seq").alias("p"), F.max("run_seq").alias("s")).first())
+        if not row or row["s"] is None:
+            return FIRST_RUN_POSITION, None
+        return row["p"], row["s"]
+
     def get(self, entity: str) -> _dt.datetime:
         """Stored position of one entity (first-run bound when none)."""
-        row = (self.read().where((F.col("entity_name") == entity) & (F.col("status") == SUCCESS))
-               .agg(F.max_by("last_extract_ts", "run_seq").alias("p")).first())
-        return row["p"] if row and row["p"] is not None else FIRST_RUN_POSITION
+        return self.latest(entity)[0]
 
     def append(self, entity: str, run_id: str, position, rows: int, status: str, message: str | None = None):
         row = [(run_id, time.time_ns(), position, int(rows), status, message)]
@@ -111,7 +117,9 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
     write); validation and export then read the staged copy, so both see
     the same snapshot. Validation findings do not stop the export unless
     ``fail_on`` is ``"error"`` (schema errors) or ``"warning"`` (any issue).
-    Any exception records a FAILED run and leaves the position unchanged.
+    Any exception records a FAILED run and leaves the position unchanged,
+    including the case where another run of the same entity succeeded while
+    this one was running (checked just before the position is advanced).
     """
     job_id = job_id or uuid.uuid4().hex[:12]
     led = PositionLedger(spark, ledger_path)
@@ -119,7 +127,7 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
     pos = FIRST_RUN_POSITION
     try:
         check_entity(entity)
-        pos = led.get(entity)
+        pos, seen_seq = led.latest(entity)
         rec.position_before = pos
         if export_format not in sinks.EXPORTERS:
             raise ValueError(f"unknown export format {export_format!r}")
@@ -139,6 +147,10 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         res = sinks.export(staged, export_format, f"{run_path}/{export_format}", **export_opts)
         rec.rows_extracted, rec.rows_exported = int(m["rows"]), int(res.record_count)
         new_pos = m["max_ts"] if rec.rows_extracted > 0 and m["max_ts"] is not None else pos
+        # Optimistic check: another run of this entity that succeeded meanwhile
+        # has already moved the position; this run must not move it again.
+        if led.latest(entity)[1] != seen_seq:
+            raise RuntimeError("another run of this entity advanced the position during this run")
         led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS)
         rec.status, rec.position_after, rec.output_path = SUCCESS, new_pos, res.path
     except Exception as e:

@@ -82,3 +82,19 @@ def test_ordinals_split_identical_rows(spark):
     d = spark.range(0, 3000).select(F.lit(7).alias("k"))   # every row ties on the order
     o = with_ordinal(d, ["k"], num_partitions=6)
     assert sorted(r["ordinal"] for r in o.collect()) == list(range(1, 3001))
+
+
+def test_concurrent_success_blocks_second_advance(spark, tmp_out, monkeypatch):
+    src = spark.createDataFrame([(1, 1, dt.datetime(2020, 1, 1))], "ORDER_ID long, PATIENT_ID long, UPDATE_DT_TM timestamp_ntz")
+    led = INC.PositionLedger(spark, tmp_out + "/l")
+    real_export = INC.sinks.export
+
+    def export_then_race(df, fmt, path, **kw):
+        res = real_export(df, fmt, path, **kw)
+        led.append("ORDER_PROC", "other", dt.datetime(2030, 1, 1), 5, INC.SUCCESS)   # a concurrent run finished
+        return res
+
+    monkeypatch.setattr(INC.sinks, "export", export_then_race)
+    r = INC.run_etl_job(spark, "ORDER_PROC", src, tmp_out + "/l", tmp_out + "/o", "csv")
+    assert r.status == "failed" and "advanced the position" in r.error_message
+    assert led.get("ORDER_PROC") == dt.datetime(2030, 1, 1)

@@ -395,7 +395,8 @@ def q_incremental_stream(spark, sf_dir):
     base = run_dir(spark, "stream")
     schema = td.read_table(spark, sf_dir, "orders").schema
     ST.run_incremental_stream(spark, sf_dir, schema, "ORDER_PROC", f"{base}/out", f"{base}/checkpoint",
-                              transform=lambda s: td.adapt(s, "ORDER_PROC"), path_glob="orders.parquet")
+                              transform=lambda s: td.adapt(s, "ORDER_PROC"), path_glob="orders.parquet",
+                              export_format="csv")
     return ST.stream_output(spark, f"{base}/out")
 
 

@@ -46,7 +46,7 @@ def test_fail_on_warning_does_not_advance(spark, tmp_out):
 
 def test_stream_processes_once(spark, tmp_out):
     schema = td.read_table(spark, SF001, "orders").schema
-    kw = dict(transform=lambda s: td.adapt(s, "ORDER_PROC"), path_glob="orders.parquet")
+    kw = dict(transform=lambda s: td.adapt(s, "ORDER_PROC"), path_glob="orders.parquet", export_format="csv")
     ST.run_incremental_stream(spark, SF001, schema, "ORDER_PROC", tmp_out + "/o", tmp_out + "/ck", **kw)
     n1 = ST.stream_output(spark, tmp_out + "/o").count()
     assert n1 == td.entity(spark, SF001, "ORDER_PROC").count()
@@ -55,6 +55,7 @@ def test_stream_processes_once(spark, tmp_out):
     assert ST.stream_output(spark, tmp_out + "/o").count() == n1
     m = ST.stream_metrics(spark, tmp_out + "/o").first()
     assert m["passed"] and m["rows_checked"] == n1
+    assert spark.read.text(tmp_out + "/o/csv/batch=0/data").count() == n1
 
 
 def test_ordinals_equal_row_number(spark):

@@ -6,17 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_MARK = "\\N"   # null marker in canonical row text (cannot come from a value)
-SEP = "|"
-
-
-def col_or(df: DataFrame, name: str, default=None) -> Column:
-    """The column if the frame has it, else a literal (absent != null)."""
-    if name in df.columns:
-        return F.col(name)
-    return F.lit(default)
-
-
 def iso_ts(c: Column) -> Column:
     """ISO-8601 text, fraction only when the time has one (like isoformat)."""
     return F.when(F.date_format(c, "SSSSSS") == "000000",

@@ -53,3 +53,9 @@ def test_bucketed_staging_removes_join_shuffles(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev)
+
+
+def test_read_entity_with_known_schema(spark, tmp_out):
+    td.entity(spark, SF001, "CLARITY_SER").write.parquet(tmp_out + "/ser")
+    df = read_entity(spark, "CLARITY_SER", path=tmp_out + "/ser", schema="SER_ID int, SER_NAME string")
+    assert df.columns == ["SER_ID", "SER_NAME"] and df.count() == 5

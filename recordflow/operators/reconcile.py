@@ -3,9 +3,10 @@
 Per side, two scans produce one row: (1) all columns -> row count, null
 counts and the multiset fingerprint, a global aggregate with no shuffle;
 (2) the key column only -> duplicate measures through a partially
-aggregated ``groupBy``. Sides meet in an equi join of one-row results on
-the pair name. Row-level differences group each side by key first (one row
-per key and side) so a repeated key never multiplies in the join.
+aggregated ``groupBy``. The two one-row profiles of a pair are put side by
+side with a union and an aggregate (no join). Row-level differences group
+each side by key first (one row per key and side) so a repeated key never
+multiplies in the join.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..entities import RECON_NULL_FIELDS, key_for
 from ..functions.columns import _q, lane_sums, lanes_text, lanes_text_sql, row_text_sql
 from .ordinals import with_ordinal
-from .quality import _key_text, merge_one_row
+from .quality import _key_text, merge_one_row, sql_str
 
 
 def _with_digest(df: DataFrame, cols: list[str] | None, keep: list[str]) -> DataFrame:
@@ -47,6 +48,28 @@ def ordered_fingerprint(df: DataFrame, order_by: list[str], cols: list[str] | No
                  .select(lanes_text("_rows").alias("fingerprint"))
 
 
+def ordered_fingerprints(frames: dict[str, DataFrame], order_by: list[str],
+                         cols: list[str] | None = None) -> DataFrame:
+    """Ordered fingerprints of several frames from one distributed sort.
+
+    The frames' (order columns, digest) rows are unioned under a side label
+    and numbered once with the side as leading sort key; a side's positions
+    start after the rows of the sides before it, and those offsets come from
+    a per-side aggregate (one row per side). Returns (side, fingerprint).
+    """
+    parts = [_with_digest(df, cols, list(order_by)).selectExpr(f"{sql_str(name)} AS _side", "*")
+             for name, df in frames.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    o = with_ordinal(u, ["_side", *order_by, "_dg"], name="_g")
+    first = o.groupBy("_side").agg(F.min("_g").alias("_first"))
+    pos = o.join(F.broadcast(first), "_side").selectExpr(
+        "_side", "md5(concat(CAST(_g - _first + 1 AS STRING), ':', _dg)) AS _sd")
+    return pos.groupBy("_side").agg(F.count(F.lit(1)).alias("_rows"), *lane_sums("_sd")) \
+              .select(F.col("_side").alias("side"), lanes_text("_rows").alias("fingerprint"))
+
+
 def side_profile(df: DataFrame, key: str, null_fields: list[str],
                  cols: list[str] | None = None, ordered_by: list[str] | None = None) -> DataFrame:
     """One row: rows, null counts n0.., fingerprint, duplicate_keys."""
@@ -115,8 +138,9 @@ def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = N
         t = side_profile(tgt, k, fields, cols, ordered_by)
         s = s.select(F.lit(name).alias("entity_name"), F.lit(k).alias("key_field"),
                      *[F.col(c).alias(f"s_{c}") for c in s.columns])
-        t = t.select(F.lit(name).alias("entity_name"), *[F.col(c).alias(f"t_{c}") for c in t.columns])
-        j = s.join(t, "entity_name")
+        t = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns])
+        # Two one-row profiles side by side: union + aggregate, no join.
+        j = merge_one_row([s, t])
         wide = j if wide is None else wide.unionByName(j)
 
     null_ok = F.lit(True)

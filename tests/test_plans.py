@@ -71,3 +71,12 @@ def test_billing_totals_joins_pre_aggregated_branches(spark, no_broadcast):
     p = plan(X.billing_totals(t, "1900-01-01", "2100-01-01"))
     assert p.count("Exchange hashpartitioning") == 3     # the aggregates' shuffles feed the joins
     assert p.count("partial_sum") == 2
+
+
+def test_reconciliation_plan_has_no_cartesian_join(spark):
+    from recordflow.sources import recon_fixtures as RF
+    from conftest import SF001 as D
+    src = RF.source(spark, D)
+    rep = R.reconcile([(n, src, t) for n, t in RF.targets(src).items()], key="ORDER_ID").report
+    p = plan(rep)
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p

@@ -238,25 +238,32 @@ def q_recon_report(spark, sf_dir):
         "null_checks_match", "duplicates_match")
 
 
+RECON_ENTITY_COLS = ["entity_name", "source_count", "target_count", "source_checksum", "target_checksum",
+                     "source_duplicates", "overall_match", "issues_found"]
+
+
 def q_recon_entities(spark, sf_dir):
     """Migrate every entity (Parquet copy in the shared folder, read back)
-    and reconcile source against target with the entity's explicit key."""
+    and reconcile source against target with the entity's explicit key.
+
+    Entities are independent: each one's landing and reconciliation run as
+    its own jobs from a driver thread, and each returns its one-row report.
+    """
     base = run_dir(spark, "migrated")
     t = td.entities(spark, sf_dir)
 
-    def land(item):
-        name, df = item
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
+    def one(item):
+        name, src = item
+        src.write.mode("overwrite").parquet(f"{base}/{name}")
+        tgt = spark.read.parquet(f"{base}/{name}")
+        rep = R.reconcile([(name, src, tgt)], key=EN.key_for(name)).report
+        return tuple(rep.select(*RECON_ENTITY_COLS).first())
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(land, t.items()))
-    pairs = [(n, df, spark.read.parquet(f"{base}/{n}")) for n, df in t.items()]
-    rep = None
-    for n, src, tgt in pairs:
-        r = R.reconcile([(n, src, tgt)], key=EN.key_for(n)).report
-        rep = r if rep is None else rep.unionByName(r)
-    return rep.select("entity_name", "source_count", "target_count", "source_checksum", "target_checksum",
-                      "source_duplicates", "overall_match", "issues_found")
+        rows = list(pool.map(one, t.items()))
+    return spark.createDataFrame(rows, "entity_name string, source_count bigint, target_count bigint, "
+                                       "source_checksum string, target_checksum string, source_duplicates bigint, "
+                                       "overall_match boolean, issues_found bigint")
 
 
 def q_recon_row_diff(spark, sf_dir):

@@ -144,8 +144,19 @@ CHANGE_COLUMNS: dict[str, str] = {
 }
 
 
+# The driver's test tables are read-only, so each one is listed and its
+# schema read once per session (the library's own scans never cache: real
+# incremental sources grow between runs).
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def entity(spark: SparkSession, sf_dir: str, name: str, _reads: dict | None = None) -> DataFrame:

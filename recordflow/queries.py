@@ -114,7 +114,7 @@ def q_run_extracts(spark, sf_dir):
 
     # The runs are independent jobs; submitting them from driver threads lets
     # the scheduler overlap them.
-    with ThreadPoolExecutor(max_workers=3) as pool:
+    with ThreadPoolExecutor(max_workers=len(EXTRACT_PARAMS)) as pool:
         recs = list(pool.map(one, EXTRACT_PARAMS.items()))
     return spark.createDataFrame(recs, "extract_name string, schema_group string, status string, row_count bigint")
 
@@ -380,7 +380,7 @@ def q_watermark_ledger(spark, sf_dir):
 
     # Entities are independent: their runs are submitted as concurrent Spark
     # jobs from driver threads (each entity appends to its own ledger folder).
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=len(td.CHANGE_COLUMNS)) as pool:
         list(pool.map(runs, td.CHANGE_COLUMNS.items()))
     return INC.PositionLedger(spark, ledger).positions()
 

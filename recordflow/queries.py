@@ -44,7 +44,6 @@ def q_extract_orders(spark, sf_dir):
                            start_date=FULL_START, end_date=FULL_END)
 
 
-
 def q_extract_respiratory(spark, sf_dir):
     return X.build_extract("extract_respiratory_results", _t(spark, sf_dir, "RESPIRATORY"),
                            start_date=FULL_START, end_date=FULL_END)
@@ -190,10 +189,11 @@ def q_validate_rules(spark, sf_dir):
 
 # ---------------------------------------------------------- reconciliation
 
-def _recon(spark, sf_dir, ordered=False):
+def _recon(spark, sf_dir):
+    """The source projection of orders against the five perturbed targets."""
     src = RF.source(spark, sf_dir)
     pairs = [(n, src, t) for n, t in RF.targets(src).items()]
-    return R.reconcile(pairs, key="ORDER_ID", ordered_by=["ORDER_ID"] if ordered else None)
+    return R.reconcile(pairs, key="ORDER_ID")
 
 
 def q_recon_row_counts(spark, sf_dir):

@@ -72,3 +72,28 @@ def test_duplicate_measures_equal_brute_force(spark, data):
     assert p["n0"] == sum(1 for _, v in data if v is None)
     assert p["surplus_rows"] == sum(v - 1 for v in c.values() if v > 1)
     assert p["duplicate_keys"] == sum(1 for v in c.values() if v > 1)
+
+
+keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 9)), min_size=0, max_size=60)
+
+
+@settings(**SETTINGS)
+@given(keyed, keyed, st.integers(1, 5))
+def test_salted_left_join_equals_plain(spark, left, right, threshold):
+    from recordflow.operators.joins import left_join
+    l_df = spark.createDataFrame(left, "k long, lv long")
+    r_df = spark.createDataFrame(right, "k long, rv long")
+
+    def bag(df):
+        return sorted(tuple(map(str, r)) for r in df.collect())
+    assert bag(left_join(l_df, r_df, "k", threshold=threshold, rows_per_task=2)) == bag(l_df.join(r_df, "k", "left"))
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(0, 5), min_size=0, max_size=80), st.integers(1, 7))
+def test_ordinals_are_a_permutation_in_order(spark, keys, parts):
+    from recordflow.operators.ordinals import with_ordinal
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    got = sorted((r["ordinal"], r["k"]) for r in with_ordinal(df, ["k"], num_partitions=parts).collect())
+    assert [o for o, _ in got] == list(range(1, len(keys) + 1))
+    assert [k for _, k in got] == sorted(keys)

@@ -115,3 +115,11 @@ def test_hl7_long_message_ids(spark):
     m = sinks.hl7_messages(d, "2024-01-01 00:00:00", "r", order_by=["PATIENT_ID"], id_length=32)
     ids = [r["message"].split("|")[7] for r in m.collect()]
     assert all(len(i) == 35 and i.startswith("MSG") for i in ids) and len(set(ids)) == 2
+
+
+def test_fhir_ndjson_one_resource_per_line(spark, tmp_out):
+    t = td.entities(spark, SF01, ["RESPIRATORY"])
+    res = sinks.write_fhir_ndjson(t["RESPIRATORY"], tmp_out + "/nd", "Observation")
+    lines = [l for l in raw(tmp_out + "/nd").split("\n") if l]
+    assert res.record_count == 10000 and len(lines) == 10000
+    assert all(json.loads(l)["resourceType"] == "Observation" for l in lines[:50])

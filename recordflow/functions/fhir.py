@@ -32,15 +32,23 @@ def _s(df: DataFrame, name: str) -> Column:
     return F.coalesce(_v(df, name).cast("string"), F.lit(""))
 
 
-def patient(df: DataFrame) -> Column:
+def patient(df: DataFrame, gender_codes: dict[str, str] | None = None) -> Column:
+    """Patient resource. ``gender`` is the lower-cased sex code ('unknown' when
+    null or empty); ``gender_codes`` maps source codes to FHIR codes instead
+    (codes it does not list become 'unknown')."""
     sex = F.col("SEX_CD") if "SEX_CD" in df.columns else F.lit(None).cast("string")
+    if gender_codes:
+        lookup = F.create_map(*[F.lit(x) for kv in gender_codes.items() for x in kv])
+        g = F.coalesce(lookup[sex], F.lit("unknown"))
+    else:
+        g = gender(sex)
     return F.struct(
         F.lit("Patient").alias("resourceType"),
         _s(df, "PATIENT_ID").alias("id"),
         F.array(F.struct(_v(df, "LAST_NAME").alias("family"),
                          F.array(_v(df, "FIRST_NAME")).alias("given"))).alias("name"),
         _v(df, "DOB").alias("birthDate"),
-        gender(sex).alias("gender"),
+        g.alias("gender"),
         F.array(F.struct(F.array(_v(df, "ADDRESS_LINE_1")).alias("line"),
                          _v(df, "CITY").alias("city"), _v(df, "STATE_CD").alias("state"),
                          _v(df, "ZIP_CD").alias("postalCode"))).alias("address"))
@@ -75,9 +83,15 @@ def passthrough(df: DataFrame) -> Column:
 BUILDERS = {"Patient": patient, "Encounter": encounter, "Observation": observation}
 
 
-def resource(df: DataFrame, resource_type: str = "Patient") -> Column:
+# An optional source-code -> FHIR administrative gender map (not applied by default).
+FHIR_GENDER_CODES = {"M": "male", "F": "female", "O": "other", "U": "unknown"}
+
+
+def resource(df: DataFrame, resource_type: str = "Patient", gender_codes: dict | None = None) -> Column:
+    if resource_type == "Patient":
+        return patient(df, gender_codes)
     return BUILDERS.get(resource_type, passthrough)(df)
 
 
-def resource_json(df: DataFrame, resource_type: str = "Patient") -> Column:
-    return F.to_json(resource(df, resource_type), JSON_OPTS)
+def resource_json(df: DataFrame, resource_type: str = "Patient", gender_codes: dict | None = None) -> Column:
+    return F.to_json(resource(df, resource_type, gender_codes), JSON_OPTS)

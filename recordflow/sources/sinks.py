@@ -102,8 +102,8 @@ def write_hl7(df: DataFrame, path: str, run_ts=None, **kw) -> ExportResult:
     return ExportResult("hl7v2", n, path)
 
 
-def fhir_resources(df: DataFrame, resource_type: str = "Patient") -> DataFrame:
-    return df.select(FH.resource_json(df, resource_type).alias("resource"))
+def fhir_resources(df: DataFrame, resource_type: str = "Patient", gender_codes: dict | None = None) -> DataFrame:
+    return df.select(FH.resource_json(df, resource_type, gender_codes).alias("resource"))
 
 
 def write_fhir_ndjson(df: DataFrame, path: str, resource_type: str = "Patient") -> ExportResult:

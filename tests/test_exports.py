@@ -123,3 +123,13 @@ def test_fhir_ndjson_one_resource_per_line(spark, tmp_out):
     lines = [l for l in raw(tmp_out + "/nd").split("\n") if l]
     assert res.record_count == 10000 and len(lines) == 10000
     assert all(json.loads(l)["resourceType"] == "Observation" for l in lines[:50])
+
+
+def test_fhir_gender_code_map(spark):
+    from recordflow.functions.fhir import FHIR_GENDER_CODES
+    d = spark.createDataFrame([("1", "M"), ("2", "F"), ("3", None), ("4", "Z")], "PATIENT_ID string, SEX_CD string")
+    plain = {json.loads(r[0])["id"]: json.loads(r[0])["gender"] for r in sinks.fhir_resources(d).collect()}
+    mapped = {json.loads(r[0])["id"]: json.loads(r[0])["gender"]
+              for r in sinks.fhir_resources(d, "Patient", FHIR_GENDER_CODES).collect()}
+    assert plain == {"1": "m", "2": "f", "3": "unknown", "4": "z"}
+    assert mapped == {"1": "male", "2": "female", "3": "unknown", "4": "unknown"}

@@ -26,7 +26,7 @@ from ..operators.quality import missing_required, validate_all
 from ..sources import sinks
 
 LEDGER_SCHEMA = ("entity_name string, run_id string, run_seq bigint, last_extract_ts timestamp_ntz, "
-                 "rows_extracted bigint, status string, message string")
+                 "rows_extracted bigint, status string, message string, staged_path string")
 SUCCESS, FAILED = "success", "failed"
 
 
@@ -37,7 +37,7 @@ def _ts_lit(v) -> F.Column:
 
 
 _ROW_SCHEMA = ("run_id string, run_seq bigint, last_extract_ts timestamp_ntz, "
-               "rows_extracted bigint, status string, message string")
+               "rows_extracted bigint, status string, message string, staged_path string")
 
 
 class PositionLedger:
@@ -77,8 +77,18 @@ class PositionLedger:
         """Stored position of one entity (first-run bound when none)."""
         return self.latest(entity)[0]
 
-    def append(self, entity: str, run_id: str, position, rows: int, status: str, message: str | None = None):
-        row = [(run_id, time.time_ns(), position, int(rows), status, message)]
+    def staged_since(self, entity: str, low) -> list[str]:
+        """Staged folders of successful runs whose rows may be newer than ``low``
+        (a handful of paths: one per run inside the overlap window)."""
+        rows = (self.read().where((F.col("entity_name") == entity) & (F.col("status") == SUCCESS)
+                                  & (F.col("last_extract_ts") > _ts_lit(low)) & F.col("staged_path").isNotNull()
+                                  & (F.col("rows_extracted") > 0))
+                .select("staged_path").collect())
+        return [r[0] for r in rows]
+
+    def append(self, entity: str, run_id: str, position, rows: int, status: str, message: str | None = None,
+               staged_path: str | None = None):
+        row = [(run_id, time.time_ns(), position, int(rows), status, message, staged_path)]
         self.spark.createDataFrame(row, _ROW_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/entity_name={entity}")
 
@@ -109,7 +119,7 @@ class RunRecord:
 def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path: str, out_root: str,
                  export_format: str = "csv", change_col: str = DEFAULT_CHANGE_COLUMN,
                  key: str | None = None, fail_on: str | None = None, job_id: str | None = None,
-                 **export_opts) -> RunRecord:
+                 overlap: _dt.timedelta | None = None, **export_opts) -> RunRecord:
     """Position -> scan -> stage -> validate -> export -> advance position.
 
     The changed rows are read from the source once and staged as Parquet in
@@ -120,6 +130,11 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
     Any exception records a FAILED run and leaves the position unchanged,
     including the case where another run of the same entity succeeded while
     this one was running (checked just before the position is advanced).
+
+    ``overlap``: also re-read rows changed up to this long before the
+    position (late arrivals with an old change time, ties at the position)
+    and drop the (key, change time) pairs earlier runs already staged, by a
+    ``left_anti`` join against those runs' staged rows in the window.
     """
     job_id = job_id or uuid.uuid4().hex[:12]
     led = PositionLedger(spark, ledger_path)
@@ -134,24 +149,32 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         if fail_on == "error" and missing_required(source, entity):
             raise ValueError(f"required fields missing: {missing_required(source, entity)}")
         run_path = f"{out_root.rstrip('/')}/{entity}/{job_id}"
+        key = key or key_for(entity)
+        low = pos - overlap if overlap else pos
+        batch = incremental_batch(source, low, change_col)
+        if overlap:
+            seen_paths = led.staged_since(entity, low)
+            if seen_paths:
+                seen = (spark.read.parquet(*seen_paths).where(F.col(change_col) > _ts_lit(low))
+                        .select(key, change_col).distinct())
+                batch = batch.join(seen, [key, change_col], "left_anti")
         obs = Observation(f"stage_{job_id}")
-        (incremental_batch(source, pos, change_col)
-         .observe(obs, F.count(F.lit(1)).alias("rows"), F.max(change_col).alias("max_ts"))
+        (batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(change_col).alias("max_ts"))
          .write.mode("overwrite").parquet(f"{run_path}/staged"))
         m = obs.get
         staged = spark.read.parquet(f"{run_path}/staged")
-        summary = validate_all(staged, entity, key or key_for(entity)).summary.first()
+        summary = validate_all(staged, entity, key).summary.first()
         rec.validation_passed, rec.issues_found = bool(summary["passed"]), int(summary["issues_found"])
         if fail_on == "warning" and not rec.validation_passed:
             raise ValueError(f"validation failed with {rec.issues_found} issue(s)")
         res = sinks.export(staged, export_format, f"{run_path}/{export_format}", **export_opts)
         rec.rows_extracted, rec.rows_exported = int(m["rows"]), int(res.record_count)
-        new_pos = m["max_ts"] if rec.rows_extracted > 0 and m["max_ts"] is not None else pos
+        new_pos = max(pos, m["max_ts"]) if rec.rows_extracted > 0 and m["max_ts"] is not None else pos
         # Optimistic check: another run of this entity that succeeded meanwhile
         # has already moved the position; this run must not move it again.
         if led.latest(entity)[1] != seen_seq:
             raise RuntimeError("another run of this entity advanced the position during this run")
-        led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS)
+        led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS, staged_path=f"{run_path}/staged")
         rec.status, rec.position_after, rec.output_path = SUCCESS, new_pos, res.path
     except Exception as e:
         rec.status, rec.error_message, rec.position_after = FAILED, str(e)[:2000], pos

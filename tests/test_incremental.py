@@ -99,3 +99,21 @@ def test_concurrent_success_blocks_second_advance(spark, tmp_out, monkeypatch):
     r = INC.run_etl_job(spark, "ORDER_PROC", src, tmp_out + "/l", tmp_out + "/o", "csv")
     assert r.status == "failed" and "advanced the position" in r.error_message
     assert led.get("ORDER_PROC") == dt.datetime(2030, 1, 1)
+
+
+def test_overlap_catches_late_rows_once(spark, tmp_out):
+    sch = "ORDER_ID long, PATIENT_ID long, UPDATE_DT_TM timestamp_ntz"
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    first = spark.createDataFrame([(1, 1, t1), (2, 1, t2)], sch)
+    # A row committed late, with a change time equal to the stored position.
+    later = spark.createDataFrame([(1, 1, t1), (2, 1, t2), (3, 1, t2)], sch)
+    strict = dict(ledger_path=tmp_out + "/ls", out_root=tmp_out + "/os", export_format="csv")
+    lapped = dict(ledger_path=tmp_out + "/lo", out_root=tmp_out + "/oo", export_format="csv",
+                  overlap=dt.timedelta(days=1))
+    for kw in (strict, lapped):
+        r = INC.run_etl_job(spark, "ORDER_PROC", first, **kw)
+        assert (r.rows_extracted, r.position_after) == (2, t2)
+    assert INC.run_etl_job(spark, "ORDER_PROC", later, **strict).rows_extracted == 0   # missed by '>'
+    r2 = INC.run_etl_job(spark, "ORDER_PROC", later, **lapped)
+    assert (r2.status, r2.rows_extracted, r2.position_after) == ("success", 1, t2)  # caught, exactly once
+    assert INC.run_etl_job(spark, "ORDER_PROC", later, **lapped).rows_extracted == 0

@@ -11,6 +11,7 @@ key (n x m) by design, never de-duplicated.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from dataclasses import dataclass
 from typing import Callable
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import left_join
+from ..session import JobTag
 
 
 def _ts(v) -> F.Column:
@@ -227,17 +229,32 @@ class ExtractRun:
 
 def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], out_path: str,
                 fmt: str = "parquet", ordered: bool = False, hot_key_threshold: int | None = None,
-                **params) -> ExtractRun:
+                timeout_s: float | None = None, **params) -> ExtractRun:
     """Run one extract into ``out_path`` and report status and row count.
 
     The count is taken by an ``Observation`` during the write, so the data
-    is scanned once. A re-run overwrites its own output folder.
+    is scanned once. A re-run overwrites its own output folder. With
+    ``timeout_s`` the run's jobs are tagged and cancelled when the time is
+    up; the run is then reported as failed with a timeout message.
     """
     started = _dt.datetime.now()
-    try:
-        df = build_extract(name, tables, ordered=ordered, hot_key_threshold=hot_key_threshold, **params)
-        obs = Observation(f"rows_{name}_{uuid.uuid4().hex}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
-        return ExtractRun(name, "success", int(obs.get["rows"]), out_path, None, started, _dt.datetime.now())
-    except Exception as e:  # reported, not raised: mirrors a job record
-        return ExtractRun(name, "failed", 0, None, str(e), started, _dt.datetime.now())
+    timed_out = threading.Event()
+    with JobTag(spark, f"recordflow-extract-{uuid.uuid4().hex}") as tag:
+        timer = None
+        if timeout_s is not None:
+            def _cancel():
+                timed_out.set()
+                tag.cancel()
+            timer = threading.Timer(timeout_s, _cancel)
+            timer.start()
+        try:
+            df = build_extract(name, tables, ordered=ordered, hot_key_threshold=hot_key_threshold, **params)
+            obs = Observation(f"rows_{name}_{uuid.uuid4().hex}")
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
+            return ExtractRun(name, "success", int(obs.get["rows"]), out_path, None, started, _dt.datetime.now())
+        except Exception as e:  # reported, not raised: mirrors a job record
+            msg = f"Execution timeout (>{timeout_s}s)" if timed_out.is_set() else str(e)
+            return ExtractRun(name, "failed", 0, None, msg, started, _dt.datetime.now())
+        finally:
+            if timer is not None:
+                timer.cancel()

@@ -102,3 +102,38 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }
+
+
+class JobTag:
+    """Tag the jobs this thread starts, so another thread can cancel them.
+
+    Uses SparkContext job tags on a classic session, session tags where only
+    the session API is available (Spark Connect).
+    """
+
+    def __init__(self, spark: SparkSession, tag: str):
+        self.spark, self.tag = spark, tag
+        try:
+            self.sc = spark.sparkContext
+        except Exception:
+            self.sc = None
+
+    def __enter__(self):
+        if self.sc is not None:
+            self.sc.addJobTag(self.tag)
+        else:
+            self.spark.addTag(self.tag)
+        return self
+
+    def cancel(self) -> None:
+        if self.sc is not None:
+            self.sc.cancelJobsWithTag(self.tag)
+        else:
+            self.spark.interruptTag(self.tag)
+
+    def __exit__(self, *exc):
+        if self.sc is not None:
+            self.sc.removeJobTag(self.tag)
+        else:
+            self.spark.removeTag(self.tag)
+        return False

@@ -117,3 +117,13 @@ def test_overlap_catches_late_rows_once(spark, tmp_out):
     r2 = INC.run_etl_job(spark, "ORDER_PROC", later, **lapped)
     assert (r2.status, r2.rows_extracted, r2.position_after) == ("success", 1, t2)  # caught, exactly once
     assert INC.run_etl_job(spark, "ORDER_PROC", later, **lapped).rows_extracted == 0
+
+
+def test_etl_job_fhir_export(spark, tmp_out):
+    src = td.entities(spark, SF001, ["PATIENT"])["PATIENT"].withColumn("UPDATE_DT_TM", F.col("DOB").cast("timestamp_ntz"))
+    r = INC.run_etl_job(spark, "PATIENT", src, tmp_out + "/l", tmp_out + "/o", "fhir", resource_type="Patient",
+                        page_size=40, run_ts="2024-01-01 00:00:00", run_id="t")
+    n = src.count()
+    assert (r.status, r.rows_extracted, r.rows_exported) == ("success", n, n)
+    bundles = spark.read.text(r.output_path).count()
+    assert bundles == -(-n // 40)

@@ -1,4 +1,4 @@
-"""Distributed 1-based positions over a total order (no single-partition window).
+"""Distributed 1-based positions over a total order (no global window over the rows).
 
 The frame is range-partitioned on the order, sorted inside partitions and
 written to the shared checkpoint folder, so partition boundaries are fixed

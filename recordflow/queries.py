@@ -259,7 +259,7 @@ def q_recon_entities(spark, sf_dir):
         rep = R.reconcile([(name, src, tgt)], key=EN.key_for(name)).report
         return tuple(rep.select(*RECON_ENTITY_COLS).first())
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         rows = list(pool.map(one, t.items()))
     return spark.createDataFrame(rows, "entity_name string, source_count bigint, target_count bigint, "
                                        "source_checksum string, target_checksum string, source_duplicates bigint, "

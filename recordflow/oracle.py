@@ -470,6 +470,10 @@ FROM PATIENT
 ORACLE["incremental_extract"] = W(
     "SELECT * FROM ORDER_PROC WHERE UPDATE_DT_TM > TIMESTAMP '1900-01-01 00:00:00'", ["ORDER_PROC"])
 
+ORACLE["incremental_extract_by_date"] = W(
+    "SELECT *, CAST(date_trunc('month', UPDATE_DT_TM) AS DATE) AS change_date FROM ORDER_PROC "
+    "WHERE UPDATE_DT_TM > TIMESTAMP '1900-01-01 00:00:00'", ["ORDER_PROC"])
+
 ORACLE["watermark_ledger"] = W("\nUNION ALL\n".join(
     f"SELECT '{e}' AS entity_name, max({c}) AS last_extract_ts, CAST(0 AS BIGINT) AS last_rows, "
     f"count(*) AS total_rows, CAST(2 AS BIGINT) AS successful_runs, CAST(1 AS BIGINT) AS failed_runs, "

@@ -365,6 +365,14 @@ def q_incremental_extract(spark, sf_dir):
     return INC.incremental_batch(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], pos, "UPDATE_DT_TM")
 
 
+def q_incremental_extract_by_date(spark, sf_dir):
+    """First run over ORDER_PROC laid out by change date (partition-pruned scan)."""
+    base = run_dir(spark, "by_change_date")
+    INC.write_by_change_date(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], base, "UPDATE_DT_TM", mode="overwrite")
+    led = INC.PositionLedger(spark, run_dir(spark, "ledger"))
+    return INC.incremental_batch(spark.read.parquet(base), led.get("ORDER_PROC"), "UPDATE_DT_TM", "change_date")
+
+
 def q_watermark_ledger(spark, sf_dir):
     """Per entity: a full first run, a run with no new rows, and a failed run
     (unknown format); then the ledger's position listing."""
@@ -447,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_fhir_bundle": q_export_fhir_bundle,
     "scalar_functions": q_scalar_functions,
     "incremental_extract": q_incremental_extract,
+    "incremental_extract_by_date": q_incremental_extract_by_date,
     "watermark_ledger": q_watermark_ledger,
     "etl_job": q_etl_job,
     "incremental_stream": q_incremental_stream,

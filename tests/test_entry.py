@@ -20,3 +20,12 @@ def test_cluster_conf_scales_with_input():
     big = cluster_conf(100 * 2**40, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 * 2**20)
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema and a.count() == b.count() > 0
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())

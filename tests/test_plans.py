@@ -80,3 +80,11 @@ def test_reconciliation_plan_has_no_cartesian_join(spark):
     rep = R.reconcile([(n, src, t) for n, t in RF.targets(src).items()], key="ORDER_ID").report
     p = plan(rep)
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_incremental_filter_reaches_the_scan(spark):
+    import datetime as dt
+    from recordflow.plans.incremental import incremental_batch
+    src = td.entity(spark, SF001, "ORDER_PROC")
+    p = plan(incremental_batch(src, dt.datetime(2001, 1, 1), "UPDATE_DT_TM"), "formatted")
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(o_orderdate,2001-01-01T00:00\)", p)

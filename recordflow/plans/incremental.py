@@ -17,7 +17,6 @@ import time
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +42,9 @@ _ROW_SCHEMA = ("run_id string, run_seq bigint, last_extract_ts timestamp_ntz, "
 class PositionLedger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        try:
-            spark.read.schema(_ROW_SCHEMA).parquet(self.path)
-        except AnalysisException:
-            # First use: appending nothing creates the (empty) table folder.
-            spark.createDataFrame([], _ROW_SCHEMA).write.mode("append").parquet(self.path)
+        # Creates the (empty) table folder on first use; "ignore" leaves an
+        # existing ledger untouched and needs no failing read to find out.
+        spark.createDataFrame([], _ROW_SCHEMA).write.mode("ignore").parquet(self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(_ROW_SCHEMA + ", entity_name string").parquet(self.path) \

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import minhash
+from . import fmindex, minhash
 from .common import table
 
 
@@ -12,8 +12,13 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op8_fm_decontamination(spark, sf_dir):
+    return fmindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op8_fm_decontamination": op8_fm_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fmindex, minhash
+from . import fertility, fmindex, minhash
 from .common import table
 
 
@@ -12,12 +12,17 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op4_tokenizer_fertility(spark, sf_dir):
+    return fertility.fertility(table(spark, sf_dir, "documents"))
+
+
 def op8_fm_decontamination(spark, sf_dir):
     return fmindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_tokenizer_fertility": op4_tokenizer_fertility,
     "op8_fm_decontamination": op8_fm_decontamination,
 }
 

@@ -21,7 +21,7 @@ _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _RUN = re.compile(rb"[ \t-\r][ \t-\r]|[\t\x0b-\r]")
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 
-_loaded: dict[tuple, "ChunkEncoder"] = {}
+_loaded: dict[tuple, "ChunkCache"] = {}
 
 
 def vocabulary(name: str) -> str:
@@ -31,12 +31,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(path: str, spaces: bool, max_entries: int = 700_000) -> "ChunkEncoder":
-    """The encoder of this worker process for ``path``, made on first use."""
-    key = (path, spaces, max_entries)
-    if key not in _loaded:
-        _loaded[key] = ChunkEncoder(path, spaces, max_entries)
-    return _loaded[key]
+def loaded(kind: type, *args) -> "ChunkCache":
+    """The encoder of this worker process, made on first use and kept for later tasks."""
+    if (kind, args) not in _loaded:
+        _loaded[kind, args] = kind(*args)
+    return _loaded[kind, args]
 
 
 class _Index(dict):
@@ -47,17 +46,73 @@ class _Index(dict):
         return n
 
 
-class ChunkEncoder:
+class ChunkCache:
+    """Ids of chunks, kept by chunk. ``max_entries`` and ``max_ids`` bound it; when it is full it starts anew."""
+
+    def __init__(self, max_entries: int = 700_000, max_ids: int = 8_000_000):
+        self.max_entries, self.max_ids = max_entries, max_ids
+        self._clear()
+
+    def _clear(self) -> None:
+        self.index = _Index()
+        self.ids = np.empty(1 << 20, np.uint16)
+        self.off = np.zeros(1 << 18, np.int64)
+        self.n = 0
+
+    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
+        raise NotImplementedError
+
+    def _learn(self, keys: list[bytes]) -> None:
+        """Append the ids of ``keys``, which the index has numbered from ``self.n`` on."""
+        out = self.ids_of(keys)
+        flat = np.concatenate(out)
+        at = self.off[self.n]
+        while at + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while self.n + len(keys) + 1 > len(self.off):
+            self.off = np.concatenate([self.off, np.zeros_like(self.off)])
+        self.ids[at:at + len(flat)] = flat
+        self.off[self.n + 1:self.n + 1 + len(keys)] = at + np.cumsum([len(x) for x in out])
+        self.n += len(keys)
+
+    def look_up(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``keys`` in a row, and the place of each key's first id (and the end)."""
+        if self.n > self.max_entries or self.off[self.n] > self.max_ids:
+            self._clear()
+        at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
+        if len(self.index) > self.n:
+            fresh = np.flatnonzero(at >= self.n)
+            _, first = np.unique(at[fresh], return_index=True)
+            self._learn([keys[i] for i in fresh[first]])
+        start = self.off[at]
+        size = self.off[at + 1] - start
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return self.ids[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])], ends
+
+
+class PieceEncoder(ChunkCache):
+    """Ids of single words under a ``sentencepiece`` model, each as a text of its own."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        super().__init__()
+
+    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
+        return [np.array(x, np.int64) for x in self.model.encode([k.decode("utf-8", "replace") for k in keys], num_threads=1)]
+
+
+class ChunkEncoder(ChunkCache):
     """Ids of texts under a ``tokenizers`` file.
 
     ``spaces``: the vocabulary keeps white space (byte-level), so a chunk
     carries the white space before it; otherwise white space only separates.
-    ``max_entries`` bounds the cache; when it is full it starts anew.
     """
 
     BLOCK = 512  # new chunks encoded by one call
 
-    def __init__(self, path: str, spaces: bool, max_entries: int):
+    def __init__(self, path: str, spaces: bool):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -66,14 +121,8 @@ class ChunkEncoder:
         # can stand between chunks that are encoded in one call.
         self.mark = " \x01" if spaces else " \x01 "
         self.mark_ids = self.tok.encode(self.mark, add_special_tokens=False).ids
-        self.spaces, self.max_entries = spaces, max_entries
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index = _Index()
-        self.ids = np.empty(1 << 20, np.uint16)
-        self.off = np.zeros(1 << 18, np.int64)
-        self.n = 0
+        self.spaces = spaces
+        super().__init__()
 
     def _chunks(self, text: str) -> list[bytes]:
         raw = text.encode()
@@ -106,8 +155,7 @@ class ChunkEncoder:
         starts, ends = np.concatenate([[0], at + 1]), np.append(at + 1 - k, len(flat))
         return [flat[a:b] for a, b in zip(starts, ends)]
 
-    def _learn(self, keys: list[bytes]) -> None:
-        """Append the ids of ``keys``, which the index has numbered from ``self.n`` on."""
+    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
         out: list = [None] * len(keys)
         texts = [self._text(k) for k in keys]
         if self.spaces:  # only a chunk that begins with white space and goes on is cut off on both sides
@@ -123,20 +171,10 @@ class ChunkEncoder:
         for j, x in enumerate(out):
             if x is None:
                 out[j] = np.array(self.tok.encode_batch_fast([texts[j]], add_special_tokens=False)[0].ids, np.int64)
-        flat = np.concatenate(out)
-        at = self.off[self.n]
-        while at + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.n + len(keys) + 1 > len(self.off):
-            self.off = np.concatenate([self.off, np.zeros_like(self.off)])
-        self.ids[at:at + len(flat)] = flat
-        self.off[self.n + 1:self.n + 1 + len(keys)] = at + np.cumsum([len(x) for x in out])
-        self.n += len(keys)
+        return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (unsigned 16 bits) and the number of ids of each text."""
-        if self.n > self.max_entries:
-            self._clear()
         keys: list[bytes] = []
         per = np.zeros(len(texts) + 1, np.int64)
         for i, t in enumerate(texts):
@@ -144,13 +182,5 @@ class ChunkEncoder:
             per[i + 1] = len(keys)
         if not keys:
             return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
-        at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
-        if len(self.index) > self.n:
-            fresh = np.flatnonzero(at >= self.n)
-            _, first = np.unique(at[fresh], return_index=True)
-            self._learn([keys[i] for i in fresh[first]])
-        start = self.off[at]
-        size = self.off[at + 1] - start
-        ends = np.concatenate([[0], np.cumsum(size)])
-        flat = self.ids[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+        flat, ends = self.look_up(keys)
         return flat, np.diff(ends[per])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fertility, fmindex, minhash
+from . import fertility, fmindex, minhash, packing, rans
 from .common import table
 
 
@@ -12,17 +12,27 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
+def op2_mixture_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_tokenizer_fertility(spark, sf_dir):
     return fertility.fertility(table(spark, sf_dir, "documents"))
 
 
+def op7_rans_token_ids(spark, sf_dir):
+    return rans.ids_round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_fm_decontamination(spark, sf_dir):
     return fmindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_mixture_packing": op2_mixture_packing,
     "op4_tokenizer_fertility": op4_tokenizer_fertility,
+    "op7_rans_token_ids": op7_rans_token_ids,
     "op8_fm_decontamination": op8_fm_decontamination,
 }
 

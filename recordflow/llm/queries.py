@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fertility, fmindex, minhash, packing, rans
+from . import fertility, fmindex, linetree, minhash, packing, rans, urlfilter, warc
 from .common import table
 
 
@@ -16,10 +16,20 @@ def op2_mixture_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_archives(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_tokenizer_fertility(spark, sf_dir):
     return fertility.fertility(table(spark, sf_dir, "documents"))
 
 
+def op5_bloom_url_filter(spark, sf_dir):
+    """No block list is among the tables: the URLs of pages whose id is divisible by 20 count as listed."""
+    pages = table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, pages.where("page_id % 20 = 0"))
+
+
 def op7_rans_token_ids(spark, sf_dir):
     return rans.ids_round_trip(table(spark, sf_dir, "documents"))
 
@@ -28,12 +38,50 @@ def op8_fm_decontamination(spark, sf_dir):
     return fmindex.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_template_line_dedup(spark, sf_dir):
+    docs = linetree.drop_recurring_lines(table(spark, sf_dir, "documents"), counts=True)
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mixture_packing": op2_mixture_packing,
+    "op3_warc_archives": op3_warc_archives,
     "op4_tokenizer_fertility": op4_tokenizer_fertility,
+    "op5_bloom_url_filter": op5_bloom_url_filter,
     "op7_rans_token_ids": op7_rans_token_ids,
     "op8_fm_decontamination": op8_fm_decontamination,
+    "op9_template_line_dedup": op9_template_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op3_warc_archives": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        d AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+               CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN d ON p.payload_digest = d.payload_digest""",
+    "op5_bloom_url_filter": f"""
+        WITH u AS (SELECT page_id, url, coalesce(instr(url, '://') > 0, false) AS has,
+                          translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}') AS host,
+                          regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+                          list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '^.*?://[^?#]*\\?([^#]*)', 1, 's'), '&'),
+                              lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|gclid|fbclid|ref|sessionid)(=.*)?$'))) AS params
+                   FROM pages),
+        c AS (SELECT page_id, host, path, CASE WHEN has THEN regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '')
+                  || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canon FROM u),
+        l AS (SELECT DISTINCT canon FROM c WHERE page_id % 20 = 0 AND canon IS NOT NULL),
+        r AS (SELECT c.*, l.canon IS NOT NULL AS listed,
+                     CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                          WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+                          WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                          WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                          WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+              FROM c LEFT JOIN l ON c.canon = l.canon)
+        SELECT page_id, host, path, rule, listed,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
+        FROM r""",
+}

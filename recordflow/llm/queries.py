@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fertility, fmindex, linetree, minhash, packing, rans, urlfilter, warc
+from . import fertility, fmindex, kernel_quality, language, linetree, minhash, packing, rans, urlfilter, warc
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op5_bloom_url_filter(spark, sf_dir):
     return urlfilter.judge(pages, pages.where("page_id % 20 = 0"))
 
 
+def op6_kernel_quality(spark, sf_dir):
+    return kernel_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_rans_token_ids(spark, sf_dir):
     return rans.ids_round_trip(table(spark, sf_dir, "documents"))
 
@@ -43,15 +47,21 @@ def op9_template_line_dedup(spark, sf_dir):
     return docs.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op10_bigru_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mixture_packing": op2_mixture_packing,
     "op3_warc_archives": op3_warc_archives,
     "op4_tokenizer_fertility": op4_tokenizer_fertility,
     "op5_bloom_url_filter": op5_bloom_url_filter,
+    "op6_kernel_quality": op6_kernel_quality,
     "op7_rans_token_ids": op7_rans_token_ids,
     "op8_fm_decontamination": op8_fm_decontamination,
     "op9_template_line_dedup": op9_template_line_dedup,
+    "op10_bigru_language": op10_bigru_language,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -10,7 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordflow.llm.common import stored, table
+from recordflow.llm.fertility import keep_fertile
+from recordflow.llm.fmindex import decontaminate
+from recordflow.llm.linetree import drop_recurring_lines
 from recordflow.llm.minhash import drop_near_duplicates
+from recordflow.llm.packing import pack
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base counts or the fertility bands reject go."""
+    return keep_fertile(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates stay in one document each."""
+    return drop_recurring_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +32,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of benchmark windows are cut out of the texts."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed at the mixture of their sources."""
+    return pack(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", packing),
 ]
 
 ORACLE_SQL = None  # the stages use vocabularies and sketches that SQL can't express

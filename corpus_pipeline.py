@@ -8,6 +8,7 @@ the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordflow.llm.common import stored, table
 from recordflow.llm.fertility import keep_fertile
@@ -17,6 +18,11 @@ from recordflow.llm.minhash import drop_near_duplicates
 from recordflow.llm.packing import pack
 
 
+def _with_length(docs: DataFrame) -> DataFrame:
+    """n_chars of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base counts or the fertility bands reject go."""
     return keep_fertile(docs)
@@ -24,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates stay in one document each."""
-    return drop_recurring_lines(docs)
+    return _with_length(drop_recurring_lines(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of benchmark windows are cut out of the texts."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _with_length(decontaminate(docs, table(spark, sf_dir, "benchmark")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
+from .files import open_folder, whole_file
 
 ARROW_ROWS = 512  # rows of one Arrow batch: bounds a task's memory with long texts
 BLOCK_BYTES = 1 << 20  # texts are worked on in blocks of about this size
@@ -19,8 +23,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session's application, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_recordflow_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    folder = run_dir(spark, "code")
+    with whole_file(folder, "recordflow.zip") as out:
+        out.write(raw.getvalue())
+    system, path = open_folder(folder)
+    sc.addPyFile(f"{folder}/recordflow.zip" if "://" in folder or folder.startswith("file:") else f"{path}/recordflow.zip")
+    sc._recordflow_shipped = True
+
+
 def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Let Arrow batches of this session hold ``rows`` rows at most."""
+    """Let Arrow batches of this session hold ``rows`` rows at most, and its workers import this package."""
+    ship_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:

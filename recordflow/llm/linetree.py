@@ -96,7 +96,7 @@ def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     alone = near.where("kinds = 1").select("line", F.col("line").alias("template"), (F.col("constant") / F.col("n")).alias("share"))
     # The tokens of a line come from the first document that has it.
     several = near.where("kinds > 1").select("leaf", "line", "docs", "first", "n")
-    held = plain.join(several.select(F.col("first").alias("id")).distinct(), "id", "left_semi")
+    held = plain.join(several.select(F.col("first").alias("id")).distinct().hint("merge"), "id", "left_semi")
     seats = (held.mapInArrow(_tokens, "first long, line long, tokens array<long>").join(several, ["first", "line"])
              .select("leaf", "line", "docs", "n", F.posexplode("tokens").alias("seat", "token")))
     seats = stored(seats, "lines/seats")
@@ -133,7 +133,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key, gone = "lost_id", "lost_lines"
     while key in docs.columns or gone in docs.columns:
         key, gone = f"_{key}", f"_{gone}"
-    both = docs.join(lost.select(F.col("id").alias(key), F.col("lines").alias(gone)), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
+    # Texts are shuffled by id at any size: the list of lost lines grows with them.
+    both = docs.join(lost.select(F.col("id").alias(key), F.col("lines").alias(gone)).hint("merge"), F.col(id_col).cast("long") == F.col(key), "left").drop(key)
     text_at, gone_at, keep = docs.columns.index(text_col), len(docs.columns), docs.columns
 
     def cut(batches):

@@ -37,26 +37,43 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def canonical_sql(df: DataFrame, name: str) -> str:
-    """Type-stable text of one value for fingerprints, as a SQL expression.
+def _escaped(text: str) -> str:
+    """SQL: backslash and ``|`` escaped, null as backslash-N."""
+    # SQL literals: '\\' is one backslash, '\\\\' two, '\\|' backslash-pipe, '\\N' the null mark.
+    return f"coalesce(replace(replace({text}, '\\\\', '\\\\\\\\'), '|', '\\\\|'), '\\\\N')"
+
 
-    Integers and decimals use their cast text, doubles a fixed-scale decimal,
-    timestamps a fixed pattern with microseconds; backslash and ``|`` are
-    escaped and null becomes backslash-N, so the joined row text is
-    unambiguous.
+def _value_sql(c: str, dtype: T.DataType, depth: int = 0) -> str:
+    """Text that differs for any two different values of one type.
+
+    Integers and decimals use their cast text, timestamps a fixed pattern with
+    microseconds. A double that nine decimals give back exactly uses them, any
+    other its shortest exact text; -0.0 equals 0.0 and NaN equals NaN. Nested
+    values are written out value by value, maps in the order of their entries.
     """
-    dtype = df.schema[name].dataType
-    c = _q(name)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        t = f"coalesce(CAST(try_cast({c} AS DECIMAL(38,9)) AS STRING), CAST({c} AS STRING))"
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        t = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
-    elif isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        t = f"to_json({c})"
-    else:
-        t = f"CAST({c} AS STRING)"
-    # SQL literals: '\\' is one backslash, '\\\\' two, '\\|' backslash-pipe, '\\N' the null mark.
-    return f"coalesce(replace(replace({t}, '\\\\', '\\\\\\\\'), '|', '\\\\|'), '\\\\N')"
+        fixed = f"try_cast({c} AS DECIMAL(38,9))"
+        return f"CASE WHEN CAST({fixed} AS {dtype.simpleString()}) = {c} THEN CAST({fixed} AS STRING) ELSE CAST({c} AS STRING) END"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    if isinstance(dtype, T.BinaryType):
+        return f"hex({c})"
+    x = f"x{depth}"
+    if isinstance(dtype, T.StructType):
+        parts = [_escaped(_value_sql(f"{c}.{_q(f.name)}", f.dataType, depth)) for f in dtype.fields]
+        return f"CASE WHEN {c} IS NOT NULL THEN concat('{{', concat_ws('|', {', '.join(parts) or repr('')}), '}}') END"
+    if isinstance(dtype, T.ArrayType):
+        each = _escaped(_value_sql(x, dtype.elementType, depth + 1))
+        return f"concat('[', array_join(transform({c}, {x} -> {each}), '|'), ']')"
+    if isinstance(dtype, T.MapType):
+        each = f"concat({_escaped(_value_sql(x + '.key', dtype.keyType, depth + 1))}, '|', {_escaped(_value_sql(x + '.value', dtype.valueType, depth + 1))})"
+        return f"concat('<', array_join(array_sort(transform(map_entries({c}), {x} -> {each})), '|'), '>')"
+    return f"CAST({c} AS STRING)"
+
+
+def canonical_sql(df: DataFrame, name: str) -> str:
+    """Exact text of one value for fingerprints, as a SQL expression; unambiguous in the joined row text."""
+    return _escaped(_value_sql(_q(name), df.schema[name].dataType))
 
 
 def row_text_sql(df: DataFrame, cols: list[str] | None = None) -> str:

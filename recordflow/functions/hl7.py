@@ -35,7 +35,7 @@ def _lit_ts(v) -> Column:
 
 
 def message(df: DataFrame, ordinal: Column, run_ts, run_id: str, msg_type: str = "ORU",
-            header: dict | None = None, escape_fields: bool = False, id_length: int = 8) -> Column:
+            header: dict | None = None, escape_fields: bool = False, id_length: int = 32) -> Column:
     """One message per row: ``MSH\\rPID\\r[ORC\\r]``.
 
     * ``ordinal`` is the 1-based position of the row in the batch (PID set id).

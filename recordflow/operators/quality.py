@@ -281,14 +281,30 @@ def validate_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame
     return out
 
 
+_NUMBER = "(-?[0-9]+[.]?[0-9]*)"
+_PLAIN = "-?[0-9]+[.]?[0-9]*"
+
+
+def _bound(pattern: str) -> str:
+    """The number a range text has at the pattern's group; null where the text has another form."""
+    return f"TRY_CAST(regexp_extract(NORMAL_RANGE, '^ *{pattern} *$', 1) AS DOUBLE)"
+
+
+# A range text is 'lo-hi' (bounds may be negative), '<hi', '<=hi', '>lo' or '>=lo'.
+_LOW, _HIGH = _bound(f"{_NUMBER} *- *{_PLAIN}"), _bound(f"{_PLAIN} *- *{_NUMBER}")
+_BOUNDS = {f"VALUE < {_LOW}": _LOW, f"VALUE > {_HIGH}": _HIGH,
+           **{f"VALUE {out} {_bound(f'{sign} *{_NUMBER}')}": _bound(f"{sign} *{_NUMBER}")
+              for sign, out in (("<", ">="), ("<=", ">"), (">", "<="), (">=", "<"))}}
+_OUT_OF_RANGE = "(" + " OR ".join(f"coalesce({test}, false)" for test in _BOUNDS) + ")"
+_PARSED = "(" + " OR ".join(f"{bound} IS NOT NULL" for bound in _BOUNDS.values()) + ")"
+
 # The default rules on RESPIRATORY results (value outside the
-# normal range text 'lo-hi', or an abnormal flag that contradicts it).
+# normal range text, or an abnormal flag that contradicts it).
 RESPIRATORY_RULES = [
-    Rule("value_out_of_range", "RESPIRATORY", "VALUE",
-         "VALUE < CAST(split_part(NORMAL_RANGE, '-', 1) AS DOUBLE) "
-         "OR VALUE > CAST(split_part(NORMAL_RANGE, '-', 2) AS DOUBLE)"),
+    Rule("value_out_of_range", "RESPIRATORY", "VALUE", _OUT_OF_RANGE),
     Rule("abnormal_flag_contradiction", "RESPIRATORY", "ABNORMAL_IND",
-         "(ABNORMAL_IND = 'Y') <> (VALUE < CAST(split_part(NORMAL_RANGE, '-', 1) AS DOUBLE) "
-         "OR VALUE > CAST(split_part(NORMAL_RANGE, '-', 2) AS DOUBLE))"),
+         f"VALUE IS NOT NULL AND {_PARSED} AND (ABNORMAL_IND = 'Y') <> {_OUT_OF_RANGE}"),
     Rule("missing_result_value", "RESPIRATORY", "VALUE", "VALUE IS NULL", ERROR),
 ]
+# Range texts that can't be read break neither rule; this one counts them.
+UNREADABLE_RANGE = Rule("unreadable_normal_range", "RESPIRATORY", "NORMAL_RANGE", f"NORMAL_RANGE IS NOT NULL AND NOT {_PARSED}")

@@ -402,7 +402,7 @@ ORACLE["export_hl7"] = W(f"""
 N AS (SELECT *, row_number() OVER (ORDER BY ORDER_ID) AS ordinal FROM J)
 SELECT ordinal,
   'MSH|^~\\&|EHR_SRC|SRC_FACILITY|RECV_SYS|DEST|' || strftime({RUN_TS_SQL}, '%Y%m%d%H%M') || '|MSG'
-  || upper(substr(md5('{RUN_ID}:' || CAST(ordinal AS VARCHAR)), 1, 8)) || '|ORU|2.4' || chr(13)
+  || upper(md5('{RUN_ID}:' || CAST(ordinal AS VARCHAR))) || '|ORU|2.4' || chr(13)
   || 'PID|' || CAST(ordinal AS VARCHAR) || '|' || coalesce(CAST(PATIENT_ID AS VARCHAR), '') || '||'
   || coalesce(LAST_NAME, '') || '^' || coalesce(FIRST_NAME, '') || '||' || coalesce(CAST(DOB AS VARCHAR), '')
   || '|' || coalesce(SEX_CD, '') || chr(13)

@@ -36,6 +36,10 @@ def _half_open(c: str, start, end) -> F.Column:
     return (F.col(c) >= _ts(start)) & (F.col(c) < _ts(end))
 
 
+# The extracts' sort columns are followed by the row keys of all joined
+# entities, so the rows of one hot sort value spread over range partitions.
+
+
 def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
                hot_key_threshold: int | None = None) -> DataFrame:
     """ORDER_PROC left join SPECIMEN on ORDER_ID, half-open start-time range."""
@@ -50,7 +54,7 @@ def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = Tr
         "ORDERING_PROVIDER_ID", "ORDER_START_DT_TM", "ORDER_END_DT_TM",
         "RESULT_STATUS_CD", "SPECIMEN_ID", "SPECIMEN_TYPE_CD", "COLLECT_DT_TM",
         "RECEIVE_DT_TM")
-    return out.orderBy("ORDER_START_DT_TM") if ordered else out
+    return out.orderBy("ORDER_START_DT_TM", "ORDER_ID", "SPECIMEN_ID") if ordered else out
 
 
 def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
@@ -59,7 +63,7 @@ def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered:
     out = (t["RESPIRATORY"].where(_half_open("RESULT_DT_TM", start_date, end_date))
            .select("RESULT_ID", "PATIENT_ID", "ORDER_ID", "RESULT_TYPE_CD",
                    "RESULT_DT_TM", "VALUE", "UNITS", "NORMAL_RANGE", "ABNORMAL_IND"))
-    return out.orderBy("RESULT_DT_TM") if ordered else out
+    return out.orderBy("RESULT_DT_TM", "RESULT_ID") if ordered else out
 
 
 def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, ordered: bool = True,
@@ -74,7 +78,7 @@ def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, ordered: boo
            .select("SER_ID", "SER_NAME", "SER_TYPE_CD", "DEP_ID", "DEP_NAME",
                    "DEP_TYPE_CD", "EMP_ID", "EMP_NAME", "EMP_TYPE_CD"))
     # The source dialect sorts nulls last in ascending order.
-    return out.orderBy(F.col("SER_ID").asc(), F.col("DEP_ID").asc_nulls_last()) if ordered else out
+    return out.orderBy(F.col("SER_ID").asc(), F.col("DEP_ID").asc_nulls_last(), "EMP_ID") if ordered else out
 
 
 def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
@@ -91,7 +95,7 @@ def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: boo
            .select("VISIT_ID", "PATIENT_ID", "ADMIT_DT_TM", "DISCH_DT_TM",
                    "VISIT_TYPE_CD", "ACCOMMODATION_CD", "ORDER_ID",
                    "ORDER_STATUS_CD", "ORDER_MISC_ID", "MISC_TYPE_CD"))
-    return out.orderBy("ADMIT_DT_TM") if ordered else out
+    return out.orderBy("ADMIT_DT_TM", "VISIT_ID", "ORDER_ID", "ORDER_MISC_ID") if ordered else out
 
 
 def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: bool = True,
@@ -110,7 +114,7 @@ def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: boo
                    "ZIP_CD", "ALLERGY_ID", "ALLERGY_TYPE_CD", "ALLERGY_CD",
                    "SEVERITY_CD", "DIAGNOSIS_ID", "DIAGNOSIS_CD",
                    "DIAGNOSIS_TYPE_CD", "ONSET_DT_TM"))
-    return out.orderBy("PATIENT_ID") if ordered else out
+    return out.orderBy("PATIENT_ID", "ALLERGY_ID", "DIAGNOSIS_ID") if ordered else out
 
 
 def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
@@ -130,7 +134,7 @@ def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: boo
            .select("ACCOUNT_ID", "PATIENT_ID", "ACCOUNT_TYPE_CD", "ACCOUNT_STATUS_CD",
                    "BALANCE_AMT", "CREATE_DT_TM", "AR_ID", "AR_TYPE_CD", "AMOUNT",
                    "PAYMENT_ID", "PAYMENT_DT_TM", "PAYMENT_AMT", "PAYMENT_METHOD_CD"))
-    return out.orderBy("CREATE_DT_TM") if ordered else out
+    return out.orderBy("CREATE_DT_TM", "ACCOUNT_ID", "AR_ID", "PAYMENT_ID") if ordered else out
 
 
 def billing_totals(t: dict[str, DataFrame], start_date, end_date) -> DataFrame:

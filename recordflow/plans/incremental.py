@@ -20,7 +20,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..entities import DEFAULT_CHANGE_COLUMN, FIRST_RUN_POSITION, check_entity, key_for
+from ..entities import DEFAULT_CHANGE_COLUMN, ENTITIES, FIRST_RUN_POSITION, check_entity, key_for
+from ..functions import columns as C
 from ..operators.quality import missing_required, validate_all
 from ..sources import sinks
 
@@ -63,9 +64,9 @@ class PositionLedger:
             F.max_by("status", "run_seq").alias("last_status"))
 
     def latest(self, entity: str) -> tuple[_dt.datetime, int | None]:
-        """(position, run_seq) of the entity's latest successful run."""
+        """Position reached by the entity's successful runs (their largest, whatever the drivers' clocks say) and their last run_seq."""
         row = (self.read().where((F.col("entity_name") == entity) & (F.col("status") == SUCCESS))
-               .agg(F.max_by("last_extract_ts", "run_seq").alias("p"), F.max("run_seq").alias("s")).first())
+               .agg(F.max("last_extract_ts").alias("p"), F.max("run_seq").alias("s")).first())
         if not row or row["s"] is None:
             return FIRST_RUN_POSITION, None
         return row["p"], row["s"]
@@ -91,17 +92,20 @@ class PositionLedger:
 
 
 def incremental_batch(df: DataFrame, position, change_col: str = DEFAULT_CHANGE_COLUMN,
-                      date_partition_col: str | None = None, granularity: str = "month") -> DataFrame:
+                      date_partition_col: str | None = None) -> DataFrame:
     """Rows changed strictly after ``position`` (the filter reaches the scan).
 
     When the source is laid out by change date (``write_by_change_date``),
     ``date_partition_col`` adds the implied predicate on the partition
-    column, so only the partitions from the position's day or month on are
-    listed and read (partition pruning), not the whole table.
+    column, so only partitions that can hold such rows are listed and read.
+    The predicate holds for day, month and year layouts alike: it keeps the
+    periods that begin on the position's day or later, and those that begin
+    with its month or year.
     """
     out = df.where(F.col(change_col) > _ts_lit(position))
     if date_partition_col:
-        out = out.where(F.col(date_partition_col) >= _period(_ts_lit(position), granularity))
+        p, at = F.col(date_partition_col), _ts_lit(position)
+        out = out.where((p >= _period(at, "day")) | (p == _period(at, "month")) | (p == _period(at, "year")) | p.isNull())
     return out
 
 
@@ -143,11 +147,26 @@ class RunRecord:
     completed_ts: _dt.datetime | None = None
 
 
+def _without_seen(batch: DataFrame, seen: DataFrame) -> DataFrame:
+    """Rows of ``batch`` less those of ``seen``, as multisets of whole rows.
+
+    Rows are counted by digest; what is left of a digest is its row repeated,
+    so no group of equal rows is ever gathered in one task.
+    """
+    cols = batch.columns
+    digest = F.md5(C.row_text(batch))
+    one = batch.select("*", digest.alias("_digest")).groupBy("_digest").agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(*cols)).alias("_row"))
+    had = seen.select(F.md5(C.row_text(seen.select(cols))).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_had"))
+    left = one.join(had, "_digest", "left").withColumn("_left", F.col("_n") - F.coalesce("_had", F.lit(0))).where("_left > 0")
+    return left.select(F.explode(F.sequence(F.lit(1), F.col("_left"))).alias("_i"), "_row").select("_row.*")
+
+
 def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path: str, out_root: str,
                  export_format: str = "csv", change_col: str = DEFAULT_CHANGE_COLUMN,
                  key: str | None = None, fail_on: str | None = None, job_id: str | None = None,
                  overlap: _dt.timedelta | None = None, date_partition_col: str | None = None,
-                 granularity: str = "month", **export_opts) -> RunRecord:
+                 **export_opts) -> RunRecord:
     """Position -> scan -> stage -> validate -> export -> advance position.
 
     The changed rows are read from the source once and staged as Parquet in
@@ -161,8 +180,9 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
 
     ``overlap``: also re-read rows changed up to this long before the
     position (late arrivals with an old change time, ties at the position)
-    and drop the (key, change time) pairs earlier runs already staged, by a
-    ``left_anti`` join against those runs' staged rows in the window.
+    and leave out the rows that earlier runs already staged: whole rows are
+    compared by digest, as often as they occur, so another row with the same
+    key and change time, or a null key, is neither lost nor repeated.
     """
     job_id = job_id or uuid.uuid4().hex[:12]
     led = PositionLedger(spark, ledger_path)
@@ -179,13 +199,11 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         run_path = f"{out_root.rstrip('/')}/{entity}/{job_id}"
         key = key or key_for(entity)
         low = pos - overlap if overlap else pos
-        batch = incremental_batch(source, low, change_col, date_partition_col, granularity)
+        batch = incremental_batch(source, low, change_col, date_partition_col)
         if overlap:
             seen_paths = led.staged_since(entity, low)
             if seen_paths:
-                seen = (spark.read.parquet(*seen_paths).where(F.col(change_col) > _ts_lit(low))
-                        .select(key, change_col).distinct())
-                batch = batch.join(seen, [key, change_col], "left_anti")
+                batch = _without_seen(batch, spark.read.parquet(*seen_paths).where(F.col(change_col) > _ts_lit(low)))
         obs = Observation(f"stage_{job_id}")
         (batch.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(change_col).alias("max_ts"))
          .write.mode("overwrite").parquet(f"{run_path}/staged"))
@@ -207,7 +225,8 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
     except Exception as e:
         rec.status, rec.error_message, rec.position_after = FAILED, str(e)[:2000], pos
         rec.rows_extracted = rec.rows_exported = 0
-        led.append(entity, job_id, pos, 0, FAILED, rec.error_message)
+        if entity in ENTITIES:  # an unknown name is no folder of the ledger
+            led.append(entity, job_id, pos, 0, FAILED, rec.error_message)
     rec.completed_ts = _dt.datetime.now()
     return rec
 

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job here relies on. They are all session-level
@@ -54,7 +55,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     for k, v in RUNTIME_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings on a managed cluster
+        except AnalysisException:  # a static setting: only a new session can change it
             pass
 
 
@@ -62,7 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only where it is unset (local runs, tests) a private folder is made.
+    Only a local master may leave it unset: there a private folder is made.
+    Elsewhere executors would not see such a folder, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -72,6 +74,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="recordflow-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -35,13 +35,28 @@ class ExportResult:
     files: dict = field(default_factory=dict)
 
 
+def _python_number(name: str) -> F.Column:
+    """A double as Python prints it: plain from 1e-4 to 1e16, else with a two-digit exponent."""
+    c = "`" + name.replace("`", "``") + "`"
+    text = f"CAST({c} AS STRING)"
+    plain = f"regexp_replace(CAST(CAST({text} AS DECIMAL(38,21)) AS STRING), '0+$', '')"
+    mantissa = f"regexp_replace(split_part({text}, 'E', 1), '[.]0$', '')"
+    power = f"CAST(split_part({text}, 'E', 2) AS INT)"
+    return F.expr(f"""CASE WHEN isnan({c}) THEN 'nan' WHEN abs({c}) = double('Infinity') THEN replace({text}, 'Infinity', 'inf')
+        WHEN {c} = 0 THEN {text}
+        WHEN abs({c}) >= 1e-4 AND abs({c}) < 1e16 THEN regexp_replace({plain}, '[.]$', '.0')
+        ELSE concat({mantissa}, 'e', IF({power} < 0, '-', '+'), lpad(CAST(abs({power}) AS STRING), greatest(2, length(CAST(abs({power}) AS STRING))), '0')) END""")
+
+
 def _for_text(df: DataFrame) -> DataFrame:
     """Values as text the way Python prints them: times with a fraction only
-    when present, booleans as True / False."""
+    when present, booleans as True / False, doubles in Python's notation."""
     def conv(f: T.StructField):
         c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             return plain_text(df, f.name).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType):
+            return _python_number(f.name).alias(f.name)
         if isinstance(f.dataType, T.BooleanType):
             return F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
         return c
@@ -85,7 +100,7 @@ def _default_order(df: DataFrame, order_by):
 
 def hl7_messages(df: DataFrame, run_ts, run_id: str | None = None, msg_type: str = "ORU",
                  order_by: list[str] | None = None, header: dict | None = None,
-                 escape_fields: bool = False, id_length: int = 8) -> DataFrame:
+                 escape_fields: bool = False, id_length: int = 32) -> DataFrame:
     """(ordinal, message) per row; ordinals follow ``order_by`` (a total order)."""
     run_id = run_id or uuid.uuid4().hex
     o = with_ordinal(df, _default_order(df, order_by))

@@ -18,7 +18,8 @@ DOC = "doc_id long, text string, lang string, source string"
 
 def _prose(seed, n, vocabulary=4000):
     rng = np.random.default_rng(seed)
-    return " ".join(f"w{x}" for x in rng.integers(vocabulary, size=n))
+    parts = ["ka", "lo", "mi", "ren", "to", "sa", "vu", "del", "pin", "gor"]
+    return " ".join("".join(parts[int(c)] for c in str(x)) for x in rng.integers(vocabulary, size=n))
 
 
 @pytest.fixture(scope="module")

@@ -1,25 +1,23 @@
 """Left outer equi join that stays balanced when a few keys hold most rows.
 
 AQE's skew handling can split the *left* side of a left outer join, but a
-key that is hot on the right (or on both sides, as in star joins) still
-lands in one task. This operator splits the work by key heat:
-
-* hot keys: keys with more than ``threshold`` rows on the right side. They
-  are found with a partially aggregated count, and the list is bounded by
-  ``max_hot_keys`` (the heaviest ones), so it is safe to broadcast. Keys
-  beyond that bound simply take the ordinary path, which stays exact.
-* cold keys: ordinary left join (Spark picks broadcast or sort-merge).
-* hot keys: every hot key has right rows, so the left outer join equals an
-  inner join there. A hot key with ``n`` right rows gets
-  ``ceil(n / rows_per_task)`` salts (at most ``max_salts``): its right rows
-  are spread over the salts by a row hash and its left rows are copied to
-  every salt, so each (left row, right row) pair meets in exactly one
-  (key, salt) task and no task holds more than about ``rows_per_task``
-  right rows of the key. Copying a left row once per salt never costs more
-  than the output of that key.
+key that is hot on the right still lands in one task. Here the right side's
+rows are counted per key (partially aggregated, key column only), and a key
+with more than ``threshold`` rows gets ``ceil(n / rows_per_task)`` salts. Its
+right rows are spread over the salts by a row hash and its left rows are
+copied to every salt, so each (left row, right row) pair meets in exactly one
+(key, salt) task. All other keys have one salt, so one join serves both. The
+copies of a left row never outnumber the output rows it makes, by more than
+the salts that happen to stay empty; a copy that met nothing in its salt is
+filtered out, since a hot key has right rows by definition.
+
+The number of salted keys and of salts has no cap: there are at most
+rows / threshold such keys. Their list is joined without a broadcast hint, so
+Spark broadcasts it only after its own size check.
 
 Salts come from row hashes, not random numbers, so a recomputed partition
-(after an executor loss) gets the same salts and no row moves.
+(after an executor loss) gets the same salts and no row moves. Rows that are
+equal in every column share a salt.
 """
 
 from __future__ import annotations
@@ -27,31 +25,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1 << 20
 
-def hot_keys(df: DataFrame, key: str, threshold: int, max_hot_keys: int = 10000,
-             rows_per_task: int | None = None, max_salts: int = 4096) -> DataFrame:
-    """Keys with more than ``threshold`` rows, heaviest first, at most
-    ``max_hot_keys``, each with its salt count ``_b``."""
+
+def hot_keys(df: DataFrame, key: str, threshold: int, rows_per_task: int | None = None) -> DataFrame:
+    """Keys with more than ``threshold`` rows, each with its salt count ``_b``."""
     per_task = rows_per_task or threshold
     return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > threshold).orderBy(F.col("_n").desc()).limit(max_hot_keys)
-              .select(key, F.least(F.lit(max_salts), F.ceil(F.col("_n") / F.lit(per_task))).cast("int")
-                      .alias("_b")))
+              .where(F.col("_n") > threshold)
+              .select(key, F.ceil(F.col("_n") / F.lit(per_task)).cast("int").alias("_b")))
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, threshold: int | None = None,
-              rows_per_task: int | None = None, max_salts: int = 4096,
-              max_hot_keys: int = 10000) -> DataFrame:
+              rows_per_task: int | None = None) -> DataFrame:
     """``left.join(right, key, "left")``; with ``threshold`` the hot keys are salted."""
     if threshold is None:
         return left.join(right, key, "left")
-    hot = F.broadcast(hot_keys(right, key, threshold, max_hot_keys, rows_per_task, max_salts))
-    hot_k = hot.select(key)
-    cold = left.join(hot_k, key, "left_anti").join(right.join(hot_k, key, "left_anti"), key, "left")
-    rcols = [F.col(c) for c in right.columns]
-    rh = (right.join(hot, key, "inner")
-               .withColumn("_s", F.pmod(F.xxhash64(*rcols), F.col("_b")).cast("int")).drop("_b"))
-    lh = (left.join(hot, key, "inner")
-              .withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).drop("_b"))
-    hot_part = lh.join(rh, [key, "_s"], "inner").drop("_s")
-    return cold.unionByName(hot_part.select(*cold.columns))
+    columns = [key] + [c for c in left.columns if c != key] + [c for c in right.columns if c != key]
+    hot = hot_keys(right, key, threshold, rows_per_task)
+    salts = F.coalesce(F.col("_b"), F.lit(1))
+    hashed = [F.col(f.name) for f in right.schema.fields if "map<" not in f.dataType.simpleString()]
+    r = (right.join(hot, key, "left")
+              .withColumn("_s", F.pmod(F.xxhash64(*hashed), salts).cast("int")).drop("_b")
+              .withColumn("_m", F.lit(True)))
+    lf = (left.join(hot, key, "left")
+              .withColumn("_s", F.explode(F.sequence(F.lit(0), salts - 1))))
+    return lf.join(r, [key, "_s"], "left").where(F.col("_b").isNull() | F.col("_m")).select(*columns)

@@ -20,11 +20,12 @@ def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "ordin
                  num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     shared_dir(spark)  # make sure a (shared) checkpoint folder is set
-    # A row-unique last sort column lets range partitioning split runs of rows
-    # that tie on the whole order (e.g. many identical rows); positions among
-    # such rows are arbitrary in any case.
-    df = df.withColumn("_tb", F.monotonically_increasing_id())
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_tb")]
+    # Ties on the order go by a hash of the row, so positions repeat between
+    # runs. A row-unique last sort column lets range partitioning split runs of
+    # identical rows, whose positions are interchangeable.
+    hashed = [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    df = df.withColumn("_rh", F.xxhash64(*hashed) if hashed else F.lit(0)).withColumn("_tb", F.monotonically_increasing_id())
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_by] + [F.col("_rh"), F.col("_tb")]
     # Without an explicit count AQE may coalesce the range partitions; it only
     # merges neighbouring ranges, so partition order still follows the order.
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
@@ -38,4 +39,4 @@ def with_ordinal(df: DataFrame, order_by: list[str | Column], name: str = "ordin
         "_idx", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
     return (local.join(F.broadcast(offsets), "_pid")
                  .withColumn(name, (F.col("_off") + F.col("_idx") + 1).cast("bigint"))
-                 .drop("_pid", "_off", "_idx", "_tb"))
+                 .drop("_pid", "_off", "_idx", "_rh", "_tb"))

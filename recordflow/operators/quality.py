@@ -228,11 +228,14 @@ def validate_referential(tables: dict[str, DataFrame], edges: list[Edge] | None
         # Distinct parent keys: a repeated parent key cannot skew the join, and
         # the aggregate's hash partitioning on the key feeds the join directly.
         parent = tables[e.parent].select(F.col(e.pk).alias("_k")).distinct()
-        counts = child.agg(F.count(F.lit(1)).alias("child_rows"))
-        orphans = (child.where(F.col("_k").isNotNull()).join(parent, "_k", "left_anti")
-                   .agg(F.count(F.lit(1)).alias("orphan_rows"),
-                        F.count_distinct("_k").alias("orphan_keys")))
-        r = merge_one_row([counts, orphans]).select(
+        # One pass over the child: rows per key, then one aggregate over the keys.
+        keys = child.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+        orphan = F.col("_k").isNotNull() & F.col("_p").isNull()
+        counts = keys.join(parent.withColumn("_p", F.lit(True)), "_k", "left").agg(
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+            F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).alias("orphan_rows"),
+            F.count_if(orphan).alias("orphan_keys"))
+        r = counts.select(
             F.lit(e.child).alias("entity_name"), F.lit(e.fk).alias("field_name"),
             F.lit(e.parent).alias("parent_entity"), F.lit(e.pk).alias("parent_key"),
             F.col("child_rows").cast("bigint").alias("child_rows"),

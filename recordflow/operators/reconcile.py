@@ -104,6 +104,15 @@ class Reconciliation:
         return self._checks
 
 
+    @property
+    def null_counts(self) -> DataFrame:
+        """The null-count checks alone, from the null columns alone: no digest, no key shuffle."""
+        items = [F.struct(F.lit(f).alias("field_name"), F.col(f"s_n{i}").cast("bigint").alias("source_null_count"),
+                          F.col(f"t_n{i}").cast("bigint").alias("target_null_count"),
+                          (F.col(f"s_n{i}") == F.col(f"t_n{i}")).alias("match")) for i, f in enumerate(self._fields)]
+        return self._wide.select("entity_name", F.inline(F.array(*items)))
+
+
 def _checks(wide: DataFrame, fields: list[str], ordered: bool) -> DataFrame:
     def chk(name, field, sv, tv):
         return F.struct(F.lit(name).alias("check_name"), F.lit(field).cast("string").alias("field_name"),

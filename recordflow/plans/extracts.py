@@ -1,4 +1,4 @@
-"""The six parameterised extracts and a runner for them.
+"""The parameterised extracts of the catalog and a runner for them.
 
 Every extract is a left outer equi join (plain, chain or star) of a driving
 entity, a predicate on the driving entity only, a projection and an
@@ -14,13 +14,15 @@ import datetime as _dt
 import threading
 import uuid
 from dataclasses import dataclass
-from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from ..operators.joins import left_join
+from ..operators.joins import ROWS_PER_TASK, left_join
 from ..session import JobTag
+from .catalog import EXTRACTS, ExtractDef, Joined, extracts_by_category, register_extract, unregister_extract  # noqa: F401
+from .sql_extract import run_sql
 
 
 def _ts(v) -> F.Column:
@@ -36,105 +38,35 @@ def _half_open(c: str, start, end) -> F.Column:
     return (F.col(c) >= _ts(start)) & (F.col(c) < _ts(end))
 
 
-# The extracts' sort columns are followed by the row keys of all joined
-# entities, so the rows of one hot sort value spread over range partitions.
-
-
-def orders_psd(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
-               hot_key_threshold: int | None = None) -> DataFrame:
-    """ORDER_PROC left join SPECIMEN on ORDER_ID, half-open start-time range."""
-    o = (t["ORDER_PROC"].where(_half_open("ORDER_START_DT_TM", start_date, end_date))
-         .select("ORDER_ID", "PATIENT_ID", "ORDER_TYPE_CD", "ORDER_STATUS_CD",
-                 "ORDERING_PROVIDER_ID", "ORDER_START_DT_TM", "ORDER_END_DT_TM",
-                 "RESULT_STATUS_CD"))
-    s = t["SPECIMEN"].select("ORDER_ID", "SPECIMEN_ID", "SPECIMEN_TYPE_CD",
-                             "COLLECT_DT_TM", "RECEIVE_DT_TM")
-    out = left_join(o, s, "ORDER_ID", hot_key_threshold).select(
-        "ORDER_ID", "PATIENT_ID", "ORDER_TYPE_CD", "ORDER_STATUS_CD",
-        "ORDERING_PROVIDER_ID", "ORDER_START_DT_TM", "ORDER_END_DT_TM",
-        "RESULT_STATUS_CD", "SPECIMEN_ID", "SPECIMEN_TYPE_CD", "COLLECT_DT_TM",
-        "RECEIVE_DT_TM")
-    return out.orderBy("ORDER_START_DT_TM", "ORDER_ID", "SPECIMEN_ID") if ordered else out
-
-
-def respiratory_results(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
-                        hot_key_threshold: int | None = None) -> DataFrame:
-    """RESPIRATORY rows in a half-open result-time range."""
-    out = (t["RESPIRATORY"].where(_half_open("RESULT_DT_TM", start_date, end_date))
-           .select("RESULT_ID", "PATIENT_ID", "ORDER_ID", "RESULT_TYPE_CD",
-                   "RESULT_DT_TM", "VALUE", "UNITS", "NORMAL_RANGE", "ABNORMAL_IND"))
-    return out.orderBy("RESULT_DT_TM", "RESULT_ID") if ordered else out
-
-
-def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, ordered: bool = True,
-                             hot_key_threshold: int | None = None) -> DataFrame:
-    """SER left join DEP on SER_ID, then left join EMP on DEP.DEP_ID (chain)."""
-    ser = t["CLARITY_SER"].where(F.col("SER_ID") >= F.lit(start_ser_id)) \
-        .select("SER_ID", "SER_NAME", "SER_TYPE_CD")
-    dep = t["CLARITY_DEP"].select("SER_ID", "DEP_ID", "DEP_NAME", "DEP_TYPE_CD")
-    emp = t["CLARITY_EMP"].select("DEP_ID", "EMP_ID", "EMP_NAME", "EMP_TYPE_CD")
-    # A null DEP_ID from the first join never matches EMP: equi join on null.
-    out = (left_join(left_join(ser, dep, "SER_ID", hot_key_threshold), emp, "DEP_ID", hot_key_threshold)
-           .select("SER_ID", "SER_NAME", "SER_TYPE_CD", "DEP_ID", "DEP_NAME",
-                   "DEP_TYPE_CD", "EMP_ID", "EMP_NAME", "EMP_TYPE_CD"))
+def _declared(d: ExtractDef, t: dict[str, DataFrame], values: list, ordered: bool, hot_key_threshold: int | None) -> DataFrame:
+    out = t[d.entities[0]]
+    if isinstance(out.schema[d.bound].dataType, (TimestampNTZType, TimestampType)):
+        values = [_ts(v) for v in values]
+    out = out.where(F.col(d.bound) >= values[0])
+    if len(values) > 1:
+        out = out.where(F.col(d.bound) < values[1])
+    out = out.select(*d.columns)
+    # In a chain, a null key from an earlier join matches nothing (equi join).
+    for j in d.joined:
+        side = t[j.entity].select(j.key, *[c for c in j.columns if c != j.key])
+        out = left_join(out, side, j.key, hot_key_threshold)
+    out = out.select(*d.output)
     # The source dialect sorts nulls last in ascending order.
-    return out.orderBy(F.col("SER_ID").asc(), F.col("DEP_ID").asc_nulls_last(), "EMP_ID") if ordered else out
+    return out.orderBy(*[F.col(c).asc_nulls_last() for c in d.sort]) if ordered and d.sort else out
 
 
-def visit_encounters(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
-                     hot_key_threshold: int | None = None) -> DataFrame:
-    """PATIENT_VISIT star-joined to ORDER_REC and ORDER_MISC on VISIT_ID."""
-    v = (t["PATIENT_VISIT"].where(_half_open("ADMIT_DT_TM", start_date, end_date))
-         .select("VISIT_ID", "PATIENT_ID", "ADMIT_DT_TM", "DISCH_DT_TM",
-                 "VISIT_TYPE_CD", "ACCOMMODATION_CD"))
-    r = t["ORDER_REC"].select("VISIT_ID", "ORDER_ID", "ORDER_STATUS_CD")
-    m = t["ORDER_MISC"].select("VISIT_ID", "ORDER_MISC_ID", "MISC_TYPE_CD")
-    # Both branches join on the same key: the first join's hash partitioning
-    # on VISIT_ID is reused by the second one.
-    out = (left_join(left_join(v, r, "VISIT_ID", hot_key_threshold), m, "VISIT_ID", hot_key_threshold)
-           .select("VISIT_ID", "PATIENT_ID", "ADMIT_DT_TM", "DISCH_DT_TM",
-                   "VISIT_TYPE_CD", "ACCOMMODATION_CD", "ORDER_ID",
-                   "ORDER_STATUS_CD", "ORDER_MISC_ID", "MISC_TYPE_CD"))
-    return out.orderBy("ADMIT_DT_TM", "VISIT_ID", "ORDER_ID", "ORDER_MISC_ID") if ordered else out
+def orders_psd(t: dict[str, DataFrame], start_date, end_date, **options) -> DataFrame:
+    return build_extract("extract_orders_psd", t, start_date=start_date, end_date=end_date, **options)
 
 
-def patient_demographics(t: dict[str, DataFrame], start_patient_id, ordered: bool = True,
-                         hot_key_threshold: int | None = None) -> DataFrame:
-    """PATIENT star-joined to PATIENT_ALLERGY and PATIENT_DIAGNOSIS."""
-    p = (t["PATIENT"].where(F.col("PATIENT_ID") >= F.lit(start_patient_id))
-         .select("PATIENT_ID", "FIRST_NAME", "LAST_NAME", "DOB", "SEX_CD",
-                 "MARITAL_STATUS_CD", "ADDRESS_LINE_1", "CITY", "STATE_CD", "ZIP_CD"))
-    a = t["PATIENT_ALLERGY"].select("PATIENT_ID", "ALLERGY_ID", "ALLERGY_TYPE_CD",
-                                    "ALLERGY_CD", "SEVERITY_CD")
-    d = t["PATIENT_DIAGNOSIS"].select("PATIENT_ID", "DIAGNOSIS_ID", "DIAGNOSIS_CD",
-                                      "DIAGNOSIS_TYPE_CD", "ONSET_DT_TM")
-    out = (left_join(left_join(p, a, "PATIENT_ID", hot_key_threshold), d, "PATIENT_ID", hot_key_threshold)
-           .select("PATIENT_ID", "FIRST_NAME", "LAST_NAME", "DOB", "SEX_CD",
-                   "MARITAL_STATUS_CD", "ADDRESS_LINE_1", "CITY", "STATE_CD",
-                   "ZIP_CD", "ALLERGY_ID", "ALLERGY_TYPE_CD", "ALLERGY_CD",
-                   "SEVERITY_CD", "DIAGNOSIS_ID", "DIAGNOSIS_CD",
-                   "DIAGNOSIS_TYPE_CD", "ONSET_DT_TM"))
-    return out.orderBy("PATIENT_ID", "ALLERGY_ID", "DIAGNOSIS_ID") if ordered else out
+def organizational_hierarchy(t: dict[str, DataFrame], start_ser_id, **options) -> DataFrame:
+    return build_extract("extract_organizational_hierarchy", t, start_ser_id=start_ser_id, **options)
 
 
-def billing_accounts(t: dict[str, DataFrame], start_date, end_date, ordered: bool = True,
-                     hot_key_threshold: int | None = None) -> DataFrame:
-    """ACCOUNT star-joined to PB_AR and GB_PAYMENT on ACCOUNT_ID.
-
-    The output repeats every AR row once per payment of the same account;
-    money totals must come from ``billing_totals`` instead.
-    """
-    a = (t["ACCOUNT"].where(_half_open("CREATE_DT_TM", start_date, end_date))
-         .select("ACCOUNT_ID", "PATIENT_ID", "ACCOUNT_TYPE_CD", "ACCOUNT_STATUS_CD",
-                 "BALANCE_AMT", "CREATE_DT_TM"))
-    ar = t["PB_AR"].select("ACCOUNT_ID", "AR_ID", "AR_TYPE_CD", "AMOUNT")
-    py = t["GB_PAYMENT"].select("ACCOUNT_ID", "PAYMENT_ID", "PAYMENT_DT_TM",
-                                "PAYMENT_AMT", "PAYMENT_METHOD_CD")
-    out = (left_join(left_join(a, ar, "ACCOUNT_ID", hot_key_threshold), py, "ACCOUNT_ID", hot_key_threshold)
-           .select("ACCOUNT_ID", "PATIENT_ID", "ACCOUNT_TYPE_CD", "ACCOUNT_STATUS_CD",
-                   "BALANCE_AMT", "CREATE_DT_TM", "AR_ID", "AR_TYPE_CD", "AMOUNT",
-                   "PAYMENT_ID", "PAYMENT_DT_TM", "PAYMENT_AMT", "PAYMENT_METHOD_CD"))
-    return out.orderBy("CREATE_DT_TM", "ACCOUNT_ID", "AR_ID", "PAYMENT_ID") if ordered else out
+def billing_accounts(t: dict[str, DataFrame], start_date, end_date, **options) -> DataFrame:
+    """The output repeats every AR row once per payment of the same account;
+    money totals must come from ``billing_totals`` instead."""
+    return build_extract("extract_billing_accounts", t, start_date=start_date, end_date=end_date, **options)
 
 
 def billing_totals(t: dict[str, DataFrame], start_date, end_date) -> DataFrame:
@@ -160,54 +92,13 @@ def billing_totals(t: dict[str, DataFrame], start_date, end_date) -> DataFrame:
                     F.coalesce("PAYMENT_ROWS", F.lit(0).cast("bigint")).alias("PAYMENT_ROWS")))
 
 
-@dataclass(frozen=True)
-class ExtractDef:
-    name: str
-    schema: str           # source schema group label (metadata only)
-    category: str         # hl7 / cdo / fin
-    entities: tuple[str, ...]
-    params: tuple[str, ...]
-    build: Callable[..., DataFrame]
-    description: str
-
-
-# Extract names, schema groups, categories and parameter names.
-EXTRACTS: dict[str, ExtractDef] = {d.name: d for d in [
-    ExtractDef("extract_orders_psd", "PSD", "hl7", ("ORDER_PROC", "SPECIMEN"),
-               ("start_date", "end_date"), orders_psd,
-               "ORDER_PROC and SPECIMEN records for HL7 outbound"),
-    ExtractDef("extract_respiratory_results", "PSD", "hl7", ("RESPIRATORY",),
-               ("start_date", "end_date"), respiratory_results,
-               "RESPIRATORY results for clinical reporting"),
-    ExtractDef("extract_organizational_hierarchy", "CDO", "cdo",
-               ("CLARITY_SER", "CLARITY_DEP", "CLARITY_EMP"),
-               ("start_ser_id",), organizational_hierarchy,
-               "organisational structure for facility mapping"),
-    ExtractDef("extract_visit_encounters", "HSD", "hl7",
-               ("PATIENT_VISIT", "ORDER_REC", "ORDER_MISC"),
-               ("start_date", "end_date"), visit_encounters,
-               "visits with their orders and misc orders"),
-    ExtractDef("extract_patient_demographics", "ARK", "cdo",
-               ("PATIENT", "PATIENT_ALLERGY", "PATIENT_DIAGNOSIS"),
-               ("start_patient_id",), patient_demographics,
-               "patients with allergies and diagnoses"),
-    ExtractDef("extract_billing_accounts", "FIN", "fin",
-               ("ACCOUNT", "PB_AR", "GB_PAYMENT"),
-               ("start_date", "end_date"), billing_accounts,
-               "billing accounts with AR rows and payments"),
-]}
-
-
-def extracts_by_category(category: str) -> list[ExtractDef]:
-    return [d for d in EXTRACTS.values() if d.category == category]
-
-
 def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True,
-                  hot_key_threshold: int | None = None, **params) -> DataFrame:
+                  hot_key_threshold: int | None = ROWS_PER_TASK, **params) -> DataFrame:
     """The extract as a lazy DataFrame; parameters are checked by name.
 
     ``hot_key_threshold``: join keys with more rows than this on a joined
-    side are salted (``operators.joins.left_join``); None relies on AQE.
+    side are salted (``operators.joins.left_join``). None plans plain joins,
+    as bucketed tables want them; AQE then splits left-side skew only.
     """
     d = EXTRACTS.get(name)
     if d is None:
@@ -216,8 +107,11 @@ def build_extract(name: str, tables: dict[str, DataFrame], ordered: bool = True,
     extra = [p for p in params if p not in d.params]
     if missing or extra:
         raise ValueError(f"{name}: missing params {missing}, unexpected {extra}")
-    return d.build(tables, ordered=ordered, hot_key_threshold=hot_key_threshold,
-                   **{p: params[p] for p in d.params})
+    if d.text is not None:
+        for entity in d.entities:
+            tables[entity].createOrReplaceTempView(entity)
+        return run_sql(tables[d.entities[0]].sparkSession, d.text, **params)
+    return _declared(d, tables, [params[p] for p in d.params], ordered, hot_key_threshold)
 
 
 @dataclass
@@ -232,7 +126,7 @@ class ExtractRun:
 
 
 def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], out_path: str,
-                fmt: str = "parquet", ordered: bool = False, hot_key_threshold: int | None = None,
+                fmt: str = "parquet", ordered: bool = False, hot_key_threshold: int | None = ROWS_PER_TASK,
                 timeout_s: float | None = None, **params) -> ExtractRun:
     """Run one extract into ``out_path`` and report status and row count.
 
@@ -257,7 +151,7 @@ def run_extract(spark: SparkSession, name: str, tables: dict[str, DataFrame], ou
             df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(out_path)
             return ExtractRun(name, "success", int(obs.get["rows"]), out_path, None, started, _dt.datetime.now())
         except Exception as e:  # reported, not raised: mirrors a job record
-            msg = f"Execution timeout (>{timeout_s}s)" if timed_out.is_set() else str(e)
+            msg = f"timeout: cancelled after {timeout_s} s" if timed_out.is_set() else str(e)
             return ExtractRun(name, "failed", 0, None, msg, started, _dt.datetime.now())
         finally:
             if timer is not None:

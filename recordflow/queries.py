@@ -7,6 +7,7 @@ result whose columns are aliased exactly as in the matching oracle SQL
 
 from __future__ import annotations
 
+import datetime
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
@@ -89,6 +90,13 @@ def q_extract_billing(spark, sf_dir):
                            start_date=FULL_START, end_date=FULL_END)
 
 
+def _window(name):
+    def q(spark, sf_dir):
+        return X.build_extract(name, _t(spark, sf_dir, *X.EXTRACTS[name].entities), **td.EXTRACT_WINDOWS[name])
+
+    return q
+
+
 # Whole-table parameters of each named extract, keyed by extract name.
 EXTRACT_PARAMS = {
     "extract_orders_psd": dict(start_date=FULL_START, end_date=FULL_END),
@@ -221,10 +229,7 @@ def q_recon_checksum_ordered(spark, sf_dir):
 
 
 def q_recon_nulls(spark, sf_dir):
-    c = _recon(spark, sf_dir).checks.where(F.col("check_name") == "null_count")
-    return c.select("entity_name", "field_name",
-                    F.col("source_value").cast("bigint").alias("source_null_count"),
-                    F.col("target_value").cast("bigint").alias("target_null_count"), "match")
+    return _recon(spark, sf_dir).null_counts
 
 
 def q_recon_duplicates(spark, sf_dir):
@@ -273,6 +278,15 @@ def q_recon_row_diff(spark, sf_dir):
     return R.row_diff(o, t, "o_orderkey")
 
 
+def q_recon_precision(spark, sf_dir):
+    """RESPIRATORY against targets that differ by little: an equal one, and one
+    whose values between 1 and 50 lie a few units of the last place off."""
+    src = _t(spark, sf_dir, "RESPIRATORY")["RESPIRATORY"]
+    off = F.when((F.col("VALUE") > 1) & (F.col("VALUE") < 50), F.col("VALUE") + F.lit(1e-10)).otherwise(F.col("VALUE"))
+    rec = R.reconcile([("EQUAL", src, src), ("OFF_BY_1E-10", src, src.withColumn("VALUE", off))], key="RESULT_ID")
+    return rec.report.select("entity_name", "source_count", "target_count", "checksum_match", "overall_match")
+
+
 def q_scorecard_entity(spark, sf_dir):
     return SC.score_entities(_recon(spark, sf_dir).report)
 
@@ -373,6 +387,15 @@ def q_incremental_extract_by_date(spark, sf_dir):
     return INC.incremental_batch(spark.read.parquet(base), led.get("ORDER_PROC"), "UPDATE_DT_TM", "change_date")
 
 
+STORED_POSITION = "2001-01-01 00:00:00"
+
+
+def q_incremental_from_position(spark, sf_dir):
+    """A pull from a stored position: only rows that changed after it."""
+    pos = datetime.datetime.fromisoformat(STORED_POSITION)
+    return INC.incremental_batch(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], pos, "UPDATE_DT_TM")
+
+
 def q_watermark_ledger(spark, sf_dir):
     """Per entity: a full first run, a run with no new rows, and a failed run
     (unknown format); then the ledger's position listing."""
@@ -426,6 +449,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_patients": q_extract_patients,
     "extract_patients_salted": q_extract_patients_salted,
     "extract_billing": q_extract_billing,
+    "extract_orders_window": _window("extract_orders_psd"),
+    "extract_respiratory_window": _window("extract_respiratory_results"),
+    "extract_org_window": _window("extract_organizational_hierarchy"),
+    "extract_visits_window": _window("extract_visit_encounters"),
+    "extract_patients_window": _window("extract_patient_demographics"),
+    "extract_billing_window": _window("extract_billing_accounts"),
     "billing_totals": q_billing_totals,
     "run_extracts": q_run_extracts,
     "validate_schema": q_validate_schema,
@@ -442,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_duplicates": q_recon_duplicates,
     "recon_report": q_recon_report,
     "recon_entities": q_recon_entities,
+    "recon_precision": q_recon_precision,
     "recon_row_diff": q_recon_row_diff,
     "scorecard_entity": q_scorecard_entity,
     "scorecard_overall": q_scorecard_overall,
@@ -456,6 +486,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scalar_functions": q_scalar_functions,
     "incremental_extract": q_incremental_extract,
     "incremental_extract_by_date": q_incremental_extract_by_date,
+    "incremental_from_position": q_incremental_from_position,
     "watermark_ledger": q_watermark_ledger,
     "etl_job": q_etl_job,
     "incremental_stream": q_incremental_stream,

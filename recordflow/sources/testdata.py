@@ -47,11 +47,13 @@ ADAPTERS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         ("r_name", "SER_NAME"),
         ("'REGION'", "SER_TYPE_CD"),
     ]),
-    "CLARITY_DEP": ("nation", "n_regionkey <> 4", [
+    # Region 4's nations, 'A' lines and events other than errors point at
+    # parents that aren't there, so joins keep unmatched rows on both sides.
+    "CLARITY_DEP": ("nation", None, [
         ("n_nationkey", "DEP_ID"),
         ("n_name", "DEP_NAME"),
         ("'NATION'", "DEP_TYPE_CD"),
-        ("n_regionkey", "SER_ID"),
+        ("CASE WHEN n_regionkey = 4 THEN 99 ELSE n_regionkey END", "SER_ID"),
     ]),
     "CLARITY_EMP": ("supplier", None, [
         ("s_suppkey", "EMP_ID"),
@@ -72,9 +74,9 @@ ADAPTERS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         ("l_orderkey", "VISIT_ID"),
         ("l_linestatus", "ORDER_STATUS_CD"),
     ]),
-    "ORDER_MISC": ("lineitem", "l_returnflag = 'R'", [
+    "ORDER_MISC": ("lineitem", "l_returnflag <> 'N'", [
         ("l_orderkey * 10 + l_linenumber", "ORDER_MISC_ID"),
-        ("l_orderkey", "VISIT_ID"),
+        ("CASE WHEN l_returnflag = 'R' THEN l_orderkey ELSE -1 - l_orderkey END", "VISIT_ID"),
         ("l_linestatus", "MISC_TYPE_CD"),
     ]),
     "PATIENT": ("customer", None, [
@@ -89,9 +91,9 @@ ADAPTERS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         ("r_name", "STATE_CD"),
         ("CAST(c_nationkey AS STRING)", "ZIP_CD"),
     ]),
-    "PATIENT_ALLERGY": ("events", "event_type = 'error'", [
+    "PATIENT_ALLERGY": ("events", None, [
         ("event_id", "ALLERGY_ID"),
-        ("user_id", "PATIENT_ID"),
+        ("CASE WHEN event_type = 'error' THEN user_id ELSE -1 - user_id END", "PATIENT_ID"),
         ("event_type", "ALLERGY_TYPE_CD"),
         ("props", "ALLERGY_CD"),
         ("CASE WHEN value > 100 THEN 'SEVERE' ELSE 'MILD' END", "SEVERITY_CD"),
@@ -144,6 +146,17 @@ CHANGE_COLUMNS: dict[str, str] = {
 }
 
 
+# Narrow parameters of each extract, beside the whole-table ones.
+EXTRACT_WINDOWS: dict[str, dict] = {
+    "extract_orders_psd": {"start_date": "1998-01-01", "end_date": "1999-01-01"},
+    "extract_respiratory_results": {"start_date": "2024-01-08", "end_date": "2024-01-15"},
+    "extract_organizational_hierarchy": {"start_ser_id": 1},
+    "extract_visit_encounters": {"start_date": "1998-01-01", "end_date": "1999-01-01"},
+    "extract_patient_demographics": {"start_patient_id": 100},
+    "extract_billing_accounts": {"start_date": "1998-01-01", "end_date": "1999-01-01"},
+}
+
+
 # The driver's test tables are read-only, so each one is listed and its
 # schema read once per session (the library's own scans never cache: real
 # incremental sources grow between runs).

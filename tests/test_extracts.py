@@ -129,3 +129,37 @@ def test_run_extract_timeout_cancels_jobs(spark, tmp_out, monkeypatch):
     run = X.run_extract(spark, "extract_orders_psd", {}, tmp_out + "/slow", timeout_s=3, **Y98)
     assert run.status == "failed" and run.error == "Execution timeout (>3s)"
     assert (run.completed_ts - run.started_ts).total_seconds() < 60
+
+
+def test_user_extracts_run_from_the_catalog(spark, tmp_out):
+    t = {"A": spark.createDataFrame([(1, "x"), (2, "y"), (5, None)], "K long, V string"),
+         "B": spark.createDataFrame([(1, 10), (1, 11), (9, 12)], "K long, W long")}
+    declared = X.ExtractDef("user_declared", "X", "own", ("A", "B"), ("start_k",), bound="K", columns=("K", "V"),
+                            joined=(X.Joined("B", "K", ("W",)),), sort=("K", "W"))
+    as_text = X.ExtractDef("user_text", "X", "own", ("A", "B"), ("start_k",),
+                           text="SELECT A.K, V, W FROM A LEFT JOIN B ON A.K = B.K WHERE A.K >= :start_k")
+    try:
+        for d in (declared, as_text):
+            X.register_extract(d)
+            run = X.run_extract(spark, d.name, t, f"{tmp_out}/{d.name}", start_k=1)
+            assert (run.status, run.rows) == ("success", 4), run.error
+            assert sorted(map(str, spark.read.parquet(run.path).collect())) == sorted(map(str, t["A"].join(t["B"], "K", "left").collect()))
+        with pytest.raises(ValueError):
+            X.register_extract(declared)
+        with pytest.raises(ValueError):
+            X.register_extract(X.ExtractDef("bad", "X", "own", ("A", "B"), ("p",), bound="K", columns=("K",), joined=(X.Joined("B", "Z", ("W",)),)))
+    finally:
+        X.unregister_extract("user_declared")
+        X.unregister_extract("user_text")
+
+
+def test_salted_star_spreads_a_hot_key_without_a_cap(spark):
+    """90 % of both sides' rows on one key: no (key, salt) group above a few times the target."""
+    from recordflow.operators.joins import hot_keys, left_join
+    left = spark.createDataFrame([(1, "l")], "k long, l string")
+    right = spark.range(20000).selectExpr("IF(id < 18000, 1L, id) AS k", "id AS r")
+    salts = {r["k"]: r["_b"] for r in hot_keys(right, "k", 100).collect()}
+    assert salts == {1: 180}
+    spread = right.where("k = 1").selectExpr("pmod(xxhash64(k, r), 180) AS s").groupBy("s").count().agg(F.max("count")).first()[0]
+    assert spread <= 200
+    assert left_join(left_join(left, right, "k", 100), right.withColumnRenamed("r", "r2").where("r2 % 9000 = 0"), "k", 100).count() == 18000 * 2

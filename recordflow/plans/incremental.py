@@ -223,7 +223,7 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS, staged_path=f"{run_path}/staged")
         rec.status, rec.position_after, rec.output_path = SUCCESS, new_pos, res.path
     except Exception as e:
-        rec.status, rec.error_message, rec.position_after = FAILED, str(e)[:2000], pos
+        rec.status, rec.error_message, rec.position_after = FAILED, str(e), pos
         rec.rows_extracted = rec.rows_exported = 0
         if entity in ENTITIES:  # an unknown name is no folder of the ledger
             led.append(entity, job_id, pos, 0, FAILED, rec.error_message)

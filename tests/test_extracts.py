@@ -127,7 +127,7 @@ def test_run_extract_timeout_cancels_jobs(spark, tmp_out, monkeypatch):
     slow = spark.range(0, 10 ** 12, numPartitions=64).selectExpr("id % 7 AS k").groupBy("k").count()
     monkeypatch.setattr(X, "build_extract", lambda *a, **k: slow)
     run = X.run_extract(spark, "extract_orders_psd", {}, tmp_out + "/slow", timeout_s=3, **Y98)
-    assert run.status == "failed" and run.error == "Execution timeout (>3s)"
+    assert run.status == "failed" and run.error == "timeout: cancelled after 3 s"
     assert (run.completed_ts - run.started_ts).total_seconds() < 60
 
 

@@ -68,7 +68,9 @@ def test_referential_on_test_tables(spark):
     t = td.entities(spark, SF01)
     rows = {r["entity_name"] + "." + r["field_name"]: r["orphan_rows"] for r in Q.validate_referential(t).collect()}
     assert rows["SPECIMEN.ORDER_ID"] == 0
-    assert rows["CLARITY_EMP.DEP_ID"] > 0          # employees of nations left out of CLARITY_DEP
+    assert rows["CLARITY_DEP.SER_ID"] == 5         # region 4's nations name a service that isn't there
+    assert rows["CLARITY_EMP.DEP_ID"] == 0
+    assert rows["ORDER_MISC.VISIT_ID"] > 0 and rows["PATIENT_ALLERGY.PATIENT_ID"] > 0
     assert rows["ORDER_REC.VISIT_ID"] == 0
 
 

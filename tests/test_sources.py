@@ -24,10 +24,12 @@ def test_read_entity_rejects_unknown_names(spark):
 
 
 def test_adapter_row_counts(spark):
-    # Sizes at sf0.001 follow from the adapter filters on the base tables.
+    # Whole base tables; lineitem is dealt between the entities of each pair.
     t = td.entities(spark, SF001)
-    assert t["CLARITY_DEP"].count() == 20 and t["CLARITY_SER"].count() == 5
+    assert t["CLARITY_DEP"].count() == 25 and t["CLARITY_SER"].count() == 5
     assert t["ORDER_PROC"].count() == spark.read.parquet(SF001 + "/orders.parquet").count()
+    lines = spark.read.parquet(SF001 + "/lineitem.parquet").count()
+    assert t["ORDER_REC"].count() + t["ORDER_MISC"].count() == lines == t["PB_AR"].count() + t["GB_PAYMENT"].count()
     assert set(t["PATIENT"].columns) >= {"PATIENT_ID", "LAST_NAME", "DOB"}
 
 

@@ -11,6 +11,9 @@ multiplies in the join.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,6 +107,12 @@ class Reconciliation:
         return self._checks
 
 
+    def identified(self, report_id: str | None = None, generated_at: _dt.datetime | None = None) -> DataFrame:
+        """The report with its id and time (a new id and the present time unless given)."""
+        return self.report.select(
+            F.lit(report_id or uuid.uuid4().hex).alias("report_id"),
+            F.lit(str(generated_at or _dt.datetime.now())).cast("timestamp_ntz").alias("generated_at"), "*")
+
     @property
     def null_counts(self) -> DataFrame:
         """The null-count checks alone, from the null columns alone: no digest, no key shuffle."""

@@ -403,6 +403,13 @@ SELECT bundle_no, entries,
 FROM B
 """, ["PATIENT"]).replace("\n\n, R AS", ",\nR AS")
 
+ORACLE["export_csv_files"] = "\nUNION ALL\n".join(
+    f"SELECT '{e}' AS entity_name, 'header' AS part, '{','.join(a for _, a in ADAPTERS[e][2])}' AS line\n"
+    f"UNION ALL\nSELECT '{e}', 'data', line FROM ({_csv_sql(e)})" for e in ("RESPIRATORY", "ACCOUNT"))
+ORACLE["export_hl7_files"] = (
+    f"SELECT unnest(string_split(rtrim(message, chr(13)), chr(13))) AS segment FROM ({ORACLE['export_hl7']})")
+ORACLE["export_fhir_files"] = f"SELECT bundle FROM ({ORACLE['export_fhir_bundle']})"
+
 _PCOLS = sorted(a for _, a in ADAPTERS["PATIENT"][2])
 _ROW_JSON = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in _PCOLS) + "}) AS VARCHAR)"
 ORACLE["scalar_functions"] = W(f"""
@@ -432,6 +439,31 @@ ORACLE["incremental_extract_by_date"] = W(
 ORACLE["incremental_from_position"] = W(
     "SELECT * FROM ORDER_PROC WHERE UPDATE_DT_TM > TIMESTAMP '2001-01-01 00:00:00'", ["ORDER_PROC"])
 
+ORACLE["incremental_by_period"] = W("\nUNION ALL\n".join(
+    f"SELECT '{g}' AS layout, *, CAST(date_trunc('{g}', UPDATE_DT_TM) AS DATE) AS change_date FROM ORDER_PROC "
+    f"WHERE UPDATE_DT_TM > TIMESTAMP '2000-06-15 10:00:00'" for g in ("day", "month", "year")), ["ORDER_PROC"])
+
+ORACLE["entity_scan"] = W("SELECT * FROM ORDER_PROC", ["ORDER_PROC"])
+
+ORACLE["etl_overlap"] = W("""
+SELECT CAST(2 AS BIGINT) AS run_no, * FROM (
+  SELECT * REPLACE ('LATE' AS ORDER_STATUS_CD) FROM ORDER_PROC WHERE ORDER_ID % 20 = 0
+  UNION ALL SELECT * REPLACE (NULL AS ORDER_ID) FROM ORDER_PROC WHERE ORDER_ID % 30 = 0
+  UNION ALL SELECT * FROM ORDER_PROC WHERE ORDER_ID % 70 = 0)
+""", ["ORDER_PROC"])
+
+# Entity, format and change column of the recorded runs.
+_RUNS = [("ORDER_PROC", "hl7", "UPDATE_DT_TM"), ("ACCOUNT", "csv", "CREATE_DT_TM"), ("PATIENT_VISIT", "fhir", "ADMIT_DT_TM")]
+_RUN_BATCHES = {b[0]: b for b in _BATCHES}
+ORACLE["run_history"] = _q("\nUNION ALL\n".join(
+    f"SELECT v.entity_name, 'success' AS status, '{f}' AS export_format, v.rows_checked AS rows_extracted, "
+    f"v.rows_checked AS rows_exported, v.passed AS validation_passed, v.issues_found, "
+    f"TIMESTAMP '1900-01-01 00:00:00' AS position_before, (SELECT max({c}) FROM {e}) AS position_after, "
+    f"TRUE AS published, TRUE AS timed FROM ({_va_summary(*_RUN_BATCHES[e])}) v" for e, f, c in _RUNS)
+    + "\nUNION ALL\nSELECT 'SPECIMEN', 'failed', 'xml', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS BOOLEAN), "
+      "CAST(NULL AS BIGINT), TIMESTAMP '1900-01-01 00:00:00', TIMESTAMP '1900-01-01 00:00:00', FALSE, TRUE")
+ORACLE["run_issues"] = _q("\nUNION ALL\n".join(_va_issues(*_RUN_BATCHES[e]) for e, _, _ in _RUNS))
+
 ORACLE["watermark_ledger"] = W("\nUNION ALL\n".join(
     f"SELECT '{e}' AS entity_name, max({c}) AS last_extract_ts, CAST(0 AS BIGINT) AS last_rows, "
     f"count(*) AS total_rows, CAST(2 AS BIGINT) AS successful_runs, CAST(1 AS BIGINT) AS failed_runs, "

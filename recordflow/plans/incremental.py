@@ -2,10 +2,14 @@
 
 The ledger is an append-only Parquet table in the shared folder, one row
 per run: (entity_name, run_id, run_seq, last_extract_ts, rows_extracted,
-status, message), partitioned by entity so runs of different entities
-append to separate folders and may run concurrently. A reader takes, per
-entity, the latest *successful* row, so a failed or half-finished run
-never moves the position. The
+status, message) and the rest of the run's record (format, times, exported
+rows, validation, output folder), partitioned by entity so runs of different
+entities append to separate folders and may run concurrently. A reader takes,
+per entity, the latest *successful* row, so a failed or half-finished run
+never moves the position. The folder that ``output_path`` names in a
+successful row is published; one that a run left when it died before its
+ledger row is in no row. Findings of a run's validation are kept in a second
+table beside the ledger. The
 position is the largest change time of the rows actually exported (not the
 wall clock), and it stays put on failure or on an empty batch.
 """
@@ -25,8 +29,6 @@ from ..functions import columns as C
 from ..operators.quality import missing_required, validate_all
 from ..sources import sinks
 
-LEDGER_SCHEMA = ("entity_name string, run_id string, run_seq bigint, last_extract_ts timestamp_ntz, "
-                 "rows_extracted bigint, status string, message string, staged_path string")
 SUCCESS, FAILED = "success", "failed"
 
 
@@ -37,7 +39,12 @@ def _ts_lit(v) -> F.Column:
 
 
 _ROW_SCHEMA = ("run_id string, run_seq bigint, last_extract_ts timestamp_ntz, "
-               "rows_extracted bigint, status string, message string, staged_path string")
+               "rows_extracted bigint, status string, message string, staged_path string, "
+               "export_format string, rows_exported bigint, validation_passed boolean, issues_found bigint, "
+               "position_before timestamp_ntz, output_path string, started_ts timestamp_ntz, completed_ts timestamp_ntz")
+LEDGER_SCHEMA = "entity_name string, " + _ROW_SCHEMA
+_ISSUE_SCHEMA = ("run_id string, detected_ts timestamp_ntz, level string, validation_type string, "
+                 "field_name string, message string, row_count bigint")
 
 
 class PositionLedger:
@@ -84,9 +91,31 @@ class PositionLedger:
                 .select("staged_path").collect())
         return [r[0] for r in rows]
 
+    def runs(self, run_id: str | None = None) -> DataFrame:
+        """The record of every run, or of one (the id's filter reaches the scan)."""
+        led = self.read()
+        return led if run_id is None else led.where(F.col("run_id") == run_id)
+
+    def issues(self, run_id: str | None = None) -> DataFrame:
+        """What the validations of all runs found, or that of one run."""
+        path = f"{self.path}-issues"
+        self.spark.createDataFrame([], _ISSUE_SCHEMA).write.mode("ignore").parquet(path)
+        out = self.spark.read.schema(_ISSUE_SCHEMA + ", entity_name string").parquet(path)
+        return out if run_id is None else out.where(F.col("run_id") == run_id)
+
+    def append_issues(self, entity: str, run_id: str, found: list) -> None:
+        """Keep a run's findings (one row per failed check, so a few at most)."""
+        if found:
+            now = _dt.datetime.now()
+            rows = [(run_id, now, r["level"], r["validation_type"], r["field_name"], r["message"], r["row_count"]) for r in found]
+            self.spark.createDataFrame(rows, _ISSUE_SCHEMA).coalesce(1).write.mode("append") \
+                .parquet(f"{self.path}-issues/entity_name={entity}")
+
     def append(self, entity: str, run_id: str, position, rows: int, status: str, message: str | None = None,
-               staged_path: str | None = None):
-        row = [(run_id, time.time_ns(), position, int(rows), status, message, staged_path)]
+               staged_path: str | None = None, record: RunRecord | None = None):
+        r = record or RunRecord(run_id, entity, status, None, rows_exported=None)
+        row = [(run_id, time.time_ns(), position, int(rows), status, message, staged_path, r.export_format, r.rows_exported,
+                r.validation_passed, r.issues_found, r.position_before, r.output_path, r.started_ts, r.completed_ts)]
         self.spark.createDataFrame(row, _ROW_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(f"{self.path}/entity_name={entity}")
 
@@ -209,8 +238,9 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
          .write.mode("overwrite").parquet(f"{run_path}/staged"))
         m = obs.get
         staged = spark.read.parquet(f"{run_path}/staged")
-        summary = validate_all(staged, entity, key).summary.first()
-        rec.validation_passed, rec.issues_found = bool(summary["passed"]), int(summary["issues_found"])
+        found = validate_all(staged, entity, key).issues.collect()  # one row per failed check
+        rec.validation_passed, rec.issues_found = not found, len(found)
+        led.append_issues(entity, job_id, found)
         if fail_on == "warning" and not rec.validation_passed:
             raise ValueError(f"validation failed with {rec.issues_found} issue(s)")
         res = sinks.export(staged, export_format, f"{run_path}/{export_format}", **export_opts)
@@ -220,14 +250,14 @@ def run_etl_job(spark: SparkSession, entity: str, source: DataFrame, ledger_path
         # has already moved the position; this run must not move it again.
         if led.latest(entity)[1] != seen_seq:
             raise RuntimeError("another run of this entity advanced the position during this run")
-        led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS, staged_path=f"{run_path}/staged")
-        rec.status, rec.position_after, rec.output_path = SUCCESS, new_pos, res.path
+        rec.status, rec.position_after, rec.output_path, rec.completed_ts = SUCCESS, new_pos, res.path, _dt.datetime.now()
+        led.append(entity, job_id, new_pos, rec.rows_extracted, SUCCESS, staged_path=f"{run_path}/staged", record=rec)
     except Exception as e:
-        rec.status, rec.error_message, rec.position_after = FAILED, str(e), pos
+        rec.status, rec.error_message, rec.position_after, rec.output_path = FAILED, str(e), pos, None
         rec.rows_extracted = rec.rows_exported = 0
+        rec.completed_ts = _dt.datetime.now()
         if entity in ENTITIES:  # an unknown name is no folder of the ledger
-            led.append(entity, job_id, pos, 0, FAILED, rec.error_message)
-    rec.completed_ts = _dt.datetime.now()
+            led.append(entity, job_id, pos, 0, FAILED, rec.error_message, record=rec)
     return rec
 
 

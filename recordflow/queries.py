@@ -27,6 +27,7 @@ from .session import run_dir
 from .sources import recon_fixtures as RF
 from .sources import sinks as SK
 from .sources import testdata as td
+from .sources.entity_source import read_entity
 from .streaming import incremental_stream as ST
 
 # Parameters of the registered extracts. They span the whole test tables, so
@@ -348,6 +349,35 @@ def q_export_fhir_bundle(spark, sf_dir):
     return SK.fhir_bundles(df, "Patient", BUNDLE_PAGE, RUN_TS, RUN_ID, order_by=["PATIENT_ID"])
 
 
+def q_export_csv_files(spark, sf_dir):
+    """CSV files of results (doubles) and accounts (decimals): header and data lines as read back."""
+    base = run_dir(spark, "csv_files")
+    parts = []
+    for name, df in _t(spark, sf_dir, "RESPIRATORY", "ACCOUNT").items():
+        files = SK.export(df, "csv", f"{base}/{name}").files
+        parts += [spark.read.option("lineSep", SK.CSV_LINE_SEP).text(files[part]).select(
+            F.lit(name).alias("entity_name"), F.lit(part).alias("part"), F.col("value").alias("line"))
+            for part in ("header", "data")]
+    return _union(parts)
+
+
+def q_export_hl7_files(spark, sf_dir):
+    """HL7 files: the segments as read back, without the empty ones between messages."""
+    path = run_dir(spark, "hl7_files")
+    SK.export(hl7_input(_t(spark, sf_dir, "ORDER_PROC", "PATIENT")), "hl7", path,
+              run_ts=RUN_TS, run_id=RUN_ID, order_by=["ORDER_ID"])
+    return (spark.read.option("lineSep", SK.H7.SEGMENT_SEP).text(path)
+            .where("value <> ''").select(F.col("value").alias("segment")))
+
+
+def q_export_fhir_files(spark, sf_dir):
+    """FHIR bundle files: one bundle per line, as read back."""
+    path = run_dir(spark, "fhir_files")
+    SK.export(_t(spark, sf_dir, "PATIENT")["PATIENT"], "fhir", path, resource_type="Patient", page_size=BUNDLE_PAGE,
+              run_ts=RUN_TS, run_id=RUN_ID, order_by=["PATIENT_ID"])
+    return spark.read.text(path).select(F.col("value").alias("bundle"))
+
+
 def q_scalar_functions(spark, sf_dir):
     p = _t(spark, sf_dir, "PATIENT")["PATIENT"]
     idt = F.col("PATIENT_ID").cast("string")
@@ -396,6 +426,85 @@ def q_incremental_from_position(spark, sf_dir):
     return INC.incremental_batch(_t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], pos, "UPDATE_DT_TM")
 
 
+PERIOD_POSITION = "2000-06-15 10:00:00"
+
+
+def q_incremental_by_period(spark, sf_dir):
+    """The same pull over layouts by day, month and year: each gives the same rows."""
+    pos = datetime.datetime.fromisoformat(PERIOD_POSITION)
+    src, parts = _t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"], []
+    for layout in ("day", "month", "year"):
+        path = run_dir(spark, f"by_{layout}")
+        INC.write_by_change_date(src, path, "UPDATE_DT_TM", granularity=layout, mode="overwrite")
+        batch = INC.incremental_batch(spark.read.parquet(path), pos, "UPDATE_DT_TM", "change_date")
+        parts.append(batch.select(F.lit(layout).alias("layout"), "*"))
+    return _union(parts)
+
+
+def q_entity_scan(spark, sf_dir):
+    """ORDER_PROC by a named-entity scan of its files."""
+    return td.adapt(read_entity(spark, "ORDER_PROC", path=f"{sf_dir}/orders.parquet"), "ORDER_PROC")
+
+
+def late_rows(src: DataFrame) -> DataFrame:
+    """Rows that arrive after a first run: other rows of known keys and times, null keys, and exact repeats."""
+    other = src.where("ORDER_ID % 20 = 0").withColumn("ORDER_STATUS_CD", F.lit("LATE"))
+    no_key = src.where("ORDER_ID % 30 = 0").withColumn("ORDER_ID", F.lit(None).cast(src.schema["ORDER_ID"].dataType))
+    return other.unionByName(no_key).unionByName(src.where("ORDER_ID % 70 = 0"))
+
+
+def q_etl_overlap(spark, sf_dir):
+    """A run over everything, then two with an overlap window over the table
+    with late rows: each late row is exported once, by the second run."""
+    base = run_dir(spark, "etl_overlap")
+    src = _t(spark, sf_dir, "ORDER_PROC")["ORDER_PROC"]
+    later, window = src.unionByName(late_rows(src)), datetime.timedelta(days=36500)
+    runs = [INC.run_etl_job(spark, "ORDER_PROC", df, f"{base}/ledger", f"{base}/out", "csv", overlap=overlap)
+            for df, overlap in ((src, None), (later, window), (later, window))]
+    return _union([spark.read.parquet(f"{base}/out/ORDER_PROC/{r.job_id}/staged").select(
+        F.lit(n).cast("bigint").alias("run_no"), "*") for n, r in enumerate(runs[1:], 2)])
+
+
+# Entity, export format and options of the recorded runs; the last one fails.
+RECORDED_RUNS = [
+    ("ORDER_PROC", "hl7", dict(run_ts=RUN_TS, run_id=RUN_ID, order_by=["ORDER_ID"])),
+    ("ACCOUNT", "csv", {}),
+    ("PATIENT_VISIT", "fhir", dict(resource_type="Encounter", page_size=BUNDLE_PAGE, run_ts=RUN_TS, run_id=RUN_ID,
+                                   order_by=["VISIT_ID"])),
+    ("SPECIMEN", "xml", {}),
+]
+
+
+def _recorded_runs(spark, sf_dir):
+    """Runs in all three formats and a failed one: the ledger and the job ids."""
+    base = run_dir(spark, "recorded")
+    led = INC.PositionLedger(spark, f"{base}/ledger")
+    t = _t(spark, sf_dir, *[e for e, _, _ in RECORDED_RUNS])
+
+    def one(item):
+        ent, fmt, opts = item
+        return INC.run_etl_job(spark, ent, t[ent], led.path, f"{base}/out", fmt,
+                               change_col=td.CHANGE_COLUMNS[ent], **opts).job_id
+
+    with ThreadPoolExecutor(max_workers=len(RECORDED_RUNS)) as pool:
+        return led, list(pool.map(one, RECORDED_RUNS))
+
+
+def q_run_history(spark, sf_dir):
+    """The kept records of the runs."""
+    led, _ = _recorded_runs(spark, sf_dir)
+    return led.runs().select(
+        "entity_name", "status", "export_format", "rows_extracted", "rows_exported", "validation_passed", "issues_found",
+        "position_before", F.col("last_extract_ts").alias("position_after"),
+        F.col("output_path").isNotNull().alias("published"), (F.col("completed_ts") >= F.col("started_ts")).alias("timed"))
+
+
+def q_run_issues(spark, sf_dir):
+    """The kept findings, looked up by job id."""
+    led, ids = _recorded_runs(spark, sf_dir)
+    return _union([led.issues(i) for i in ids]).select(*Q.ISSUE_COLS)
+
+
 def q_watermark_ledger(spark, sf_dir):
     """Per entity: a full first run, a run with no new rows, and a failed run
     (unknown format); then the ledger's position listing."""
@@ -483,10 +592,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fhir_observation": q_fhir_observation,
     "fhir_passthrough": q_fhir_passthrough,
     "export_fhir_bundle": q_export_fhir_bundle,
+    "export_csv_files": q_export_csv_files,
+    "export_hl7_files": q_export_hl7_files,
+    "export_fhir_files": q_export_fhir_files,
     "scalar_functions": q_scalar_functions,
     "incremental_extract": q_incremental_extract,
     "incremental_extract_by_date": q_incremental_extract_by_date,
     "incremental_from_position": q_incremental_from_position,
+    "incremental_by_period": q_incremental_by_period,
+    "entity_scan": q_entity_scan,
+    "etl_overlap": q_etl_overlap,
+    "run_history": q_run_history,
+    "run_issues": q_run_issues,
     "watermark_ledger": q_watermark_ledger,
     "etl_job": q_etl_job,
     "incremental_stream": q_incremental_stream,

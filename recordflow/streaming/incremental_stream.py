@@ -37,10 +37,11 @@ def run_incremental_stream(spark: SparkSession, source_dir: str, schema, entity:
         data_path = f"{out_root}/data/batch={epoch_id}"
         batch.write.mode("overwrite").parquet(data_path)
         staged = batch.sparkSession.read.parquet(data_path)
-        (validate_all(staged, entity, key).summary.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-         .coalesce(1).write.mode("overwrite").parquet(f"{out_root}/metrics/batch={epoch_id}"))
         if export_format:
             sinks.export(staged, export_format, f"{out_root}/{export_format}/batch={epoch_id}", **export_opts)
+        # Written last: a batch counts as finished once its metrics are there.
+        (validate_all(staged, entity, key).summary.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{out_root}/metrics/batch={epoch_id}"))
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
@@ -51,8 +52,9 @@ def run_incremental_stream(spark: SparkSession, source_dir: str, schema, entity:
 
 
 def stream_output(spark: SparkSession, out_root: str) -> DataFrame:
-    """All exported rows so far (the partition column ``batch`` dropped)."""
-    return spark.read.parquet(f"{out_root.rstrip('/')}/data").drop("batch")
+    """All exported rows of finished batches (the partition column ``batch`` dropped)."""
+    done = stream_metrics(spark, out_root).select("batch").distinct()
+    return spark.read.parquet(f"{out_root.rstrip('/')}/data").join(done, "batch", "left_semi").drop("batch")
 
 
 def stream_metrics(spark: SparkSession, out_root: str) -> DataFrame:

@@ -1,13 +1,17 @@
 """Line dedup by log templates.
 
 A line is parsed down a tree of fixed depth: its number of tokens, then its
-first ``DEPTH`` tokens; tokens with a digit count as one variable token. Lines
-of one leaf are generalised place by place: a token that stands at its place in
-the lines of at least ``min_docs`` documents is part of the template, any other
-is a variable field. Lines with the same constant tokens share a template. A
-template that at least ``min_docs`` documents have, and that is constant in at
-least ``CONSTANT`` of its places, is recurring: its lines stay in the document
-with the smallest id and are dropped from the others.
+first ``DEPTH`` tokens; there tokens with a digit count as one variable token.
+Lines of one leaf are generalised place by place. A token weighs as much as the
+documents of the leaf that have it at its place. In the lines of one template
+the constant tokens weigh alike and the values of a field less, however many
+lines there are; so the least weight among the heaviest ``CONSTANT`` of a line's
+places tells what its constants weigh, and every token of at least ``SAME`` of
+that is part of the template, any other a variable field. Lines with the same
+constant tokens share a template. A template that at least ``min_docs``
+documents have is recurring, and so is a line that as many have word by word:
+its lines stay in the document with the smallest id and are dropped from the
+others.
 
 Lines with fewer than ``MIN_TOKENS`` tokens are never dropped.
 """
@@ -25,6 +29,7 @@ DEPTH = 3
 MIN_TOKENS = 5
 MIN_DOCS = 5
 CONSTANT = 0.6  # least share of constant places
+SAME = 0.5  # least weight of a constant token, as a share of the others' weight
 
 _U = np.uint64
 _VARIABLE = _U(0x5BD1E995)
@@ -37,8 +42,8 @@ class Lines:
         w = Words(texts)
         b = np.frombuffer(w.buf, np.uint8)
         digits = np.concatenate([[0], np.cumsum((b >= 0x30) & (b <= 0x39))])
-        constant = digits[w.end] == digits[w.start]
-        self.token = np.where(constant, w.hash, _VARIABLE)
+        self.token = w.hash
+        lead = np.where(digits[w.end] == digits[w.start], w.hash, _VARIABLE)
         end = np.flatnonzero(b[:-8] == 10)
         start = np.concatenate([[0], end[:-1] + 1])
         first, last = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
@@ -49,7 +54,7 @@ class Lines:
         self.text, self.place, self.first, self.n = text[use], place[use], first[use], (last - first)[use]
         leaf = mix(self.n.astype(_U) + _U(3))
         for j in range(DEPTH):
-            leaf = mix(leaf ^ self.token[self.first + j]) if len(leaf) else leaf
+            leaf = mix(leaf ^ lead[self.first + j]) if len(leaf) else leaf
         self.leaf = leaf
         # Key of a line: a sum over its tokens, each mixed with its place.
         at = np.repeat(self.first - np.concatenate([[0], np.cumsum(self.n)[:-1]]), self.n) + np.arange(self.n.sum())
@@ -58,8 +63,6 @@ class Lines:
         cut = np.concatenate([[0], np.cumsum(self.n)])
         total = np.concatenate([[_U(0)], np.cumsum(mixed, dtype=_U)])
         self.key = mix((total[cut[1:]] - total[cut[:-1]]) ^ mix(self.n.astype(_U)))
-        known = np.concatenate([[0], np.cumsum(constant[at])])
-        self.constant = known[cut[1:]] - known[cut[:-1]]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -72,8 +75,7 @@ def _keys(batches):
             x = Lines([lower_ascii(t) for _, t in part])
             _, one = np.unique(mix(x.text.astype(_U) + _U(1)) ^ x.key, return_index=True)  # once per document
             ids = np.array([d for d, _ in part], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[x.text[one]]), pa.array(_signed(x.leaf[one])), pa.array(_signed(x.key[one])), pa.array(x.n[one]), pa.array(x.constant[one])],
-                                             names=["id", "leaf", "line", "n", "constant"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[x.text[one]]), pa.array(_signed(x.leaf[one])), pa.array(_signed(x.key[one])), pa.array(x.n[one])], names=["id", "leaf", "line", "n"])
 
 
 def _tokens(batches):
@@ -89,21 +91,23 @@ def _tokens(batches):
 
 
 def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
-    """(line, template, constant) of every line of a leaf that enough documents reach."""
-    distinct = lines.groupBy("leaf", "line", "n", "constant").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
+    """(line, template) of every line of a leaf that enough documents reach; a line that enough documents have is a template itself."""
+    distinct = lines.groupBy("leaf", "line", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
     leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
     near = stored(distinct.join(leaves, "leaf"), "lines/candidates")
-    alone = near.where("kinds = 1").select("line", F.col("line").alias("template"), (F.col("constant") / F.col("n")).alias("share"))
+    exact = near.where(F.col("docs") >= min_docs).select("line", F.col("line").alias("template"))
     # The tokens of a line come from the first document that has it.
     several = near.where("kinds > 1").select("leaf", "line", "docs", "first", "n")
     held = plain.join(several.select(F.col("first").alias("id")).distinct().hint("merge"), "id", "left_semi")
     seats = (held.mapInArrow(_tokens, "first long, line long, tokens array<long>").join(several, ["first", "line"])
              .select("leaf", "line", "docs", "n", F.posexplode("tokens").alias("seat", "token")))
     seats = stored(seats, "lines/seats")
-    common = seats.groupBy("leaf", "seat", "token").agg(F.sum("docs").alias("all")).where((F.col("all") >= min_docs) & (F.col("token") != int(_VARIABLE))).select("leaf", "seat", "token", F.lit(True).alias("fixed"))
-    merged = (seats.join(common, ["leaf", "seat", "token"], "left").groupBy("leaf", "line", "n")
-              .agg(F.sum(F.when(F.col("fixed"), F.xxhash64("seat", "token").bitwiseAND((1 << 48) - 1)).otherwise(0)).alias("sum"), F.count("fixed").alias("constant")))
-    return alone.unionByName(merged.select("line", F.xxhash64("leaf", "sum", "constant").alias("template"), (F.col("constant") / F.col("n")).alias("share")))
+    weights = seats.groupBy("leaf", "seat", "token").agg(F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
+    weighed = seats.join(weights, ["leaf", "seat", "token"], "left").select("leaf", "line", "n", F.struct(F.coalesce("all", F.lit(0)).alias("weight"), "seat", "token").alias("place"))
+    places = weighed.groupBy("leaf", "line", "n").agg(F.sort_array(F.collect_list("place"), asc=False).alias("places"))  # the tokens of one line
+    least = places.withColumn("least", F.expr(f"places[CAST(ceil({CONSTANT} * n) AS int) - 1].weight")).where(F.col("least") >= min_docs)
+    fixed = F.expr(f"array_sort(transform(filter(places, p -> p.weight >= {SAME} * least), p -> struct(p.seat, p.token)))")
+    return exact.unionByName(least.select("line", F.xxhash64("leaf", fixed).alias("template")))
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -111,8 +115,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     arrow_batches(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    lines = stored(plain.mapInArrow(_keys, "id long, leaf long, line long, n long, constant long"), "lines/keys")
-    templates = stored(_templates(plain, lines, min_docs).where(F.col("share") >= CONSTANT), "lines/templates")
+    lines = stored(plain.mapInArrow(_keys, "id long, leaf long, line long, n long"), "lines/keys")
+    templates = stored(_templates(plain, lines, min_docs), "lines/templates")
     having = lines.select("id", "line").join(templates, "line").select("id", "line", "template")
     known = having.select("id", "template").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= min_docs)
     lost = having.join(known, "template").where("id <> first").select("id", "line")

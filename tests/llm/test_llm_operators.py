@@ -364,6 +364,16 @@ def test_line_templates(spark, nothing):
     assert linetree.drop_recurring_lines(nothing).count() == 0
 
 
+@pytest.mark.parametrize("n", [30, 300, 10_000])
+def test_line_templates_at_any_size(spark, n):
+    """Fields with 40 values each: the values recur in a large leaf, the template is one all the same."""
+    names = ["".join("abcdefghij"[int(c)] for c in f"{i:02d}") for i in range(40)]
+    rng = np.random.default_rng(n)
+    rows = [(i, "user logged in as {} from {} via {} today".format(*(names[int(j)] for j in rng.integers(40, size=3)))) for i in range(n)]
+    got = {r["doc_id"]: r["text"] for r in linetree.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, t in got.items() if t] == [0]
+
+
 def test_language(spark, nothing):
     words = {"aa": "the and of that with from house water little", "bb": "der und die nicht mit haus wasser klein schön", "cc": "que para con agua casa niño pequeño está"}
     rng = np.random.default_rng(2)

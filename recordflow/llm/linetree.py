@@ -9,9 +9,9 @@ lines there are; so the least weight among the heaviest ``CONSTANT`` of a line's
 places tells what its constants weigh, and every token of at least ``SAME`` of
 that is part of the template, any other a variable field. Lines with the same
 constant tokens share a template. A template that at least ``min_docs``
-documents have is recurring, and so is a line that as many have word by word:
-its lines stay in the document with the smallest id and are dropped from the
-others.
+documents have is recurring, and so is a line that as many have word by word,
+or two documents if it has over ``LONG`` tokens: its lines stay in the document
+with the smallest id and are dropped from the others.
 
 Lines with fewer than ``MIN_TOKENS`` tokens are never dropped.
 """
@@ -28,6 +28,7 @@ from .common import Words, arrow_batches, blocks, lower_ascii, mix, stored
 DEPTH = 3
 MIN_TOKENS = 5
 MIN_DOCS = 5
+LONG = 50  # a longer line recurs where two documents have it word by word
 CONSTANT = 0.6  # least share of constant places
 SAME = 0.5  # least weight of a constant token, as a share of the others' weight
 
@@ -91,13 +92,14 @@ def _tokens(batches):
 
 
 def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
-    """(line, template) of every line of a leaf that enough documents reach; a line that enough documents have is a template itself."""
+    """(line, template, documents that make it recur) of every line of a leaf that enough documents reach; a line that enough documents have is a template itself."""
     distinct = lines.groupBy("leaf", "line", "n").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
-    leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
+    enough = F.when(F.col("n") > LONG, F.least(F.lit(2), F.lit(min_docs))).otherwise(F.lit(min_docs))
+    leaves = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("kinds"), F.sum("docs").alias("all"), F.first("n").alias("n")).where(F.col("all") >= enough).drop("n")
     near = stored(distinct.join(leaves, "leaf"), "lines/candidates")
-    exact = near.where(F.col("docs") >= min_docs).select("line", F.col("line").alias("template"))
+    exact = near.where(F.col("docs") >= enough).select("line", F.col("line").alias("template"), enough.alias("enough"))
     # The tokens of a line come from the first document that has it.
-    several = near.where("kinds > 1").select("leaf", "line", "docs", "first", "n")
+    several = near.where((F.col("kinds") > 1) & (F.col("all") >= min_docs)).select("leaf", "line", "docs", "first", "n")
     held = plain.join(several.select(F.col("first").alias("id")).distinct().hint("merge"), "id", "left_semi")
     seats = (held.mapInArrow(_tokens, "first long, line long, tokens array<long>").join(several, ["first", "line"])
              .select("leaf", "line", "docs", "n", F.posexplode("tokens").alias("seat", "token")))
@@ -107,7 +109,7 @@ def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     places = weighed.groupBy("leaf", "line", "n").agg(F.sort_array(F.collect_list("place"), asc=False).alias("places"))  # the tokens of one line
     least = places.withColumn("least", F.expr(f"places[CAST(ceil({CONSTANT} * n) AS int) - 1].weight")).where(F.col("least") >= min_docs)
     fixed = F.expr(f"array_sort(transform(filter(places, p -> p.weight >= {SAME} * least), p -> struct(p.seat, p.token)))")
-    return exact.unionByName(least.select("line", F.xxhash64("leaf", fixed).alias("template")))
+    return exact.unionByName(least.select("line", F.xxhash64("leaf", fixed).alias("template"), F.lit(min_docs).alias("enough")))
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
@@ -117,9 +119,9 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     lines = stored(plain.mapInArrow(_keys, "id long, leaf long, line long, n long"), "lines/keys")
     templates = stored(_templates(plain, lines, min_docs), "lines/templates")
-    having = lines.select("id", "line").join(templates, "line").select("id", "line", "template")
-    known = having.select("id", "template").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first")).where(F.col("docs") >= min_docs)
-    lost = having.join(known, "template").where("id <> first").select("id", "line")
+    having = lines.select("id", "line").join(templates, "line").select("id", "line", "template", "enough")
+    known = having.select("id", "template", "enough").distinct().groupBy("template", "enough").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first")).where("docs >= enough")
+    lost = having.join(known.select("template", "first"), "template").where("id <> first").select("id", "line")
     return lost.groupBy("id").agg(F.collect_set("line").alias("lines"))  # at most the lines of one document
 
 

@@ -374,6 +374,20 @@ def test_line_templates_at_any_size(spark, n):
     assert [i for i, t in got.items() if t] == [0]
 
 
+def test_long_lines_recur_in_two_documents(spark):
+    long, short = _prose(70, 51), _prose(71, 50)
+    rows = [(i, f"{long}\n{short}\n{_prose(80 + i, 60)}") for i in range(2)] + [(2, long + " end")]
+    got = {r["doc_id"]: r["text"] for r in linetree.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: rows[1][1][len(long) + 1:], 2: rows[2][1]}
+
+
+def test_equal_digits_are_constant(spark):
+    """2 of 8 tokens differ; the other 6 are constant, two of them with digits."""
+    rows = [(i, "see rfc 2616 section 14 page " + _prose(90 + i, 2)) for i in range(6)]
+    got = {r["doc_id"]: r["text"] for r in linetree.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, t in got.items() if t] == [0]
+
+
 def test_language(spark, nothing):
     words = {"aa": "the and of that with from house water little", "bb": "der und die nicht mit haus wasser klein schön", "cc": "que para con agua casa niño pequeño está"}
     rng = np.random.default_rng(2)

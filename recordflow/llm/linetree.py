@@ -6,8 +6,11 @@ Lines of one leaf are generalised place by place. A token weighs as much as the
 documents of the leaf that have it at its place. In the lines of one template
 the constant tokens weigh alike and the values of a field less, however many
 lines there are; so the least weight among the heaviest ``CONSTANT`` of a line's
-places tells what its constants weigh, and every token of at least ``SAME`` of
-that is part of the template, any other a variable field. Lines with the same
+places, and among the heavier half of those after the leading ones, which all
+lines of the leaf share, tells what its constants weigh. Every token of at
+least ``SAME`` of that is part of the template, any other a variable field; a
+token with a digit also needs the weight of ``SAME`` of the leaf. In a line of
+fewer than ``SHORT`` tokens no other tokens can be variable. Lines with the same
 constant tokens share a template. A template that at least ``min_docs``
 documents have is recurring, and so is a line that as many have word by word,
 or two documents if it has over ``LONG`` tokens: its lines stay in the document
@@ -27,6 +30,7 @@ from .common import Words, arrow_batches, blocks, lower_ascii, mix, stored
 
 DEPTH = 3
 MIN_TOKENS = 5
+SHORT = 8  # in a shorter line only tokens with a digit vary
 MIN_DOCS = 5
 LONG = 50  # a longer line recurs where two documents have it word by word
 CONSTANT = 0.6  # least share of constant places
@@ -43,8 +47,9 @@ class Lines:
         w = Words(texts)
         b = np.frombuffer(w.buf, np.uint8)
         digits = np.concatenate([[0], np.cumsum((b >= 0x30) & (b <= 0x39))])
-        self.token = w.hash
-        lead = np.where(digits[w.end] == digits[w.start], w.hash, _VARIABLE)
+        digit = digits[w.end] != digits[w.start]
+        self.token = (w.hash & ~_U(1)) | digit.astype(_U)  # the lowest bit tells a token with a digit
+        lead = np.where(digit, _VARIABLE, w.hash)
         end = np.flatnonzero(b[:-8] == 10)
         start = np.concatenate([[0], end[:-1] + 1])
         first, last = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
@@ -107,7 +112,11 @@ def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     weights = seats.groupBy("leaf", "seat", "token").agg(F.sum("docs").alias("all")).where(F.col("all") >= min_docs)
     weighed = seats.join(weights, ["leaf", "seat", "token"], "left").select("leaf", "line", "n", F.struct(F.coalesce("all", F.lit(0)).alias("weight"), "seat", "token").alias("place"))
     places = weighed.groupBy("leaf", "line", "n").agg(F.sort_array(F.collect_list("place"), asc=False).alias("places"))  # the tokens of one line
-    least = places.withColumn("least", F.expr(f"places[CAST(ceil({CONSTANT} * n) AS int) - 1].weight")).where(F.col("least") >= min_docs)
+    places = places.withColumn("places", F.expr(f"""sort_array(transform(places, p -> struct(
+        CASE WHEN p.token & 1 = 1 AND p.weight < {SAME} * places[0].weight THEN 0L ELSE p.weight END AS weight, p.seat AS seat, p.token AS token)), false)"""))
+    least = places.withColumn("least", F.expr(f"""least(places[CAST(ceil({CONSTANT} * n) AS int) - 1].weight,
+        filter(places, p -> p.seat >= {DEPTH})[CAST(floor((n - {DEPTH}) / 2) AS int)].weight,
+        CASE WHEN n < {SHORT} THEN array_min(transform(filter(places, p -> p.token & 1 = 0), p -> p.weight)) END)""")).where(F.col("least") >= min_docs)
     fixed = F.expr(f"array_sort(transform(filter(places, p -> p.weight >= {SAME} * least), p -> struct(p.seat, p.token)))")
     return exact.unionByName(least.select("line", F.xxhash64("leaf", fixed).alias("template"), F.lit(min_docs).alias("enough")))
 

@@ -388,6 +388,13 @@ def test_equal_digits_are_constant(spark):
     assert [i for i, t in got.items() if t] == [0]
 
 
+def test_different_lines_that_begin_alike_stay(spark):
+    ends = ["cold night", "long road", "small house", "quiet town", "warm day", "cold day", "long night"]
+    rows = [(i, f"it was a {x}\nso they said that it {x}\nfor all of us it is a {x} {_prose(110 + i, 3)}\non day {i} it was {x.split()[1]}\non day {i} they all left") for i, x in enumerate(ends)]
+    got = {r["doc_id"]: r["text"] for r in linetree.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t if i == 0 else t.rsplit("\n", 1)[0] for i, t in rows}
+
+
 def test_language(spark, nothing):
     words = {"aa": "the and of that with from house water little", "bb": "der und die nicht mit haus wasser klein schön", "cc": "que para con agua casa niño pequeño está"}
     rng = np.random.default_rng(2)

@@ -130,7 +130,7 @@ class ChunkEncoder(ChunkCache):
             return raw.split()
         if _ODD_SPACE.search(text):
             return [b"\x00" + raw]
-        if _RUN.search(raw):
+        if b"\x00" in raw or _RUN.search(raw):  # a chunk after a blank must not begin with the 0 that marks a whole one
             return [b"\x00" + c for c in _CHUNK.findall(raw)]
         parts = raw.replace(b"\n", b" \n").split(b" ")
         first = parts.pop(0)

@@ -101,6 +101,16 @@ def test_chunked_encoding_equals_direct(docs, name, spaces):
         assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids, x[:80]
 
 
+@pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_chunks_with_nul(name, spaces):
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(tokens.vocabulary(name)), tokens.ChunkEncoder(tokens.vocabulary(name), spaces)
+    texts = ["bar baz", "foo \x00bar baz", "\x00bar baz", "a \x00 b", "\x00", " \x00\x00x", "a\n\x00b", "foo bar"]
+    ids, per = e.encode(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_packing(docs, nothing):
     t = _tokenizer("word_bpe_49k.json")
     got = packing.pack(docs, size=256).collect()

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import fertility, fmindex, kernel_quality, language, linetree, minhash, packing, rans, urlfilter, warc
+from . import (fertility, fmindex, geometric, hadamard, kernel_quality, language, linetree, minhash, packing, rans,
+               token_counts, urlfilter, warc)
 from .common import table
+from .tokens import vocabulary
 
 
 def op1_minhash_dedup(spark, sf_dir):
@@ -51,6 +53,18 @@ def op10_bigru_language(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_hadamard_clusters(spark, sf_dir):
+    return hadamard.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, seed="3")
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
+
+
+def op13_geometric_search(spark, sf_dir):
+    return geometric.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_mixture_packing": op2_mixture_packing,
@@ -62,6 +76,9 @@ QUERIES = {
     "op8_fm_decontamination": op8_fm_decontamination,
     "op9_template_line_dedup": op9_template_line_dedup,
     "op10_bigru_language": op10_bigru_language,
+    "op11_hadamard_clusters": op11_hadamard_clusters,
+    "op12_token_counts": op12_token_counts,
+    "op13_geometric_search": op13_geometric_search,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -95,3 +112,41 @@ ORACLE: dict[str, str] = {
                CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL OR listed THEN 'block' ELSE 'allow' END AS verdict
         FROM r""",
 }
+
+# Rounds of exact k-means, one pair of common table expressions each.
+_FIRST = """
+    kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                          FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (SELECT sha256('3:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT 8))"""
+
+
+def _assigned(n: int) -> str:
+    return f"""
+    a{n} AS MATERIALIZED (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min_by(c, d * 8 + c) AS c, min(d) AS d FROM (
+        SELECT k.r, k.vec_id, k.v, c.c, list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM kept k, c{n} c) GROUP BY r)"""
+
+
+def _means(n: int) -> str:
+    return f"""
+    c{n + 1} AS MATERIALIZED (SELECT o.c, coalesce(m.v, o.v) AS v FROM c{n} o LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM (
+            SELECT c, j, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{n}) GROUP BY c, j) GROUP BY c) m ON m.c = o.c)"""
+
+
+ORACLE["op11_hadamard_clusters"] = "WITH " + ",".join([_FIRST, *(f(n) for n in range(10) for f in (_assigned, _means)), _assigned(10)]) + """
+    SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM a10 a JOIN c10 c ON a.c = c.c"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLE["op13_geometric_search"] = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS w FROM documents),
+    q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS t FROM benchmark),
+    s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM d),
+    p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+    v AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS wt FROM p, s GROUP BY t, nn),
+    x AS (SELECT q.item_id, p.r, sum(wt * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * nn) // ll)))) AS score
+          FROM q JOIN p ON p.t = q.t JOIN v ON v.t = q.t JOIN d ON d.r = p.r, s GROUP BY q.item_id, p.r)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM (
+        SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM x JOIN d ON d.r = x.r WHERE score > 0)
+    WHERE rank <= 10"""

@@ -46,16 +46,22 @@ def _escaped(text: str) -> str:
 def _value_sql(c: str, dtype: T.DataType, depth: int = 0) -> str:
     """Text that differs for any two different values of one type.
 
-    Integers and decimals use their cast text, timestamps a fixed pattern with
-    microseconds. A double that nine decimals give back exactly uses them, any
+    Integers and decimals use their cast text, timestamps without time zone a
+    fixed pattern with microseconds, timestamps with time zone their instant in
+    microseconds (whatever the session's zone), variants their schema beside
+    their JSON (1 and 1.0 differ). A double that nine decimals give back exactly uses them, any
     other its shortest exact text; -0.0 equals 0.0 and NaN equals NaN. Nested
     values are written out value by value, maps in the order of their entries.
     """
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         fixed = f"try_cast({c} AS DECIMAL(38,9))"
         return f"CASE WHEN CAST({fixed} AS {dtype.simpleString()}) = {c} THEN CAST({fixed} AS STRING) ELSE CAST({c} AS STRING) END"
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampNTZType):
         return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    if isinstance(dtype, T.TimestampType):
+        return f"CAST(unix_micros({c}) AS STRING)"
+    if isinstance(dtype, T.VariantType):
+        return f"concat(schema_of_variant({c}), ':', to_json({c}))"
     if isinstance(dtype, T.BinaryType):
         return f"hex({c})"
     x = f"x{depth}"

@@ -11,10 +11,10 @@ from .columns import hl7_ts, message_id, plain_text
 
 SEGMENT_SEP = "\r"
 
-# Encoding characters and version of the header segment.
+# Encoding characters, version, and sender and receiver of the
+# header segment (unless the caller passes other ones).
 ENCODING_CHARS = "^~\\&"
 VERSION = "2.4"
-# Header sender/receiver fields; callers pass their own.
 DEFAULT_HEADER = {"sending_app": "EHR_SRC", "sending_facility": "SRC_FACILITY",
                   "receiving_app": "RECV_SYS", "receiving_facility": "DEST"}
 

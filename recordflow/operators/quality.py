@@ -9,9 +9,10 @@ shuffle. Schema checks read only metadata.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -284,16 +285,17 @@ def validate_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame
     return out
 
 
-_NUMBER = "(-?[0-9]+[.]?[0-9]*)"
-_PLAIN = "-?[0-9]+[.]?[0-9]*"
+_DIGITS = "(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?"
+_PLAIN, _NUMBER = f"[+-]?{_DIGITS}", f"[+]?(-?{_DIGITS})"
 
 
 def _bound(pattern: str) -> str:
     """The number a range text has at the pattern's group; null where the text has another form."""
-    return f"TRY_CAST(regexp_extract(NORMAL_RANGE, '^ *{pattern} *$', 1) AS DOUBLE)"
+    return f"TRY_CAST(regexp_extract(NORMAL_RANGE, '^ *[(]? *{pattern} *[)]? *$', 1) AS DOUBLE)"
 
 
-# A range text is 'lo-hi' (bounds may be negative), '<hi', '<=hi', '>lo' or '>=lo'.
+# A range text is 'lo-hi', '<hi', '<=hi', '>lo' or '>=lo', perhaps in
+# parentheses; numbers may have a sign, no digit before the point, or an exponent.
 _LOW, _HIGH = _bound(f"{_NUMBER} *- *{_PLAIN}"), _bound(f"{_PLAIN} *- *{_NUMBER}")
 _BOUNDS = {f"VALUE < {_LOW}": _LOW, f"VALUE > {_HIGH}": _HIGH,
            **{f"VALUE {out} {_bound(f'{sign} *{_NUMBER}')}": _bound(f"{sign} *{_NUMBER}")
@@ -311,3 +313,47 @@ RESPIRATORY_RULES = [
 ]
 # Range texts that can't be read break neither rule; this one counts them.
 UNREADABLE_RANGE = Rule("unreadable_normal_range", "RESPIRATORY", "NORMAL_RANGE", f"NORMAL_RANGE IS NOT NULL AND NOT {_PARSED}")
+
+CLEAN, QUARANTINED = "clean", "quarantined"
+
+
+def row_outcomes(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Every row with ``broken_rules``: the names of the rules it breaks, in the order of ``rules``; none for a clean row.
+
+    One projection: no pass per rule, no shuffle. A rule that can't be decided
+    on a row (null) isn't broken by it.
+    """
+    each = ", ".join(f"CASE WHEN coalesce({r.violation}, false) THEN {sql_str(r.name)} END" for r in rules)
+    broken = f"filter(array({each}), x -> x IS NOT NULL)" if rules else "CAST(array() AS array<string>)"
+    return df.withColumn("broken_rules", F.expr(broken))
+
+
+@dataclass(frozen=True)
+class Outcome:
+    clean: DataFrame
+    quarantined: DataFrame
+    clean_rows: int
+    quarantined_rows: int
+    by_rule: dict
+
+
+def split_by_rules(df: DataFrame, rules: list[Rule], path: str) -> Outcome:
+    """Write clean and quarantined rows to two folders under ``path`` in a single pass, and read both back.
+
+    The rows' rules are evaluated once; counts come from an ``Observation`` of
+    the same write. Quarantined rows keep ``broken_rules``.
+    """
+    spark = df.sparkSession
+    seen = Observation(f"outcomes_{uuid.uuid4().hex}")
+    none = F.size("broken_rules") == 0
+    counts = [F.count_if(F.array_contains("broken_rules", r.name)).alias(f"r{i}") for i, r in enumerate(rules)]
+    (row_outcomes(df, rules).withColumn("outcome", F.when(none, CLEAN).otherwise(QUARANTINED))
+     .observe(seen, F.count_if(none).alias("clean"), F.count_if(~none).alias("bad"), *counts)
+     .write.mode("overwrite").partitionBy("outcome").parquet(path))
+    schema = T.StructType([*row_outcomes(df, rules).schema.fields, T.StructField("outcome", T.StringType())])
+    # The schema is given, so a side without rows (and folder) reads as empty.
+    back = spark.read.schema(schema).parquet(path)
+    n = seen.get
+    return Outcome(back.where(F.col("outcome") == CLEAN).drop("outcome", "broken_rules"),
+                   back.where(F.col("outcome") == QUARANTINED).drop("outcome"), int(n["clean"]), int(n["bad"]),
+                   {r.name: int(n[f"r{i}"]) for i, r in enumerate(rules)})

@@ -14,13 +14,13 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..entities import RECON_NULL_FIELDS, key_for
 from ..functions.columns import _q, lane_sums, lanes_text, lanes_text_sql, row_text_sql
 from .ordinals import with_ordinal
-from .quality import _key_text, merge_one_row, sql_str
+from .quality import _key_text, duplicate_profile, merge_one_row, sql_str
 
 
 def _with_digest(df: DataFrame, cols: list[str] | None, keep: list[str]) -> DataFrame:
@@ -92,6 +92,44 @@ def side_profile(df: DataFrame, key: str, null_fields: list[str],
     return merge_one_row(parts)
 
 
+def land(source: DataFrame, path: str, null_fields: list[str] | None = None, convert=None) -> tuple[dict, DataFrame]:
+    """Write ``source`` (through ``convert``, if the target stores it otherwise) to ``path``; its profile, and the table read back.
+
+    Row count, null counts and fingerprint lanes of the source rows are carried
+    by an ``Observation`` of the same write, so the source is read once.
+    """
+    spark = source.sparkSession
+    fields = list(null_fields if null_fields is not None else RECON_NULL_FIELDS)
+    seen = Observation(f"land_{uuid.uuid4().hex}")
+    rows = F.count(F.lit(1))
+    nulls = [(F.count_if(F.col(f).isNull()) if f in source.columns else rows).alias(f"n{i}") for i, f in enumerate(fields)]
+    (source.withColumn("_dg", F.expr(f"md5({row_text_sql(source)})")).observe(seen, rows.alias("rows"), *nulls, *lane_sums("_dg"))
+     .drop("_dg").transform(convert or (lambda df: df)).write.mode("overwrite").parquet(path))
+    return seen.get, spark.read.parquet(path)
+
+
+def reconcile_landing(name: str, source: DataFrame, path: str, key: str | None = None, null_fields: list[str] | None = None,
+                      convert=None) -> Reconciliation:
+    """``reconcile`` of a table that is landed here and now, with one scan of the source.
+
+    Duplicate keys can't be observed. Where the fingerprints of both sides are
+    equal, the rows are, and the target's duplicates are the source's; only a
+    mismatch makes a second pass, over the source's key column alone.
+    """
+    fields = list(null_fields if null_fields is not None else RECON_NULL_FIELDS)
+    k = key or key_for(name)
+    seen, target = land(source, path, fields, convert)
+    t = side_profile(target, k, fields).first()
+    lanes = {f"h{i}": seen[f"h{i}"] or 0 for i in range(8)}
+    fingerprint = ":".join([str(seen["rows"]), *(str(lanes[f"h{2 * j}"] * 65536 + lanes[f"h{2 * j + 1}"]) for j in range(4))])
+    same = fingerprint == t["fingerprint"]
+    duplicates = t["duplicate_keys"] if same else duplicate_profile(source, k).first()["duplicate_keys"]
+    row = {"entity_name": name, "key_field": k, "s_rows": seen["rows"], "s_fingerprint": fingerprint, "s_duplicate_keys": duplicates,
+           **{f"s_n{i}": seen[f"n{i}"] for i in range(len(fields))}, **{f"t_{c}": t[c] for c in t.asDict()}}
+    types = ", ".join(f"{c} {'string' if isinstance(v, str) else 'bigint'}" for c, v in row.items())
+    return _compared(source.sparkSession.createDataFrame([tuple(row.values())], types), fields, False)
+
+
 class Reconciliation:
     """``report``: one row per pair; ``checks``: one row per check (built on first use)."""
 
@@ -160,12 +198,16 @@ def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = N
         # Two one-row profiles side by side: union + aggregate, no join.
         j = merge_one_row([s, t])
         wide = j if wide is None else wide.unionByName(j)
+    return _compared(wide, fields, bool(ordered_by))
 
+
+def _compared(wide: DataFrame, fields: list[str], ordered: bool) -> Reconciliation:
+    """The report over one-row profiles of both sides (``s_`` and ``t_`` columns)."""
     null_ok = F.lit(True)
     for i in range(len(fields)):
         null_ok = null_ok & (F.col(f"s_n{i}") == F.col(f"t_n{i}"))
     flags = [F.col("s_rows") == F.col("t_rows"), F.col("s_fingerprint") == F.col("t_fingerprint")]
-    if ordered_by:
+    if ordered:
         flags.append(F.col("s_ordered_fingerprint") == F.col("t_ordered_fingerprint"))
     flags += [F.col(f"s_n{i}") == F.col(f"t_n{i}") for i in range(len(fields))]
     flags.append(F.col("s_duplicate_keys") == F.col("t_duplicate_keys"))
@@ -186,7 +228,7 @@ def reconcile(pairs: list[tuple[str, DataFrame, DataFrame]], key: str | None = N
         (F.col("s_duplicate_keys") == F.col("t_duplicate_keys")).alias("duplicates_match"),
         (failed == 0).alias("overall_match"),
         failed.cast("bigint").alias("issues_found"))
-    return Reconciliation(wide, fields, bool(ordered_by), report)
+    return Reconciliation(wide, fields, ordered, report)
 
 
 STATUS_MATCH, STATUS_MISMATCH = "match", "mismatch"

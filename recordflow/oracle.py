@@ -56,6 +56,27 @@ ORACLE["run_extracts"] = "\nUNION ALL\n".join(
     f"(SELECT count(*) FROM ({ORACLE[k]})) AS row_count" for k, n in EXTRACT_KEYS)
 
 
+
+def _order_sql(key: str, name: str) -> str:
+    d = EXTRACTS[name]
+    ids = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in d.sort if c.endswith("_ID"))
+    sort = ", ".join(f"{c} NULLS LAST" for c in d.sort)
+    return f"SELECT '{name}' AS extract_name, row_number() OVER (ORDER BY {sort}) AS position, {ids} AS ids FROM ({ORACLE[key]})"
+
+
+ORACLE["extract_order"] = "\nUNION ALL\n".join(_order_sql(k, n) for k, n in EXTRACT_KEYS if k in ("extract_orders", "extract_org", "extract_patients"))
+
+ORACLE["extract_resume"] = ORACLE["extract_orders"]
+_TWO_OF_FOUR = "SELECT min(u) + (max(u) - min(u) + 1) * 2 // 4 FROM (SELECT epoch_us(o_orderdate) AS u FROM orders)"
+ORACLE["extract_runs"] = f"""
+SELECT 'extract_orders_psd' AS name, 'partial' AS status, count(*) AS rows, CAST(4 AS BIGINT) AS chunks, CAST(2 AS BIGINT) AS chunks_made,
+       TRUE AS published, FALSE AS has_error, TRUE AS timed
+FROM ({ORACLE["extract_orders"]}) WHERE epoch_us(ORDER_START_DT_TM) < ({_TWO_OF_FOUR})
+UNION ALL SELECT 'extract_orders_psd', 'success', count(*), 4, 2, TRUE, FALSE, TRUE FROM ({ORACLE["extract_orders"]})
+UNION ALL SELECT 'extract_respiratory_results', 'success', count(*), NULL, NULL, TRUE, FALSE, TRUE FROM ({ORACLE["extract_respiratory"]})
+UNION ALL SELECT 'extract_respiratory_results', 'failed', 0, NULL, NULL, FALSE, TRUE, TRUE"""
+
+
 # ------------------------------------------------------------------ quality
 
 ALL = list(ADAPTERS)
@@ -169,6 +190,29 @@ def _rules_sql():
 ORACLE["validate_rules"] = _rules_sql()
 
 
+# What breaks the range of each form that the results are dealt, in the order of ``queries.RANGE_FORMS``; None: unreadable.
+_BROKEN = ["VALUE < 0 OR VALUE > 100", "VALUE >= 50", "VALUE > 50", "VALUE <= 10", "VALUE < 10", "VALUE < -5 OR VALUE > 10",
+           "VALUE < -5 OR VALUE > -1", "VALUE < 1.5 OR VALUE > 200", "VALUE < 0.5 OR VALUE > 1", "VALUE < 10 OR VALUE > 200",
+           "VALUE < 1 OR VALUE > 150", "VALUE < 1 OR VALUE > 50", None, None, None, None]
+_NO_TEXT = 13  # the form without a text
+
+
+def _range_case(then) -> str:
+    return f"CASE RESULT_ID % {len(_BROKEN)} " + " ".join(f"WHEN {i} THEN {then(i, b)}" for i, b in enumerate(_BROKEN)) + " END"
+
+
+ORACLE["quarantine_rows"] = W(f"""
+, R AS (SELECT RESULT_ID, ABNORMAL_IND, CASE WHEN RESULT_ID % 50 <> 0 THEN VALUE END AS VALUE FROM RESPIRATORY),
+B AS (SELECT *, coalesce({_range_case(lambda i, b: f"({b})" if b else "FALSE")}, FALSE) AS out_of_range,
+             {_range_case(lambda i, b: str(b is not None).upper())} AS readable,
+             {_range_case(lambda i, b: str(b is None and i != _NO_TEXT).upper())} AS unreadable FROM R),
+L AS (SELECT RESULT_ID, concat_ws(',', CASE WHEN out_of_range THEN 'value_out_of_range' END,
+             CASE WHEN VALUE IS NOT NULL AND readable AND (ABNORMAL_IND = 'Y') <> out_of_range THEN 'abnormal_flag_contradiction' END,
+             CASE WHEN VALUE IS NULL THEN 'missing_result_value' END, CASE WHEN unreadable THEN 'unreadable_normal_range' END) AS broken_rules FROM B)
+SELECT RESULT_ID, CASE WHEN broken_rules = '' THEN 'clean' ELSE 'quarantined' END AS outcome, broken_rules FROM L
+""", ["RESPIRATORY"]).replace("\n, R AS", ",\nR AS")
+
+
 # ----------------------------------------------------------- reconciliation
 
 _RECON_COLS = [("ORDER_ID", "int"), ("PATIENT_ID", "int"), ("ST", "str")]
@@ -273,6 +317,47 @@ def _entity_recon(ent: str) -> str:
 
 ORACLE["recon_entities"] = _q("\nUNION ALL\n".join(_entity_recon(e) for e in ALL))
 
+
+def _side_sql(table: str, cols) -> str:
+    present = [c for c, _ in cols]
+    nulls = ", ".join(f"{_nullcnt(f, present)} AS n{i}" for i, f in enumerate(RECON_NULL_FIELDS))
+    return f"SELECT count(*) AS rows, {nulls}, {duck_lanes('md5(' + duck_row_text(cols) + ')')} AS fp FROM {table}"
+
+
+# Landed tables: the entity with one column stored otherwise, rows lost, or rows repeated.
+_LANDED = {"ORDER_PROC": "SELECT * FROM ORDER_PROC",
+           "RESPIRATORY": "SELECT * REPLACE (CAST(floor(VALUE) AS DOUBLE) AS VALUE) FROM RESPIRATORY",
+           "ACCOUNT": "SELECT * REPLACE (CAST(BALANCE_AMT AS DECIMAL(18,1)) AS BALANCE_AMT) FROM ACCOUNT",
+           "SPECIMEN": "SELECT * FROM SPECIMEN WHERE SPECIMEN_ID % 97 <> 0",
+           "GB_PAYMENT": "SELECT * FROM GB_PAYMENT UNION ALL SELECT * FROM GB_PAYMENT WHERE PAYMENT_ID % 50 = 0"}
+
+
+def _landing_sql(ent: str) -> str:
+    cols, k = _entity_cols(ent), KEYS[ent]
+    def dups(t):
+        return f"(SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)) AS dk"
+    failed = _FAILED.replace("s.", "a.").replace("t.", "b.")
+    return (f"SELECT '{ent}' AS entity_name, a.rows AS source_count, b.rows AS target_count, a.fp AS source_checksum, b.fp AS target_checksum, "
+            f"a.dk AS source_duplicates, b.dk AS target_duplicates, ({failed}) = 0 AS overall_match, CAST({failed} AS BIGINT) AS issues_found "
+            f"FROM (SELECT *, {dups(ent)} FROM ({_side_sql(ent, cols)})) a, (SELECT *, {dups('L_' + ent)} FROM ({_side_sql('L_' + ent, cols)})) b")
+
+
+ORACLE["recon_landing"] = W("WITH " + ",\n".join(f"L_{e} AS ({sql})" for e, sql in _LANDED.items()) + "\n"
+                            + "\nUNION ALL\n".join(_landing_sql(e) for e in _LANDED), list(_LANDED))
+
+
+def _tree_sql(name: str) -> str:
+    fp = duck_lanes("md5(" + duck_row_text(_RECON_COLS) + ")")
+    base = f"(SELECT min(k) FROM (SELECT ORDER_ID AS k FROM SRC UNION ALL SELECT ORDER_ID FROM {name}))"
+    def cells(t):
+        return f"(SELECT (ORDER_ID - {base}) // 64 AS c, count(*) AS n, {fp} AS fp FROM {t} GROUP BY 1)"
+    return (f"SELECT '{name}' AS entity_name, {base} + c * 64 AS range_lo, {base} + c * 64 + 63 AS range_hi, "
+            f"coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows "
+            f"FROM {cells('SRC')} s FULL OUTER JOIN {cells(name)} t USING (c) WHERE s.fp IS DISTINCT FROM t.fp")
+
+
+ORACLE["recon_digest_tree"] = _recon_ctes() + "\nUNION ALL\n".join(_tree_sql(n) for n in RFX.TARGETS)
+
 _OFF = "CASE WHEN VALUE > 1 AND VALUE < 50 THEN VALUE + CAST(1e-10 AS DOUBLE) ELSE VALUE END"
 ORACLE["recon_precision"] = W("\nUNION ALL\n".join(
     f"SELECT '{n}' AS entity_name, count(*) AS source_count, count(*) AS target_count, "
@@ -291,6 +376,30 @@ ORACLE["recon_row_diff"] = (
     "CAST(CASE WHEN t.o_orderkey IS NULL THEN 0 ELSE 1 END AS BIGINT) AS target_rows "
     "FROM S s FULL OUTER JOIN T t ON s.o_orderkey = t.o_orderkey")
 
+_DIFF_KINDS = {"o_totalprice": "double", "o_orderdate": "ts"}
+
+
+def _plain_value(c: str) -> str:
+    text = duck_text(c, _DIFF_KINDS.get(c, "v"))
+    return text[len("coalesce(replace(replace("):text.index(", '\\', ")]  # without the escapes of the joined row text
+
+
+_VALUES = "\nUNION ALL\n".join(f"SELECT o_orderkey, '{c}' AS column_name, {_plain_value(c)} AS v, {n} AS n FROM {t}"
+                               for c in _ORD_COLS[1:] for t, n in (("S", 1), ("T", -1)))
+ORACLE["recon_column_diff"] = (
+    "WITH S AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 250 = 0), T0 AS ("
+    + RFX.target_sql("T_LOSSY", src="orders", key="o_orderkey", cols=_ORD_COLS, change_col="o_orderstatus")
+    + "), T1 AS (SELECT * REPLACE (CASE WHEN o_orderkey % 89 <> 0 THEN o_totalprice END AS o_totalprice) FROM T0), "
+    "T AS (SELECT * FROM T1 UNION ALL SELECT * REPLACE (o_custkey + 1 AS o_custkey) FROM T1 WHERE o_orderkey % 303 = 0), "
+    f"V AS (SELECT o_orderkey, column_name, v, sum(n) AS n FROM ({_VALUES}) "
+    "WHERE o_orderkey IN (SELECT o_orderkey FROM S) AND o_orderkey IN (SELECT o_orderkey FROM T) GROUP BY ALL HAVING sum(n) <> 0)\n"
+    "SELECT o_orderkey, column_name, min(v) FILTER (WHERE n > 0) AS source_text, min(v) FILTER (WHERE n < 0) AS target_text, "
+    "CAST(sum(greatest(n, 0)) AS BIGINT) AS source_rows, CAST(sum(greatest(-n, 0)) AS BIGINT) AS target_rows FROM V GROUP BY ALL")
+ORACLE["recon_column_counts"] = (
+    "SELECT column_name, count(*) AS keys, count(*) FILTER (WHERE source_text IS NOT NULL AND target_text IS NULL) AS to_null, "
+    "count(*) FILTER (WHERE source_text IS NULL AND target_text IS NOT NULL) AS from_null "
+    f"FROM ({ORACLE['recon_column_diff']}) GROUP BY column_name")
+
 _PCT = ("25.0 * ((CASE WHEN row_count_match THEN 1 ELSE 0 END) + (CASE WHEN checksum_match THEN 1 ELSE 0 END) "
         "+ (CASE WHEN null_checks_match THEN 1 ELSE 0 END) + (CASE WHEN duplicates_match THEN 1 ELSE 0 END))")
 
@@ -410,6 +519,19 @@ ORACLE["export_hl7_files"] = (
     f"SELECT unnest(string_split(rtrim(message, chr(13)), chr(13))) AS segment FROM ({ORACLE['export_hl7']})")
 ORACLE["export_fhir_files"] = f"SELECT bundle FROM ({ORACLE['export_fhir_bundle']})"
 
+ORACLE["export_csv_single"] = (
+    f"SELECT 'ACCOUNT' AS entity_name, CAST(1 AS BIGINT) AS line_no, '{','.join(a for _, a in ADAPTERS['ACCOUNT'][2])}' AS line\nUNION ALL\n"
+    f"SELECT 'ACCOUNT', 1 + row_number() OVER (ORDER BY CAST(split_part(line, ',', 1) AS BIGINT)), line FROM ({_csv_sql('ACCOUNT')})")
+_ZERO_ID = "md5('" + RUN_ID + ":0')"
+ORACLE["export_fhir_single"] = W(f"""
+, R AS (SELECT row_number() OVER (ORDER BY PATIENT_ID) AS n, count(*) OVER () AS total, to_json({{'resource': {_PATIENT_STRUCT}}})::VARCHAR AS entry FROM PATIENT)
+SELECT CAST(1 AS BIGINT) AS line_no, '{{"resourceType":"Bundle","id":"' || substr({_ZERO_ID}, 1, 8) || '-' || substr({_ZERO_ID}, 9, 4) || '-'
+  || substr({_ZERO_ID}, 13, 4) || '-' || substr({_ZERO_ID}, 17, 4) || '-' || substr({_ZERO_ID}, 21, 12) || '","type":"collection","timestamp":"'
+  || {duck_iso(RUN_TS_SQL)} || '","entry":[' AS line
+UNION ALL SELECT n + 1, entry || CASE WHEN n < total THEN ',' ELSE '' END FROM R
+UNION ALL SELECT count(*) + 2, ']}}' FROM PATIENT
+""", ["PATIENT"]).replace("\n, R AS", ",\nR AS")
+
 _PCOLS = sorted(a for _, a in ADAPTERS["PATIENT"][2])
 _ROW_JSON = "CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in _PCOLS) + "}) AS VARCHAR)"
 ORACLE["scalar_functions"] = W(f"""

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from . import entities as EN
 from .functions import columns as C
 from .functions import fhir as FH
+from .operators import differences as D
 from .operators import quality as Q
 from .operators import reconcile as R
 from .operators import scorecard as SC
+from .operators.ordinals import with_ordinal
 from .plans import extracts as X
 from .plans import incremental as INC
 from .plans import sql_extract as SQ
@@ -127,6 +129,48 @@ def q_run_extracts(spark, sf_dir):
     return spark.createDataFrame(recs, "extract_name string, schema_group string, status string, row_count bigint")
 
 
+def q_extract_order(spark, sf_dir):
+    """Three extracts as written in their sort order: each row's position in the files, and its ids."""
+    base, parts = run_dir(spark, "ordered"), []
+    for name in ("extract_orders_psd", "extract_organizational_hierarchy", "extract_patient_demographics"):
+        d = X.EXTRACTS[name]
+        X.run_extract(spark, name, _t(spark, sf_dir, *d.entities), f"{base}/{name}", ordered=True, **EXTRACT_PARAMS[name])
+        rows = spark.read.parquet(f"{base}/{name}")
+        part = F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]+)", 1).cast("long")
+        ids = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in d.sort if c.endswith("_ID")])
+        placed = with_ordinal(rows.select(part.alias("part"), F.col("_metadata.row_index").alias("at"), ids.alias("ids")), ["part", "at"], "position")
+        parts.append(placed.select(F.lit(name).alias("extract_name"), "position", "ids"))
+    return _union(parts)
+
+
+RESUME_CHUNKS, RESUME_STOP = 4, 2
+
+
+def _resumed(spark, sf_dir):
+    """The orders extract in chunks: a first run stopped between them, and a second that makes the rest."""
+    base = run_dir(spark, "resume")
+    t = _t(spark, sf_dir, "ORDER_PROC", "SPECIMEN")
+    for stop in (RESUME_STOP, None):
+        X.run_extract_resumable(spark, "extract_orders_psd", t, f"{base}/orders", chunks=RESUME_CHUNKS, stop_after=stop,
+                                log_path=f"{base}/log", **EXTRACT_PARAMS["extract_orders_psd"])
+    return base
+
+
+def q_extract_resume(spark, sf_dir):
+    return X.read_extract(spark, f"{_resumed(spark, sf_dir)}/orders")
+
+
+def q_extract_runs(spark, sf_dir):
+    """The kept records of extract runs: a stopped run, the one that finished it, a plain run and a failed one."""
+    base = _resumed(spark, sf_dir)
+    t = _t(spark, sf_dir, "RESPIRATORY")
+    X.run_extract(spark, "extract_respiratory_results", t, f"{base}/plain", log_path=f"{base}/log", **EXTRACT_PARAMS["extract_respiratory_results"])
+    X.run_extract(spark, "extract_respiratory_results", t, f"{base}/bad", log_path=f"{base}/log", start_date=FULL_START)
+    return X.extract_runs(spark, f"{base}/log").select(
+        "name", "status", "rows", "chunks", "chunks_made", F.col("path").isNotNull().alias("published"), F.col("error").isNotNull().alias("has_error"),
+        (F.col("completed_ts") >= F.col("started_ts")).alias("timed"))
+
+
 def q_billing_totals(spark, sf_dir):
     return X.billing_totals(_t(spark, sf_dir, "ACCOUNT", "PB_AR", "GB_PAYMENT"), FULL_START, FULL_END)
 
@@ -196,6 +240,27 @@ def q_validate_rules(spark, sf_dir):
     return Q.validate_rules(_t(spark, sf_dir, "RESPIRATORY"), Q.RESPIRATORY_RULES)
 
 
+# Range texts in every supported form and some unreadable ones, dealt to the results by id.
+RANGE_FORMS = ["0-100", "<50", "<=50", ">10", ">=10", "-5-10", "-5--1", " 1.5 - 200 ", ".5 - 1", "1e1-2e2", "(1-150)", "+1-50",
+               "see note", None, "10", ""]
+
+
+def with_range_forms(df: DataFrame) -> DataFrame:
+    """RESPIRATORY with a range text of every form, and some missing values."""
+    form = F.lit(None).cast("string")
+    for i, text in enumerate(RANGE_FORMS):
+        form = F.when(F.col("RESULT_ID") % len(RANGE_FORMS) == i, F.lit(text)).otherwise(form)
+    return df.withColumn("NORMAL_RANGE", form).withColumn("VALUE", F.when(F.col("RESULT_ID") % 50 != 0, F.col("VALUE")))
+
+
+def q_quarantine_rows(spark, sf_dir):
+    """RESPIRATORY split into clean and quarantined rows, each with the rules that it breaks."""
+    df = with_range_forms(_t(spark, sf_dir, "RESPIRATORY")["RESPIRATORY"])
+    out = Q.split_by_rules(df, [*Q.RESPIRATORY_RULES, Q.UNREADABLE_RANGE], run_dir(spark, "quarantine"))
+    bad = out.quarantined.select("RESULT_ID", F.lit(Q.QUARANTINED).alias("outcome"), F.concat_ws(",", "broken_rules").alias("broken_rules"))
+    return bad.unionByName(out.clean.select("RESULT_ID", F.lit(Q.CLEAN).alias("outcome"), F.lit("").alias("broken_rules")))
+
+
 # ---------------------------------------------------------- reconciliation
 
 def _recon(spark, sf_dir):
@@ -250,7 +315,8 @@ RECON_ENTITY_COLS = ["entity_name", "source_count", "target_count", "source_chec
 
 def q_recon_entities(spark, sf_dir):
     """Migrate every entity (Parquet copy in the shared folder, read back)
-    and reconcile source against target with the entity's explicit key.
+    and reconcile source against target with the entity's explicit key. Each
+    source is read once: its profile is taken while it is written.
 
     Entities are independent: each one's landing and reconciliation run as
     its own jobs from a driver thread, and each returns its one-row report.
@@ -260,9 +326,7 @@ def q_recon_entities(spark, sf_dir):
 
     def one(item):
         name, src = item
-        src.write.mode("overwrite").parquet(f"{base}/{name}")
-        tgt = spark.read.parquet(f"{base}/{name}")
-        rep = R.reconcile([(name, src, tgt)], key=EN.key_for(name)).report
+        rep = R.reconcile_landing(name, src, f"{base}/{name}").report
         return tuple(rep.select(*RECON_ENTITY_COLS).first())
 
     with ThreadPoolExecutor(max_workers=8) as pool:
@@ -279,6 +343,65 @@ def q_recon_row_diff(spark, sf_dir):
     return R.row_diff(o, t, "o_orderkey")
 
 
+# How some landings change what they store; the others keep it as it is.
+LANDINGS = {
+    "ORDER_PROC": None,
+    "RESPIRATORY": lambda df: df.withColumn("VALUE", F.floor("VALUE").cast("double")),
+    "ACCOUNT": lambda df: df.withColumn("BALANCE_AMT", F.col("BALANCE_AMT").cast("decimal(18,1)")),
+    "SPECIMEN": lambda df: df.where("SPECIMEN_ID % 97 <> 0"),
+    "GB_PAYMENT": lambda df: df.unionByName(df.where("PAYMENT_ID % 50 = 0")),
+}
+
+
+def q_recon_landing(spark, sf_dir):
+    """Landings that keep, convert, lose and repeat rows, reconciled as they are written."""
+    base = run_dir(spark, "landed")
+    cols = [*RECON_ENTITY_COLS[:6], "target_duplicates", *RECON_ENTITY_COLS[6:]]
+
+    def one(item):
+        name, src = item
+        return tuple(R.reconcile_landing(name, src, f"{base}/{name}", convert=LANDINGS[name]).report.select(*cols).first())
+
+    with ThreadPoolExecutor(max_workers=len(LANDINGS)) as pool:
+        rows = list(pool.map(one, _t(spark, sf_dir, *LANDINGS).items()))
+    return spark.createDataFrame(rows, "entity_name string, source_count bigint, target_count bigint, source_checksum string, "
+                                       "target_checksum string, source_duplicates bigint, target_duplicates bigint, "
+                                       "overall_match boolean, issues_found bigint")
+
+
+def _diff_tables(spark, sf_dir):
+    """Orders with repeated keys, against a copy with changed, nulled, lost, added and repeated rows."""
+    o = td.read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    t = RF.perturb(o.withColumnRenamed("o_orderkey", "ORDER_ID"), "T_LOSSY", "ORDER_ID", "o_orderstatus", "X").withColumnRenamed("ORDER_ID", "o_orderkey")
+    t = t.withColumn("o_totalprice", F.when(key % 89 != 0, F.col("o_totalprice")))
+    t = t.unionByName(t.where(key % 303 == 0).withColumn("o_custkey", F.col("o_custkey") + 1))
+    return o.unionByName(o.where(key % 250 == 0)), t
+
+
+def q_recon_column_diff(spark, sf_dir):
+    return D.column_diff(*_diff_tables(spark, sf_dir), "o_orderkey")
+
+
+def q_recon_column_counts(spark, sf_dir):
+    return D.column_diff_counts(D.column_diff(*_diff_tables(spark, sf_dir), "o_orderkey"))
+
+
+LEAF_WIDTH = 64
+
+
+def q_recon_digest_tree(spark, sf_dir):
+    """The differing key ranges of the five targets, found level by level; the targets' trees are independent jobs."""
+    src = RF.source(spark, sf_dir)
+
+    def one(item):
+        name, tgt = item
+        return D.digest_tree(src, tgt, "ORDER_ID", LEAF_WIDTH).select(F.lit(name).alias("entity_name"), "*")
+
+    with ThreadPoolExecutor(max_workers=len(RF.TARGETS)) as pool:
+        return _union(list(pool.map(one, RF.targets(src).items())))
+
+
 def q_recon_precision(spark, sf_dir):
     """RESPIRATORY against targets that differ by little: an equal one, and one
     whose values between 1 and 50 lie a few units of the last place off."""
@@ -378,6 +501,32 @@ def q_export_fhir_files(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("bundle"))
 
 
+def numbered_lines(spark, path: str, sep: str) -> DataFrame:
+    """(line_no, line) of one file, numbered in the order of the file."""
+    t = spark.read.option("lineSep", sep).text(path).select("value", F.col("_metadata.file_block_start").alias("start"),
+                                                            F.monotonically_increasing_id().alias("at"))
+    return with_ordinal(t, ["start", "at"], "line_no").select("line_no", F.col("value").alias("line"))
+
+
+def q_export_csv_single(spark, sf_dir):
+    """ACCOUNT as one ordered CSV file, and an empty batch as an empty one; the lines as read back."""
+    base, t = run_dir(spark, "csv_single"), _t(spark, sf_dir, "ACCOUNT")["ACCOUNT"]
+    parts = []
+    for label, df in (("ACCOUNT", t), ("ACCOUNT/empty", t.where("false"))):
+        path = f"{base}/{label.replace('/', '_')}.csv"
+        SK.export(df, "csv_file", path, order_by=["ACCOUNT_ID"])
+        parts.append(numbered_lines(spark, path, SK.CSV_LINE_SEP).select(F.lit(label).alias("entity_name"), "*"))
+    return _union(parts)
+
+
+def q_export_fhir_single(spark, sf_dir):
+    """All patients as one bundle file; its lines as read back."""
+    path = f"{run_dir(spark, 'fhir_single')}/patients.json"
+    SK.export(_t(spark, sf_dir, "PATIENT")["PATIENT"], "fhir_file", path, resource_type="Patient", run_ts=RUN_TS, run_id=RUN_ID,
+              order_by=["PATIENT_ID"])
+    return numbered_lines(spark, path, "\n")
+
+
 def q_scalar_functions(spark, sf_dir):
     p = _t(spark, sf_dir, "PATIENT")["PATIENT"]
     idt = F.col("PATIENT_ID").cast("string")
@@ -566,6 +715,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_billing_window": _window("extract_billing_accounts"),
     "billing_totals": q_billing_totals,
     "run_extracts": q_run_extracts,
+    "extract_order": q_extract_order,
+    "extract_resume": q_extract_resume,
+    "extract_runs": q_extract_runs,
     "validate_schema": q_validate_schema,
     "validate_nulls": q_validate_nulls,
     "validate_duplicates": q_validate_duplicates,
@@ -582,6 +734,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_entities": q_recon_entities,
     "recon_precision": q_recon_precision,
     "recon_row_diff": q_recon_row_diff,
+    "recon_landing": q_recon_landing,
+    "recon_column_diff": q_recon_column_diff,
+    "recon_column_counts": q_recon_column_counts,
+    "recon_digest_tree": q_recon_digest_tree,
+    "quarantine_rows": q_quarantine_rows,
     "scorecard_entity": q_scorecard_entity,
     "scorecard_overall": q_scorecard_overall,
     "export_csv_lines": q_export_csv_lines,
@@ -595,6 +752,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_csv_files": q_export_csv_files,
     "export_hl7_files": q_export_hl7_files,
     "export_fhir_files": q_export_fhir_files,
+    "export_csv_single": q_export_csv_single,
+    "export_fhir_single": q_export_fhir_single,
     "scalar_functions": q_scalar_functions,
     "incremental_extract": q_incremental_extract,
     "incremental_extract_by_date": q_incremental_extract_by_date,

@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import storage
 from ..functions import fhir as FH
 from ..functions import hl7 as H7
 from ..functions.columns import iso_ts, plain_text
 from ..operators.ordinals import with_ordinal
+from . import artefact
 
 CSV_LINE_SEP = "\r\n"
 # Minimal quoting, doubled quotes, null and empty as nothing, no trimming.
@@ -37,7 +39,7 @@ class ExportResult:
 
 def _python_number(name: str) -> F.Column:
     """A double as Python prints it: plain from 1e-4 to 1e16, else with a two-digit exponent."""
-    c = "`" + name.replace("`", "``") + "`"
+    c = "CAST(`" + name.replace("`", "``") + "` AS DOUBLE)"
     text = f"CAST({c} AS STRING)"
     plain = f"regexp_replace(CAST(CAST({text} AS DECIMAL(38,21)) AS STRING), '0+$', '')"
     mantissa = f"regexp_replace(split_part({text}, 'E', 1), '[.]0$', '')"
@@ -55,7 +57,7 @@ def _for_text(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             return plain_text(df, f.name).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType):
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):  # Python has one kind of float
             return _python_number(f.name).alias(f.name)
         if isinstance(f.dataType, T.BooleanType):
             return F.when(c, F.lit("True")).when(~c, F.lit("False")).alias(f.name)
@@ -69,9 +71,15 @@ def csv_header(df: DataFrame) -> str:
 
 
 def csv_lines(df: DataFrame) -> DataFrame:
-    """One CSV record per row (no line terminator), in the exporter's dialect."""
+    """One CSV record per row (no line terminator), in the exporter's dialect.
+
+    A lone empty field is written as ``""``, so that its line isn't blank.
+    """
     t = _for_text(df)
-    return t.select(F.to_csv(F.struct(*t.columns), CSV_OPTS).alias("line"))
+    line = F.to_csv(F.struct(*t.columns), CSV_OPTS)
+    if len(t.columns) == 1:
+        line = F.when(F.coalesce(F.col(t.columns[0]).cast("string"), F.lit("")) == "", F.lit('""')).otherwise(line)
+    return t.select(line.alias("line"))
 
 
 def _observed_write(df: DataFrame, path: str, line_sep: str, name: str) -> int:
@@ -84,13 +92,16 @@ def _observed_write(df: DataFrame, path: str, line_sep: str, name: str) -> int:
 def write_csv(df: DataFrame, path: str) -> ExportResult:
     """``path/data``: CRLF-terminated records; ``path/header``: the header line.
 
-    An empty input writes no header (as the single-buffer exporter did).
+    An empty input writes no header (as the single-buffer exporter did) and
+    removes one that an earlier run left.
     """
     spark = df.sparkSession
     n = _observed_write(csv_lines(df), f"{path}/data", CSV_LINE_SEP, "csv_rows")
     if n > 0:
         spark.createDataFrame([(csv_header(df),)], "line string").coalesce(1) \
              .write.mode("overwrite").option("lineSep", CSV_LINE_SEP).text(f"{path}/header")
+    else:
+        storage.delete(spark, f"{path}/header")
     return ExportResult("csv", n, path, {"data": f"{path}/data", "header": f"{path}/header"})
 
 
@@ -172,7 +183,49 @@ def write_fhir_bundles(df: DataFrame, path: str, resource_type: str = "Patient",
     return ExportResult("fhir_r4", int(obs.get["n"]), path)
 
 
-EXPORTERS = {"csv": write_csv, "hl7": write_hl7, "fhir": write_fhir_bundles}
+# ------------------------------------------------------------- one-file exports
+
+def _ordered_parts(df: DataFrame, order_by: list[str] | None, lines, path: str, line_sep: str) -> int:
+    """Write the lines as part files whose names follow the order; the number of rows."""
+    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in _default_order(df, order_by)])
+    return _observed_write(lines(ordered), path, line_sep, "one_file")
+
+
+def write_csv_file(df: DataFrame, path: str, order_by: list[str] | None = None) -> ExportResult:
+    """One CSV file at ``path``: the header, then the records in order.
+
+    Executors write ordered part files beside it, which are then put together
+    by position (``artefact.assemble``); no task or driver passes over all
+    rows. An empty input makes an empty file without a header.
+    """
+    parts = f"{path}.parts"
+    n = _ordered_parts(df, order_by, csv_lines, parts, CSV_LINE_SEP)
+    artefact.assemble(df.sparkSession, parts, path, head=csv_header(df) + CSV_LINE_SEP if n else "")
+    return ExportResult("csv", n, path)
+
+
+def write_fhir_bundle_file(df: DataFrame, path: str, resource_type: str = "Patient", run_ts=None, run_id: str | None = None,
+                           order_by: list[str] | None = None) -> ExportResult:
+    """One collection bundle as one JSON file at ``path``, one entry per line, in order.
+
+    Made like ``write_csv_file``; an empty input makes a bundle without entries.
+    """
+    run_id, run_ts = run_id or uuid.uuid4().hex, run_ts or _dt.datetime.now()
+    at = F.lit(run_ts.isoformat(sep=" ") if isinstance(run_ts, _dt.datetime) else str(run_ts)).cast("timestamp_ntz")
+    name, stamp = df.sparkSession.range(1).select(bundle_id(run_id, F.lit(0)), iso_ts(at)).first()
+    parts, sep = f"{path}.parts", ",\n"
+
+    def entries(ordered):
+        return ordered.select(F.concat(F.lit('{"resource":'), FH.resource_json(ordered, resource_type), F.lit("}")).alias("entry"))
+
+    n = _ordered_parts(df, order_by, entries, parts, sep)
+    head = f'{{"resourceType":"Bundle","id":"{name}","type":"collection","timestamp":"{stamp}","entry":[\n'
+    artefact.assemble(df.sparkSession, parts, path, head=head, tail="\n]}\n" if n else "]}\n", drop_last=len(sep) if n else 0)
+    return ExportResult("fhir_r4", n, path)
+
+
+EXPORTERS = {"csv": write_csv, "hl7": write_hl7, "fhir": write_fhir_bundles,
+             "csv_file": write_csv_file, "fhir_file": write_fhir_bundle_file}
 
 
 def export(df: DataFrame, fmt: str, path: str, **kw) -> ExportResult:

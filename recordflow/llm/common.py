@@ -6,11 +6,13 @@ import io
 import os
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
+from ..storage import delete
 from .files import open_folder, whole_file
 
 ARROW_ROWS = 512  # rows of one Arrow batch: bounds a task's memory with long texts
@@ -52,14 +54,33 @@ def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def stored(df: DataFrame, kind: str, by: list[str] | None = None) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, lineage cut, safe against lost executors."""
+_open: list[list[str]] = []  # written tables of the blocks that are open, innermost last
+
+
+def stored(df: DataFrame, kind: str, keep: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, lineage cut, safe against lost executors.
+
+    Inside a ``temporary`` block the table goes when the block ends, unless it is to ``keep``.
+    """
     spark = df.sparkSession
     path = run_dir(spark, kind)
     df.write.parquet(path)
+    if _open and not keep:
+        _open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession):
+    """Removes the tables stored inside, whose last use must be inside as well."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            delete(spark, path)
+
+
 def blocks(rows: Iterator[tuple], size_of, limit: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
     """Rows in lists whose sizes add up to about ``limit``; a larger row stands alone."""
     out, size = [], 0

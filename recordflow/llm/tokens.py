@@ -18,8 +18,15 @@ os.environ.setdefault("RAYON_NUM_THREADS", "1")
 # White space that the vocabularies' patterns know beside the ASCII kind, and
 # the four separators that only Python counts as white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_RUN = re.compile(rb"[ \t-\r][ \t-\r]|[\t\x0b-\r]")
+_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _CHUNK = re.compile(rb"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+# Runs of two blanks or line ends come apart by the simple cut just as the
+# pattern takes them apart; longer runs, those at a text's end and other white
+# space don't.
+_RARE = (b"\t", b"\r", b"\x0b", b"\x0c", b"\x00")
+_PAIRS = tuple(a + b for a in (b" ", b"\n") for b in (b" ", b"\n"))
+_TRIPLES = tuple(p + c for p in _PAIRS for c in (b" ", b"\n"))
+_SPACES = frozenset(b" \t\n\x0b\x0c\r")
 
 _loaded: dict[tuple, "ChunkCache"] = {}
 
@@ -103,11 +110,23 @@ class PieceEncoder(ChunkCache):
         return [np.array(x, np.int64) for x in self.model.encode([k.decode("utf-8", "replace") for k in keys], num_threads=1)]
 
 
+def _key(chunk: bytes) -> bytes:
+    """The cache key of a chunk: bare after one blank, as it is after one line end, else marked by a 0."""
+    if len(chunk) > 1 and chunk[1] and chunk[1] not in _SPACES:
+        if chunk[0] == 32:
+            return chunk[1:]
+        if chunk[0] == 10:
+            return chunk
+    return b"\x00" + chunk
+
+
 class ChunkEncoder(ChunkCache):
-    """Ids of texts under a ``tokenizers`` file.
+    """Ids of texts under a ``tokenizers`` file, as its plain ``encode`` gives them.
 
     ``spaces``: the vocabulary keeps white space (byte-level), so a chunk
-    carries the white space before it; otherwise white space only separates.
+    carries the white space before it; otherwise white space only separates. A
+    text that holds a special token of the file is encoded whole. Ids are kept
+    in 16 bits; a larger vocabulary is refused.
     """
 
     BLOCK = 512  # new chunks encoded by one call
@@ -116,7 +135,11 @@ class ChunkEncoder(ChunkCache):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tok.get_added_tokens_decoder()
+        if max([self.tok.get_vocab_size() - 1, *added]) > 0xFFFF:
+            raise ValueError(f"{path}: ids over 65,535 don't fit in 16 bits")
+        self.special = [t.content.lower() for t in added.values()]
+        self.heads = {c for t in added.values() for c in (t.content[:2], t.content[:2].upper(), t.content[:2].lower())}
         # A control character between blanks is cut off on both sides, so it
         # can stand between chunks that are encoded in one call.
         self.mark = " \x01" if spaces else " \x01 "
@@ -124,14 +147,24 @@ class ChunkEncoder(ChunkCache):
         self.spaces = spaces
         super().__init__()
 
+    def _has_special(self, text: str) -> bool:
+        """Whether a special token may be inside (in any case, as a normaliser may change it)."""
+        return any(h in text for h in self.heads) and any(t in text.lower() for t in self.special)
+
+    def _odd(self, text: str) -> bool:
+        """White space that the chunks don't know."""
+        return any(x in text for x in _SEPARATORS) if text.isascii() else _ODD_SPACE.search(text) is not None
+
     def _chunks(self, text: str) -> list[bytes]:
         raw = text.encode()
+        if self._has_special(text):
+            return [b"\x00" + raw] if self.spaces else [raw]
         if not self.spaces:
             return raw.split()
-        if _ODD_SPACE.search(text):
+        if self._odd(text):
             return [b"\x00" + raw]
-        if b"\x00" in raw or _RUN.search(raw):  # a chunk after a blank must not begin with the 0 that marks a whole one
-            return [b"\x00" + c for c in _CHUNK.findall(raw)]
+        if any(x in raw for x in _RARE) or (any(p in raw for p in _PAIRS) and (raw[-2:] in _PAIRS or any(t in raw for t in _TRIPLES))):
+            return [_key(c) for c in _CHUNK.findall(raw)]
         parts = raw.replace(b"\n", b" \n").split(b" ")
         first = parts.pop(0)
         return [b"\x00" + first, *parts] if first else parts
@@ -161,16 +194,18 @@ class ChunkEncoder(ChunkCache):
         if self.spaces:  # only a chunk that begins with white space and goes on is cut off on both sides
             safe = [j for j, t in enumerate(texts) if t[0] in " \n" and t[-1] not in " \n\t\r\x0b\x0c" and keys[j][:1] != b"\x00"]
         else:
-            safe = range(len(texts))
+            safe = [j for j, t in enumerate(texts) if not self._has_special(t)]
         for i in range(0, len(safe), self.BLOCK):
             part = safe[i:i + self.BLOCK]
             found = self._together([texts[j] for j in part])
             if found is not None:
                 for j, x in zip(part, found):
                     out[j] = x
-        for j, x in enumerate(out):
-            if x is None:
-                out[j] = np.array(self.tok.encode_batch_fast([texts[j]], add_special_tokens=False)[0].ids, np.int64)
+        rest = [j for j, x in enumerate(out) if x is None]
+        for i in range(0, len(rest), self.BLOCK):
+            part = rest[i:i + self.BLOCK]
+            for j, e in zip(part, self.tok.encode_batch_fast([texts[j] for j in part], add_special_tokens=False)):
+                out[j] = np.array(e.ids, np.int64)
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -85,15 +85,14 @@ def test_blocks_cut_up_a_bucket(spark, docs, monkeypatch):
 def _tokenizer(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.vocabulary(name))
 
 
 @pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_chunked_encoding_equals_direct(docs, name, spaces):
     t, e = _tokenizer(name), tokens.ChunkEncoder(tokens.vocabulary(name), spaces)
-    texts = [x or "" for _, x in _pairs(docs)] + ["  a  b ", "\n\nx y", " lead", "a\n", "\tfoo bar", "x ̈y", "'s don't I'LL\r\n q", "...\x01 ok", "a \x01 b"]
+    texts = [x or "" for _, x in _pairs(docs)] + ["  a  b ", "\n\nx y", " lead", "a\n", "\tfoo bar", "x ̈y", "'s don't I'LL\r\n q", "...\x01 ok", "a \x01 b", "a\n\nb  c \n d\n e", " \n x", "\n\n", "a   b", "a \n\nb", "end  ", "end\n\n", " ", "\n", "tab\tx  y",
+                                                    "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|startoftext|>  y", "A <|ENDOFTEXT|> b", "<| endoftext"]
     texts = [x for x in texts if len(x) < 50_000]
     ids, per = e.encode(texts)
     ends = np.concatenate([[0], np.cumsum(per)])
@@ -101,6 +100,23 @@ def test_chunked_encoding_equals_direct(docs, name, spaces):
         assert ids[ends[k]:ends[k + 1]].tolist() == t.encode(x, add_special_tokens=False).ids, x[:80]
 
 
+def test_large_vocabularies_are_refused(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    Tokenizer(models.WordLevel({str(i): i for i in range(70_001)}, unk_token="0")).save(str(tmp_path / "big.json"))
+    with pytest.raises(ValueError):
+        tokens.ChunkEncoder(str(tmp_path / "big.json"), False)
+
+
+def test_white_space_runs_equal_direct():
+    rng = np.random.default_rng(12)
+    t, e = _tokenizer("byte_bpe_50k.json"), tokens.ChunkEncoder(tokens.vocabulary("byte_bpe_50k.json"), True)
+    for size in (2, 4, 8, 30):
+        texts = ["".join(rng.choice(["a", "bc", " ", "\n", " ", "d", ".", "é"], size)) for _ in range(800)]
+        ids, per = e.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 @pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_chunks_with_nul(name, spaces):
     from tokenizers import Tokenizer
@@ -136,6 +152,24 @@ def test_packing(docs, nothing):
     assert packing.pack(nothing).count() == 0
 
 
+def test_stated_weights_fill_every_window(spark):
+    """Three sources at 5 : 3 : 2, the last of them short: shares hold per window until a queue ends, then the rest fill up."""
+    rows = [(i, _prose(i, 120), "abc"[i % 3]) for i in range(60)] + [(100 + i, _prose(100 + i, 40), "c") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").where("source <> 'c' OR doc_id < 30 OR doc_id >= 100")
+    got = packing.pack(docs, size=256, weights={"a": 5, "b": 3, "c": 2}).collect()
+    total, by_seq = Counter(), defaultdict(Counter)
+    for r in got:
+        total[r["source"]] += r["length"]
+        by_seq[r["sequence_id"]][r["source"]] += r["length"]
+    shares, served = {"a": 0.5, "b": 0.3, "c": 0.2}, Counter()
+    first_end = min(total[s] / shares[s] for s in shares)
+    for n, seq in enumerate(sorted(by_seq)):
+        served += by_seq[seq]
+        if 256 * (n + 1) < first_end - 256:
+            assert sum(by_seq[seq].values()) == 256 and all(abs(served[s] - 256 * (n + 1) * shares[s]) <= 1 for s in shares)
+    assert served == total
+
+
 def test_mixture_is_the_sequential_round_robin():
     rng = np.random.default_rng(4)
     for _ in range(20):

@@ -238,9 +238,10 @@ def _shares(forward: DataFrame, numbers: DataFrame, n: int, length: int) -> Data
     postings = weights.agg(F.sum("df")).first()[0] or 0
     shards = max(1, -(-postings // SHARD_POSTINGS))
     share = f"w * ((1000000000 * tf) div (1000 * tf + 8 * (10 + ((90 * n * {n}L) div {max(length, 1)}L))))"
-    return each.join(weights.select("t", "w").where("w > 0"), "t") \
+    dealt = each.join(weights.select("t", "w").where("w > 0"), "t") \
         .select(F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), "row", "id", "t", F.expr(share).cast("long").alias("share")) \
         .where("share > 0")
+    return dealt.repartition(shards, "shard")  # about a task per shard, however many there are
 
 
 def _searcher(ids: list, terms: list[np.ndarray], n_terms: int, item_type: pa.DataType, k: int):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -27,6 +28,29 @@ _RARE = (b"\t", b"\r", b"\x0b", b"\x0c", b"\x00")
 _PAIRS = tuple(a + b for a in (b" ", b"\n") for b in (b" ", b"\n"))
 _TRIPLES = tuple(p + c for p in _PAIRS for c in (b" ", b"\n"))
 _SPACES = frozenset(b" \t\n\x0b\x0c\r")
+# A mark after a word is a token run of its own, so it can be cut off: words
+# then stand in the cache once, not once per mark. That holds where no other
+# mark, blank or character beyond ASCII stands before it.
+_MARKS = (b",", b".", b"!", b"?", b";", b":")
+_KIND = bytes(ord("s") if b in _SPACES else ord("w") if chr(b).isalnum() and b < 128 else ord("p") if 32 < b < 127 else ord("x") for b in range(256))
+_UNSURE = (b"pp", b"sps", b"xps")
+
+
+# A chunk of ASCII letters is one token run: the vocabulary's model takes it as it is.
+_LETTERS, _MARKED_LETTERS = re.compile(rb"[A-Za-z]+"), re.compile(rb"[\x00\n]?[A-Za-z]+")
+_WORDS_TO_TRY = ("a", "word", "Words", "THE", "internationalisation", "xyzzyqj", "Of", "s", "ll", "tokenISER")
+
+
+def _marks_apart(raw: bytes, gap: bytes) -> bytes:
+    """``raw`` with ``gap`` before each mark that ends a word, if that is sure to change no id."""
+    kinds = raw.translate(_KIND)
+    if any(x in kinds for x in _UNSURE):
+        return raw
+    for m in _MARKS:
+        if m in raw:
+            raw = raw.replace(m + b" ", gap + m + b" ").replace(m + b"\n", gap + m + b"\n")
+    return raw
+
 
 _loaded: dict[tuple, "ChunkCache"] = {}
 
@@ -53,10 +77,15 @@ class _Index(dict):
         return n
 
 
+def _in_a_row(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum())), size
+
+
 class ChunkCache:
     """Ids of chunks, kept by chunk. ``max_entries`` and ``max_ids`` bound it; when it is full it starts anew."""
 
-    def __init__(self, max_entries: int = 700_000, max_ids: int = 8_000_000):
+    def __init__(self, max_entries: int = 1_000_000, max_ids: int = 8_000_000):
         self.max_entries, self.max_ids = max_entries, max_ids
         self._clear()
 
@@ -66,20 +95,20 @@ class ChunkCache:
         self.off = np.zeros(1 << 18, np.int64)
         self.n = 0
 
-    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
+    def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``keys`` in a row, and the number of ids of each."""
         raise NotImplementedError
 
     def _learn(self, keys: list[bytes]) -> None:
         """Append the ids of ``keys``, which the index has numbered from ``self.n`` on."""
-        out = self.ids_of(keys)
-        flat = np.concatenate(out)
+        flat, size = self.ids_of(keys)
         at = self.off[self.n]
         while at + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while self.n + len(keys) + 1 > len(self.off):
             self.off = np.concatenate([self.off, np.zeros_like(self.off)])
         self.ids[at:at + len(flat)] = flat
-        self.off[self.n + 1:self.n + 1 + len(keys)] = at + np.cumsum([len(x) for x in out])
+        self.off[self.n + 1:self.n + 1 + len(keys)] = at + np.cumsum(size)
         self.n += len(keys)
 
     def look_up(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +135,8 @@ class PieceEncoder(ChunkCache):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         super().__init__()
 
-    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode([k.decode("utf-8", "replace") for k in keys], num_threads=1)]
+    def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return _in_a_row(self.model.encode([k.decode("utf-8", "replace") for k in keys], num_threads=1))
 
 
 def _key(chunk: bytes) -> bytes:
@@ -145,8 +174,22 @@ class ChunkEncoder(ChunkCache):
         self.mark = " \x01" if spaces else " \x01 "
         self.mark_ids = self.tok.encode(self.mark, add_special_tokens=False).ids
         self.spaces = spaces
+        self.model = self.tok.model
+        self.end = self.tok.encode("\n", add_special_tokens=False).ids
+        tried = [w.encode() for w in _WORDS_TO_TRY] + ([b"\x00" + w.encode() for w in _WORDS_TO_TRY] + [b"\n" + w.encode() for w in _WORDS_TO_TRY]) * spaces
+        self.by_model = all(self._word(k) == self.tok.encode(self._text(k), add_special_tokens=False).ids for k in tried)
         super().__init__()
 
+    def _word(self, key: bytes) -> list[int]:
+        """The ids of a chunk of letters, from the model behind the file's normaliser and cutting."""
+        if not self.spaces:
+            return [t.id for t in self.model.tokenize(key.decode().lower())]
+        if key[0] == 0:
+            return [t.id for t in self.model.tokenize(key[1:].decode())]
+        if key[0] == 10:
+            return [*self.end, *(t.id for t in self.model.tokenize(key[1:].decode()))]
+        return [t.id for t in self.model.tokenize("\u0120" + key.decode())]  # how byte-level vocabularies write a blank
+
     def _has_special(self, text: str) -> bool:
         """Whether a special token may be inside (in any case, as a normaliser may change it)."""
         return any(h in text for h in self.heads) and any(t in text.lower() for t in self.special)
@@ -160,12 +203,12 @@ class ChunkEncoder(ChunkCache):
         if self._has_special(text):
             return [b"\x00" + raw] if self.spaces else [raw]
         if not self.spaces:
-            return raw.split()
+            return _marks_apart(raw, b" ").split()
         if self._odd(text):
             return [b"\x00" + raw]
         if any(x in raw for x in _RARE) or (any(p in raw for p in _PAIRS) and (raw[-2:] in _PAIRS or any(t in raw for t in _TRIPLES))):
             return [_key(c) for c in _CHUNK.findall(raw)]
-        parts = raw.replace(b"\n", b" \n").split(b" ")
+        parts = _marks_apart(raw, b" \x00").replace(b"\n", b" \n").split(b" ")
         first = parts.pop(0)
         return [b"\x00" + first, *parts] if first else parts
 
@@ -175,38 +218,52 @@ class ChunkEncoder(ChunkCache):
             return key.decode()
         return (key[1:] if key[:1] == b"\x00" else key if key[:1] == b"\n" else b" " + key).decode()
 
-    def _together(self, texts: list[str]) -> list[np.ndarray] | None:
-        """The ids of each text by one call, or None where that can't be told apart."""
+    def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of all texts by one call and the number of each text's, or None where that can't be told apart."""
         joined = self.mark.join(texts)
-        if joined.count("\x01") != len(texts) - 1:
+        if joined.count("\x01") != len(texts) - 1 or self._has_special(joined):
             return None
         flat = np.array(self.tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
         at = np.flatnonzero(flat == self.mark_ids[-1])
         k = len(self.mark_ids)
         if len(at) != len(texts) - 1:
             return None
-        starts, ends = np.concatenate([[0], at + 1]), np.append(at + 1 - k, len(flat))
-        return [flat[a:b] for a, b in zip(starts, ends)]
-
-    def ids_of(self, keys: list[bytes]) -> list[np.ndarray]:
-        out: list = [None] * len(keys)
-        texts = [self._text(k) for k in keys]
+        keep = np.ones(len(flat), bool)
+        keep[(at[:, None] - np.arange(k)).ravel()] = False
+        return flat[keep], np.append(at + 1 - k, len(flat)) - np.concatenate([[0], at + 1])
+
+    def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        letters = (_MARKED_LETTERS if self.spaces else _LETTERS).fullmatch
+        words = [j for j, k in enumerate(keys) if letters(k)] if self.by_model else []
+        size, done = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of chunks, their ids in a row
+        if words:
+            part = np.array(words)
+            flat, size[part] = _in_a_row([self._word(keys[j]) for j in words])
+            found.append((part, flat))
+            done[part] = True
+        texts = [None if d else self._text(k) for k, d in zip(keys, done.tolist())]
         if self.spaces:  # only a chunk that begins with white space and goes on is cut off on both sides
-            safe = [j for j, t in enumerate(texts) if t[0] in " \n" and t[-1] not in " \n\t\r\x0b\x0c" and keys[j][:1] != b"\x00"]
+            safe = [j for j, t in enumerate(texts) if t is not None and t[0] in " \n" and t[-1] not in " \n\t\r\x0b\x0c" and keys[j][:1] != b"\x00"]
         else:
-            safe = [j for j, t in enumerate(texts) if not self._has_special(t)]
+            safe = [j for j, t in enumerate(texts) if t is not None]
         for i in range(0, len(safe), self.BLOCK):
-            part = safe[i:i + self.BLOCK]
-            found = self._together([texts[j] for j in part])
-            if found is not None:
-                for j, x in zip(part, found):
-                    out[j] = x
-        rest = [j for j, x in enumerate(out) if x is None]
+            part = np.array(safe[i:i + self.BLOCK])
+            one = self._together([texts[j] for j in part])
+            if one is not None:
+                size[part], done[part] = one[1], True
+                found.append((part, one[0]))
+        rest = np.flatnonzero(~done)
         for i in range(0, len(rest), self.BLOCK):
             part = rest[i:i + self.BLOCK]
-            for j, e in zip(part, self.tok.encode_batch_fast([texts[j] for j in part], add_special_tokens=False)):
-                out[j] = np.array(e.ids, np.int64)
-        return out
+            flat, size[part] = _in_a_row([e.ids for e in self.tok.encode_batch_fast([texts[j] for j in part], add_special_tokens=False)])
+            found.append((part, flat))
+        start = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int64)
+        for part, flat in found:
+            n = size[part]
+            out[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
+        return out, size
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (unsigned 16 bits) and the number of ids of each text."""

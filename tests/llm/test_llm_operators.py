@@ -108,11 +108,12 @@ def test_large_vocabularies_are_refused(tmp_path):
         tokens.ChunkEncoder(str(tmp_path / "big.json"), False)
 
 
-def test_white_space_runs_equal_direct():
+@pytest.mark.parametrize("name,spaces", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_white_space_runs_and_marks_equal_direct(name, spaces):
     rng = np.random.default_rng(12)
-    t, e = _tokenizer("byte_bpe_50k.json"), tokens.ChunkEncoder(tokens.vocabulary("byte_bpe_50k.json"), True)
+    t, e = _tokenizer(name), tokens.ChunkEncoder(tokens.vocabulary(name), spaces)
     for size in (2, 4, 8, 30):
-        texts = ["".join(rng.choice(["a", "bc", " ", "\n", " ", "d", ".", "é"], size)) for _ in range(800)]
+        texts = ["".join(rng.choice(["a", "bc", " ", "\n", " ", "d", ".", "é", ", ", ". ", "x, ", "Don't", "7", "…", "”, ", "'s", "!\n", "ab. "], size)) for _ in range(1500)]
         ids, per = e.encode(texts)
         assert [x.tolist() for x in np.split(ids, np.cumsum(per)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 

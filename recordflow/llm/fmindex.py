@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, Words, arrow_batches, blocks, lower_ascii, mix
+from .common import WORD_CHARS, Words, arrow_batches, blocks, lower_ascii, stored
 
 WINDOW = 10  # words
 SHARD_BYTES = 4 << 20  # text of one shard
 SAMPLE = 16  # every 16th position of the word string is kept
-MAX_BENCHMARK_BYTES = 256 << 20  # the phrase set goes to every task; a larger benchmark is refused
+GROUP_BYTES = 16 << 20  # benchmark text whose windows are sent to the tasks at once; more text makes more groups
 
 _U = np.uint64
 
@@ -137,17 +137,23 @@ class Phrases:
         w = Words(texts, WORD_CHARS)
         self.window, self.vocab = window, np.unique(w.hash) if len(w) else np.empty(0, _U)
         ids = np.searchsorted(self.vocab, w.hash) + 2 if len(w) else np.empty(0, np.int64)  # 0 ends, 1 separates
-        found: dict[tuple, set] = {}
-        for k, (item, _) in enumerate(items):
-            own = ids[w.first[k]:w.first[k + 1]]
-            for j in range(max(len(own) - window, 0) + 1 if len(own) else 0):
-                found.setdefault(tuple(own[j:j + window].tolist()), set()).add(item)
-        self.size = np.array([len(p) for p in found], np.int64)
-        self.rows = np.zeros((len(found), window), np.int64)
-        for i, p in enumerate(found):
-            self.rows[i, window - len(p):] = p
-        self.items = [sorted(s) for s in found.values()]
-        self.shortest = int(self.size.min()) if len(found) else 0
+        # Every item's windows as rows, shorter ones padded on the left, then each window once.
+        per = np.where(w.per > 0, np.maximum(w.per - window, 0) + 1, 0)
+        owner = np.repeat(np.arange(len(items)), per)
+        start = w.first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
+        size = np.minimum(w.per[owner], window)
+        seat = np.arange(window)[None, :] - (window - size)[:, None]
+        rows = np.where(seat >= 0, ids[np.minimum(start[:, None] + np.maximum(seat, 0), max(len(ids) - 1, 0))], 0) if len(owner) else np.empty((0, window), np.int64)
+        self.rows, phrase = np.unique(rows, axis=0, return_inverse=True) if len(owner) else (rows, np.empty(0, np.int64))
+        self.size = (self.rows > 0).sum(1)
+        pairs = np.unique(np.stack([phrase.ravel(), owner], 1), axis=0)
+        self.names = [item for item, _ in items]
+        self.owners, self.owned_at = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(self.rows) + 1))
+        self.shortest = int(self.size.min()) if len(self.rows) else 0
+
+    def items(self, phrase: int) -> set:
+        """The items that a window belongs to."""
+        return {self.names[k] for k in self.owners[self.owned_at[phrase]:self.owned_at[phrase + 1]]}
 
 
 def spans(texts: list[bytes], phrases: Phrases) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -194,32 +200,87 @@ def _shards(phrases, handle, width: int):
     return run
 
 
-def _report(part, p: Phrases) -> pa.RecordBatch:
-    w, first, which = spans([lower_ascii(t) for _, t in part], p)
+def _hits(texts: list[bytes], p: Phrases, earlier: list | None = None) -> tuple[Words, np.ndarray, list[set]]:
+    """The words of a shard, which of them lie in an occurrence, and the items found in each text.
+
+    ``earlier``: for each text what other phrase groups found: (first words, lengths, items) each, or None.
+    """
+    w, first, which = spans(texts, p)
     cover = np.zeros(len(w) + 1, np.int64)
     np.add.at(cover, first, 1)
     np.add.at(cover, first + p.size[which] if len(which) else first, -1)
-    hit = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-    n_hit = hit[w.first[1:]] - hit[w.first[:-1]]
-    items: list[set] = [set() for _ in part]
+    items: list[set] = [set() for _ in texts]
     doc = np.searchsorted(w.first, first, side="right") - 1
     for d, k in np.unique(np.stack([doc, which], 1), axis=0) if len(which) else ():
-        items[d].update(p.items[k])
-    names = [sorted(map(str, s)) for s in items]
+        items[d].update(map(str, p.items(k)))
+    for d, found in enumerate(earlier or []):
+        for group in found or ():
+            at = w.first[d] + np.array(group["first"], np.int64)
+            np.add.at(cover, at, 1)
+            np.add.at(cover, at + np.array(group["size"], np.int64), -1)
+            items[d].update(group["items"])
+    return w, np.cumsum(cover[:-1]) > 0, items
+
+
+def _found(part, p: Phrases) -> pa.RecordBatch:
+    """A phrase group's runs of hit words and its items, for the rows that have any."""
+    w, hit, items = _hits([lower_ascii(t) for _, t in part], p)
+    out = []
+    for k, (row, _) in enumerate(part):
+        own = hit[w.first[k]:w.first[k + 1]]
+        if own.any():
+            edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
+            out.append((row, edge[0::2].tolist(), (edge[1::2] - edge[0::2]).tolist(), sorted(items[k])))
+    cols = list(zip(*out)) if out else [[]] * 4
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["row", "first", "size", "items"])
+
+
+def _report(part, p: Phrases) -> pa.RecordBatch:
+    w, hit, items = _hits([lower_ascii(r[-1]) for r in part], p, [r[-2] for r in part])
+    total = np.concatenate([[0], np.cumsum(hit)])
+    n_hit = total[w.first[1:]] - total[w.first[:-1]]
+    names = [sorted(s) for s in items]
     return pa.RecordBatch.from_arrays([
-        pa.array([d for d, _ in part], pa.int64()), pa.array(w.per, pa.int64()), pa.array(n_hit, pa.int64()),
+        pa.array([r[0] for r in part], pa.int64()), pa.array(w.per, pa.int64()), pa.array(n_hit, pa.int64()),
         pa.array([len(x) for x in names], pa.int64()),
         pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array(n_hit > 0)],
         names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def _phrases(benchmark: DataFrame, window: int, item_col: str, text_col: str):
-    """The phrase set, sent to every task once its size is known to be within the bound."""
+def _phrase_groups(benchmark: DataFrame, window: int, item_col: str, text_col: str):
+    """The phrase groups one after the other, each made of a hash share of the items of about ``GROUP_BYTES`` and sent to the tasks."""
     b = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("item is not null and text is not null")
     size = b.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"benchmark of {size} bytes is over {MAX_BENCHMARK_BYTES}: search it in parts")
-    return benchmark.sparkSession.sparkContext.broadcast(Phrases([(r.item, r.text) for r in b.toLocalIterator()], window))
+    count = max(1, -(-size // GROUP_BYTES))
+    for g in range(count):
+        own = b.where(F.pmod(F.xxhash64("item"), F.lit(count)) == g) if count > 1 else b
+        yield benchmark.sparkSession.sparkContext.broadcast(Phrases([(r.item, r.text) for r in own.toLocalIterator()], window))
+
+
+def _searched(docs: DataFrame, text_col: str, benchmark: DataFrame, window: int, item_col: str) -> tuple[DataFrame, str, object]:
+    """(docs with a column of what all phrase groups but the last found, its name, the last group).
+
+    With one group the column is null. With several, the rows are written once
+    with numbers, each group is searched over all of them, and the runs found
+    are gathered by row: at most one entry per group.
+    """
+    name = "found"
+    while name in docs.columns or f"{name}_row" in docs.columns:
+        name = f"_{name}"
+    kind = "array<struct<first: array<bigint>, size: array<bigint>, items: array<string>>>"
+    groups = list(_phrase_groups(benchmark, window, item_col, "text"))
+    if len(groups) == 1:
+        return docs.withColumn(name, F.lit(None).cast(kind)), name, groups[0]
+    row = f"{name}_row"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "fm/rows")
+    plain = rows.select(F.col(row), F.col(text_col).cast("string"))
+    found = None
+    for p in groups[:-1]:
+        one = stored(plain.mapInArrow(_shards(p, _found, 2), "row long, first array<long>, size array<long>, items array<string>"), "fm/found")
+        found = one if found is None else found.unionByName(one)
+    gathered = found.groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("first", "size", "items")).cast(kind).alias(name))
+    return rows.join(gathered, row, "left").drop(row), name, groups[-1]
 
 
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -232,11 +293,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     characters. A window is ``window`` consecutive words of an item; a shorter
     item is one window; an item without words is none. Null and empty texts
     have no words and aren't contaminated. Repeated rows are judged one by one.
-    Items with a null id or text are left out. An empty benchmark hits nothing.
+    Items with a null id or text are left out. An empty benchmark hits nothing,
+    an empty table gives an empty result. Texts of any length are read whole; a
+    benchmark over ``GROUP_BYTES`` is searched group by group.
     """
     arrow_batches(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return plain.mapInArrow(_shards(_phrases(benchmark, window, item_col, "text"), _report, 2), REPORT)
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows, found, last = _searched(plain, "text", benchmark, window, item_col)
+    return rows.select("id", found, "text").mapInArrow(_shards(last, _report, 3), REPORT)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", max_share: float = 1.0) -> DataFrame:
@@ -244,20 +308,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
 
     A cut goes from the first to the last character of a merged span; the text
     around it stays as it is. Rows whose words were hit by more than
-    ``max_share`` are dropped (1.0: none). Null texts stay null.
+    ``max_share`` are dropped (1.0: none). Null and empty texts stay as they
+    are, each of several equal rows is cut alike, and an empty table or
+    benchmark changes nothing. Texts of any length are read whole.
     """
     arrow_batches(docs.sparkSession)
     schema, names = docs.schema, docs.columns
     order = [*[c for c in names if c != text_col], text_col]
-    arrow = None
+    rows, found, last = _searched(docs, text_col, benchmark, window, "item_id")
 
     def cut(part, p):
-        raw = [lower_ascii(r[-1]) for r in part]
-        w, first, which = spans(raw, p)
-        cover = np.zeros(len(w) + 1, np.int64)
-        np.add.at(cover, first, 1)
-        np.add.at(cover, first + p.size[which] if len(which) else first, -1)
-        hit = np.cumsum(cover[:-1]) > 0
+        w, hit, _ = _hits([lower_ascii(r[-1]) for r in part], p, [r[-2] for r in part])
+        part = [(*r[:-2], r[-1]) for r in part]
         out = []
         for k, r in enumerate(part):
             own = hit[w.first[k]:w.first[k + 1]]
@@ -277,5 +339,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, t
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = list(to_arrow_schema(docs.select(*order).schema))
-    found = docs.select(*order).mapInArrow(_shards(_phrases(benchmark, window, "item_id", "text"), cut, len(order)), docs.select(*order).schema)
-    return found.select(*names).to(schema)
+    cleaned = rows.select(*order[:-1], found, text_col).mapInArrow(_shards(last, cut, len(order) + 1), docs.select(*order).schema)
+    return cleaned.select(*names).to(schema)

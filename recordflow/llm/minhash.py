@@ -278,13 +278,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = stored(named.join(asked, "id", "left_semi").select("id", "low", "bands"), "minhash/low")
 
     def blocked(comp: DataFrame) -> DataFrame:
-        """Buckets still in several components, in blocks: a bucket of g parts has a block for each two parts."""
-        of = bucket.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        split = of.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        parts = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-        rest = of.join(split, "key", "left_semi").withColumn("g", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
+        """Buckets still in several components, in blocks.
+
+        A bucket's largest component has no pair to compare within itself, so
+        its members are held against the others alone: with g parts of the
+        others and m of the largest, there is a block for each of the g parts
+        with each of all g + m. The work grows with the members times those
+        outside the largest component.
+        """
+        of = bucket.select("key", "id", "n").join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        each = of.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
+        one = F.struct("m", "comp", "w")
+        split = each.groupBy("key").agg(F.max(one).alias("top"), F.sum("m").alias("all"), F.sum("w").alias("weigh"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+
+        def parts(members, weight):
+            return F.greatest(F.ceil(members / BLOCK), F.ceil(weight / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+        split = split.select("key", F.col("top.comp").alias("top"), parts(F.col("all") - F.col("top.m"), F.col("weigh") - F.col("top.w")).alias("g"),
+                             parts(F.col("top.m"), F.col("top.w")).alias("m"))
+        rest = of.join(split, "key").withColumn("main", F.col("comp") == F.col("top"))
+        rest = rest.withColumn("part", F.when(F.col("main"), F.col("g") + F.pmod(F.xxhash64("id"), F.col("m"))).otherwise(F.pmod(F.xxhash64("id"), F.col("g"))).cast("int"))
         half = F.when(F.col("part") == F.col("other"), -1).otherwise((F.col("part") > F.col("other")).cast("int"))
-        rest = (rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+        rest = (rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("main"), F.col("g")).otherwise(F.col("g") + F.col("m")) - 1)))
                 .select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "id", "n", "comp", half.alias("half")))
         return in_blocks(rest.join(low, "id").select("key", "p", "q", "id", "n", "comp", "half", "low", "bands"))
 

@@ -16,10 +16,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, blocks, lower_ascii
+from .common import arrow_batches, blocks, lower_ascii, stored
 from .kernel_quality import fold
 from .tokens import _Index
 
@@ -28,6 +28,7 @@ UNIT = 32  # bytes; a longer word is read in pieces
 DOCS_PER_LANGUAGE = 400
 WORDS_PER_DOC = 48
 EPOCHS, BATCH, RATE = 4, 256, 0.01
+MIN_STEPS = 300  # a small sample is gone through more often
 CACHE_WORDS = 500_000
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -116,6 +117,7 @@ class Network:
         rng = np.random.default_rng(seed)
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         jobs = [(i, at) for i, (w, _) in enumerate(by_length) for at in range(0, len(w), batch)]
+        epochs = max(epochs, -(-MIN_STEPS // max(1, len(jobs))))
         total, step = epochs * len(jobs), 0
         for _ in range(epochs):
             mixed = [rng.permutation(len(w)) for w, _ in by_length]
@@ -192,13 +194,16 @@ def _sample(batches):
 def train_network(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], Network | None]:
     """The languages of ``docs`` and a network trained on a sample of their words."""
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
-    counts = dict(known.groupBy("lang").count().collect())  # a row per language
-    if not counts:
+    # The different texts of each language with the smallest hashes: the same
+    # ones whatever the partitions, and no more of them however many copies
+    # there are. Spark keeps the smallest of each task before it shuffles them.
+    hashed = known.withColumn("h", F.xxhash64("text"))
+    first = Window.partitionBy("lang").orderBy("h")
+    picked = stored(hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= DOCS_PER_LANGUAGE).drop("r"), "language/picked")
+    names = sorted(r[0] for r in picked.select("lang").distinct().collect())  # a row per language
+    if not names:
         return [], None
-    names = sorted(counts)
-    share = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, DOCS_PER_LANGUAGE / counts[n])))])
-    # Chosen by a hash of the whole text: the same documents whatever the partitions.
-    chosen = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    chosen = hashed.join(picked, ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
     rows = sorted((r[0], bytes(r[1])) for r in chosen.mapInArrow(_sample, "lang string, word binary").collect())
     net = Network(len(names))
     words, langs = [w for _, w in rows], np.array([names.index(x) for x, _ in rows], np.int64)

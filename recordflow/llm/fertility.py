@@ -1,23 +1,26 @@
-"""Quality rules on how a public vocabulary takes a text apart.
+"""Quality rules on how public vocabularies take a text apart.
 
 A text that a vocabulary knows poorly comes out as many short tokens or as
 single bytes; a text that says the same over and over uses few of its tokens.
-Per document: characters per token, share of byte-fallback tokens and token
-entropy (as a share of the most that so many tokens can have, at most
-ENTROPY_BITS: prose of any length stays near that many bits), held against
-bands for the text's main script. Simple counts of words, symbols and repeats
-come from the same pass.
+Per document, under a vocabulary of pieces and one of bytes: characters per
+token, share of byte-fallback tokens (pieces only) and token entropy, as a
+share of the most that so many tokens can have, at most ENTROPY_BITS. They are
+held against fixed bands for the text's main script, and against bands that the
+corpus itself sets for its language, script and length: quartiles of all texts
+that pass the simple counts, equal texts once. Counts of words, symbols and
+repeats come from the same pass.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Words, arrow_batches, blocks, hash_slices, mix
-from .tokens import PieceEncoder, loaded, vocabulary
+from .common import Words, arrow_batches, blocks, hash_slices, mix, stored
+from .tokens import WordPairEncoder, loaded, vocabulary
 
 # Scripts by first and last code point; fixed values of the Unicode blocks.
 SCRIPTS = {
@@ -53,10 +56,23 @@ BANDS = {
     "other": (0.3, 8.0, 0.50, 0.30),
 }
 ENTROPY_BITS = 10.0
-MIN_TOKENS = 32  # the entropy of fewer tokens says nothing
-MAX_SYMBOLS = 0.25  # by word; labelled documents of sf0.01: good ones have none, symbol-laden ones 0.37 or more
 MAX_HIGH = 0.01  # bytes beyond ASCII of an "ascii" text, by character
-BYTE_IDS = (3, 258)  # byte-fallback ids of the vocabulary, first and last
+
+# Bands of the corpus, by language, script and size class: a measure lies too low
+# under first quartile - (reach + FEW / sqrt(texts)) * (third - first quartile),
+# if that is at least ``share`` under the median (which holds where copies make
+# up most of a class). Per measure: bins by unit, reach, share. Fits of the
+# labelled documents of sf0.1 (prose is up to 6 % under the median entropy of
+# its class, symbol-laden text mostly 8 % or more; prose with an address or a
+# key in it up to 22 % under the median of characters per token).
+CORPUS_BANDS = {
+    "chars_per_token": (256, 2.0, 0.25),
+    "entropy_share": (8192, 1.0, 0.06),
+    "chars_per_byte_token": (256, 2.0, 0.25),
+    "byte_entropy_share": (8192, 1.5, 0.08),
+}
+FEW = 2.0  # quartiles of few texts are unsure, so their bands are wider
+MOST_BINS = 1 << 14
 SYMBOLS = b"#*$%&|<>"
 
 _U = np.uint64
@@ -115,9 +131,9 @@ def _dup_lines(w: Words) -> np.ndarray:
     return np.bincount(text, minlength=len(w.texts)) - np.bincount(text[first], minlength=len(w.texts))
 
 
-def _measured(rows, path: str, bands: dict):
-    """The report's rows of (id, text) rows, in their order."""
-    enc = loaded(PieceEncoder, path)
+def _measured(rows, path: tuple[str, str], bands: dict):
+    """The measures of (id, text) rows, in their order; ``path``: the two vocabularies."""
+    enc = loaded(WordPairEncoder, *path)
     marks = np.zeros(256, bool)
     marks[list(SYMBOLS)] = True
     for part in blocks(rows, lambda r: len(r[1] or "")):
@@ -132,63 +148,141 @@ def _measured(rows, path: str, bands: dict):
         high = np.concatenate([[0], np.cumsum(b >= 0x80)])
         n_high = high[w.offset[1:]] - high[w.offset[:-1]]
         repeat, dup = _repeats(w), _dup_lines(w)
-        flat, ends = enc.look_up([x for t in raw for x in t.split()]) if len(w) else (np.empty(0, np.uint16), np.zeros(1, np.int64))
+        flat, ends = enc.look_up([x for t in raw for x in t.split()]) if len(w) else (np.empty(0, np.uint32), np.zeros(1, np.int64))
         bound = ends[w.first]
         for k, (doc, text) in enumerate(part):
-            ids = flat[bound[k]:bound[k + 1]]
+            both = flat[bound[k]:bound[k + 1]]
+            ids, level = both[both < enc.split], both[both >= enc.split]
             n, words = len(ids), int(w.per[k])
             kind = main_script(text) if text else "other"
             per_token = float(chars[k] / n) if n else 0.0
-            in_bytes = float(((ids >= BYTE_IDS[0]) & (ids <= BYTE_IDS[1])).mean()) if n else 0.0
+            in_bytes = float(enc.is_byte[ids].mean()) if n else 0.0
             entropy = _entropy_share(ids)
             failed = words < 10 or 100 * int(repeat[k]) > 20 * words
             band = bands.get(kind, bands["other"])
             if kind == "latin" and n_high[k] <= MAX_HIGH * chars[k]:
                 band = bands.get("ascii", band)
             low, most, most_bytes, least = band
-            fine = low <= per_token <= most and n_symbols[k] <= MAX_SYMBOLS * words and in_bytes <= most_bytes and (n < MIN_TOKENS or entropy >= least)
-            yield (doc, words, int(chars[k]), int(n_symbols[k]), int(dup[k]), int(repeat[k]), failed, bool(fine and not failed), kind, per_token, in_bytes, entropy)
+            fine = low <= per_token <= most and in_bytes <= most_bytes and entropy >= least
+            yield (doc, words, int(chars[k]), int(n_symbols[k]), int(dup[k]), int(repeat[k]), failed, bool(fine), kind, (n * n).bit_length(),
+                   per_token, in_bytes, entropy, float(chars[k] / len(level)) if len(level) else 0.0, _entropy_share(level))
+
 
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(_TYPES), _TYPES)]
 
-def _report(path: str, bands: dict):
+
+def _report(path: tuple[str, str], bands: dict):
+    """(id, text, group) rows to their measures and the group."""
     def run(batches):
         for batch in batches:
-            out = list(_measured(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), path, bands))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(_TYPES), _TYPES)], names=_COLUMNS)
+            out = _columns(list(_measured(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), path, bands)))
+            yield pa.RecordBatch.from_arrays([*out, batch.column(2)], names=[*_COLUMNS, "language"])
 
     return run
 
 
-def _keep(path: str, bands: dict, text_at: int):
+def _beside(path: tuple[str, str], bands: dict, text_at: int, names: list[str]):
+    """Rows as they are, with their measures beside them."""
     def run(batches):
         for batch in batches:
-            out = _measured(((None, t) for t in batch.column(text_at).to_pylist()), path, bands)
-            yield batch.filter(pa.array([r[_COLUMNS.index("kept")] for r in out], pa.bool_()))
+            out = _columns(list(_measured(((None, t) for t in batch.column(text_at).to_pylist()), path, bands)))[1:]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out], names=names)
 
     return run
 
 
-_COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "script", "chars_per_token", "byte_share", "entropy_share"]
-_TYPES = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.string()] + [pa.float64()] * 3
-REPORT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, script string, chars_per_token double, byte_share double, entropy_share double"
+_COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "in_fixed_band", "script", "size_class",
+            "chars_per_token", "byte_share", "entropy_share", "chars_per_byte_token", "byte_entropy_share"]
+_TYPES = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.string(), pa.int32()] + [pa.float64()] * 5
+_SPARK = {pa.int64(): T.LongType(), pa.bool_(): T.BooleanType(), pa.string(): T.StringType(), pa.int32(): T.IntegerType(), pa.float64(): T.DoubleType()}
+_MEASURES = T.StructType([T.StructField(c, _SPARK[t]) for c, t in zip(_COLUMNS, _TYPES)])
+_CLASS = ["language", "script", "size_class"]
+
+
+def corpus_bands(measures: DataFrame) -> DataFrame:
+    """Per language, script and size class the least value of each measure in ``CORPUS_BANDS``.
+
+    Equal texts count once (by all their measures). Quartiles come from exact
+    counts of bins, so they don't depend on how the rows are spread, and a
+    class of any size comes down to a bounded number of rows before it meets.
+    """
+    texts = measures.where("not base_failed").select(*_CLASS, "n_words", "word_chars", *CORPUS_BANDS).distinct()
+    each = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.least(F.floor(F.col(c) * unit), F.lit(MOST_BINS)).cast("int").alias("bin"))
+        for c, (unit, _, _) in CORPUS_BANDS.items()])).alias("x")
+    bins = texts.select(*_CLASS, each).groupBy(*_CLASS, "x.measure", "x.bin").agg(F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy(*_CLASS, "measure")
+    so_far = bins.withColumn("up_to", F.sum("n").over(whole.orderBy("bin"))).withColumn("texts", F.sum("n").over(whole))
+    at = so_far.groupBy(*_CLASS, "measure", "texts").agg(
+        *[F.min(F.when(F.col("up_to") * 4 >= F.col("texts") * k, F.col("bin"))).alias(f"q{k}") for k in (1, 2, 3)])
+    least = [F.max(F.when(
+        F.col("measure") == c,
+        F.least(F.col("q1") - (F.lit(reach) + F.lit(FEW) / F.sqrt("texts")) * (F.col("q3") - F.col("q1")), F.col("q2") * (1 - share)) / unit)).alias(f"least_{c}")
+        for c, (unit, reach, share) in CORPUS_BANDS.items()]
+    return at.groupBy(*_CLASS).agg(*least)
+
+
+def _verdict(measures: DataFrame) -> DataFrame:
+    """``measures`` (a written table) with ``kept`` beside them."""
+    least = stored(corpus_bands(measures), "fertility/bands")
+    inside = F.lit(True)
+    for c in CORPUS_BANDS:
+        inside = inside & (F.col(c) >= F.coalesce(F.col(f"least_{c}"), F.lit(0.0)))
+    return measures.join(least, _CLASS, "left").withColumn("kept", ~F.col("base_failed") & F.col("in_fixed_band") & inside)
+
+
+def _at(names: list[str], column: str | None) -> int | None:
+    """The place of ``column`` among ``names``, None where there is none."""
+    low = [n.lower() for n in names]
+    return low.index(column.lower()) if column is not None and column.lower() in low else None
+
+
+def _language(docs: DataFrame, at: int | None):
+    """The column at a place as text, "" for null or no such place."""
+    return F.lit("") if at is None else F.coalesce(F.col(docs.columns[at]).cast("string"), F.lit(""))
 
 
-def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_path: str | None = None, bands: dict | None = None) -> DataFrame:
-    """Per row of ``docs`` the counts, the three measures, and whether it is kept.
+def _vocabularies(vocabulary_path: str | None, byte_vocabulary_path: str | None) -> tuple[str, str]:
+    return vocabulary_path or vocabulary("piece_bpe_32k.model"), byte_vocabulary_path or vocabulary("byte_bpe_50k.json")
+
+
+def fertility(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_path: str | None = None, bands: dict | None = None,
+              byte_vocabulary_path: str | None = None, language_col: str | None = "lang") -> DataFrame:
+    """Per row of ``docs`` the counts, the measures, and whether it is kept.
 
     Words are runs without ASCII white space. A text fails at once with fewer
     than 10 words or with over a fifth of its words in repeated 5-word windows;
-    else ``MAX_SYMBOLS`` and the bands of its main script decide (``bands``: as
-    ``BANDS``, with "other" for scripts not named). Entropy is judged from 32 tokens on. Null,
-    empty and blank texts have no words and fail. Each row is judged by itself,
-    so nulls in the id, repeated rows and further columns change nothing.
+    else the fixed bands of its main script decide (``bands``: as ``BANDS``,
+    with "other" for scripts not named) together with those of the corpus for
+    its language (``language_col`` if ``docs`` has it; null is a language of its
+    own), script and length (half powers of two of tokens). A mark after every word
+    takes some 10 % off the entropy and is rejected where the corpus is prose; so
+    is a table whose cells are single words, while code and lists stay. Null, empty and blank
+    texts have no words and fail. A very long text is measured whole, in a block
+    of its own. Repeated rows are all returned, with one verdict; equal texts
+    count once in the bands, so copies don't narrow them. Nulls in the id change
+    nothing; further columns aren't read. An empty table gives an empty result.
     """
     arrow_batches(docs.sparkSession)
-    plain = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return plain.mapInArrow(_report(vocabulary_path or vocabulary("piece_bpe_32k.model"), bands or BANDS), REPORT)
+    plain = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), _language(docs, _at(docs.columns, language_col)))
+    measured = plain.mapInArrow(_report(_vocabularies(vocabulary_path, byte_vocabulary_path), bands or BANDS), T.StructType([*_MEASURES, T.StructField("language", T.StringType())]))
+    out = _verdict(stored(measured, "fertility/measures"))
+    return out.select(*_COLUMNS[:7], "kept", *_COLUMNS[8:], "language", *[f"least_{c}" for c in CORPUS_BANDS])
 
 
-def keep_fertile(docs: DataFrame, text_col: str = "text", vocabulary_path: str | None = None, bands: dict | None = None) -> DataFrame:
-    """``docs`` without the rows that the rules reject; no shuffle, each row is judged where it lies."""
+def keep_fertile(docs: DataFrame, text_col: str = "text", vocabulary_path: str | None = None, bands: dict | None = None,
+                 byte_vocabulary_path: str | None = None, language_col: str | None = "lang") -> DataFrame:
+    """``docs`` without the rows that the rules reject, as ``fertility`` judges them.
+
+    The rows are written once with their measures; columns that are named like
+    a measure are kept as they are. No row is shuffled but for its measures.
+    """
     arrow_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep(vocabulary_path or vocabulary("piece_bpe_32k.model"), bands or BANDS, docs.columns.index(text_col)), docs.schema)
+    own = [f"own_{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*own)
+    at = _at(docs.columns, text_col)
+    schema = T.StructType([*plain.schema, *_MEASURES[1:]])
+    measured = stored(plain.mapInArrow(_beside(_vocabularies(vocabulary_path, byte_vocabulary_path), bands or BANDS, at, schema.names), schema), "fertility/rows")
+    language = _language(plain, _at(docs.columns, language_col))
+    return _verdict(measured.withColumn("language", language)).where("kept").select(*own).toDF(*docs.columns)

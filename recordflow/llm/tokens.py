@@ -85,13 +85,15 @@ def _in_a_row(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
 class ChunkCache:
     """Ids of chunks, kept by chunk. ``max_entries`` and ``max_ids`` bound it; when it is full it starts anew."""
 
+    KEPT_AS = np.uint16
+
     def __init__(self, max_entries: int = 1_000_000, max_ids: int = 8_000_000):
         self.max_entries, self.max_ids = max_entries, max_ids
         self._clear()
 
     def _clear(self) -> None:
         self.index = _Index()
-        self.ids = np.empty(1 << 20, np.uint16)
+        self.ids = np.empty(1 << 20, self.KEPT_AS)
         self.off = np.zeros(1 << 18, np.int64)
         self.n = 0
 
@@ -126,19 +128,6 @@ class ChunkCache:
         return self.ids[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
-class PieceEncoder(ChunkCache):
-    """Ids of single words under a ``sentencepiece`` model, each as a text of its own."""
-
-    def __init__(self, path: str):
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        super().__init__()
-
-    def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        return _in_a_row(self.model.encode([k.decode("utf-8", "replace") for k in keys], num_threads=1))
-
-
 def _key(chunk: bytes) -> bytes:
     """The cache key of a chunk: bare after one blank, as it is after one line end, else marked by a 0."""
     if len(chunk) > 1 and chunk[1] and chunk[1] not in _SPACES:
@@ -276,3 +265,34 @@ class ChunkEncoder(ChunkCache):
             return np.empty(0, np.uint16), np.zeros(len(texts), np.int64)
         flat, ends = self.look_up(keys)
         return flat, np.diff(ends[per])
+
+
+class WordPairEncoder(ChunkCache):
+    """Ids of single words under two vocabularies, from one look-up.
+
+    A ``sentencepiece`` model takes each word as a text of its own; a byte-level
+    ``tokenizers`` file takes it as after a blank, its ids raised by ``split``,
+    the size of the former, so that the two are told apart.
+    """
+
+    KEPT_AS = np.uint32
+
+    def __init__(self, piece_path: str, byte_path: str):
+        import sentencepiece
+
+        self.piece = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.split = self.piece.get_piece_size()
+        self.is_byte = np.array([self.piece.is_byte(i) for i in range(self.split)])
+        self.level = ChunkEncoder(byte_path, True)
+        super().__init__()
+
+    def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [k.decode("utf-8", "replace") for k in keys]
+        one, n_one = _in_a_row(self.piece.encode(texts, num_threads=1))
+        two, n_two = self.level.ids_of([t.encode() if t[0] != "\x00" else b"\x00 " + t.encode() for t in texts])
+        size = n_one + n_two
+        start = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.int64)
+        for ids, n, at in ((one, n_one, start), (two + self.split, n_two, start + n_one)):
+            out[np.repeat(at - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, size

@@ -56,7 +56,8 @@ _ROW_SCHEMA = ("run_id string, position_no bigint, run_seq bigint, last_extract_
 _FIELDS = [c.split() for c in _ROW_SCHEMA.split(", ")]
 _AS_TEXT = ", ".join(f"{n} {'string' if t == 'timestamp_ntz' else t}" for n, t in _FIELDS)  # times in commit files
 LEDGER_SCHEMA = "entity_name string, " + _ROW_SCHEMA
-_SEEN_SCHEMA = "digest string, staged_path string, entity_name string, try string, period date"
+_SEEN_SCHEMA = "digest binary, staged_path string, entity_name string, try string, period date"
+SEEN_SPLIT = 32 << 20  # bytes of staged rows whose digests one task keeps, a file for each of their months
 _ISSUE_SCHEMA = ("run_id string, detected_ts timestamp_ntz, level string, validation_type string, "
                  "field_name string, message string, row_count bigint")
 
@@ -112,12 +113,18 @@ class PositionLedger:
         return self.latest(entity)[0]
 
     def mark_seen(self, entity: str, staged_path: str, rows: DataFrame, change_col: str) -> None:
-        """Keep the digests of a try's rows by month of change; they count once the ledger names its staged folder."""
-        digests = rows.select(F.md5(C.row_text(rows)).alias("digest"), F.lit(staged_path).alias("staged_path"),
-                              _period(F.col(change_col), "month").alias("period"))
+        """Keep the digests of a try's rows by month of change; they count once the ledger names its staged folder.
+
+        Digests don't compress, so they are kept as their 16 bytes and not
+        shuffled: each task sorts those of its share of the staged files.
+        """
+        size = sum(n for _, n in storage.files(self.spark, staged_path))
+        digests = (rows.select(F.unhex(F.md5(C.row_text(rows))).alias("digest"), _period(F.col(change_col), "month").alias("period"))
+                   .coalesce(max(1, -(-size // SEEN_SPLIT))).sortWithinPartitions("period")
+                   .select("digest", F.lit(staged_path).alias("staged_path"), "period"))
         # A folder per try, so runs may write at once.
         folder = f"{self.path}-seen/entity_name={entity}/try={uuid.uuid4().hex[:12]}"
-        digests.hint("rebalance", "period").write.mode("append").partitionBy("period").parquet(folder)
+        digests.write.mode("append").partitionBy("period").parquet(folder)
 
     def seen_since(self, entity: str, low) -> DataFrame:
         """(digest) of every row that successful runs pulled and that may have changed after ``low``.
@@ -130,7 +137,9 @@ class PositionLedger:
         rows = self.spark.read.schema(_SEEN_SCHEMA).parquet(path).where(
             (F.col("entity_name") == entity) & (F.col("period") >= _period(_ts_lit(low), "month")))
         good = self.read(entity).where(F.col("status") == SUCCESS).select("staged_path").distinct()
-        return rows.join(good, "staged_path", "left_semi").select("digest")
+        # Indexes of earlier versions hold the digest's 32 hex characters as text.
+        text = F.when(F.length("digest") == 32, F.col("digest").cast("string")).otherwise(F.lower(F.hex("digest")))
+        return rows.join(good, "staged_path", "left_semi").select(text.alias("digest"))
 
     def runs(self, run_id: str | None = None) -> DataFrame:
         """The record of every run, or of one (the id's filter reaches the scan)."""

@@ -24,6 +24,8 @@ same salts, and equal rows of different partitions spread as well.
 
 from __future__ import annotations
 
+import math
+
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ AUTO = "auto"
 TRACKED = 1024  # items of a sketch: any key with more than about 1 / 250 of a side's rows is among them
 FLOOR = 1 << 14  # keys with fewer rows are never worth salting by themselves
 CELLS = 8  # cells per task that a key's rows are spread over: small ones pack evenly
+ROWS_PER_SORT = 500_000  # rows that one task of a global sort is meant to hold
 
 
 def _estimated_bytes(df: DataFrame) -> int | None:
@@ -137,3 +140,29 @@ def left_join(left: DataFrame, right: DataFrame, key: str, threshold: int | str
               rows_per_task: int | None = None, keys_of: DataFrame | None = None) -> DataFrame:
     """``left.join(right, key, "left")``; with ``threshold`` (rows, or ``AUTO``) hot keys of either side are salted."""
     return star_join(left, [right], key, threshold, rows_per_task, keys_of)
+
+
+def joined_rows(left: DataFrame, sides: list[DataFrame], key: str) -> tuple[int, float]:
+    """(rows of ``left``, rows of its left joins with every side), from counts by key: no row is joined for it."""
+    keys = left.select(F.col(key).alias("_k"), F.lit(0).alias("_of"))
+    for i, side in enumerate(sides, 1):
+        keys = keys.union(side.where(F.col(key).isNotNull()).select(key, F.lit(i)))
+    counts = keys.groupBy("_k").agg(*[F.count_if(F.col("_of") == i).alias(f"_n{i}") for i in range(len(sides) + 1)])
+    made = F.col("_n0").cast("double")
+    for i in range(1, len(sides) + 1):
+        made = made * F.greatest(F.col(f"_n{i}"), F.lit(1))
+    r = counts.agg(F.coalesce(F.sum("_n0"), F.lit(0)).alias("l"), F.coalesce(F.sum(made), F.lit(0.0)).alias("m")).first()
+    return int(r["l"]), float(r["m"])
+
+
+def sorted_rows(df: DataFrame, order: list, rows: float) -> DataFrame:
+    """``df.orderBy(*order)``, in as many ranges as its expected ``rows`` need.
+
+    A plain sort has the session's number of partitions however much there is
+    to sort, so its tasks grow with the data; where that number is too small,
+    the ranges are made explicitly.
+    """
+    ranges = math.ceil(rows / ROWS_PER_SORT)
+    if ranges <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.orderBy(*order)
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)

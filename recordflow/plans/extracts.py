@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
 
 from .. import storage
-from ..operators.joins import AUTO, star_join
+from ..operators.joins import AUTO, joined_rows, sorted_rows, star_join, will_broadcast
 from ..session import JobTag
 from .catalog import EXTRACTS, ExtractDef, Joined, extracts_by_category, register_extract, unregister_extract  # noqa: F401
 from .sql_extract import run_sql
@@ -50,18 +50,34 @@ def _declared_range(driving: DataFrame, d: ExtractDef, values: list) -> DataFram
 
 
 def _declared(d: ExtractDef, t: dict[str, DataFrame], values: list, ordered: bool, hot_key_threshold: int | str | None) -> DataFrame:
-    out = _declared_range(t[d.entities[0]], d, values).select(*d.columns)
+    out = driving = _declared_range(t[d.entities[0]], d, values).select(*d.columns)
+    stars = []
     # In a chain, a null key from an earlier join matches nothing (equi join).
     # Sides on one key are joined together; how often a chain's later keys
     # occur is read off the entity that brings them, not off the joined rows.
     holder = {c: out for c in d.columns}
     for key, group in groupby(d.joined, key=lambda j: j.key):
         sides = [t[j.entity].select(j.key, *[c for c in j.columns if c != j.key]) for j in group]
-        out = star_join(out, sides, key, hot_key_threshold, keys_of=holder[key].select(key))
+        stars.append((holder[key].select(key), sides, key))
+        out = star_join(out, sides, key, hot_key_threshold, keys_of=stars[-1][0])
         holder = {**{c: s for s in sides for c in s.columns}, **holder}
     out = out.select(*d.output)
+    if not (ordered and d.sort):
+        return out
     # The source dialect sorts nulls last in ascending order.
-    return out.orderBy(*[F.col(c).asc_nulls_last() for c in d.sort]) if ordered and d.sort else out
+    return sorted_rows(out, [F.col(c).asc_nulls_last() for c in d.sort], _expected_rows(driving, stars))
+
+
+def _expected_rows(driving: DataFrame, stars: list[tuple[DataFrame, list[DataFrame], str]]) -> float:
+    """How many rows the joins give: exact for joins on one key, for a chain as its joins multiply the rows of the
+    entities that bring their keys. Inputs that Spark would broadcast all together aren't counted (0)."""
+    if all(will_broadcast(f) for f in (driving, *(s for _, sides, _ in stars for s in sides))):
+        return 0
+    rows = None
+    for keys, sides, key in stars:
+        had, made = joined_rows(keys, sides, key)
+        rows = made if rows is None else rows * made / max(1, had)
+    return driving.count() if rows is None else rows
 
 
 def orders_psd(t: dict[str, DataFrame], start_date, end_date, **options) -> DataFrame:

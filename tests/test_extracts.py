@@ -163,3 +163,31 @@ def test_salted_star_spreads_a_hot_key_without_a_cap(spark):
     spread = right.where("k = 1").selectExpr("pmod(xxhash64(k, r), 180) AS s").groupBy("s").count().agg(F.max("count")).first()[0]
     assert spread <= 200
     assert left_join(left_join(left, right, "k", 100), right.withColumnRenamed("r", "r2").where("r2 % 9000 = 0"), "k", 100).count() == 18000 * 2
+
+
+def test_sort_gets_as_many_ranges_as_its_rows_need(spark, monkeypatch):
+    """The join's rows, not the session's number of partitions, say how many tasks sort them."""
+    from recordflow.operators import joins as J
+    d = X.EXTRACTS["extract_patient_demographics"]
+    t = td.entities(spark, SF001, list(d.entities))
+    plain = X.build_extract(d.name, t, start_patient_id=0)
+    want = [tuple(r) for r in plain.collect()]
+    driving = t["PATIENT"].select("PATIENT_ID")
+    assert J.joined_rows(driving, [t["PATIENT_ALLERGY"], t["PATIENT_DIAGNOSIS"]], "PATIENT_ID") == (driving.count(), len(want))
+    monkeypatch.setattr(J, "ROWS_PER_SORT", len(want) // 10)
+    monkeypatch.setattr(J, "will_broadcast", lambda f: False)
+    monkeypatch.setattr(X, "will_broadcast", lambda f: False)
+    for threshold in (J.AUTO, 12, None):
+        wide = X.build_extract(d.name, t, hot_key_threshold=threshold, start_patient_id=0)
+        assert wide.rdd.getNumPartitions() >= 10
+        got = [tuple(r) for r in wide.collect()]
+        assert [r[0] for r in got] == [r[0] for r in want] and sorted(map(str, got)) == sorted(map(str, want))
+    assert X.build_extract(d.name, t, ordered=False, start_patient_id=0).count() == len(want)
+
+
+def test_expected_rows_of_a_chain_and_of_null_keys(spark):
+    from recordflow.operators import joins as J
+    left = spark.createDataFrame([(1,), (1,), (None,), (3,)], "K long")
+    side = spark.createDataFrame([(1,), (1,), (None,), (None,)], "K long")
+    assert J.joined_rows(left, [side, side], "K") == (4, 2 * 4 + 1 + 1)
+    assert J.joined_rows(left.limit(0), [side], "K") == (0, 0.0)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_batches, blocks, lower_ascii, mix, shingles, stored
+from .common import Words, arrow_batches, blocks, lower_ascii, mix, shingles, stored, temporary
 from .components import connected_components
 
 RING = 1 << 20  # places of the ring
@@ -258,7 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     band = named.join(member.where("id = rep").select("id").distinct(), "id", "left_semi").select("id", "n", F.explode("bands").alias("key"))
     full = band.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     bucket = stored(band.join(full, "key").select("key", "id", "n", "size", "weight", "hub"), "minhash/bucket")
-    asked = bucket.select("id").distinct()
+    # Written first, so that Spark knows how short this list is before it decides on a shuffle of the texts.
+    asked = stored(bucket.select("id").distinct(), "minhash/asked")
     texts = stored(plain.join(asked, "id", "left_semi"), "minhash/texts")
     check = _verifier(words, percent)
 
@@ -310,5 +311,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near duplicates; rows with null ids stay."""
-    gone = near_duplicates(docs, id_col, text_col, words, percent).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    with temporary(docs.sparkSession):
+        gone = near_duplicates(docs, id_col, text_col, words, percent).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+        gone = stored(gone, "minhash/gone", keep=True)  # its size is known then: the documents are shuffled only against a long list
     return docs.join(gone, id_col, "left_anti")

@@ -36,9 +36,16 @@ _KIND = bytes(ord("s") if b in _SPACES else ord("w") if chr(b).isalnum() and b <
 _UNSURE = (b"pp", b"sps", b"xps")
 
 
-# A chunk of ASCII letters is one token run: the vocabulary's model takes it as it is.
-_LETTERS, _MARKED_LETTERS = re.compile(rb"[A-Za-z]+"), re.compile(rb"[\x00\n]?[A-Za-z]+")
-_WORDS_TO_TRY = ("a", "word", "Words", "THE", "internationalisation", "xyzzyqj", "Of", "s", "ll", "tokenISER")
+# Letters (ASCII and Latin-1, which no normaliser takes apart) are one token run,
+# marks after them another: the vocabulary's model takes both as they are. An
+# apostrophe isn't among the marks, as it may go with letters.
+_LETTERS, _TAIL = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[!-&(-/:-@\\[-`{-~]*"
+_PLAIN, _MARKED = re.compile(f"()({_LETTERS})({_TAIL})"), re.compile(f"([\x00\n]?)({_LETTERS})({_TAIL})")
+_WORDS_TO_TRY = ("a", "word", "Words", "THE", "internationalisation", "xyzzyqj", "Of", "s", "ll", "tokenISER",
+                 "\u00e9t\u00e9", "\u00c8RE", "gr\u00fc\u00dfe", "\u00d8\u00ff", "\u00e0\u00ed", "word,", "Of&&&", "\u00c9a###", "x.)", "a<|", "s;-", "\u00fc!?")
+# How byte-level vocabularies write bytes: printable ones as themselves, the others in order from 256 on.
+_SHOWN = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b > 173]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN))) if b != 10}  # line ends part words here
 
 
 def _marks_apart(raw: bytes, gap: bytes) -> bytes:
@@ -63,8 +70,9 @@ def vocabulary(name: str) -> str:
 
 
 def loaded(kind: type, *args) -> "ChunkCache":
-    """The encoder of this worker process, made on first use and kept for later tasks."""
+    """The encoder of this worker process, made on first use and kept for later tasks, until another one is asked for."""
     if (kind, args) not in _loaded:
+        _loaded.clear()
         _loaded[kind, args] = kind(*args)
     return _loaded[kind, args]
 
@@ -165,19 +173,41 @@ class ChunkEncoder(ChunkCache):
         self.spaces = spaces
         self.model = self.tok.model
         self.end = self.tok.encode("\n", add_special_tokens=False).ids
-        tried = [w.encode() for w in _WORDS_TO_TRY] + ([b"\x00" + w.encode() for w in _WORDS_TO_TRY] + [b"\n" + w.encode() for w in _WORDS_TO_TRY]) * spaces
-        self.by_model = all(self._word(k) == self.tok.encode(self._text(k), add_special_tokens=False).ids for k in tried)
+        self.runs: dict[str, list[int]] = {}  # ids of marks that end a word
+        tried = [lead + w for lead in ("", "\x00", "\n")[:3 if spaces else 1] for w in _WORDS_TO_TRY]
+        known = [i for k in tried for i in self.tok.encode(self._text(k.encode()), add_special_tokens=False).ids]
+        self.by_model = not any(_PLAIN.fullmatch(f"a{t.content}") or _PLAIN.fullmatch(t.content) for t in added.values()) and (
+            self._words([self._form(k).groups() for k in tried])[0].tolist() == known)
         super().__init__()
 
-    def _word(self, key: bytes) -> list[int]:
-        """The ids of a chunk of letters, from the model behind the file's normaliser and cutting."""
+    def _form(self, key: str):
+        """The parts of a key that the model takes as they are: what stands before, letters, marks; None for other keys."""
+        return (_MARKED if self.spaces else _PLAIN).fullmatch(key)
+
+    def _words(self, forms: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of letters and marks in a row and the number of each, from the model behind the file's normaliser and cutting."""
+        words = "\n".join([w if lead or not self.spaces else " " + w for lead, w, _ in forms])
         if not self.spaces:
-            return [t.id for t in self.model.tokenize(key.decode().lower())]
-        if key[0] == 0:
-            return [t.id for t in self.model.tokenize(key[1:].decode())]
-        if key[0] == 10:
-            return [*self.end, *(t.id for t in self.model.tokenize(key[1:].decode()))]
-        return [t.id for t in self.model.tokenize("\u0120" + key.decode())]  # how byte-level vocabularies write a blank
+            words = words.lower()
+        if not words.isascii():
+            words = words.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        elif self.spaces:
+            words = words.replace(" ", "\u0120")  # a blank, as byte-level vocabularies write it
+        tokenize, end, runs = self.model.tokenize, self.end, self.runs
+        flat: list[int] = []
+        ends = []
+        for (lead, _, marks), word in zip(forms, words.split("\n")):
+            if lead == "\n":
+                flat += end
+            flat += [t.id for t in tokenize(word)]
+            if marks:
+                if marks not in runs:
+                    if len(runs) >= 10_000:
+                        runs.clear()
+                    runs[marks] = [t.id for t in tokenize(marks)]
+                flat += runs[marks]
+            ends.append(len(flat))
+        return np.array(flat, np.int64), np.diff(np.array(ends, np.int64), prepend=0)
 
     def _has_special(self, text: str) -> bool:
         """Whether a special token may be inside (in any case, as a normaliser may change it)."""
@@ -222,13 +252,13 @@ class ChunkEncoder(ChunkCache):
         return flat[keep], np.append(at + 1 - k, len(flat)) - np.concatenate([[0], at + 1])
 
     def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        letters = (_MARKED_LETTERS if self.spaces else _LETTERS).fullmatch
-        words = [j for j, k in enumerate(keys) if letters(k)] if self.by_model else []
         size, done = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         found: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of chunks, their ids in a row
+        forms = [self._form(k.decode()) for k in keys] if self.by_model else [None] * len(keys)
+        words = [j for j, f in enumerate(forms) if f]
         if words:
             part = np.array(words)
-            flat, size[part] = _in_a_row([self._word(keys[j]) for j in words])
+            flat, size[part] = self._words([forms[j].groups() for j in words])
             found.append((part, flat))
             done[part] = True
         texts = [None if d else self._text(k) for k, d in zip(keys, done.tolist())]
@@ -284,7 +314,7 @@ class WordPairEncoder(ChunkCache):
         self.split = self.piece.get_piece_size()
         self.is_byte = np.array([self.piece.is_byte(i) for i in range(self.split)])
         self.level = ChunkEncoder(byte_path, True)
-        super().__init__()
+        super().__init__(400_000, 4_000_000)  # its workers go on to other stages
 
     def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [k.decode("utf-8", "replace") for k in keys]

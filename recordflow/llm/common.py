@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import run_dir
@@ -95,6 +97,34 @@ def blocks(rows: Iterator[tuple], size_of, limit: int = BLOCK_BYTES) -> Iterator
         yield out
 
 
+def give_back() -> None:
+    """Return memory that this process has freed, but its allocators still hold, to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # a C library without it
+        pass
+
+
+def frugal(run: Callable, every: int = 4) -> Callable:
+    """``run`` (batches to batches), giving freed memory back after every few batches and at its end.
+
+    A worker goes on to other tasks; what its allocators keep from the largest
+    blocks of each kind would add up beside the executor's heap.
+    """
+    def bounded(batches):
+        try:
+            for k, out in enumerate(run(batches), 1):
+                yield out
+                if k % every == 0:
+                    del out
+                    give_back()
+        finally:
+            give_back()
+
+    return bounded
+
+
 def class_table(word_bytes: bytes) -> np.ndarray:
     t = np.zeros(256, bool)
     t[list(word_bytes)] = True

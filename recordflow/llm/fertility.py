@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, arrow_batches, blocks, hash_slices, mix, stored
+from .common import Words, arrow_batches, blocks, frugal, hash_slices, mix, stored
 from .tokens import WordPairEncoder, loaded, vocabulary
 
 # Scripts by first and last code point; fixed values of the Unicode blocks.
@@ -283,6 +283,6 @@ def keep_fertile(docs: DataFrame, text_col: str = "text", vocabulary_path: str |
     plain = docs.toDF(*own)
     at = _at(docs.columns, text_col)
     schema = T.StructType([*plain.schema, *_MEASURES[1:]])
-    measured = stored(plain.mapInArrow(_beside(_vocabularies(vocabulary_path, byte_vocabulary_path), bands or BANDS, at, schema.names), schema), "fertility/rows")
+    measured = stored(plain.mapInArrow(frugal(_beside(_vocabularies(vocabulary_path, byte_vocabulary_path), bands or BANDS, at, schema.names), 1), schema), "fertility/rows")
     language = _language(plain, _at(docs.columns, language_col))
     return _verdict(measured.withColumn("language", language)).where("kept").select(*own).toDF(*docs.columns)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_CHARS, Words, arrow_batches, blocks, lower_ascii, stored
+from .common import WORD_CHARS, Words, arrow_batches, blocks, frugal, lower_ascii, stored
 
 WINDOW = 10  # words
 SHARD_BYTES = 4 << 20  # text of one shard
@@ -197,7 +197,7 @@ def _shards(phrases, handle, width: int):
         for part in blocks(rows(), lambda r: len(r[width - 1] or ""), SHARD_BYTES):
             yield handle(part, p)
 
-    return run
+    return frugal(run, 1)
 
 
 def _hits(texts: list[bytes], p: Phrases, earlier: list | None = None) -> tuple[Words, np.ndarray, list[set]]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_batches, blocks, lower_ascii, mix, stored, temporary
+from .common import Words, arrow_batches, blocks, frugal, lower_ascii, mix, stored, temporary
 
 DEPTH = 3
 MIN_TOKENS = 5
@@ -161,7 +161,7 @@ def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     # The tokens of a line come from the first document that has it.
     several = near.where((F.col("kinds") > 1) & (F.col("all") >= min_docs)).select("leaf", "line", "docs", "first", "n", "all")
     held = plain.join(several.select(F.col("first").alias("id")).distinct().hint("merge"), "id", "left_semi")
-    tokens = stored(held.mapInArrow(_tokens, "first long, line long, tokens array<long>").join(several, ["first", "line"]).drop("first"), "lines/tokens")
+    tokens = stored(held.mapInArrow(frugal(_tokens), "first long, line long, tokens array<long>").join(several, ["first", "line"]).drop("first"), "lines/tokens")
     seats = tokens.select("line", "docs", "leaf", F.posexplode("tokens").alias("seat", "token")).select(
         "line", "docs", "seat", (F.col("token").bitwiseAND(1) == 1).alias("digit"), F.xxhash64("leaf", "seat", "token").alias("place"))
     # A token that fewer documents have is in no template, so it isn't carried on.
@@ -170,7 +170,7 @@ def _templates(plain: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
     words = F.size(F.filter("tokens", lambda t: t.bitwiseAND(F.lit(1)) == 0))
     known = places.join(tokens.select("line", "leaf", "docs", "n", words.alias("words"), "all"), "line").where(F.size("places") >= F.ceil(CONSTANT * F.col("n"))) \
         .select("line", "leaf", "docs", "n", "words", "all", "places")
-    chains = stored(known.mapInArrow(_chains, "line long, docs long, k int, last boolean, shared boolean, everyone long, key long"), "lines/chains")
+    chains = stored(known.mapInArrow(frugal(_chains), "line long, docs long, k int, last boolean, shared boolean, everyone long, key long"), "lines/chains")
     having = chains.where("not shared").groupBy("key").agg(F.sum("docs").alias("have"))
     steps = chains.where("not shared").join(having, "key").unionByName(chains.where("shared").withColumn("have", F.col("everyone")))
     # The lines so far are those of the step before, or all of the leaf before the first step that tells lines apart.
@@ -187,7 +187,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     arrow_batches(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    lines = stored(plain.mapInArrow(_keys, "id long, leaf long, line long, n long"), "lines/keys")
+    lines = stored(plain.mapInArrow(frugal(_keys), "id long, leaf long, line long, n long"), "lines/keys")
     templates = stored(_templates(plain, lines, min_docs), "lines/templates")
     having = lines.select("id", "line").join(templates, "line").select("id", "line", "template", "enough")
     known = having.select("id", "template", "enough").distinct().groupBy("template", "enough").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first")).where("docs >= enough")
@@ -244,4 +244,4 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
         from pyspark.sql.types import LongType, StructType
 
         schema = StructType(schema.fields).add("n_lines", LongType()).add("n_dropped", LongType())
-    return both.mapInArrow(cut, schema)
+    return both.mapInArrow(frugal(cut), schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, arrow_batches, blocks, lower_ascii, mix, shingles, stored, temporary
+from .common import Words, arrow_batches, blocks, frugal, lower_ascii, mix, shingles, stored, temporary
 from .components import connected_components
 
 RING = 1 << 20  # places of the ring
@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     arrow_batches(spark)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = stored(plain.mapInArrow(_sketcher(words, seed), "id long, n long, hi long, lo long, bands array<long>, low binary"), "minhash/sketch")
+    sketch = stored(plain.mapInArrow(frugal(_sketcher(words, seed)), "id long, n long, hi long, lo long, bands array<long>, low binary"), "minhash/sketch")
 
     # Classes of equal sets, named by their smallest id.
     named = sketch.where("n > 0 and id is not null")
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         both = (p.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
                  .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
-        return stored(both.mapInArrow(check, "a long, b long"), "minhash/links")
+        return stored(both.mapInArrow(frugal(check), "a long, b long"), "minhash/links")
 
     def near(x: str, y: str) -> str:
         return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"

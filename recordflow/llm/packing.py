@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, blocks, stored
+from .common import arrow_batches, blocks, frugal, stored
 from .tokens import ChunkEncoder, loaded, vocabulary
 
 SIZE = 4096
@@ -185,7 +185,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     spark = docs.sparkSession
     arrow_batches(spark)
     plain = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.col(source_col).cast("string"))
-    tokens = stored(plain.mapInArrow(_tokenised(vocabulary_path or vocabulary("word_bpe_49k.json"), spaces, end_id),
+    tokens = stored(plain.mapInArrow(frugal(_tokenised(vocabulary_path or vocabulary("word_bpe_49k.json"), spaces, end_id), 1),
                                      "doc_id long, source string, part long, start long, n long, ids binary"), "packing/tokens")
     # Where each task's run of a source begins in the source's queue.
     runs = tokens.groupBy("part", "source").agg(F.sum("n").alias("all"))
@@ -205,4 +205,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     b = base.select(F.col("part").alias("_part"), F.col("source").alias("_source"), "base")
     placed = tokens.join(b, (F.col("part") == F.col("_part")) & F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id", "source", (F.col("base") + F.col("start")).alias("queue"), "n", "ids")
-    return placed.mapInArrow(_pieces(mix, {s: i for i, (s, _) in enumerate(totals)}), PIECES)
+    return placed.mapInArrow(frugal(_pieces(mix, {s: i for i, (s, _) in enumerate(totals)})), PIECES)

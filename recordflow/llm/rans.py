@@ -72,16 +72,16 @@ class Coder:
         lanes = int(min(LANES, max(1, len(ids) // 256)))
         x = np.full(lanes, 1 << LOW, _U)
         f, c = self.f[ids], self.c[ids]
-        top = f << _U(LOW - SCALE + 32)
+        top, rest = f << _U(LOW - SCALE + 32), _U(1 << SCALE) - f
         words = []
         for at in range((len(ids) - 1) // lanes * lanes, -1, -lanes):
             row = slice(at, min(at + lanes, len(ids)))
             own = x[: row.stop - at]
-            out = own >= top[row]
-            words.append(own[out].astype(np.uint32))
-            own = np.where(out, own >> _U(32), own)
-            q, r = np.divmod(own, f[row])
-            x[: row.stop - at] = (q << _U(SCALE)) + r + c[row]
+            out = np.flatnonzero(own >= top[row])
+            over = own[out]
+            words.append(over.astype(np.uint32))
+            own[out] = over >> _U(32)
+            own += own // f[row] * rest[row] + c[row]  # (own // f << SCALE) + own % f + c
         return lanes, x, np.concatenate(words[::-1]) if words else np.empty(0, np.uint32)
 
     def decode(self, n: int, x: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -152,11 +152,9 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, path: str, spaces:
 def _counted(batches):
     total = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for ids in batch.column(0).to_pylist():
-            total += 0 if not ids else np.bincount(np.frombuffer(ids, np.uint16), minlength=1 << 16) if len(ids) > 1 << 17 else 0
-        small = [x for x in batch.column(0).to_pylist() if x and len(x) <= 1 << 17]
-        if small:
-            total += np.bincount(np.frombuffer(b"".join(small), np.uint16), minlength=1 << 16)
+        lists = [x for x in batch.column(0).to_pylist() if x]
+        for some in blocks(iter(lists), len):
+            total += np.bincount(np.frombuffer(b"".join(some), np.uint16), minlength=1 << 16)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 
@@ -41,11 +42,15 @@ _UNSURE = (b"pp", b"sps", b"xps")
 # apostrophe isn't among the marks, as it may go with letters.
 _LETTERS, _TAIL = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[!-&(-/:-@\\[-`{-~]*"
 _PLAIN, _MARKED = re.compile(f"()({_LETTERS})({_TAIL})"), re.compile(f"([\x00\n]?)({_LETTERS})({_TAIL})")
+# The same for many keys in a row, each ended by \x01: one match per key, without letters where the key has another form.
+_IN_A_ROW = {p: re.compile(f"{p.pattern}\x01|[^\x01]*\x01") for p in (_PLAIN, _MARKED)}
 _WORDS_TO_TRY = ("a", "word", "Words", "THE", "internationalisation", "xyzzyqj", "Of", "s", "ll", "tokenISER",
                  "\u00e9t\u00e9", "\u00c8RE", "gr\u00fc\u00dfe", "\u00d8\u00ff", "\u00e0\u00ed", "word,", "Of&&&", "\u00c9a###", "x.)", "a<|", "s;-", "\u00fc!?")
 # How byte-level vocabularies write bytes: printable ones as themselves, the others in order from 256 on.
 _SHOWN = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or b > 173]
-_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN))) if b != 10}  # line ends part words here
+_BYTE_LEVEL = np.arange(256, dtype="<u2")
+_BYTE_LEVEL[[b for b in range(256) if b not in _SHOWN]] = np.arange(256, 512 - len(_SHOWN))
+_BYTE_LEVEL[10] = 10  # line ends part words here
 
 
 def _marks_apart(raw: bytes, gap: bytes) -> bytes:
@@ -77,12 +82,11 @@ def loaded(kind: type, *args) -> "ChunkCache":
     return _loaded[kind, args]
 
 
-class _Index(dict):
+class _Index(defaultdict):
     """Numbers keys in the order in which they are first asked for."""
 
-    def __missing__(self, key):
-        self[key] = n = len(self)
-        return n
+    def __init__(self):
+        super().__init__(count().__next__)
 
 
 def _in_a_row(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,9 +131,7 @@ class ChunkCache:
             self._clear()
         at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
         if len(self.index) > self.n:
-            fresh = np.flatnonzero(at >= self.n)
-            _, first = np.unique(at[fresh], return_index=True)
-            self._learn([keys[i] for i in fresh[first]])
+            self._learn(list(islice(reversed(self.index), len(self.index) - self.n))[::-1])
         start = self.off[at]
         size = self.off[at + 1] - start
         ends = np.concatenate([[0], np.cumsum(size)])
@@ -177,29 +179,29 @@ class ChunkEncoder(ChunkCache):
         tried = [lead + w for lead in ("", "\x00", "\n")[:3 if spaces else 1] for w in _WORDS_TO_TRY]
         known = [i for k in tried for i in self.tok.encode(self._text(k.encode()), add_special_tokens=False).ids]
         self.by_model = not any(_PLAIN.fullmatch(f"a{t.content}") or _PLAIN.fullmatch(t.content) for t in added.values()) and (
-            self._words([self._form(k).groups() for k in tried])[0].tolist() == known)
+            self._words(self._forms([k.encode() for k in tried]))[0].tolist() == known)
         super().__init__()
 
-    def _form(self, key: str):
-        """The parts of a key that the model takes as they are: what stands before, letters, marks; None for other keys."""
-        return (_MARKED if self.spaces else _PLAIN).fullmatch(key)
+    def _forms(self, keys: list[bytes]) -> list[tuple[str, str, str]]:
+        """The parts of each key that the model takes as they are: what stands before, letters, marks; no letters: another form."""
+        joined = b"\x01".join(keys) + b"\x01"
+        if joined.count(b"\x01") != len(keys):
+            joined = b"\x01".join([k.replace(b"\x01", b"\x02") for k in keys]) + b"\x01"  # both are of no such form
+        return _IN_A_ROW[_MARKED if self.spaces else _PLAIN].findall(joined.decode())
 
     def _words(self, forms: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of letters and marks in a row and the number of each, from the model behind the file's normaliser and cutting."""
         words = "\n".join([w if lead or not self.spaces else " " + w for lead, w, _ in forms])
         if not self.spaces:
             words = words.lower()
-        if not words.isascii():
-            words = words.encode().decode("latin-1").translate(_BYTE_LEVEL)
-        elif self.spaces:
-            words = words.replace(" ", "\u0120")  # a blank, as byte-level vocabularies write it
+        words = _BYTE_LEVEL[np.frombuffer(words.encode(), np.uint8)].tobytes().decode("utf-16-le")
         tokenize, end, runs = self.model.tokenize, self.end, self.runs
         flat: list[int] = []
         ends = []
-        for (lead, _, marks), word in zip(forms, words.split("\n")):
+        for (lead, _, marks), tokens in zip(forms, map(tokenize, words.split("\n"))):
             if lead == "\n":
                 flat += end
-            flat += [t.id for t in tokenize(word)]
+            flat += [t.id for t in tokens]
             if marks:
                 if marks not in runs:
                     if len(runs) >= 10_000:
@@ -254,18 +256,21 @@ class ChunkEncoder(ChunkCache):
     def ids_of(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         size, done = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         found: list[tuple[np.ndarray, np.ndarray]] = []  # numbers of chunks, their ids in a row
-        forms = [self._form(k.decode()) for k in keys] if self.by_model else [None] * len(keys)
-        words = [j for j, f in enumerate(forms) if f]
-        if words:
-            part = np.array(words)
-            flat, size[part] = self._words([forms[j].groups() for j in words])
-            found.append((part, flat))
-            done[part] = True
-        texts = [None if d else self._text(k) for k, d in zip(keys, done.tolist())]
+        if self.by_model:
+            forms = self._forms(keys)
+            done[:] = [f[1] != "" for f in forms]
+            if done.any():
+                part = np.flatnonzero(done)
+                flat, size[part] = self._words([f for f in forms if f[1]])
+                if len(part) == len(keys):
+                    return flat, size
+                found.append((part, flat))
+        left = np.flatnonzero(~done).tolist()
+        texts = {j: self._text(keys[j]) for j in left}
         if self.spaces:  # only a chunk that begins with white space and goes on is cut off on both sides
-            safe = [j for j, t in enumerate(texts) if t is not None and t[0] in " \n" and t[-1] not in " \n\t\r\x0b\x0c" and keys[j][:1] != b"\x00"]
+            safe = [j for j, t in texts.items() if t[0] in " \n" and t[-1] not in " \n\t\r\x0b\x0c" and keys[j][:1] != b"\x00"]
         else:
-            safe = [j for j, t in enumerate(texts) if t is not None]
+            safe = left
         for i in range(0, len(safe), self.BLOCK):
             part = np.array(safe[i:i + self.BLOCK])
             one = self._together([texts[j] for j in part])

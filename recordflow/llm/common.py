@@ -11,7 +11,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ..session import run_dir
 from ..storage import delete
@@ -72,6 +72,13 @@ def stored(df: DataFrame, kind: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, kind: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """``df`` stored, and aggregates of its rows by name, taken by the run that writes them."""
+    seen = Observation()
+    out = stored(df.observe(seen, *measures), kind)
+    return out, seen.get
+
+
 @contextmanager
 def temporary(spark: SparkSession):
     """Removes the tables stored inside, whose last use must be inside as well."""

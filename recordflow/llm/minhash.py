@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, arrow_batches, blocks, frugal, lower_ascii, mix, shingles, stored, temporary
-from .components import connected_components
+from .components import component_stars
 
 RING = 1 << 20  # places of the ring
 BANDS, ROWS = 50, 7
@@ -264,8 +264,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     check = _verifier(words, percent)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        both = (p.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        """The links among ``pairs``, which are distinct and have the smaller id first."""
+        both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
                  .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
         return stored(both.mapInArrow(frugal(check), "a long, b long"), "minhash/links")
 
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = bucket.where("id = hub").select("key", F.col("n").alias("hub_n")).distinct()
     pairs = bucket.where("id <> hub").join(hubs, "key").where(near("n", "hub_n")).select(F.col("id").alias("a"), F.col("hub").alias("b"))
     tested = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash/pairs")
-    comp = connected_components(confirmed(tested))
+    comp = component_stars(confirmed(tested))  # a component's smallest member has no row
     low = stored(named.join(asked, "id", "left_semi").select("id", "low", "bands"), "minhash/low")
 
     def blocked(comp: DataFrame) -> DataFrame:
@@ -293,7 +293,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "id")
 
     def with_links(comp: DataFrame, found: DataFrame) -> DataFrame:
-        return connected_components(found.union(comp.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))))
+        if found.isEmpty():
+            return comp
+        return component_stars(found.union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))))
 
     pairs = blocked(comp).mapInArrow(_spanning(percent), "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
     comp = with_links(comp, confirmed(pairs))

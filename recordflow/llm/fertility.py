@@ -41,7 +41,8 @@ SCRIPTS = {
 # byte beyond ASCII: random letters have 1.36 to 1.73 characters per token (under
 # 1.7 from 60 words on), prose has 1.85 or more (English in capitals, Swahili,
 # Zulu, Vietnamese without its marks). With its marks Vietnamese has 1.26, so
-# "latin" must stay wide.
+# "latin" must stay wide. "none" is a text without a letter of any script: numbers,
+# keys and rules of signs have 0.9 characters per token or so, under the bound of "ascii".
 BANDS = {
     "ascii": (1.7, 8.0, 0.10, 0.50),
     "latin": (1.2, 8.0, 0.10, 0.50),
@@ -54,6 +55,7 @@ BANDS = {
     "hangul": (0.3, 3.0, 0.95, 0.30),
     "cjk": (0.3, 3.0, 0.80, 0.30),
     "other": (0.3, 8.0, 0.50, 0.30),
+    "none": (1.7, 8.0, 0.10, 0.50),
 }
 ENTROPY_BITS = 10.0
 MAX_HIGH = 0.01  # bytes beyond ASCII of an "ascii" text, by character
@@ -84,10 +86,10 @@ for _i, _ranges in enumerate(SCRIPTS.values()):
 
 
 def main_script(text: str) -> str:
-    """The script of most letters; "other" where no letter is of a known one."""
+    """The script of most letters; "other" where no letter is of a known one, "none" where there is no letter."""
     code = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
     n = np.bincount(_KIND[np.minimum(code, len(_KIND) - 1)], minlength=len(_NAMES))[:-1]
-    return _NAMES[int(n.argmax())] if n.any() else "other"
+    return _NAMES[int(n.argmax())] if n.any() else "other" if any(map(str.isalpha, text)) else "none"
 
 
 def _entropy_share(ids: np.ndarray) -> float:

@@ -131,3 +131,13 @@ def test_rows_come_back_as_they_were(spark):
     out = fertility.keep_fertile(docs)
     assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()[:3]))
     assert fertility.keep_fertile(docs.limit(0)).count() == 0
+
+
+def test_texts_without_letters_have_a_band_of_their_own(spark):
+    """Numbers go; letters of a script without a band of its own aren't taken for them; null and empty texts fail before."""
+    tamil = " ".join(chr(0xB95 + i % 19) + chr(0xBBE + i % 3) + chr(0xBB0 + i * 7 % 9) for i in range(40))
+    assert [fertility.main_script(t) for t in ("12-34 5", "", tamil, "12 a", "12 \u0431")] == ["none", "none", "other", "latin", "cyrillic"]
+    numbers = " ".join(f"{i * 7919 % 1000:03d}-{i * 104729 % 10 ** 6:06d}" for i in range(1, 40))
+    rows = fertility.fertility(spark.createDataFrame([(1, numbers, "xx"), (2, tamil, "xx"), (3, None, "xx"), (4, numbers + " and a few words", "xx")], SCHEMA)).collect()
+    got = {r["doc_id"]: (r["script"], r["kept"]) for r in rows}
+    assert got[1] == ("none", False) and got[2][0] == "other" and got[3][0] == "other" and got[4][0] == "latin"

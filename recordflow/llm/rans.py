@@ -140,8 +140,9 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, path: str, spaces:
             out = []
             for part in blocks(iter(batch.column(1).to_pylist()), lambda t: len(t or "")):
                 flat, per = enc.encode([t or "" for t in part])
-                ends = np.concatenate([[0], np.cumsum(per)])
-                out += [np.append(flat[a:b], np.uint16(end_id)).tobytes() for a, b in zip(ends, ends[1:])]
+                raw = np.insert(flat, np.cumsum(per), end_id).tobytes()
+                ends = [0, *(2 * np.cumsum(per + 1)).tolist()]
+                out += [raw[a:b] for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), *[batch.column(2 + i) for i in range(len(extra))]], names=["doc_id", "ids", *extra])
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *extra)

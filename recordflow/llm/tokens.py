@@ -2,7 +2,8 @@
 
 Both supported vocabularies cut a text before merging, and no merge crosses a
 cut, so the ids of a text are the ids of its white-space chunks in a row. Most
-chunks of a text were seen before; only new ones go to the tokenizer.
+chunks of a text were seen before; only new ones go to the tokenizer. Under a
+byte-level vocabulary, short chunks of many texts are cut and found at once.
 """
 
 from __future__ import annotations
@@ -64,6 +65,12 @@ def _marks_apart(raw: bytes, gap: bytes) -> bytes:
     return raw
 
 
+# What a byte is to the cut of many texts: c cuts, r needs the closer look, w may stand before a mark, m is a mark.
+_ROLE = bytes(ord("c") if b in b" \n" else ord("r") if bytes([b]) in _RARE else ord("w") if _KIND[b] == ord("w") else ord("m") if bytes([b]) in _MARKS else 0 for b in range(256))
+_U = np.uint64
+_ALL = _U(0xFFFFFFFFFFFFFFFF)
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 _loaded: dict[tuple, "ChunkCache"] = {}
 
 
@@ -132,10 +139,76 @@ class ChunkCache:
         at = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))
         if len(self.index) > self.n:
             self._learn(list(islice(reversed(self.index), len(self.index) - self.n))[::-1])
+        return self._gather(at)
+
+    def _gather(self, at: np.ndarray, more: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """``look_up`` by the keys' numbers; ``more`` places after each key's ids are free to be filled."""
         start = self.off[at]
-        size = self.off[at + 1] - start
+        size = self.off[at + 1] - start + more
         ends = np.concatenate([[0], np.cumsum(size)])
-        return self.ids[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])], ends
+        return self.ids.take(np.repeat(start - ends[:-1], size) + np.arange(ends[-1]), mode="clip"), ends
+
+
+class ShortKeys(ChunkCache):
+    """Ids of keys of at most 16 bytes, found for many keys at once.
+
+    A key is two 64-bit numbers, kept by its number and compared whole. A slot
+    holds one number; a key whose two slots others take is new again later.
+    """
+
+    BITS = 22
+    WIDTH = 16
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
+        super().__init__(2_000_000, 16_000_000)
+
+    def _clear(self) -> None:
+        super()._clear()
+        self.n = 1  # 0: no key, without ids
+        self.slots = np.zeros(1 << self.BITS, np.int32)
+        self.low, self.high = np.full(1 << 18, _ALL), np.full(1 << 18, _ALL)  # of no key, as UTF-8 has no such bytes
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = (low ^ (high * _U(0x9E3779B97F4A7C15))) * _U(0xBF58476D1CE4E5B9)
+        h ^= h >> _U(32)
+        h *= _U(0x94D049BB133111EB)
+        return h >> _U(64 - self.BITS), (h >> _U(64 - 2 * self.BITS)) & _U((1 << self.BITS) - 1)
+
+    def numbers(self, buf: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The numbers of the keys ``buf[start:stop]``, 0 for longer ones; ``buf`` goes on for 16 bytes after the last."""
+        if self.n > self.max_entries or self.off[self.n] > self.max_ids:
+            self._clear()
+        out = [np.empty(0, np.int32)]
+        for i in range(0, len(start), 1 << 17):  # bounds the memory for a long text
+            out.append(self._some(buf, start[i:i + (1 << 17)], stop[i:i + (1 << 17)]))
+        return np.concatenate(out)
+
+    def _some(self, buf: bytes, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        size = stop - start
+        eight = np.ndarray(len(buf) - 7, "<u8", buf, 0, (1,))  # the eight bytes from each place on
+        low = eight[start] & _FIRST_BYTES[np.minimum(size, 8)]
+        high = eight[start + 8] & _FIRST_BYTES[np.clip(size - 8, 0, 8)]
+        first, second = self._slots(low, high)
+        out = self.slots[first]
+        left = np.flatnonzero((self.low[out] != low) | (self.high[out] != high))
+        again = self.slots[second[left]]
+        out[left] = np.where((self.low[again] == low[left]) & (self.high[again] == high[left]), again, 0)
+        out[size > self.WIDTH] = 0
+        new = left[(out[left] == 0) & (size[left] <= self.WIDTH)]
+        if len(new):
+            new = new[np.lexsort((high[new], low[new]))]
+            a, b = low[new], high[new]
+            differs = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+            out[new] = self.n - 1 + np.cumsum(differs)
+            one = new[differs]
+            number = out[one]
+            while number[-1] >= len(self.low):
+                self.low, self.high = (np.append(x, np.full_like(x, _ALL)) for x in (self.low, self.high))
+            self._learn([buf[i:j] for i, j in zip(start[one].tolist(), stop[one].tolist())])
+            self.low[number], self.high[number] = low[one], high[one]
+            self.slots[np.where(self.slots[first[one]] == 0, first[one], second[one])] = number
+        return out
 
 
 def _key(chunk: bytes) -> bytes:
@@ -180,6 +253,11 @@ class ChunkEncoder(ChunkCache):
         known = [i for k in tried for i in self.tok.encode(self._text(k.encode()), add_special_tokens=False).ids]
         self.by_model = not any(_PLAIN.fullmatch(f"a{t.content}") or _PLAIN.fullmatch(t.content) for t in added.values()) and (
             self._words(self._forms([k.encode() for k in tried]))[0].tolist() == known)
+        marks = [self.tok.encode(m.decode(), add_special_tokens=False).ids for m in _MARKS]
+        self.at_once = spaces and all(len(ids) == 1 for ids in marks)
+        self.mark_id = np.zeros(256, self.KEPT_AS)
+        self.mark_id[[m[0] for m in _MARKS]] = [ids[0] if ids else 0 for ids in marks]
+        self.short: ShortKeys | None = None
         super().__init__()
 
     def _forms(self, keys: list[bytes]) -> list[tuple[str, str, str]]:
@@ -289,8 +367,61 @@ class ChunkEncoder(ChunkCache):
             out[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(len(flat))] = flat
         return out, size
 
+    def _cut(self, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The chunks of many texts: a buffer with their keys, start and end of each, how many each text has, and which texts need the closer look instead."""
+        closer = np.array([self._has_special(t) or self._odd(t) for t in texts], bool)
+        raw = [b"" if c else t.encode() for t, c in zip(texts, closer)]
+        buf = b"\x00" + b" \x00".join(raw) + b" " + bytes(ShortKeys.WIDTH)
+        begin = np.cumsum([0, *(len(r) + 2 for r in raw[:-1])])
+        role = np.frombuffer(buf.translate(_ROLE), np.uint8)[:-ShortKeys.WIDTH]
+        stop = np.flatnonzero(role == ord("c"))
+        start = np.append(0, stop[:-1] + (np.frombuffer(buf, np.uint8)[stop[:-1]] == ord(" ")))
+        first = np.searchsorted(start, begin)
+        rare = np.flatnonzero(role == ord("r"))  # the 0 before each text is one
+        rare = np.append(rare[~np.isin(rare, begin)], stop[:-2][stop[2:] - stop[:-2] == 2])
+        closer[np.searchsorted(begin, rare, "right") - 1] = True
+        keep = np.repeat(~closer, np.diff(first, append=len(start)))
+        keep[first[stop[first] - start[first] == 1]] = False  # only that 0: an empty text, or white space begins it
+        per = np.diff(np.append(0, np.cumsum(keep))[np.append(first, len(start))])
+        return buf, start[keep], stop[keep], per, closer
+
+    def _encode_at_once(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.short is None:
+            self.short = ShortKeys(self.ids_of)
+        buf, start, stop, per, closer = self._cut(texts)
+        b = np.frombuffer(buf, np.uint8)
+        role = np.frombuffer(_ROLE, np.uint8)
+        marked = (role[b[stop - 1]] == ord("m")) & (role[b[stop - 2]] == ord("w")) & (stop - start > 1)
+        marks, stop = np.where(marked, b[stop - 1], 0), stop - marked
+        at = self.short.numbers(buf, start, stop)
+        other = np.flatnonzero(at == 0)
+        keys = [buf[i:j] for i, j in zip(start[other].tolist(), stop[other].tolist())]
+        if closer.any():  # their chunks go in between
+            text = np.flatnonzero(closer)
+            chunks = [self._chunks(texts[i]) for i in text.tolist()]
+            n = np.array([len(c) for c in chunks], np.int64)
+            before = np.cumsum(per)[text]
+            between = np.repeat(before, n)
+            at, marks = np.insert(at, between, 0), np.insert(marks, between, 0)
+            order = np.argsort(np.append(other, between - 0.5), kind="stable")
+            keys += chain.from_iterable(chunks)
+            keys = [keys[i] for i in order.tolist()]
+            other = np.flatnonzero(at == 0)
+            per[text] = n
+        ids, ends = self.look_up(keys)
+        more = (marks > 0).astype(np.int64)
+        size = np.diff(ends)
+        more[other] += size
+        flat, place = self.short._gather(at, more)
+        flat[np.repeat(place[other] - ends[:-1], size) + np.arange(len(ids))] = ids
+        marked = np.flatnonzero(marks)
+        flat[place[marked + 1] - 1] = self.mark_id[marks[marked]]
+        return flat, np.diff(place[np.append(0, np.cumsum(per))])
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (unsigned 16 bits) and the number of ids of each text."""
+        if self.at_once and texts:
+            return self._encode_at_once(texts)
         keys: list[bytes] = []
         per = np.zeros(len(texts) + 1, np.int64)
         for i, t in enumerate(texts):
